@@ -83,3 +83,76 @@ def non_nullable(df: DataFrame, *columns: str) -> DataFrame:
         d = defaults.get(types[c].typeName(), F.lit(0)).cast(types[c])
         out = out.withColumn(c, F.coalesce(F.col(c), d))
     return out
+
+
+def derived_catalog(t: TableSet, variant: str = "a") -> "CatalogTables":
+    """Catalog views derived from the star schema, so catalog work grows with the data.
+
+    nations → schemas; customers → tables (a negative balance marks the table ``_DO_NOT_USE``);
+    orders → columns of their customer's table (type from the priority digit, length of the
+    priority text, precision = order month, scale = day mod 4, nullable unless status F);
+    priorities → types; status P orders → computed columns; per table a primary key on its
+    lowest order and a unique constraint over its urgent orders; one foreign key per table,
+    from its highest-order column into table ``(k*k + 1) mod n`` at that table's key column,
+    and for MACHINERY customers a second one from the same column into the table itself.
+    Variant ``b`` is the drifted database: orders with key mod 7 = 0 are renamed (one column
+    dropped, one added), and type (mod 5), length (mod 3) and nullability (mod 11) change.
+    """
+    from paritas.sources.catalog import CatalogTables
+
+    c, o = t.customer, t.orders
+    k = F.col("o_orderkey")
+    n = c.agg(F.count(F.lit(1))).scalar()
+    schemas = t.nation.select(F.col("n_nationkey").alias("schema_id"), F.col("n_name").alias("name"))
+    tables = c.select(F.col("c_custkey").alias("object_id"),
+                      F.when(F.col("c_acctbal") < 0, F.concat(F.col("c_name"), F.lit("_DO_NOT_USE"))).otherwise(F.col("c_name")).alias("name"),
+                      F.col("c_nationkey").alias("schema_id"))
+    type_id = F.substring(F.col("o_orderpriority"), 1, 1).cast("int")
+    types = o.select(type_id.alias("user_type_id"),
+                     F.lower(F.regexp_replace(F.col("o_orderpriority"), "^[0-9]+-", "")).alias("name")).distinct()
+    columns = o.select(F.col("o_custkey").alias("object_id"), k.alias("column_id"),
+                       F.concat(F.lit("col_"), k.cast("string")).alias("name"), type_id.alias("user_type_id"),
+                       F.length(F.col("o_orderpriority")).alias("max_length"), F.month(F.col("o_orderdate")).alias("precision"),
+                       (F.dayofmonth(F.col("o_orderdate")) % 4).alias("scale"), (F.col("o_orderstatus") != "F").alias("is_nullable"),
+                       F.lit(False).alias("is_identity"), F.lit(0).alias("default_object_id"))
+    if variant == "b":
+        kept = columns.filter(F.col("column_id") % 7 != 0)
+        added = (columns.filter(F.col("column_id") % 7 == 0)
+                 .withColumn("name", F.concat(F.col("name"), F.lit("_v2")))
+                 .withColumn("column_id", F.col("column_id") + F.lit(1000000000000)))
+        cid = F.col("column_id")
+        columns = (kept.unionByName(added)
+                   .withColumn("user_type_id", F.when(cid % 5 == 0, F.col("user_type_id") % 5 + 1).otherwise(F.col("user_type_id")))
+                   .withColumn("max_length", F.when(cid % 3 == 0, F.col("max_length") + 1).otherwise(F.col("max_length")))
+                   .withColumn("is_nullable", F.when(cid % 11 == 0, ~F.col("is_nullable")).otherwise(F.col("is_nullable"))))
+    computed = o.filter(F.col("o_orderstatus") == "P").select(
+        F.col("o_custkey").alias("object_id"), k.alias("column_id"),
+        F.concat(F.lit("("), F.col("o_orderpriority"), F.lit(")")).alias("definition"))
+    indexes = (c.select(F.col("c_custkey").alias("object_id"), F.lit(1).alias("index_id"), F.lit(True).alias("is_primary_key"),
+                        F.lit(False).alias("is_unique_constraint"))
+               .unionByName(c.select(F.col("c_custkey").alias("object_id"), F.lit(2).alias("index_id"),
+                                     F.lit(False).alias("is_primary_key"), F.lit(True).alias("is_unique_constraint"))))
+    bounds = o.groupBy("o_custkey").agg(F.min(k).alias("lo"), F.max(k).alias("hi"))
+    index_columns = (bounds.select(F.col("o_custkey").alias("object_id"), F.lit(1).alias("index_id"), F.col("lo").alias("column_id"),
+                                   F.lit(1).cast("bigint").alias("key_ordinal"))
+                     .unionByName(o.filter(F.col("o_orderpriority") == "1-URGENT").select(
+                         F.col("o_custkey").alias("object_id"), F.lit(2).alias("index_id"), k.alias("column_id"),
+                         k.alias("key_ordinal"))))
+    dst = ((F.col("c_custkey") * F.col("c_custkey") + 1) % n)
+    outward = c.select((F.col("c_custkey") * 2).alias("object_id"), F.concat(F.lit("FK_"), F.col("c_name")).alias("name"),
+                       F.col("c_custkey").alias("parent_object_id"), dst.alias("referenced_object_id"))
+    selfref = c.filter(F.col("c_mktsegment") == "MACHINERY").select(
+        (F.col("c_custkey") * 2 + 1).alias("object_id"), F.concat(F.lit("SELF_"), F.col("c_name")).alias("name"),
+        F.col("c_custkey").alias("parent_object_id"), F.col("c_custkey").alias("referenced_object_id"))
+    foreign_keys = outward.unionByName(selfref)
+    fk_columns = (foreign_keys.select("object_id", "parent_object_id", "referenced_object_id")
+                  .join(bounds.select(F.col("o_custkey").alias("parent_object_id"), F.col("hi").alias("parent_column_id")),
+                        "parent_object_id")
+                  .join(bounds.select(F.col("o_custkey").alias("referenced_object_id"), F.col("lo").alias("referenced_column_id")),
+                        "referenced_object_id")
+                  .select(F.col("object_id").alias("constraint_object_id"), F.lit(1).alias("constraint_column_id"),
+                          "parent_object_id", "parent_column_id", "referenced_object_id",
+                          "referenced_column_id"))
+    return CatalogTables(tables=tables, schemas=schemas, columns=columns, types=types, computed_columns=computed,
+                         index_columns=index_columns, indexes=indexes, foreign_key_columns=fk_columns,
+                         foreign_keys=foreign_keys, database_name=f"db_{variant}")

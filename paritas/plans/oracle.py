@@ -243,3 +243,179 @@ ORACLES["metadata_column_parity"] = f"""WITH {ORDERS_TARGET},
 n AS ({_union([f"SELECT '{c}' AS column_name, '{rule}' AS rule, (SELECT count(*) FROM orders WHERE {c} IS NULL) AS s, (SELECT count(*) FROM orders_target WHERE {c} IS NULL) AS t" for c, rule in [("o_custkey", "not_null_parity"), ("o_orderdate", "not_null_parity"), ("o_orderkey", "identity_nulls"), ("o_totalprice", "not_null_parity")]])})
 SELECT column_name, rule, s AS source_nulls, t AS target_nulls,
        CASE WHEN rule = 'identity_nulls' THEN s = 0 AND t = 0 ELSE s = t END AS passed FROM n"""
+
+
+# -- catalog derived from the data (restated; see fixtures.derived_catalog) ------
+
+CATALOG = """cat_n AS (SELECT count(*) AS n FROM customer),
+cat_schemas AS (SELECT n_nationkey AS schema_id, n_name AS name FROM nation),
+cat_tables AS (SELECT c_custkey AS object_id,
+                      CASE WHEN c_acctbal < 0 THEN concat(c_name, '_DO_NOT_USE') ELSE c_name END AS name,
+                      c_nationkey AS schema_id FROM customer),
+cat_types AS (SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS user_type_id,
+                     lower(regexp_replace(o_orderpriority, '^[0-9]+-', '')) AS name FROM orders),
+cat_columns_a AS (SELECT o_custkey AS object_id, o_orderkey AS column_id, concat('col_', CAST(o_orderkey AS VARCHAR)) AS name,
+                         CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS user_type_id,
+                         CAST(length(o_orderpriority) AS INTEGER) AS max_length, CAST(month(o_orderdate) AS INTEGER) AS precision,
+                         CAST(day(o_orderdate) % 4 AS INTEGER) AS scale, o_orderstatus <> 'F' AS is_nullable,
+                         false AS is_identity, 0 AS default_object_id FROM orders),
+cat_columns_b AS (SELECT object_id, column_id, name,
+                         CASE WHEN column_id % 5 = 0 THEN user_type_id % 5 + 1 ELSE user_type_id END AS user_type_id,
+                         CASE WHEN column_id % 3 = 0 THEN max_length + 1 ELSE max_length END AS max_length,
+                         precision, scale,
+                         CASE WHEN column_id % 11 = 0 THEN NOT is_nullable ELSE is_nullable END AS is_nullable,
+                         is_identity, default_object_id
+                  FROM (SELECT * FROM cat_columns_a WHERE column_id % 7 <> 0
+                        UNION ALL
+                        SELECT object_id, column_id + 1000000000000, concat(name, '_v2'), user_type_id, max_length, precision,
+                               scale, is_nullable, is_identity, default_object_id
+                        FROM cat_columns_a WHERE column_id % 7 = 0)),
+cat_computed AS (SELECT o_custkey AS object_id, o_orderkey AS column_id, concat('(', o_orderpriority, ')') AS definition
+                 FROM orders WHERE o_orderstatus = 'P'),
+cat_indexes AS (SELECT c_custkey AS object_id, 1 AS index_id, true AS is_primary_key, false AS is_unique_constraint FROM customer
+                UNION ALL SELECT c_custkey, 2, false, true FROM customer),
+cat_bounds AS (SELECT o_custkey, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders GROUP BY o_custkey),
+cat_index_columns AS (SELECT o_custkey AS object_id, 1 AS index_id, lo AS column_id FROM cat_bounds
+                      UNION ALL SELECT o_custkey, 2, o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'),
+cat_fks AS (SELECT c_custkey * 2 AS object_id, concat('FK_', c_name) AS name, c_custkey AS parent_object_id,
+                   (c_custkey * c_custkey + 1) % (SELECT n FROM cat_n) AS referenced_object_id FROM customer
+            UNION ALL
+            SELECT c_custkey * 2 + 1, concat('SELF_', c_name), c_custkey, c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'),
+cat_fk_columns AS (SELECT f.object_id AS constraint_object_id, 1 AS constraint_column_id, f.parent_object_id,
+                          bp.hi AS parent_column_id, f.referenced_object_id, br.lo AS referenced_column_id
+                   FROM cat_fks f JOIN cat_bounds bp ON bp.o_custkey = f.parent_object_id
+                                  JOIN cat_bounds br ON br.o_custkey = f.referenced_object_id),
+cat_named AS (SELECT t.object_id, t.name AS table_name, s.name AS schema_name
+              FROM cat_tables t JOIN cat_schemas s ON s.schema_id = t.schema_id),
+cat_resolved AS (SELECT fc.constraint_column_id, f.name AS foreign_key_name, fc.parent_object_id, fc.parent_column_id,
+                        fc.referenced_object_id, ct.table_name AS child_table_name, ct.schema_name AS child_schema_name,
+                        rt.table_name AS referenced_table_name, rt.schema_name AS referenced_schema_name,
+                        cc.name AS child_column_name, rc.name AS referenced_column_name
+                 FROM cat_fk_columns fc
+                 JOIN cat_fks f ON f.object_id = fc.constraint_object_id
+                 JOIN cat_named ct ON ct.object_id = fc.parent_object_id
+                 JOIN cat_named rt ON rt.object_id = fc.referenced_object_id
+                 JOIN cat_columns_a cc ON cc.object_id = fc.parent_object_id AND cc.column_id = fc.parent_column_id
+                 JOIN cat_columns_a rc ON rc.object_id = fc.referenced_object_id AND rc.column_id = fc.referenced_column_id)"""
+
+
+def _meta_sql(name: str, columns_cte: str, db: str) -> str:
+    resolved = "cat_resolved" if columns_cte == "cat_columns_a" else f"{name}_resolved"
+    prefix = ""
+    if resolved != "cat_resolved":
+        prefix = f"""{resolved} AS (SELECT r.* FROM cat_resolved r
+      JOIN {columns_cte} cc ON cc.object_id = r.parent_object_id AND cc.column_id = r.parent_column_id
+      JOIN {columns_cte} rc ON rc.object_id = r.referenced_object_id
+       AND rc.column_id = (SELECT lo FROM cat_bounds WHERE o_custkey = r.referenced_object_id)),
+"""
+    return prefix + f"""{name} AS (
+  SELECT '{db}' AS database_name, t.schema_name, t.table_name, c.column_id, c.name AS column_name, ty.name AS data_type,
+         c.max_length, c.precision, c.scale, c.is_nullable, c.is_identity, c.default_object_id, cc.definition,
+         coalesce(fl.is_pk, false) AS is_primary_key, coalesce(fl.is_uq, false) AS is_unique_constraint,
+         coalesce(fk.fks, '') AS foreign_keys
+  FROM cat_named t
+  JOIN {columns_cte} c ON c.object_id = t.object_id
+  JOIN cat_types ty ON ty.user_type_id = c.user_type_id
+  LEFT JOIN cat_computed cc ON cc.object_id = c.object_id AND cc.column_id = c.column_id
+  LEFT JOIN (SELECT ic.object_id, ic.column_id, bool_or(i.is_primary_key) AS is_pk, bool_or(i.is_unique_constraint) AS is_uq
+             FROM cat_index_columns ic JOIN cat_indexes i ON i.object_id = ic.object_id AND i.index_id = ic.index_id
+             GROUP BY ic.object_id, ic.column_id) fl ON fl.object_id = c.object_id AND fl.column_id = c.column_id
+  LEFT JOIN (SELECT parent_object_id, parent_column_id,
+                    string_agg(concat_ws(':', foreign_key_name, referenced_schema_name, referenced_table_name, referenced_column_name), ';'
+                               ORDER BY foreign_key_name, referenced_schema_name, referenced_table_name, referenced_column_name) AS fks
+             FROM {resolved} GROUP BY parent_object_id, parent_column_id) fk
+         ON fk.parent_object_id = c.object_id AND fk.parent_column_id = c.column_id
+  WHERE t.table_name NOT LIKE '%DO_NOT%')"""
+
+
+META_A = _meta_sql("meta_a", "cat_columns_a", "db_a")
+META_B = _meta_sql("meta_b", "cat_columns_b", "db_b")
+_META_COLS = ("database_name, schema_name, table_name, column_id, column_name, data_type, max_length, precision, scale, "
+              "is_nullable, is_identity, default_object_id, definition, is_primary_key, is_unique_constraint, foreign_keys")
+
+ORACLES["catalog_metadata"] = f"WITH {CATALOG},\n{META_A}\nSELECT {_META_COLS} FROM meta_a"
+ORACLES["table_metadata"] = f"WITH {CATALOG},\n{META_A}\nSELECT {_META_COLS} FROM meta_a WHERE table_name = 'Customer#000000001'"
+ORACLES["table_metadata_nested"] = f"""WITH {CATALOG},
+{META_A}
+SELECT database_name, schema_name, table_name, count(*) AS n_columns, string_agg(column_name, ',' ORDER BY column_id) AS column_names
+FROM meta_a WHERE table_name = 'Customer#000000001' GROUP BY database_name, schema_name, table_name"""
+ORACLES["table_list"] = f"WITH {CATALOG},\n{META_A}\nSELECT DISTINCT schema_name, table_name FROM meta_a"
+ORACLES["pk_columns"] = f"WITH {CATALOG},\n{META_A}\nSELECT schema_name, table_name, column_id, column_name FROM meta_a WHERE is_primary_key"
+ORACLES["fk_columns"] = f"""WITH {CATALOG},
+{META_A},
+live AS (SELECT DISTINCT schema_name, table_name FROM meta_a)
+SELECT r.child_schema_name AS schema_name, r.child_table_name AS table_name, r.parent_column_id AS column_id,
+       r.child_column_name AS column_name, r.foreign_key_name, r.referenced_schema_name, r.referenced_table_name, r.referenced_column_name
+FROM cat_resolved r JOIN live l ON l.schema_name = r.child_schema_name AND l.table_name = r.child_table_name"""
+
+_JOINED = f"""WITH {CATALOG},
+{META_A},
+{META_B},
+j AS (SELECT coalesce(a.schema_name, b.schema_name) AS schema_name, coalesce(a.table_name, b.table_name) AS table_name,
+             coalesce(a.column_name, b.column_name) AS column_name, a.column_name IS NOT NULL AS in_a, b.column_name IS NOT NULL AS in_b,
+             a.data_type AS s_data_type, b.data_type AS t_data_type, a.max_length AS s_max_length, b.max_length AS t_max_length,
+             a.precision AS s_precision, b.precision AS t_precision, a.scale AS s_scale, b.scale AS t_scale,
+             a.is_nullable AS s_is_nullable, b.is_nullable AS t_is_nullable
+      FROM meta_a a FULL JOIN meta_b b
+        ON a.schema_name = b.schema_name AND a.table_name = b.table_name AND a.column_name = b.column_name)"""
+ORACLES["schema_compare"] = _JOINED + "\n" + _union(
+    ["SELECT schema_name, table_name, column_name, 'presence' AS attribute, CASE WHEN in_a THEN 'source_only' END AS source_value, "
+     "CASE WHEN in_b THEN 'target_only' END AS target_value FROM j WHERE NOT (in_a AND in_b)"] +
+    [f"SELECT schema_name, table_name, column_name, '{a}', CAST(s_{a} AS VARCHAR), CAST(t_{a} AS VARCHAR) FROM j "
+     f"WHERE in_a AND in_b AND s_{a} IS DISTINCT FROM t_{a}" for a in ("data_type", "max_length", "precision", "scale", "is_nullable")])
+_DIFFERS = " OR ".join(f"s_{a} IS DISTINCT FROM t_{a}" for a in ("data_type", "max_length", "precision", "scale", "is_nullable"))
+ORACLES["schema_compare_summary"] = _JOINED + f"""
+SELECT schema_name, table_name, count(*) FILTER (WHERE in_a AND in_b) AS common_columns,
+       count(*) FILTER (WHERE NOT in_b) AS source_only_columns, count(*) FILTER (WHERE NOT in_a) AS target_only_columns,
+       count(*) FILTER (WHERE in_a AND in_b AND ({_DIFFERS})) AS differing_columns,
+       count(*) FILTER (WHERE NOT in_b) = 0 AND count(*) FILTER (WHERE NOT in_a) = 0
+         AND count(*) FILTER (WHERE in_a AND in_b AND ({_DIFFERS})) = 0 AS is_schema_match
+FROM j GROUP BY schema_name, table_name"""
+
+_REF = f"""WITH {CATALOG}
+SELECT referenced_schema_name, referenced_table_name, child_schema_name, child_table_name, foreign_key_name,
+       string_agg(child_column_name, ',' ORDER BY constraint_column_id) AS constrained_columns,
+       string_agg(referenced_column_name, ',' ORDER BY constraint_column_id) AS referred_columns
+FROM cat_resolved {{where}}
+GROUP BY referenced_schema_name, referenced_table_name, child_schema_name, child_table_name, foreign_key_name"""
+ORACLES["referencing_tables"] = _REF.format(where="")
+ORACLES["referencing_tables_no_self"] = _REF.format(where="WHERE parent_object_id <> referenced_object_id")
+
+ORACLES["fk_type_mismatch"] = f"""WITH {CATALOG},
+{META_A},
+j AS (SELECT c.schema_name, c.table_name, c.column_name, r.foreign_key_name, r.referenced_schema_name, r.referenced_table_name,
+             r.referenced_column_name, c.data_type AS c_dt, p.data_type AS p_dt, c.max_length AS c_ml, p.max_length AS p_ml,
+             c.precision AS c_pr, p.precision AS p_pr, c.scale AS c_sc, p.scale AS p_sc
+      FROM cat_resolved r
+      JOIN meta_a c ON c.schema_name = r.child_schema_name AND c.table_name = r.child_table_name AND c.column_name = r.child_column_name
+      JOIN meta_a p ON p.schema_name = r.referenced_schema_name AND p.table_name = r.referenced_table_name
+                   AND p.column_name = r.referenced_column_name)
+SELECT schema_name, table_name, column_name, foreign_key_name, referenced_schema_name, referenced_table_name, referenced_column_name,
+       'data_type' AS attribute, c_dt AS child_value, p_dt AS parent_value FROM j WHERE c_dt IS DISTINCT FROM p_dt
+UNION ALL
+""" + _union([f"SELECT schema_name, table_name, column_name, foreign_key_name, referenced_schema_name, referenced_table_name, "
+              f"referenced_column_name, '{a}', CAST(c_{s} AS VARCHAR), CAST(p_{s} AS VARCHAR) FROM j "
+              f"WHERE c_{s} IS NOT NULL AND p_{s} IS NOT NULL AND c_{s} <> p_{s}"
+              for a, s in (("max_length", "ml"), ("precision", "pr"), ("scale", "sc"))])
+
+ORACLES["fk_cycles"] = f"""WITH RECURSIVE {CATALOG},
+e AS (SELECT DISTINCT pt.name AS src, rt.name AS dst FROM cat_fks f
+      JOIN cat_tables pt ON pt.object_id = f.parent_object_id JOIN cat_tables rt ON rt.object_id = f.referenced_object_id),
+e2 AS (SELECT * FROM e WHERE src <> dst),
+r(origin, node, depth) AS (
+  SELECT src, dst, 1 FROM e2
+  UNION ALL
+  SELECT r.origin, e2.dst, r.depth + 1 FROM r JOIN e2 ON r.node = e2.src
+  WHERE r.node <> r.origin AND r.depth < (SELECT count(*) FROM e2))
+SELECT node, CAST(min(len) AS BIGINT) AS cycle_len FROM (
+  SELECT origin AS node, depth AS len FROM r WHERE origin = node
+  UNION ALL SELECT src, 1 FROM e WHERE src = dst) GROUP BY node"""
+
+ORACLES["graph_cycle_nodes"] = """WITH RECURSIVE e AS (
+  SELECT c_custkey AS src, (c_custkey * c_custkey + 1) % (SELECT count(*) FROM customer) AS dst FROM customer),
+r(origin, node, depth) AS (
+  SELECT src, dst, 1 FROM e
+  UNION ALL
+  SELECT r.origin, e.dst, r.depth + 1 FROM r JOIN e ON r.node = e.src
+  WHERE r.node <> r.origin AND r.depth < (SELECT count(*) FROM e))
+SELECT DISTINCT origin AS node FROM r WHERE origin = node"""

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paritas.functions.hashing import add_row_hash
+from paritas.operators import catalog as G
 from paritas.operators import constraints as C
+from paritas.operators import graph as GR
 from paritas.operators import parity as P
 from paritas.operators import profile as PR
 from paritas.operators import rowdiff as R
@@ -260,3 +262,100 @@ def _fk_parity(t: TableSet) -> DataFrame:
 def _metadata_column_parity(t: TableSet) -> DataFrame:
     return C.metadata_column_parity(orders_pair(t), identity_columns=["o_orderkey"],
                                     not_null_columns=["o_custkey", "o_orderdate", "o_totalprice"])
+
+
+# -- G: catalog operators over the catalog derived from the data -----------------
+
+def _fk_text(col: str = "foreign_keys") -> F.Column:
+    return F.array_join(F.transform(col, lambda x: F.concat_ws(":", x["foreign_key_name"], x["referenced_schema_name"],
+                                                              x["referenced_table_name"], x["referenced_column_name"])), ";")
+
+
+def _meta(t: TableSet, variant: str = "a") -> DataFrame:
+    return G.column_metadata(FX.derived_catalog(t, variant))
+
+
+@query("catalog_metadata")
+def _catalog_metadata(t: TableSet) -> DataFrame:
+    """Column metadata of every table; DO_NOT tables excluded; FKs as one text."""
+    m = _meta(t)
+    return m.select(*[c for c in m.columns if c != "foreign_keys"], _fk_text().alias("foreign_keys"))
+
+
+@query("table_metadata")
+def _table_metadata(t: TableSet) -> DataFrame:
+    """One table's rows through the metadata cache."""
+    cache = G.MetadataCache(lambda db: FX.derived_catalog(t, db[-1]))
+    m = cache.table("db_a", "Customer#000000001", schema_name=None)
+    return m.select(*[c for c in m.columns if c != "foreign_keys"], _fk_text().alias("foreign_keys"))
+
+
+@query("table_metadata_nested")
+def _table_metadata_nested(t: TableSet) -> DataFrame:
+    """DM6/G3: the nested form of one table, columns in column-id order."""
+    cache = G.MetadataCache(lambda db: FX.derived_catalog(t, db[-1]))
+    n = cache.table_nested("db_a", "Customer#000000001", schema_name=None)
+    return n.select("database_name", "schema_name", "table_name", F.size("columns").cast("bigint").alias("n_columns"),
+                    F.array_join(F.transform("columns", lambda x: x["column_name"]), ",").alias("column_names"))
+
+
+@query("table_list")
+def _table_list(t: TableSet) -> DataFrame:
+    return G.table_list(_meta(t))
+
+
+@query("pk_columns")
+def _pk_columns(t: TableSet) -> DataFrame:
+    return G.pk_columns(_meta(t))
+
+
+@query("fk_columns")
+def _fk_columns(t: TableSet) -> DataFrame:
+    return G.fk_columns(_meta(t))
+
+
+@query("schema_compare")
+def _schema_compare(t: TableSet) -> DataFrame:
+    """Column differences between the two derived databases."""
+    return G.compare_schemas(_meta(t, "a"), _meta(t, "b"))
+
+
+@query("schema_compare_summary")
+def _schema_compare_summary(t: TableSet) -> DataFrame:
+    return G.compare_schemas_summary(_meta(t, "a"), _meta(t, "b"))
+
+
+def _referencing(t: TableSet, include_self: bool) -> DataFrame:
+    r = G.referencing_tables(FX.derived_catalog(t), include_self=include_self)
+    return r.select(*[c for c in r.columns if c not in ("constrained_columns", "referred_columns")],
+                    F.array_join("constrained_columns", ",").alias("constrained_columns"),
+                    F.array_join("referred_columns", ",").alias("referred_columns"))
+
+
+@query("referencing_tables")
+def _referencing_tables(t: TableSet) -> DataFrame:
+    """Every FK with its child and parent column lists, self references included."""
+    return _referencing(t, True)
+
+
+@query("referencing_tables_no_self")
+def _referencing_tables_no_self(t: TableSet) -> DataFrame:
+    """The same without FKs of a table into itself."""
+    return _referencing(t, False)
+
+
+@query("fk_type_mismatch")
+def _fk_type_mismatch(t: TableSet) -> DataFrame:
+    return G.fk_type_mismatch(_meta(t))
+
+
+@query("fk_cycles")
+def _fk_cycles(t: TableSet) -> DataFrame:
+    """Tables on FK cycles of the derived catalog with their shortest cycle length."""
+    return GR.fk_cycles(G.fk_edges(FX.derived_catalog(t)))
+
+
+@query("graph_cycle_nodes")
+def _graph_cycle_nodes(t: TableSet) -> DataFrame:
+    """G8 on edges_big (one out-edge per customer): nodes on a cycle."""
+    return GR.cycle_nodes(FX.edges_big(t))
