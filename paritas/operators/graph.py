@@ -19,12 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paritas.session import ensure_checkpoint_dir
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from paritas.session import reliable_checkpoint as _cut
 
 
 def _edges(edges: DataFrame, src: str, dst: str) -> DataFrame:

@@ -419,3 +419,7 @@ r(origin, node, depth) AS (
   SELECT r.origin, e.dst, r.depth + 1 FROM r JOIN e ON r.node = e.src
   WHERE r.node <> r.origin AND r.depth < (SELECT count(*) FROM e))
 SELECT DISTINCT origin AS node FROM r WHERE origin = node"""
+
+# both sides of the silver→gold hop resolve to the orders table through the test locator
+ORACLES["layer_pair_parity"] = """SELECT s.n AS source_rows, t.n AS target_rows, s.n = t.n AS passed
+FROM (SELECT count(*) AS n FROM orders) s, (SELECT count(*) AS n FROM orders) t"""

@@ -359,3 +359,41 @@ def _fk_cycles(t: TableSet) -> DataFrame:
 def _graph_cycle_nodes(t: TableSet) -> DataFrame:
     """G8 on edges_big (one out-edge per customer): nodes on a cycle."""
     return GR.cycle_nodes(FX.edges_big(t))
+
+
+# -- A/L: layer readers and the suite ---------------------------------------------
+
+@query("layer_pair_parity")
+def _layer_pair_parity(t: TableSet) -> DataFrame:
+    """The silver→gold pairing read through a locator whose templates point at the table directory."""
+    from paritas.sources.layers import LayerLocator, load_pair
+    loc = LayerLocator(root=t.base_dir, layer_template="{root}/{table}.parquet", gold_template="{root}/{table}.parquet")
+    pair = load_pair(t.spark, "silver_to_gold", loc, "orders", "tpch")
+    return PR.row_count_parity(pair)
+
+
+def _suite_pairs(t: TableSet) -> list:
+    return [
+        ("tpch", "orders", lambda: orders_pair(t)),
+        ("tpch", "customer", lambda: customer_pair(t)),
+        ("tpch", "lineitem", lambda: TablePair(t.lineitem, FX.lineitem_child(t), keys=(), database_name="tpch",
+                                               table_name="lineitem")),
+    ]
+
+
+@query("suite_results")
+def _suite_results(t: TableSet) -> DataFrame:
+    """Every registered check on three pairs, one result table (rows-only check)."""
+    from paritas.plans.suite import run_suite
+    pairs = []
+    for db, table, loader in _suite_pairs(t):
+        p = loader()
+        pairs.append(TablePair(p.source, p.target, p.keys, db, table))
+    return run_suite(t.spark, pairs)
+
+
+@query("suite_summary")
+def _suite_summary(t: TableSet) -> DataFrame:
+    """L4: pass/fail roll-up per table."""
+    from paritas.plans.suite import summarise
+    return summarise(QUERIES["suite_results"](t.spark, t.base_dir))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "paritas") -> SparkSession:
@@ -46,3 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder (HDFS, object store)")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="paritas-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` to the shared checkpoint directory and cut its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
