@@ -45,3 +45,32 @@ def groupable(c: Column, dt: T.DataType, name: str) -> Column:
     if contains_map(dt):
         return F.to_json(c).alias(name)
     return c.alias(name)
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def typed_key(c: Column, dt: T.DataType) -> Column:
+    """Exact group key in three typed slots ``struct(l bigint, d double, s string)``.
+
+    Integral, boolean, date and timestamp values go to ``l`` (days / epoch micros),
+    float and double to ``d`` (grouping folds -0.0 into 0.0 and NaNs together), everything
+    else to ``s`` as canonical text. Numbers are never turned into text, so grouping many
+    columns together stays cheap; NULL leaves all three slots NULL.
+    """
+    nul_l, nul_d, nul_s = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        l, d, s = c.cast("bigint"), nul_d, nul_s
+    elif isinstance(dt, T.BooleanType):
+        l, d, s = c.cast("int").cast("bigint"), nul_d, nul_s
+    elif isinstance(dt, T.DateType):
+        l, d, s = F.unix_date(c).cast("bigint"), nul_d, nul_s
+    elif isinstance(dt, T.TimestampType):
+        l, d, s = F.unix_micros(c), nul_d, nul_s
+    elif isinstance(dt, T.TimestampNTZType):
+        l, d, s = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), c), nul_d, nul_s
+    elif is_floating(dt):
+        l, d, s = nul_l, c.cast("double"), nul_s
+    else:
+        l, d, s = nul_l, nul_d, canonical_text(c, dt)
+    return F.struct(l.alias("l"), d.alias("d"), s.alias("s"))

@@ -1,14 +1,15 @@
 """Cycles in a foreign-key (or any directed) graph (G8), as iterative DataFrame jobs.
 
-1. ``peel``: drop edges whose source has no in-edge or whose target has no out-edge,
-   to a fixpoint; only cycle cores and paths between them stay.
-2. ``strongly_connected``: SCC labels by forward max-colour propagation and backward
-   reachability from each colour's root, phase by phase. Work per round is O(V + E);
-   no node pairs are formed.
-3. ``fk_cycles``: a node is on a cycle when its SCC has more than one node or it has a
-   self-loop. Its shortest cycle length is the SCC size when the SCC is a simple ring
-   (every node has one outgoing edge inside it); other SCCs get a breadth-first search
-   over (origin, node) pairs restricted to the SCC, so pairs never leave a component.
+0. Self-loops are cycles of length one; they are taken out first (a self-reference keeps
+   its node alive through every trim below and would stall them).
+1. ``peel``: drop edges whose source has no in-edge or whose target has no out-edge, to a
+   fixpoint; only cycle cores and paths between them stay.
+2. ``strongly_connected``: SCC labels, phase by phase: trim nodes without an in- or
+   out-edge (singletons), forward max-colour propagation, then backward reachability from
+   each colour's root inside its colour. Work per round is O(V + E); no node pairs are formed.
+3. ``fk_cycles``: the shortest cycle through a node is the SCC size when the SCC is a simple
+   ring (each node has one edge inside it); other SCCs get a breadth-first search over
+   (origin, node) pairs restricted to the SCC, so pairs never leave a component.
 
 Every loop round cuts lineage with a reliable ``checkpoint()`` (directory from the
 session's ``spark.checkpoint.dir``), so executor loss recomputes at most one round.
@@ -27,84 +28,111 @@ def _edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
             .filter(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct())
 
 
-def peel(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Edges (src, dst) left after repeatedly removing edges that cannot lie on a cycle."""
-    e = _cut(_edges(edges, src, dst))
+def _peel(e: DataFrame) -> DataFrame:
+    e = _cut(e)
     n = e.count()
     while True:
         has_in = e.select(F.col("dst").alias("v")).distinct()
         has_out = e.select(F.col("src").alias("v")).distinct()
-        nxt = (e.join(has_in, F.col("src") == F.col("v"), "left_semi")
-               .join(has_out, F.col("dst") == F.col("v"), "left_semi"))
-        nxt = _cut(nxt)
+        nxt = _cut(e.join(has_in, F.col("src") == F.col("v"), "left_semi")
+                   .join(has_out, F.col("dst") == F.col("v"), "left_semi"))
         m = nxt.count()
         if m == n:
             return nxt
         e, n = nxt, m
 
 
+def peel(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Edges (src, dst) left after repeatedly removing edges that cannot lie on a cycle."""
+    return _peel(_edges(edges, src, dst))
+
+
+def _degree_split(nodes: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(live, trivial): nodes with both an in- and an out-edge in ``e``, and the others."""
+    ends = (e.select(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"))
+            .unionByName(e.select(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))))
+    live = (ends.groupBy("node").agg(F.max("o").alias("o"), F.max("i").alias("i"))
+            .filter((F.col("o") == 1) & (F.col("i") == 1)).select("node"))
+    live = nodes.join(live, "node", "left_semi")
+    return live, nodes.join(live, "node", "left_anti")
+
+
 def strongly_connected(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (src, dst); component = largest node id of the SCC."""
     nodes = _cut(edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct())
     rem_e = edges
     done: list[DataFrame] = []
     while not nodes.isEmpty():
+        live, trivial = _degree_split(nodes, rem_e)
+        live = _cut(live)
+        done.append(_cut(trivial.select("node", F.col("node").alias("component"))))
+        rem_e = _cut(rem_e.join(live.withColumnRenamed("node", "src"), "src", "left_semi")
+                     .join(live.withColumnRenamed("node", "dst"), "dst", "left_semi"))
+        if live.isEmpty():
+            break
         # forward: colour(v) = max colour over v and its predecessors, to a fixpoint
-        colour = _cut(nodes.select("node", F.col("node").alias("colour")))
+        colour = live.select("node", F.col("node").alias("colour"))
         while True:
             pushed = (rem_e.join(colour.withColumnRenamed("node", "src"), "src")
-                      .select(F.col("dst").alias("node"), "colour"))
-            nxt = _cut(colour.unionByName(pushed).groupBy("node").agg(F.max("colour").alias("colour")))
-            changed = nxt.join(colour.withColumnRenamed("colour", "old"), "node").filter(F.col("colour") != F.col("old"))
-            if changed.isEmpty():
+                      .select(F.col("dst").alias("node"), "colour", F.lit(False).alias("own")))
+            nxt = _cut(colour.select("node", "colour", F.lit(True).alias("own")).unionByName(pushed)
+                       .groupBy("node").agg(F.max("colour").alias("colour"),
+                                            F.max(F.when(F.col("own"), F.col("colour"))).alias("old")))
+            colour = nxt.select("node", "colour")
+            if nxt.filter(F.col("colour") != F.col("old")).isEmpty():
                 break
-            colour = nxt
         # backward: from each root (colour == node), walk predecessors of the same colour
         member = _cut(colour.filter(F.col("node") == F.col("colour")).select("node", F.col("colour").alias("component")))
         frontier = member
         while True:
-            preds = (rem_e.join(frontier.withColumnRenamed("node", "dst"), "dst")
-                     .select(F.col("src").alias("node"), "component")
-                     .join(colour, "node").filter(F.col("colour") == F.col("component")).select("node", "component")
-                     .join(member, "node", "left_anti").distinct())
-            preds = _cut(preds)
+            preds = _cut(rem_e.join(frontier.withColumnRenamed("node", "dst"), "dst")
+                         .select(F.col("src").alias("node"), "component")
+                         .join(colour, "node").filter(F.col("colour") == F.col("component")).select("node", "component")
+                         .join(member, "node", "left_anti").distinct())
             if preds.isEmpty():
                 break
             member = _cut(member.unionByName(preds))
             frontier = preds
         done.append(member)
         gone = member.select("node")
-        nodes = _cut(nodes.join(gone, "node", "left_anti"))
+        nodes = _cut(live.join(gone, "node", "left_anti"))
         rem_e = _cut(rem_e.join(gone.withColumnRenamed("node", "src"), "src", "left_anti")
                      .join(gone.withColumnRenamed("node", "dst"), "dst", "left_anti"))
-    out = done[0] if done else edges.sparkSession.createDataFrame([], "node string, component string")
+    if not done:
+        t = edges.schema["src"].dataType.simpleString()
+        return edges.sparkSession.createDataFrame([], f"node {t}, component {t}")
+    out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out
 
 
+def _split_loops(edges: DataFrame, src: str, dst: str) -> tuple[DataFrame, DataFrame]:
+    e = _cut(_edges(edges, src, dst))
+    loops = e.filter(F.col("src") == F.col("dst")).select(F.col("src").alias("node"))
+    return loops, e.filter(F.col("src") != F.col("dst"))
+
+
 def cycle_nodes(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Nodes that lie on at least one directed cycle (self-loops included): (node)."""
-    core = peel(edges, src, dst)
-    comp = strongly_connected(core)
+    loops, rest = _split_loops(edges, src, dst)
+    comp = strongly_connected(_peel(rest))
     sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     multi = comp.join(sizes.filter(F.col("size") > 1), "component").select("node")
-    loops = core.filter(F.col("src") == F.col("dst")).select(F.col("src").alias("node"))
     return multi.unionByName(loops).distinct()
 
 
 def fk_cycles(edges: DataFrame, src: str = "parent_table", dst: str = "referenced_table") -> DataFrame:
     """Every node on a cycle with the length of its shortest cycle: (node, cycle_len)."""
-    core = peel(edges, src, dst)
+    loops, rest = _split_loops(edges, src, dst)
+    core = _peel(rest)
     comp = _cut(strongly_connected(core))
-    inner = (core.join(comp.withColumnRenamed("node", "src").withColumnRenamed("component", "c_src"), "src")
-             .join(comp.withColumnRenamed("node", "dst").withColumnRenamed("component", "c_dst"), "dst")
-             .filter(F.col("c_src") == F.col("c_dst")).select("src", "dst", F.col("c_src").alias("component")))
-    inner = _cut(inner)
+    inner = _cut(core.join(comp.withColumnRenamed("node", "src").withColumnRenamed("component", "c_src"), "src")
+                 .join(comp.withColumnRenamed("node", "dst").withColumnRenamed("component", "c_dst"), "dst")
+                 .filter(F.col("c_src") == F.col("c_dst")).select("src", "dst", F.col("c_src").alias("component")))
     stats = (inner.groupBy("component").agg(F.count(F.lit(1)).alias("n_edges"), F.count_distinct("src").alias("n_src"))
              .join(comp.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component"))
     ring = stats.filter((F.col("n_edges") == F.col("size")) & (F.col("n_src") == F.col("size")))
-    # simple rings (self-loops are rings of size one): the cycle through each node is the ring
     ring_nodes = comp.join(ring.select("component", "size"), "component").select("node", F.col("size").alias("cycle_len"))
     # other components: BFS from each node, staying inside its component
     e = inner.join(ring.select("component"), "component", "left_anti").select("src", "dst")
@@ -113,12 +141,12 @@ def fk_cycles(edges: DataFrame, src: str = "parent_table", dst: str = "reference
     found = frontier.filter(F.col("origin") == F.col("node")).select("origin", "depth")
     while not frontier.isEmpty():
         open_front = frontier.join(found.select("origin"), "origin", "left_anti")
-        step = (open_front.join(e.withColumnRenamed("src", "node"), "node")
-                .select("origin", F.col("dst").alias("node"), (F.col("depth") + 1).alias("depth"))
-                .join(visited, ["origin", "node"], "left_anti").distinct())
-        step = _cut(step)
+        step = _cut(open_front.join(e.withColumnRenamed("src", "node"), "node")
+                    .select("origin", F.col("dst").alias("node"), (F.col("depth") + 1).alias("depth"))
+                    .join(visited, ["origin", "node"], "left_anti").distinct())
         visited = _cut(visited.unionByName(step.select("origin", "node")))
         found = _cut(found.unionByName(step.filter(F.col("origin") == F.col("node")).select("origin", "depth")))
         frontier = step
-    searched = found.groupBy("origin").agg(F.min("depth").alias("cycle_len")).withColumnRenamed("origin", "node")
-    return ring_nodes.unionByName(searched)
+    searched = found.select(F.col("origin").alias("node"), F.col("depth").alias("cycle_len"))
+    return (ring_nodes.unionByName(searched).unionByName(loops.select("node", F.lit(1).alias("cycle_len")))
+            .groupBy("node").agg(F.min("cycle_len").cast("bigint").alias("cycle_len")))

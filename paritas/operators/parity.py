@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.functions.values import canonical_text, display_text
+from paritas.functions.values import display_text, typed_key
 from paritas.operators.pair import TablePair, align
 from paritas.operators.profile import PairProfile
 
@@ -91,15 +91,18 @@ def pair_samples(pair: TablePair, n: int = 5, column: str | None = None) -> Data
 
 
 def _unpivot(df: DataFrame, columns: list[str], side: int) -> DataFrame:
+    """(side, ci, v) per cell; ``v`` is a typed exact key, NULL exactly when the cell is NULL."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    cells = F.array(*[F.struct(F.lit(i).alias("ci"), canonical_text(F.col(c), types[c]).alias("v")) for i, c in enumerate(columns)])
+    cells = F.array(*[F.struct(F.lit(i).alias("ci"),
+                               F.when(F.col(c).isNotNull(), typed_key(F.col(c), types[c])).alias("v"))
+                      for i, c in enumerate(columns)])
     return df.select(F.lit(side).alias("side"), F.inline(cells))
 
 
 def value_counts(pair: TablePair, columns: list[str] | None = None) -> DataFrame:
     """(ci, v, source_n, target_n): occurrences of every value of every column on both sides.
 
-    Both sides are unpivoted to (column index, canonical text) and grouped together, so a
+    Both sides are unpivoted to (column index, typed exact key) and grouped together, so a
     pair costs one shuffle whatever its width; map-side partial aggregation absorbs hot values.
     """
     cols = columns if columns is not None else align(pair).common

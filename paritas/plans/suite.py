@@ -2,15 +2,18 @@
 
 Per pair, three shared passes do all the data work: the one-pass profile (one row), the
 counted-row grouping summarised to one row, and the unpivoted distinct-value counts (one
-row per column). Each is a small reliable checkpoint; every check is then a projection
-of those, so adding checks adds no scans. Results use one schema (``RESULT_DDL``);
-typed values are compared natively and cast to text last.
+row per column). Row checks are result-row structs over a single one-row ``facts`` frame
+(profile and summary stacked and merged, no join), so all of them become rows through one
+``inline`` select; only the distinct-value and key checks are frames of their own. Each
+pass appears once in the pair's plan, so the pair is one job whose independent stages
+run side by side, materialised once as a small reliable checkpoint. Typed values are
+compared natively and cast to text last.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,15 +30,14 @@ from paritas.session import reliable_checkpoint
 RESULT_DDL = ("database_name string, table_name string, check string, column_name string, metric string, "
               "source_value string, target_value string, passed boolean, status string, detail string")
 RESULT_COLUMNS = [c.split()[0] for c in RESULT_DDL.split(", ")]
+ROW_FIELDS = RESULT_COLUMNS[2:]
 
 
 @dataclass
 class SuiteContext:
     pair: TablePair
-    identity_columns: tuple[str, ...] = ()
-    not_null_columns: tuple[str, ...] = ()
-    fk_columns: tuple[str, ...] = ()
-    _cache: dict = field(default_factory=dict)
+    use_profile: bool = True
+    use_summary: bool = True
 
     @cached_property
     def alignment(self) -> Alignment:
@@ -43,184 +45,184 @@ class SuiteContext:
 
     @cached_property
     def profile(self) -> PairProfile:
-        p = PairProfile(self.pair)
-        p.wide = reliable_checkpoint(p.wide)
-        return p
+        return PairProfile(self.pair)
 
     @cached_property
     def summary(self) -> DataFrame:
-        return reliable_checkpoint(R.diff_summary(self.pair))
+        return R.diff_summary(self.pair)
 
     @cached_property
     def distinct(self) -> DataFrame:
-        return reliable_checkpoint(P.unique_value_parity(self.pair))
+        return P.unique_value_parity(self.pair)
 
-
-CHECKS: dict[str, Callable[[SuiteContext], DataFrame]] = {}
+    @cached_property
+    def facts(self) -> DataFrame:
+        """One row holding the profile (``s_*``/``t_*``) and summary columns that were asked for."""
+        frames = []
+        if self.use_profile:
+            frames.append(self.profile.wide)
+        if self.use_summary and self.alignment.common:
+            frames.append(self.summary)
+        if not frames:
+            return self.pair.source.sparkSession.range(1).select(F.lit(1).alias("_one"))
+        if len(frames) == 1:
+            return frames[0]
+        stacked = frames[0].unionByName(frames[1], allowMissingColumns=True)
+        return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
+ROW_CHECKS: dict[str, Callable[[SuiteContext], list[Column]]] = {}
+FRAME_CHECKS: dict[str, Callable[[SuiteContext], DataFrame]] = {}
+CHECKS: list[str] = []
 NEEDS_COMMON: set[str] = set()
+USES_SUMMARY: set[str] = set()
 
 
-def check(name: str, needs_common: bool = False):
-    """Register ``fn(ctx) -> DataFrame`` with columns column_name, metric, source_value, target_value, passed."""
+def row_check(name: str, needs_common: bool = False, uses_summary: bool = False):
+    """Register ``fn(ctx) -> list of result structs`` evaluated over ``ctx.facts``."""
     def deco(fn):
-        CHECKS[name] = fn
+        ROW_CHECKS[name] = fn
+        CHECKS.append(name)
         if needs_common:
             NEEDS_COMMON.add(name)
+        if uses_summary:
+            USES_SUMMARY.add(name)
         return fn
     return deco
 
 
-def _row(column: Column | None, metric: str, sv: Column, tv: Column, passed: Column) -> Column:
-    return F.struct((column if column is not None else F.lit(None)).cast("string").alias("column_name"),
-                    F.lit(metric).alias("metric"), sv.cast("string").alias("source_value"),
-                    tv.cast("string").alias("target_value"), passed.cast("boolean").alias("passed"))
+def frame_check(name: str, needs_common: bool = False):
+    """Register ``fn(ctx) -> DataFrame`` whose columns are ``ROW_FIELDS``."""
+    def deco(fn):
+        FRAME_CHECKS[name] = fn
+        CHECKS.append(name)
+        if needs_common:
+            NEEDS_COMMON.add(name)
+        return fn
+    return deco
 
 
-def _rows(df: DataFrame, rows: list[Column]) -> DataFrame:
-    return df.select(F.inline(F.array(*rows)))
+def _row(check: str, column, metric: str | None, sv, tv, passed, status: str = "ok", detail: str | None = None) -> Column:
+    lit = lambda v: v if isinstance(v, Column) else F.lit(v)
+    return F.struct(F.lit(check).alias("check"), lit(column).cast("string").alias("column_name"),
+                    F.lit(metric).cast("string").alias("metric"), lit(sv).cast("string").alias("source_value"),
+                    lit(tv).cast("string").alias("target_value"), lit(passed).cast("boolean").alias("passed"),
+                    F.lit(status).alias("status"), F.lit(detail).cast("string").alias("detail"))
 
 
-@check("data_diagnosis")
-def _diagnosis(ctx: SuiteContext) -> DataFrame:
-    a, w = ctx.alignment, ctx.profile.wide
-    nul = F.lit(None)
-    return _rows(w, [
-        _row(None, "row_count", F.col("s_rows"), F.col("t_rows"), nul),
-        _row(None, "row_count_difference", F.abs(F.col("s_rows") - F.col("t_rows")), nul, nul),
-        _row(None, "column_count", F.lit(len(ctx.pair.source.columns)), F.lit(len(ctx.pair.target.columns)), nul),
-        _row(None, "common_columns", F.lit(len(a.common)), F.lit(len(a.common)), nul),
-        _row(None, "only_on_side", F.lit(",".join(a.source_only)), F.lit(",".join(a.target_only)), nul)])
+@row_check("data_diagnosis")
+def _diagnosis(ctx: SuiteContext) -> list[Column]:
+    a, n = ctx.alignment, "data_diagnosis"
+    return [_row(n, None, "row_count", F.col("s_rows"), F.col("t_rows"), None),
+            _row(n, None, "row_count_difference", F.abs(F.col("s_rows") - F.col("t_rows")), None, None),
+            _row(n, None, "column_count", len(ctx.pair.source.columns), len(ctx.pair.target.columns), None),
+            _row(n, None, "common_columns", len(a.common), len(a.common), None),
+            _row(n, None, "only_on_side", ",".join(a.source_only), ",".join(a.target_only), None)]
 
 
-@check("row_counts")
-def _row_counts(ctx: SuiteContext) -> DataFrame:
-    w = ctx.profile.wide
-    return _rows(w, [_row(None, "row_count", F.col("s_rows"), F.col("t_rows"), F.col("s_rows") == F.col("t_rows"))])
+@row_check("row_counts")
+def _row_counts(ctx: SuiteContext) -> list[Column]:
+    return [_row("row_counts", None, "row_count", F.col("s_rows"), F.col("t_rows"), F.col("s_rows") == F.col("t_rows"))]
 
 
-@check("column_counts")
-def _column_counts(ctx: SuiteContext) -> DataFrame:
+@row_check("column_counts")
+def _column_counts(ctx: SuiteContext) -> list[Column]:
     s, t = len(ctx.pair.source.columns), len(ctx.pair.target.columns)
-    return _rows(ctx.profile.wide, [_row(None, "column_count", F.lit(s), F.lit(t), F.lit(s == t))])
+    return [_row("column_counts", None, "column_count", s, t, s == t)]
 
 
-@check("column_match")
-def _column_match(ctx: SuiteContext) -> DataFrame:
+@row_check("column_match")
+def _column_match(ctx: SuiteContext) -> list[Column]:
     a = ctx.alignment
-    return _rows(ctx.profile.wide, [_row(None, "common_columns", F.lit(",".join(a.source_only)), F.lit(",".join(a.target_only)),
-                                         F.lit(len(a.common) > 0))])
+    return [_row("column_match", None, "common_columns", ",".join(a.source_only), ",".join(a.target_only), len(a.common) > 0)]
 
 
-def _equality(mode: str):
-    def fn(ctx: SuiteContext) -> DataFrame:
+def _equality(name: str, needs_nullable: bool):
+    def fn(ctx: SuiteContext) -> list[Column]:
         a = ctx.alignment
         types_equal = all(a.source_types[c] == a.target_types[c] for c in a.common)
         nullable_equal = all(a.source_nullable[c] == a.target_nullable[c] for c in a.common)
-        needs_nullable = mode != "general"
         ok = (F.col("missing") == 0) & (F.col("extra") == 0) & F.lit(types_equal) & F.lit(nullable_equal or not needs_nullable)
-        return _rows(ctx.summary, [_row(None, "rows_only_in_side", F.col("missing"), F.col("extra"), ok)])
+        return [_row(name, None, "rows_only_in_side", F.col("missing"), F.col("extra"), ok)]
     return fn
 
 
-check("dataframe_general_equality", needs_common=True)(_equality("general"))
-check("dataframe_schema_adherence", needs_common=True)(_equality("schema_adherence"))
-check("dataframe_equality_ignore_row_order", needs_common=True)(_equality("ignore_row_order"))
+row_check("dataframe_general_equality", needs_common=True, uses_summary=True)(_equality("dataframe_general_equality", False))
+row_check("dataframe_schema_adherence", needs_common=True, uses_summary=True)(_equality("dataframe_schema_adherence", True))
+row_check("dataframe_equality_ignore_row_order", needs_common=True, uses_summary=True)(
+    _equality("dataframe_equality_ignore_row_order", True))
 
 
-@check("schema_data_types")
-def _types(ctx: SuiteContext) -> DataFrame:
+@row_check("schema_data_types")
+def _types(ctx: SuiteContext) -> list[Column]:
     a = ctx.alignment
-    rows = [_row(F.lit(c), "data_type", F.lit(a.source_types[c].simpleString()), F.lit(a.target_types[c].simpleString()),
-                 F.lit(a.source_types[c] == a.target_types[c])) for c in a.common]
-    return _rows(ctx.profile.wide, rows) if rows else _empty(ctx)
+    return [_row("schema_data_types", c, "data_type", a.source_types[c].simpleString(), a.target_types[c].simpleString(),
+                 a.source_types[c] == a.target_types[c]) for c in a.common]
 
 
-@check("column_nullable_properties")
-def _nullable(ctx: SuiteContext) -> DataFrame:
+@row_check("column_nullable_properties")
+def _nullable(ctx: SuiteContext) -> list[Column]:
     a = ctx.alignment
-    rows = [_row(F.lit(c), "nullable", F.lit(a.source_nullable[c]), F.lit(a.target_nullable[c]),
-                 F.lit(a.source_nullable[c] == a.target_nullable[c])) for c in a.common]
-    return _rows(ctx.profile.wide, rows) if rows else _empty(ctx)
+    return [_row("column_nullable_properties", c, "nullable", a.source_nullable[c], a.target_nullable[c],
+                 a.source_nullable[c] == a.target_nullable[c]) for c in a.common]
 
 
-@check("null_count_per_column")
-def _nulls(ctx: SuiteContext) -> DataFrame:
+@row_check("null_count_per_column")
+def _nulls(ctx: SuiteContext) -> list[Column]:
     p = ctx.profile
-    rows = []
+    out = []
     for i, c in enumerate(p.columns):
         s, t = p.get("s", "nulls", i), p.get("t", "nulls", i)
-        rows.append(_row(F.lit(c), "null_count", s, t, s.eqNullSafe(t)))
-    return _rows(p.wide, rows) if rows else _empty(ctx)
+        out.append(_row("null_count_per_column", c, "null_count", s, t, s.eqNullSafe(t)))
+    return out
 
 
-@check("duplicate_row_count", needs_common=True)
-def _dups(ctx: SuiteContext) -> DataFrame:
+@row_check("duplicate_row_count", needs_common=True, uses_summary=True)
+def _dups(ctx: SuiteContext) -> list[Column]:
     sd = F.col("source_rows") - F.col("source_distinct")
     td = F.col("target_rows") - F.col("target_distinct")
-    return _rows(ctx.summary, [_row(None, "duplicate_rows", sd, td, sd == td)])
+    return [_row("duplicate_row_count", None, "duplicate_rows", sd, td, sd == td)]
 
 
-def _ranges(kind: str, pick, lo: str, hi: str):
-    def fn(ctx: SuiteContext) -> DataFrame:
+def _ranges(name: str, pick, lo: str, hi: str):
+    def fn(ctx: SuiteContext) -> list[Column]:
         p = ctx.profile
-        rows = []
+        out = []
         for i, c in enumerate(p.columns):
-            if not pick(ctx.alignment.source_types[c]):
-                continue
-            for metric in (lo, hi):
-                sv, tv, eq = p._pair_values(i, metric)
-                rows.append(_row(F.lit(c), metric, sv, tv, eq))
-        return _rows(p.wide, rows) if rows else _empty(ctx)
+            if pick(ctx.alignment.source_types[c]):
+                for metric in (lo, hi):
+                    sv, tv, eq = p._pair_values(i, metric)
+                    out.append(_row(name, c, metric, sv, tv, eq))
+        return out
     return fn
 
 
-check("numeric_column_ranges")(_ranges("numeric", is_numeric, "min", "max"))
-check("string_column_lengths")(_ranges("length", is_string, "min_len", "max_len"))
-check("date_column_ranges")(_ranges("temporal", is_temporal, "min", "max"))
+row_check("numeric_column_ranges")(_ranges("numeric_column_ranges", is_numeric, "min", "max"))
+row_check("string_column_lengths")(_ranges("string_column_lengths", is_string, "min_len", "max_len"))
+row_check("date_column_ranges")(_ranges("date_column_ranges", is_temporal, "min", "max"))
 
 
-@check("unique_value_counts", needs_common=True)
+@frame_check("unique_value_counts", needs_common=True)
 def _unique(ctx: SuiteContext) -> DataFrame:
     d = ctx.distinct
-    return d.select(F.inline(F.array(_row(F.col("column_name"), "distinct_values", F.col("source_distinct"),
+    return d.select(F.inline(F.array(_row("unique_value_counts", F.col("column_name"), "distinct_values", F.col("source_distinct"),
                                           F.col("target_distinct"), F.col("passed")))))
 
 
-@check("primary_key_uniqueness")
+@frame_check("primary_key_uniqueness")
 def _pk(ctx: SuiteContext) -> DataFrame:
+    name = "primary_key_uniqueness"
     if not ctx.pair.keys:
-        return _skipped_marker(ctx, "no key columns given")
+        return ctx.facts.select(F.inline(F.array(_row(name, None, None, None, None, None, "skipped", "no key columns given"))))
     pk = C.pk_parity(ctx.pair)
-    s = pk.filter(F.col("side") == "source").select(F.col("violations").alias("sv"))
-    t = pk.filter(F.col("side") == "target").select(F.col("violations").alias("tv"))
-    both = s.unionByName(t, allowMissingColumns=True).agg(F.max("sv").alias("sv"), F.max("tv").alias("tv"))
-    return _rows(both, [_row(F.lit(",".join(ctx.pair.keys)), "key_violations", F.col("sv"), F.col("tv"),
-                             (F.col("sv") == 0) & (F.col("tv") == 0))])
-
-
-def _empty(ctx: SuiteContext) -> DataFrame:
-    return ctx.pair.source.sparkSession.createDataFrame(
-        [], "column_name string, metric string, source_value string, target_value string, passed boolean")
-
-
-def _skipped_marker(ctx: SuiteContext, reason: str) -> DataFrame:
-    return ctx.pair.source.sparkSession.createDataFrame(
-        [(None, "skipped:" + reason, None, None, None)],
-        "column_name string, metric string, source_value string, target_value string, passed boolean")
+    both = pk.agg(F.max(F.when(F.col("side") == "source", F.col("violations"))).alias("sv"),
+                  F.max(F.when(F.col("side") == "target", F.col("violations"))).alias("tv"))
+    return both.select(F.inline(F.array(_row(name, ",".join(ctx.pair.keys), "key_violations", F.col("sv"), F.col("tv"),
+                                             (F.col("sv") == 0) & (F.col("tv") == 0)))))
 
 
-def _label(df: DataFrame, pair: TablePair, name: str) -> DataFrame:
-    skipped = F.col("metric").startswith("skipped:")
-    return df.select(F.lit(pair.database_name).cast("string").alias("database_name"),
-                     F.lit(pair.table_name).cast("string").alias("table_name"), F.lit(name).alias("check"),
-                     "column_name", F.when(skipped, F.lit(None)).otherwise(F.col("metric")).alias("metric"),
-                     "source_value", "target_value", "passed",
-                     F.when(skipped, F.lit("skipped")).otherwise(F.lit("ok")).alias("status"),
-                     F.when(skipped, F.substring(F.col("metric"), 9, 1000)).alias("detail"))
-
-
-def _error(spark: SparkSession, database: str | None, table: str | None, name: str, status: str, detail: str) -> DataFrame:
-    return spark.createDataFrame([(database, table, name, None, None, None, None, None, status, detail[:2000])], RESULT_DDL)
+def _error_row(name: str, e: Exception) -> Column:
+    return _row(name, None, None, None, None, None, "error", f"{type(e).__name__}: {e}"[:2000])
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -230,30 +232,53 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def run_pair(pair: TablePair, checks: Iterable[str] | None = None, **metadata) -> DataFrame:
-    """All registered checks on one pair; the pair's result rows are materialised (small)."""
-    spark = pair.source.sparkSession
-    ctx = SuiteContext(pair, **metadata)
-    names = list(checks or CHECKS)
-    parts = []
+def _assemble(pair: TablePair, ctx: SuiteContext, names: list[str]) -> tuple[list[DataFrame], list[tuple[str, DataFrame]]]:
+    structs: list[Column] = []
+    frames: list[tuple[str, DataFrame]] = []
     for name in names:
         try:
             if name in NEEDS_COMMON and not ctx.alignment.common:
-                parts.append(_label(_skipped_marker(ctx, "no common columns"), pair, name))
+                structs.append(_row(name, None, None, None, None, None, "skipped", "no common columns"))
+            elif name in ROW_CHECKS:
+                structs.extend(ROW_CHECKS[name](ctx))
             else:
-                parts.append(_label(CHECKS[name](ctx), pair, name))
+                frames.append((name, FRAME_CHECKS[name](ctx)))
         except Exception as e:  # noqa: BLE001 - a failing check becomes an error row, the suite goes on
-            parts.append(_error(spark, pair.database_name, pair.table_name, name, "error", f"{type(e).__name__}: {e}"))
+            structs.append(_error_row(name, e))
+    parts = [ctx.facts.select(F.inline(F.array(*structs)))] if structs else []
+    return parts, frames
+
+
+def _labelled(pair: TablePair, df: DataFrame) -> DataFrame:
+    return df.select(F.lit(pair.database_name).cast("string").alias("database_name"),
+                     F.lit(pair.table_name).cast("string").alias("table_name"), *ROW_FIELDS)
+
+
+def run_pair(pair: TablePair, checks: Iterable[str] | None = None) -> DataFrame:
+    """All (or the named) registered checks on one pair, materialised as a small checkpoint."""
+    spark = pair.source.sparkSession
+    names = list(checks or CHECKS)
+    ctx = SuiteContext(pair, use_profile=any(n in ROW_CHECKS for n in names),
+                       use_summary=any(n in USES_SUMMARY for n in names))
+    parts, frames = _assemble(pair, ctx, names)
+    everything = parts + [f for _, f in frames]
     try:
-        return reliable_checkpoint(_union(parts))
-    except Exception:  # noqa: BLE001 - isolate the check that fails at execution time
-        isolated = []
-        for name, part in zip(names, parts):
+        return reliable_checkpoint(_labelled(pair, _union(everything)))
+    except Exception as e:  # noqa: BLE001 - isolate what fails at execution time
+        kept = []
+        for part in parts:
             try:
-                isolated.append(reliable_checkpoint(part))
-            except Exception as e:  # noqa: BLE001
-                isolated.append(_error(spark, pair.database_name, pair.table_name, name, "error", f"{type(e).__name__}: {e}"))
-        return _union(isolated)
+                kept.append(reliable_checkpoint(_labelled(pair, part)))
+            except Exception as e2:  # noqa: BLE001
+                kept.append(_labelled(pair, spark.range(1).select(F.inline(F.array(_error_row("row_checks", e2))))))
+        for name, f in frames:
+            try:
+                kept.append(reliable_checkpoint(_labelled(pair, f)))
+            except Exception as e2:  # noqa: BLE001
+                kept.append(_labelled(pair, spark.range(1).select(F.inline(F.array(_error_row(name, e2))))))
+        if not kept:
+            kept.append(_labelled(pair, spark.range(1).select(F.inline(F.array(_error_row("suite", e))))))
+        return _union(kept)
 
 
 def run_suite(spark: SparkSession, pairs: Iterable[TablePair | tuple[str, str, Callable[[], TablePair]]],
@@ -271,7 +296,8 @@ def run_suite(spark: SparkSession, pairs: Iterable[TablePair | tuple[str, str, C
             try:
                 pair = loader()
             except Exception as e:  # noqa: BLE001
-                out.append(_error(spark, database, table, "load", "error", f"{type(e).__name__}: {e}"))
+                failed = TablePair(spark.range(0), spark.range(0), database_name=database, table_name=table)
+                out.append(_labelled(failed, spark.range(1).select(F.inline(F.array(_error_row("load", e))))))
                 continue
         out.append(run_pair(pair, checks))
     if not out:

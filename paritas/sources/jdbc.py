@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paritas.sources.tables import parallel_scan
+
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -48,7 +50,10 @@ class JdbcSource:
         return self.options() | {"query": sql}
 
     def table(self, spark: SparkSession, table: str, **partitioning) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.table_options(table, **partitioning)).load()
+        """Scan ``table``; without partition options the read is one task, so its rows are
+        spread round-robin before any further work (``parallel_scan``)."""
+        df = spark.read.format("jdbc").options(**self.table_options(table, **partitioning)).load()
+        return df if partitioning.get("partition_column") else parallel_scan(df)
 
     def query(self, spark: SparkSession, sql: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.query_options(sql)).load()
