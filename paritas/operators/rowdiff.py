@@ -110,18 +110,22 @@ def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
     if not keys:
         raise ValueError("keyed_diff needs key columns")
     vals = [c for c in a.common if c not in keys]
+    ktypes = {k: a.source_types[k] if a.source_types[k] == a.target_types[k] else T.StringType() for k in keys}
+    knames = [x for i in range(len(keys)) for x in (f"_k{i}", f"_n{i}")]
 
     def side(df: DataFrame, tag: str) -> DataFrame:
+        # NULL-safe key matching as plain equality on (value-or-default, is-null): the grouping's
+        # hash partitioning on these columns is exactly what the join needs, so the join adds no
+        # exchange (an eqNullSafe condition would re-shuffle on a derived key).
+        norm = []
+        for i, k in enumerate(keys):
+            kc = F.col(k).cast(ktypes[k])
+            norm += [F.coalesce(kc, _default(ktypes[k])).alias(f"_k{i}"), kc.isNull().alias(f"_n{i}")]
         row = F.struct(*[F.col(c) for c in vals]) if vals else F.lit(None)
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{tag}_n"), F.first(row).alias(f"{tag}_v"))
+        return (df.select(*norm, row.alias("_row"))
+                .groupBy(*knames).agg(F.count(F.lit(1)).alias(f"{tag}_n"), F.first("_row").alias(f"{tag}_v")))
 
-    s = side(pair.source, "s").alias("s")
-    t = side(pair.target, "t").alias("t")
-    cond = None
-    for k in keys:
-        e = F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}"))
-        cond = e if cond is None else cond & e
-    j = s.join(t, cond, "full_outer")
+    j = side(pair.source, "s").join(side(pair.target, "t"), knames, "full_outer")
 
     def change(column: Column, sv: Column, tv: Column, kind: Column) -> Column:
         return F.struct(column.cast("string").alias("column_name"), sv.alias("source_value"), tv.alias("target_value"),
@@ -139,10 +143,25 @@ def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
               .when((F.col("s_n") > 1) | (F.col("t_n") > 1),
                     F.array(change(nul, F.col("s_n").cast("string"), F.col("t_n").cast("string"), F.lit("duplicate_key"))))
               .otherwise(changed))
-    key_out = [F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
+    key_out = [F.when(F.col(f"_n{i}"), F.lit(None)).otherwise(F.col(f"_k{i}")).cast(ktypes[k]).alias(k) for i, k in enumerate(keys)]
     return j.select(*key_out, F.inline(events))
 
 
+def _default(dt: T.DataType) -> Column:
+    """A typed stand-in for NULL in a (value, is-null) key pair; any value works since the flag decides."""
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, T.BinaryType):
+        return F.lit(bytearray()).cast("binary")
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dt)
+    if isinstance(dt, T.NumericType):
+        return F.lit(0).cast(dt)
+    return F.lit(None).cast(dt)
+
+
 def unique_to_one_side(first: DataFrame, second: DataFrame, first_name: str, second_name: str,
                        ignore_cols: Sequence[str] = ("database_name", "foreign_key_name", "referenced_object_id"),
                        null_keys: str = "drop") -> DataFrame:
