@@ -423,3 +423,12 @@ SELECT DISTINCT origin AS node FROM r WHERE origin = node"""
 # both sides of the silver→gold hop resolve to the orders table through the test locator
 ORACLES["layer_pair_parity"] = """SELECT s.n AS source_rows, t.n AS target_rows, s.n = t.n AS passed
 FROM (SELECT count(*) AS n FROM orders) s, (SELECT count(*) AS n FROM orders) t"""
+
+ORACLES["orphan_records"] = f"""WITH {LINEITEM_CHILD}, {ORDERS_PARENT},
+g AS (SELECT c.l_orderkey, count(*) AS n FROM lineitem_child c LEFT JOIN orders_parent p ON c.l_orderkey = p.o_orderkey
+      WHERE p.o_orderkey IS NULL GROUP BY c.l_orderkey)
+SELECT 'lineitem' AS child_table, 'fk_lineitem_orders' AS foreign_key_name, 'l_orderkey' AS foreign_key_columns,
+       '{{"l_orderkey":' || CASE WHEN l_orderkey IS NULL THEN 'null' ELSE '"' || CAST(l_orderkey AS VARCHAR) || '"' END || '}}'
+         AS orphaned_values,
+       n AS orphaned_count
+FROM g"""

@@ -397,3 +397,12 @@ def _suite_summary(t: TableSet) -> DataFrame:
     """L4: pass/fail roll-up per table."""
     from paritas.plans.suite import summarise
     return summarise(QUERIES["suite_results"](t.spark, t.base_dir))
+
+
+@query("orphan_records")
+def _orphan_records(t: TableSet) -> DataFrame:
+    """DM7/H5 record form for lineitem_child → orders_parent; the value map rendered as JSON."""
+    fk = C.ForeignKey("fk_lineitem_orders", "lineitem", ("l_orderkey",), "orders", ("o_orderkey",))
+    r = C.orphan_records(FX.lineitem_child(t), FX.orders_parent(t), fk)
+    return r.select("child_table", "foreign_key_name", F.array_join("foreign_key_columns", ",").alias("foreign_key_columns"),
+                    F.to_json("orphaned_values").alias("orphaned_values"), "orphaned_count")
