@@ -227,12 +227,12 @@ def fk_parity(pair: TablePair, fk_columns: Sequence[str]) -> DataFrame:
     """Per FK column, NULL count and distinct count (NULL counted once) on both sides.
 
     Both metrics come from the pair's unpivoted value counts (one shuffle)."""
-    from paritas.operators.parity import value_counts
+    from paritas.operators.parity import value_counts, value_is_null
     cols = list(fk_columns)
     vc = value_counts(pair, cols)
     per = vc.groupBy("ci").agg(
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("source_n"))), F.lit(0)).cast("bigint").alias("s_nulls"),
-        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("target_n"))), F.lit(0)).cast("bigint").alias("t_nulls"),
+        F.coalesce(F.sum(F.when(value_is_null(), F.col("source_n"))), F.lit(0)).cast("bigint").alias("s_nulls"),
+        F.coalesce(F.sum(F.when(value_is_null(), F.col("target_n"))), F.lit(0)).cast("bigint").alias("t_nulls"),
         F.count_if(F.col("source_n") > 0).alias("s_distinct"), F.count_if(F.col("target_n") > 0).alias("t_distinct"))
     names = F.array(*[F.lit(c) for c in cols])
     metrics = F.array(

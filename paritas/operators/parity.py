@@ -6,7 +6,7 @@ schema facts. Data checks are lazy DataFrames; nothing here collects data rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,24 +91,33 @@ def pair_samples(pair: TablePair, n: int = 5, column: str | None = None) -> Data
 
 
 def _unpivot(df: DataFrame, columns: list[str], side: int) -> DataFrame:
-    """(side, ci, v) per cell; ``v`` is a typed exact key, NULL exactly when the cell is NULL."""
+    """(side, ci, l, d, s) per cell: the typed exact key as flat columns, all NULL exactly when the cell is."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    cells = F.array(*[F.struct(F.lit(i).alias("ci"),
-                               F.when(F.col(c).isNotNull(), typed_key(F.col(c), types[c])).alias("v"))
-                      for i, c in enumerate(columns)])
-    return df.select(F.lit(side).alias("side"), F.inline(cells))
+    cells = []
+    for i, c in enumerate(columns):
+        key = typed_key(F.col(c), types[c])
+        cells.append(F.struct(F.lit(i).alias("ci"), key["l"].alias("l"), key["d"].alias("d"), key["s"].alias("s")))
+    return df.select(F.lit(side).alias("side"), F.inline(F.array(*cells)))
+
+
+VALUE_KEY = ["ci", "l", "d", "s"]
+
+
+def value_is_null() -> Column:
+    return F.col("l").isNull() & F.col("d").isNull() & F.col("s").isNull()
 
 
 def value_counts(pair: TablePair, columns: list[str] | None = None) -> DataFrame:
-    """(ci, v, source_n, target_n): occurrences of every value of every column on both sides.
+    """(ci, l, d, s, source_n, target_n): occurrences of every value of every column on both sides.
 
     Both sides are unpivoted to (column index, typed exact key) and grouped together, so a
     pair costs one shuffle whatever its width; map-side partial aggregation absorbs hot values.
+    Keys stay flat primitive columns (no struct), which keeps the hash aggregation cheap.
     """
     cols = columns if columns is not None else align(pair).common
     cells = _unpivot(pair.source, cols, 0).unionAll(_unpivot(pair.target, cols, 1))
-    return cells.groupBy("ci", "v").agg(F.count_if(F.col("side") == 0).alias("source_n"),
-                                        F.count_if(F.col("side") == 1).alias("target_n"))
+    return cells.groupBy(*VALUE_KEY).agg(F.count_if(F.col("side") == 0).alias("source_n"),
+                                         F.count_if(F.col("side") == 1).alias("target_n"))
 
 
 def unique_value_parity(pair: TablePair) -> DataFrame:
