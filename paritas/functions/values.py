@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 from paritas.functions.types import contains_map, is_floating
 
 
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def display_text(c: Column, dt: T.DataType) -> Column:
     """Human-readable text of a value, for long-form result rows (cast last, after native compares)."""
     if isinstance(dt, T.BinaryType):
@@ -18,6 +23,15 @@ def display_text(c: Column, dt: T.DataType) -> Column:
     return c.cast("string")
 
 
+def display_sql(expr: str, dt: T.DataType) -> str:
+    """``display_text`` as SQL text over an expression string."""
+    if isinstance(dt, T.BinaryType):
+        return f"hex({expr})"
+    if contains_map(dt):
+        return f"to_json({expr})"
+    return f"CAST({expr} AS STRING)"
+
+
 def canonical_text(c: Column, dt: T.DataType) -> Column:
     """Text that is equal exactly when the values are equal as group keys.
 
@@ -50,27 +64,32 @@ def groupable(c: Column, dt: T.DataType, name: str) -> Column:
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
-def typed_key(c: Column, dt: T.DataType) -> Column:
-    """Exact group key in three typed slots ``struct(l bigint, d double, s string)``.
+def typed_key_sql(c: str, dt: T.DataType) -> tuple[str, str, str]:
+    """Exact group key of column expression ``c`` as SQL text for three typed slots
+    (l bigint, d double, s string).
 
-    Integral, boolean, date and timestamp values go to ``l`` (days / epoch micros),
-    float and double to ``d`` (grouping folds -0.0 into 0.0 and NaNs together), everything
-    else to ``s`` as canonical text. Numbers are never turned into text, so grouping many
-    columns together stays cheap; NULL leaves all three slots NULL.
+    Integral, boolean, date and timestamp values go to ``l`` (days / epoch micros), float and
+    double to ``d`` (grouping folds -0.0 into 0.0 and NaNs together), everything else to ``s``
+    as canonical text. Numbers are never turned into text, so grouping many columns together
+    stays cheap; NULL leaves all three slots NULL.
     """
-    nul_l, nul_d, nul_s = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    nl, nd, ns = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        l, d, s = c.cast("bigint"), nul_d, nul_s
-    elif isinstance(dt, T.BooleanType):
-        l, d, s = c.cast("int").cast("bigint"), nul_d, nul_s
-    elif isinstance(dt, T.DateType):
-        l, d, s = F.unix_date(c).cast("bigint"), nul_d, nul_s
-    elif isinstance(dt, T.TimestampType):
-        l, d, s = F.unix_micros(c), nul_d, nul_s
-    elif isinstance(dt, T.TimestampNTZType):
-        l, d, s = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), c), nul_d, nul_s
-    elif is_floating(dt):
-        l, d, s = nul_l, c.cast("double"), nul_s
-    else:
-        l, d, s = nul_l, nul_d, canonical_text(c, dt)
-    return F.struct(l.alias("l"), d.alias("d"), s.alias("s"))
+        return f"CAST({c} AS BIGINT)", nd, ns
+    if isinstance(dt, T.BooleanType):
+        return f"CAST(CAST({c} AS INT) AS BIGINT)", nd, ns
+    if isinstance(dt, T.DateType):
+        return f"CAST(unix_date({c}) AS BIGINT)", nd, ns
+    if isinstance(dt, T.TimestampType):
+        return f"unix_micros({c})", nd, ns
+    if isinstance(dt, T.TimestampNTZType):
+        return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{_EPOCH_NTZ}', {c})", nd, ns
+    if is_floating(dt):
+        return nl, f"CAST({c} AS DOUBLE)", ns
+    if isinstance(dt, T.BinaryType):
+        return nl, nd, f"hex({c})"
+    if isinstance(dt, T.MapType):
+        return nl, nd, f"to_json(array_sort(map_entries({c})))"
+    if contains_map(dt):
+        return nl, nd, f"to_json({c})"
+    return nl, nd, f"CAST({c} AS STRING)"

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.functions.values import display_text, typed_key
+from paritas.functions.values import display_text, quote, typed_key_sql
 from paritas.operators.pair import TablePair, align
 from paritas.operators.profile import PairProfile
 
@@ -91,13 +91,14 @@ def pair_samples(pair: TablePair, n: int = 5, column: str | None = None) -> Data
 
 
 def _unpivot(df: DataFrame, columns: list[str], side: int) -> DataFrame:
-    """(side, ci, l, d, s) per cell: the typed exact key as flat columns, all NULL exactly when the cell is."""
+    """(side, ci, l, d, s) per cell: the typed exact key as flat columns, all NULL exactly when the cell is.
+    Built as one SQL ``inline`` expression (one parse, no per-node JVM round trips)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cells = []
     for i, c in enumerate(columns):
-        key = typed_key(F.col(c), types[c])
-        cells.append(F.struct(F.lit(i).alias("ci"), key["l"].alias("l"), key["d"].alias("d"), key["s"].alias("s")))
-    return df.select(F.lit(side).alias("side"), F.inline(F.array(*cells)))
+        l, d, s = typed_key_sql(quote(c), types[c])
+        cells.append(f"named_struct('ci', {i}, 'l', {l}, 'd', {d}, 's', {s})")
+    return df.selectExpr(f"{side} AS side", f"inline(array({', '.join(cells)}))")
 
 
 VALUE_KEY = ["ci", "l", "d", "s"]

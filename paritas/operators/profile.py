@@ -16,23 +16,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paritas.functions.types import comparable, is_floating, is_numeric, is_orderable, is_string, is_temporal
-from paritas.functions.values import display_text
+from paritas.functions.values import display_sql, display_text, quote
 from paritas.operators.pair import TablePair, align
 
 
-def _metric_exprs(c: Column, dt: T.DataType) -> dict[str, Column]:
-    out = {"nulls": F.count_if(c.isNull())}
+def _metric_sql(c: str, dt: T.DataType) -> dict[str, str]:
+    """Aggregate SQL text per metric for column expression ``c`` of type ``dt``."""
+    out = {"nulls": f"count_if({c} IS NULL)"}
     if is_floating(dt):
-        out["nans"] = F.count_if(F.isnan(c))
+        out["nans"] = f"count_if(isnan({c}))"
     if is_orderable(dt) and not is_string(dt):
-        out["min"] = F.min(c)
-        out["max"] = F.max(c)
+        out["min"] = f"min({c})"
+        out["max"] = f"max({c})"
     if is_string(dt):
-        out["min_len"] = F.min(F.length(c))
-        out["max_len"] = F.max(F.length(c))
+        out["min_len"] = f"min(length({c}))"
+        out["max_len"] = f"max(length({c}))"
     if is_numeric(dt):
-        out["mean"] = F.avg(c).cast("double")
-        out["stddev"] = F.stddev_samp(c).cast("double")
+        out["mean"] = f"CAST(avg({c}) AS DOUBLE)"
+        out["stddev"] = f"CAST(stddev_samp({c}) AS DOUBLE)"
     return out
 
 
@@ -40,13 +41,15 @@ def _name(tag: str, metric: str, i: int) -> str:
     return f"{tag}_{metric}_{i}"
 
 
-def _side_agg(df: DataFrame, columns: Sequence[str], tag: str) -> tuple[list[Column], dict[tuple[str, int], T.DataType]]:
+def _side_agg(df: DataFrame, columns: Sequence[str], tag: str) -> tuple[list[str], dict[tuple[str, int], T.DataType]]:
+    """Every metric of every column as ``expr AS name`` SQL text; ``df.selectExpr(*exprs)`` is one
+    global aggregate, parsed in one call (Column objects would cost JVM round trips per node)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    exprs = [F.count(F.lit(1)).alias(f"{tag}_rows")]
+    exprs = [f"count(1) AS {tag}_rows"]
     produced: dict[tuple[str, int], T.DataType] = {}
     for i, name in enumerate(columns):
-        for metric, e in _metric_exprs(F.col(name), types[name]).items():
-            exprs.append(e.alias(_name(tag, metric, i)))
+        for metric, e in _metric_sql(quote(name), types[name]).items():
+            exprs.append(f"{e} AS {_name(tag, metric, i)}")
             produced[(metric, i)] = types[name]
     return exprs, produced
 
@@ -63,11 +66,11 @@ class PairProfile:
         self.columns = list(columns) if columns is not None else self.alignment.common
         s_exprs, self._s = _side_agg(pair.source, self.columns, "s")
         t_exprs, self._t = _side_agg(pair.target, self.columns, "t")
-        s_row = pair.source.agg(*s_exprs)
-        t_row = pair.target.agg(*t_exprs)
+        s_row = pair.source.selectExpr(*s_exprs)
+        t_row = pair.target.selectExpr(*t_exprs)
         stacked = s_row.unionByName(t_row, allowMissingColumns=True)
         # Each output column is non-null in at most one of the two stacked rows.
-        self.wide = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+        self.wide = stacked.selectExpr(*[f"max({c}) AS {c}" for c in stacked.columns])
 
     def has(self, tag: str, metric: str, i: int) -> bool:
         return (metric, i) in (self._s if tag == "s" else self._t)
@@ -77,6 +80,21 @@ class PairProfile:
             return F.col(_name(tag, metric, i))
         return F.lit(None)
 
+    def sql(self, tag: str, metric: str, i: int) -> str:
+        """SQL text for a metric of ``wide`` (``NULL`` when the metric does not apply)."""
+        return _name(tag, metric, i) if self.has(tag, metric, i) else "NULL"
+
+    def pair_values_sql(self, i: int, metric: str) -> tuple[str, str, str]:
+        """SQL text of ``_pair_values``: (source text, target text, equal), native compare when types allow."""
+        name = self.columns[i]
+        st, tt = self.alignment.source_types[name], self.alignment.target_types[name]
+        s, t = self.sql("s", metric, i), self.sql("t", metric, i)
+        s_txt = display_sql(s, st) if s != "NULL" else "CAST(NULL AS STRING)"
+        t_txt = display_sql(t, tt) if t != "NULL" else "CAST(NULL AS STRING)"
+        if s != "NULL" and t != "NULL" and comparable(st, tt):
+            return s_txt, t_txt, f"({s} <=> {t})"
+        return s_txt, t_txt, f"({s_txt} <=> {t_txt})"
+
     def index(self, column: str) -> int:
         return self.columns.index(column)
 
@@ -162,7 +180,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One-side profile in one pass: rows, nulls, NaNs, min, max (as text), lengths, mean, stddev."""
     cols = list(columns) if columns is not None else list(df.columns)
     exprs, produced = _side_agg(df, cols, "s")
-    wide = df.agg(*exprs)
+    wide = df.selectExpr(*exprs)
     types = {f.name: f.dataType for f in df.schema.fields}
 
     def m(metric: str, i: int, cast: str | None = None) -> Column:

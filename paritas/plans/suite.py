@@ -71,7 +71,7 @@ class SuiteContext:
         return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
-ROW_CHECKS: dict[str, Callable[[SuiteContext], list[Column]]] = {}
+ROW_CHECKS: dict[str, Callable[[SuiteContext], list[str]]] = {}
 FRAME_CHECKS: dict[str, Callable[[SuiteContext], DataFrame]] = {}
 CHECKS: list[str] = []
 NEEDS_COMMON: set[str] = set()
@@ -79,7 +79,7 @@ USES_SUMMARY: set[str] = set()
 
 
 def row_check(name: str, needs_common: bool = False, uses_summary: bool = False):
-    """Register ``fn(ctx) -> list of result structs`` evaluated over ``ctx.facts``."""
+    """Register ``fn(ctx) -> list of result rows`` (``_row`` SQL text) evaluated over ``ctx.facts``."""
     def deco(fn):
         ROW_CHECKS[name] = fn
         CHECKS.append(name)
@@ -102,48 +102,70 @@ def frame_check(name: str, needs_common: bool = False):
     return deco
 
 
-def _row(check: str, column, metric: str | None, sv, tv, passed, status: str = "ok", detail: str | None = None) -> Column:
-    lit = lambda v: v if isinstance(v, Column) else F.lit(v)
-    return F.struct(F.lit(check).alias("check"), lit(column).cast("string").alias("column_name"),
-                    F.lit(metric).cast("string").alias("metric"), lit(sv).cast("string").alias("source_value"),
-                    lit(tv).cast("string").alias("target_value"), lit(passed).cast("boolean").alias("passed"),
-                    F.lit(status).alias("status"), F.lit(detail).cast("string").alias("detail"))
+class E(str):
+    """SQL expression text (a value that is not a literal)."""
+
+
+def _sql(v) -> str:
+    if isinstance(v, E):
+        return str(v)
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _row(check: str, column, metric: str | None, sv, tv, passed, status: str = "ok", detail: str | None = None) -> str:
+    """One result row as SQL ``named_struct`` text; all rows of a pair are parsed in one ``selectExpr``
+    (building them as Column objects costs several JVM round trips per field)."""
+    return (f"named_struct('check', {_sql(check)}, 'column_name', CAST({_sql(column)} AS STRING), "
+            f"'metric', CAST({_sql(metric)} AS STRING), 'source_value', CAST({_sql(sv)} AS STRING), "
+            f"'target_value', CAST({_sql(tv)} AS STRING), 'passed', CAST({_sql(passed)} AS BOOLEAN), "
+            f"'status', {_sql(status)}, 'detail', CAST({_sql(detail)} AS STRING))")
+
+
+def _rows_frame(df: DataFrame, rows: list[str]) -> DataFrame:
+    return df.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 @row_check("data_diagnosis")
-def _diagnosis(ctx: SuiteContext) -> list[Column]:
+def _diagnosis(ctx: SuiteContext) -> list[str]:
     a, n = ctx.alignment, "data_diagnosis"
-    return [_row(n, None, "row_count", F.col("s_rows"), F.col("t_rows"), None),
-            _row(n, None, "row_count_difference", F.abs(F.col("s_rows") - F.col("t_rows")), None, None),
+    return [_row(n, None, "row_count", E("s_rows"), E("t_rows"), None),
+            _row(n, None, "row_count_difference", E("abs(s_rows - t_rows)"), None, None),
             _row(n, None, "column_count", len(ctx.pair.source.columns), len(ctx.pair.target.columns), None),
             _row(n, None, "common_columns", len(a.common), len(a.common), None),
             _row(n, None, "only_on_side", ",".join(a.source_only), ",".join(a.target_only), None)]
 
 
 @row_check("row_counts")
-def _row_counts(ctx: SuiteContext) -> list[Column]:
-    return [_row("row_counts", None, "row_count", F.col("s_rows"), F.col("t_rows"), F.col("s_rows") == F.col("t_rows"))]
+def _row_counts(ctx: SuiteContext) -> list[str]:
+    return [_row("row_counts", None, "row_count", E("s_rows"), E("t_rows"), E("s_rows = t_rows"))]
 
 
 @row_check("column_counts")
-def _column_counts(ctx: SuiteContext) -> list[Column]:
+def _column_counts(ctx: SuiteContext) -> list[str]:
     s, t = len(ctx.pair.source.columns), len(ctx.pair.target.columns)
     return [_row("column_counts", None, "column_count", s, t, s == t)]
 
 
 @row_check("column_match")
-def _column_match(ctx: SuiteContext) -> list[Column]:
+def _column_match(ctx: SuiteContext) -> list[str]:
     a = ctx.alignment
     return [_row("column_match", None, "common_columns", ",".join(a.source_only), ",".join(a.target_only), len(a.common) > 0)]
 
 
 def _equality(name: str, needs_nullable: bool):
-    def fn(ctx: SuiteContext) -> list[Column]:
+    def fn(ctx: SuiteContext) -> list[str]:
         a = ctx.alignment
         types_equal = all(a.source_types[c] == a.target_types[c] for c in a.common)
         nullable_equal = all(a.source_nullable[c] == a.target_nullable[c] for c in a.common)
-        ok = (F.col("missing") == 0) & (F.col("extra") == 0) & F.lit(types_equal) & F.lit(nullable_equal or not needs_nullable)
-        return [_row(name, None, "rows_only_in_side", F.col("missing"), F.col("extra"), ok)]
+        schema_ok = types_equal and (nullable_equal or not needs_nullable)
+        return [_row(name, None, "rows_only_in_side", E("missing"), E("extra"),
+                     E(f"missing = 0 AND extra = 0 AND {_sql(schema_ok)}"))]
     return fn
 
 
@@ -154,45 +176,44 @@ row_check("dataframe_equality_ignore_row_order", needs_common=True, uses_summary
 
 
 @row_check("schema_data_types")
-def _types(ctx: SuiteContext) -> list[Column]:
+def _types(ctx: SuiteContext) -> list[str]:
     a = ctx.alignment
     return [_row("schema_data_types", c, "data_type", a.source_types[c].simpleString(), a.target_types[c].simpleString(),
                  a.source_types[c] == a.target_types[c]) for c in a.common]
 
 
 @row_check("column_nullable_properties")
-def _nullable(ctx: SuiteContext) -> list[Column]:
+def _nullable(ctx: SuiteContext) -> list[str]:
     a = ctx.alignment
     return [_row("column_nullable_properties", c, "nullable", a.source_nullable[c], a.target_nullable[c],
                  a.source_nullable[c] == a.target_nullable[c]) for c in a.common]
 
 
 @row_check("null_count_per_column")
-def _nulls(ctx: SuiteContext) -> list[Column]:
+def _nulls(ctx: SuiteContext) -> list[str]:
     p = ctx.profile
     out = []
     for i, c in enumerate(p.columns):
-        s, t = p.get("s", "nulls", i), p.get("t", "nulls", i)
-        out.append(_row("null_count_per_column", c, "null_count", s, t, s.eqNullSafe(t)))
+        s, t = p.sql("s", "nulls", i), p.sql("t", "nulls", i)
+        out.append(_row("null_count_per_column", c, "null_count", E(s), E(t), E(f"{s} <=> {t}")))
     return out
 
 
 @row_check("duplicate_row_count", needs_common=True, uses_summary=True)
-def _dups(ctx: SuiteContext) -> list[Column]:
-    sd = F.col("source_rows") - F.col("source_distinct")
-    td = F.col("target_rows") - F.col("target_distinct")
-    return [_row("duplicate_row_count", None, "duplicate_rows", sd, td, sd == td)]
+def _dups(ctx: SuiteContext) -> list[str]:
+    sd, td = "(source_rows - source_distinct)", "(target_rows - target_distinct)"
+    return [_row("duplicate_row_count", None, "duplicate_rows", E(sd), E(td), E(f"{sd} = {td}"))]
 
 
 def _ranges(name: str, pick, lo: str, hi: str):
-    def fn(ctx: SuiteContext) -> list[Column]:
+    def fn(ctx: SuiteContext) -> list[str]:
         p = ctx.profile
         out = []
         for i, c in enumerate(p.columns):
             if pick(ctx.alignment.source_types[c]):
                 for metric in (lo, hi):
-                    sv, tv, eq = p._pair_values(i, metric)
-                    out.append(_row(name, c, metric, sv, tv, eq))
+                    sv, tv, eq = p.pair_values_sql(i, metric)
+                    out.append(_row(name, c, metric, E(sv), E(tv), E(eq)))
         return out
     return fn
 
@@ -204,24 +225,22 @@ row_check("date_column_ranges")(_ranges("date_column_ranges", is_temporal, "min"
 
 @frame_check("unique_value_counts", needs_common=True)
 def _unique(ctx: SuiteContext) -> DataFrame:
-    d = ctx.distinct
-    return d.select(F.inline(F.array(_row("unique_value_counts", F.col("column_name"), "distinct_values", F.col("source_distinct"),
-                                          F.col("target_distinct"), F.col("passed")))))
+    return _rows_frame(ctx.distinct, [_row("unique_value_counts", E("column_name"), "distinct_values", E("source_distinct"),
+                                           E("target_distinct"), E("passed"))])
 
 
 @frame_check("primary_key_uniqueness")
 def _pk(ctx: SuiteContext) -> DataFrame:
     name = "primary_key_uniqueness"
     if not ctx.pair.keys:
-        return ctx.facts.select(F.inline(F.array(_row(name, None, None, None, None, None, "skipped", "no key columns given"))))
+        return _rows_frame(ctx.facts, [_row(name, None, None, None, None, None, "skipped", "no key columns given")])
     pk = C.pk_parity(ctx.pair)
     both = pk.agg(F.max(F.when(F.col("side") == "source", F.col("violations"))).alias("sv"),
                   F.max(F.when(F.col("side") == "target", F.col("violations"))).alias("tv"))
-    return both.select(F.inline(F.array(_row(name, ",".join(ctx.pair.keys), "key_violations", F.col("sv"), F.col("tv"),
-                                             (F.col("sv") == 0) & (F.col("tv") == 0)))))
+    return _rows_frame(both, [_row(name, ",".join(ctx.pair.keys), "key_violations", E("sv"), E("tv"), E("sv = 0 AND tv = 0"))])
 
 
-def _error_row(name: str, e: Exception) -> Column:
+def _error_row(name: str, e: Exception) -> str:
     return _row(name, None, None, None, None, None, "error", f"{type(e).__name__}: {e}"[:2000])
 
 
@@ -233,7 +252,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def _assemble(pair: TablePair, ctx: SuiteContext, names: list[str]) -> tuple[list[DataFrame], list[tuple[str, DataFrame]]]:
-    structs: list[Column] = []
+    structs: list[str] = []
     frames: list[tuple[str, DataFrame]] = []
     for name in names:
         try:
@@ -245,7 +264,7 @@ def _assemble(pair: TablePair, ctx: SuiteContext, names: list[str]) -> tuple[lis
                 frames.append((name, FRAME_CHECKS[name](ctx)))
         except Exception as e:  # noqa: BLE001 - a failing check becomes an error row, the suite goes on
             structs.append(_error_row(name, e))
-    parts = [ctx.facts.select(F.inline(F.array(*structs)))] if structs else []
+    parts = [_rows_frame(ctx.facts, structs)] if structs else []
     return parts, frames
 
 
@@ -270,14 +289,14 @@ def run_pair(pair: TablePair, checks: Iterable[str] | None = None) -> DataFrame:
             try:
                 kept.append(reliable_checkpoint(_labelled(pair, part)))
             except Exception as e2:  # noqa: BLE001
-                kept.append(_labelled(pair, spark.range(1).select(F.inline(F.array(_error_row("row_checks", e2))))))
+                kept.append(_labelled(pair, _rows_frame(spark.range(1), [_error_row("row_checks", e2)])))
         for name, f in frames:
             try:
                 kept.append(reliable_checkpoint(_labelled(pair, f)))
             except Exception as e2:  # noqa: BLE001
-                kept.append(_labelled(pair, spark.range(1).select(F.inline(F.array(_error_row(name, e2))))))
+                kept.append(_labelled(pair, _rows_frame(spark.range(1), [_error_row(name, e2)])))
         if not kept:
-            kept.append(_labelled(pair, spark.range(1).select(F.inline(F.array(_error_row("suite", e))))))
+            kept.append(_labelled(pair, _rows_frame(spark.range(1), [_error_row("suite", e)])))
         return _union(kept)
 
 
@@ -297,7 +316,7 @@ def run_suite(spark: SparkSession, pairs: Iterable[TablePair | tuple[str, str, C
                 pair = loader()
             except Exception as e:  # noqa: BLE001
                 failed = TablePair(spark.range(0), spark.range(0), database_name=database, table_name=table)
-                out.append(_labelled(failed, spark.range(1).select(F.inline(F.array(_error_row("load", e))))))
+                out.append(_labelled(failed, _rows_frame(spark.range(1), [_error_row("load", e)])))
                 continue
         out.append(run_pair(pair, checks))
     if not out:

@@ -10,12 +10,19 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "paritas") -> SparkSession:
-    """Session for tests and benches on one machine (UI off, AQE on)."""
+def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: str = "paritas",
+                  call_site_capture: bool = False) -> SparkSession:
+    """Session for tests and benches on one machine (UI off, AQE on).
+
+    PySpark's DataFrame debugging records the Python call site of every Column function
+    (a stack walk and extra JVM calls each); plans here are built from many small
+    expressions, so it is off unless asked for.
+    """
     parts = shuffle_partitions or cores
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.python.sql.dataFrameDebugging.enabled", str(call_site_capture).lower())
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
