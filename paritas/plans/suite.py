@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paritas.functions.types import is_numeric, is_string, is_temporal
@@ -25,7 +25,7 @@ from paritas.operators import parity as P
 from paritas.operators import rowdiff as R
 from paritas.operators.pair import Alignment, TablePair, align
 from paritas.operators.profile import PairProfile
-from paritas.session import reliable_checkpoint
+from paritas.session import ensure_checkpoint_dir, reliable_checkpoint
 
 RESULT_DDL = ("database_name string, table_name string, check string, column_name string, metric string, "
               "source_value string, target_value string, passed boolean, status string, detail string")
@@ -301,26 +301,34 @@ def run_pair(pair: TablePair, checks: Iterable[str] | None = None) -> DataFrame:
 
 
 def run_suite(spark: SparkSession, pairs: Iterable[TablePair | tuple[str, str, Callable[[], TablePair]]],
-              checks: Iterable[str] | None = None) -> DataFrame:
+              checks: Iterable[str] | None = None, parallelism: int = 4) -> DataFrame:
     """L1: every check on every pair; a pair that fails to load yields one ``error`` row and the run goes on.
 
     ``pairs`` holds ready pairs or ``(database, table, loader)`` triples whose loader builds the pair.
+    Up to ``parallelism`` pairs are planned and run at once from driver threads, so one table's
+    plan building overlaps another's execution and small tables do not leave the cluster idle.
     """
-    out = []
-    for item in pairs:
+    from concurrent.futures import ThreadPoolExecutor
+
+    ensure_checkpoint_dir(spark)  # once, before any thread checkpoints
+    names = list(checks) if checks is not None else None
+
+    def one(item) -> DataFrame:
         if isinstance(item, TablePair):
-            pair = item
-        else:
-            database, table, loader = item
-            try:
-                pair = loader()
-            except Exception as e:  # noqa: BLE001
-                failed = TablePair(spark.range(0), spark.range(0), database_name=database, table_name=table)
-                out.append(_labelled(failed, _rows_frame(spark.range(1), [_error_row("load", e)])))
-                continue
-        out.append(run_pair(pair, checks))
-    if not out:
+            return run_pair(item, names)
+        database, table, loader = item
+        try:
+            pair = loader()
+        except Exception as e:  # noqa: BLE001
+            failed = TablePair(spark.range(0), spark.range(0), database_name=database, table_name=table)
+            return _labelled(failed, _rows_frame(spark.range(1), [_error_row("load", e)]))
+        return run_pair(pair, names)
+
+    items = list(pairs)
+    if not items:
         return spark.createDataFrame([], RESULT_DDL)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(items)))) as pool:
+        out = list(pool.map(one, items))
     return _union(out).select(*RESULT_COLUMNS)
 
 
