@@ -263,3 +263,17 @@ def fk_edges(cat: CatalogTables, qualified: bool = False) -> DataFrame:
     return (fk.join(t.select(F.col("object_id").alias("parent_object_id"), F.col("n").alias("parent_table")), "parent_object_id")
             .join(t.select(F.col("object_id").alias("referenced_object_id"), F.col("n").alias("referenced_table")), "referenced_object_id")
             .select("parent_table", "referenced_table"))
+
+
+def key_constraints(cat: CatalogTables) -> DataFrame:
+    """Primary-key and unique constraints as ordered column lists (M-12: the index id is kept, so a
+    composite constraint is one row): schema_name, table_name, index_id, kind, columns."""
+    tabs = _tables(cat)
+    idx = cat.indexes.filter(F.col("is_primary_key") | F.col("is_unique_constraint")).select(
+        "object_id", "index_id", F.when(F.col("is_primary_key"), F.lit("primary_key")).otherwise(F.lit("unique")).alias("kind"))
+    cols = (cat.index_columns.select("object_id", "index_id", "column_id", "key_ordinal")
+            .join(_column_names(cat), ["object_id", "column_id"]))
+    g = (idx.join(cols, ["object_id", "index_id"]).groupBy("object_id", "index_id", "kind")
+         .agg(F.sort_array(F.collect_list(F.struct("key_ordinal", "column_name"))).alias("_c")))
+    return (g.join(tabs, "object_id")
+            .select("schema_name", "table_name", "index_id", "kind", F.transform("_c", lambda x: x["column_name"]).alias("columns")))

@@ -156,3 +156,42 @@ def derived_catalog(t: TableSet, variant: str = "a") -> "CatalogTables":
     return CatalogTables(tables=tables, schemas=schemas, columns=columns, types=types, computed_columns=computed,
                          index_columns=index_columns, indexes=indexes, foreign_key_columns=fk_columns,
                          foreign_keys=foreign_keys, database_name=f"db_{variant}")
+
+
+# Declared keys of the given tables (FIXTURES.md §2). lineitem's natural key
+# (l_orderkey, l_linenumber) repeats in the data, and part's names and (brand, size) repeat,
+# so those declared constraints are violated on purpose.
+PRIMARY_KEYS = {
+    "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"],
+    "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"],
+    "documents": ["doc_id"], "labels": ["doc_id"], "conversations": ["conv_id", "turn"], "pages": ["page_id"],
+    "benchmark": ["item_id"], "embeddings": ["vec_id"],
+}
+UNIQUE_KEYS = {"part": [["p_name"], ["p_brand", "p_size"]]}
+FOREIGN_KEYS = [
+    ("fk_lineitem_orders", "lineitem", ["l_orderkey"], "orders", ["o_orderkey"]),
+    ("fk_lineitem_part", "lineitem", ["l_partkey"], "part", ["p_partkey"]),
+    ("fk_lineitem_supplier", "lineitem", ["l_suppkey"], "supplier", ["s_suppkey"]),
+    ("fk_orders_customer", "orders", ["o_custkey"], "customer", ["c_custkey"]),
+    ("fk_customer_nation", "customer", ["c_nationkey"], "nation", ["n_nationkey"]),
+    ("fk_supplier_nation", "supplier", ["s_nationkey"], "nation", ["n_nationkey"]),
+    ("fk_nation_region", "nation", ["n_regionkey"], "region", ["r_regionkey"]),
+    ("fk_labels_documents", "labels", ["doc_id"], "documents", ["doc_id"]),
+    ("fk_events_customer", "events", ["user_id"], "customer", ["c_custkey"]),
+]
+
+
+def table_frames(t: TableSet) -> dict:
+    from paritas.sources.tables import TABLES
+    return {n: getattr(t, n) for n in TABLES}
+
+
+def table_catalog(t: TableSet, frames: dict | None = None) -> "CatalogTables":
+    """Catalog rows describing the given tables: columns and types from their schemas, keys as declared."""
+    from paritas.sources.catalog import CatalogTables
+    frames = frames or table_frames(t)
+    not_null: dict[str, list[str]] = {}
+    for _, child, cols, _, _ in FOREIGN_KEYS:
+        not_null.setdefault(child, []).extend(cols)
+    return CatalogTables.from_frames(t.spark, frames, PRIMARY_KEYS, FOREIGN_KEYS, UNIQUE_KEYS, not_null,
+                                     database_name="tpch")

@@ -432,3 +432,47 @@ SELECT 'lineitem' AS child_table, 'fk_lineitem_orders' AS foreign_key_name, 'l_o
          AS orphaned_values,
        n AS orphaned_count
 FROM g"""
+
+
+def _declared_constraints_sql() -> str:
+    from paritas.plans.fixtures import FOREIGN_KEYS, PRIMARY_KEYS, UNIQUE_KEYS
+
+    def row(table, check, column, metric, sv, tv, passed, detail):
+        return (f"SELECT 'tpch' AS database_name, '{table}' AS table_name, '{check}' AS \"check\", '{column}' AS column_name, "
+                f"'{metric}' AS metric, CAST({sv} AS VARCHAR) AS source_value, CAST({tv} AS VARCHAR) AS target_value, "
+                f"{passed} AS passed, 'ok' AS status, {detail} AS detail")
+
+    parts = []
+    not_null: dict[str, list[str]] = {t: list(k) for t, k in PRIMARY_KEYS.items()}
+    for _, child, cols, _, _ in FOREIGN_KEYS:
+        not_null.setdefault(child, []).extend(c for c in cols if c not in not_null.get(child, []))
+    for t, cols in not_null.items():
+        for c in cols:
+            n = f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)"
+            parts.append(row(t, "not_null_constraints", c, "null_or_nan", n, "NULL", f"{n} = 0", "NULL"))
+    for t, cols in PRIMARY_KEYS.items():
+        cl = ", ".join(cols)
+        v = f"((SELECT count(*) FROM {t}) - (SELECT count(*) FROM (SELECT DISTINCT {cl} FROM {t})))"
+        d = f"(SELECT count(*) FROM (SELECT {cl} FROM {t} GROUP BY {cl} HAVING count(*) > 1))"
+        parts.append(row(t, "primary_key_uniqueness", ",".join(cols), "violations", v, d, f"{v} = 0", "'primary_key_1'"))
+    for t, keys in UNIQUE_KEYS.items():
+        for i, cols in enumerate(keys, start=2):
+            cl, nn = ", ".join(cols), " AND ".join(f"{c} IS NOT NULL" for c in cols)
+            v = f"((SELECT count(*) FROM {t} WHERE {nn}) - (SELECT count(*) FROM (SELECT DISTINCT {cl} FROM {t} WHERE {nn})))"
+            d = f"(SELECT count(*) FROM (SELECT {cl} FROM {t} WHERE {nn} GROUP BY {cl} HAVING count(*) > 1))"
+            parts.append(row(t, "unique_constraints", ",".join(cols), "violations", v, d, f"{v} = 0", f"'unique_{i}'"))
+    for name, child, ccols, parent, pcols in FOREIGN_KEYS:
+        on = " AND ".join(f"p.{p} = x.{c}" for c, p in zip(ccols, pcols))
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in ccols)
+        miss = (f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(ccols)} FROM {child} WHERE {nn}) x "
+                f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE {on}))")
+        parts.append(row(child, "referential_integrity", ",".join(ccols), "missing_values", miss, "NULL", f"{miss} = 0", f"'{name}'"))
+        on2 = " AND ".join(f"x.{c} = p.{p}" for c, p in zip(ccols, pcols))
+        orph = (f"(SELECT count(*) FROM {child} x LEFT JOIN {parent} p ON {on2} WHERE "
+                + " AND ".join(f"p.{p} IS NULL" for p in pcols) + ")")
+        parts.append(row(parent, "orphaned_records", ",".join(ccols), "orphaned_rows", orph, "NULL", f"{orph} = 0",
+                         f"'{name} from {child}'"))
+    return _union(parts)
+
+
+ORACLES["declared_constraints"] = _declared_constraints_sql()

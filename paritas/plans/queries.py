@@ -406,3 +406,11 @@ def _orphan_records(t: TableSet) -> DataFrame:
     r = C.orphan_records(FX.lineitem_child(t), FX.orders_parent(t), fk)
     return r.select("child_table", "foreign_key_name", F.array_join("foreign_key_columns", ",").alias("foreign_key_columns"),
                     F.to_json("orphaned_values").alias("orphaned_values"), "orphaned_count")
+
+
+@query("declared_constraints")
+def _declared_constraints(t: TableSet) -> DataFrame:
+    """H1-H5/H7-H9 driven by catalog metadata: every declared key, not-null column and FK of the given tables."""
+    from paritas.plans.constraint_suite import run_constraints
+    frames = FX.table_frames(t)
+    return run_constraints(t.spark, FX.table_catalog(t, frames), frames)
