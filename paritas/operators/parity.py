@@ -15,7 +15,7 @@ from paritas.operators.pair import TablePair, align
 from paritas.operators.profile import PairProfile
 
 
-def _frame(pair: TablePair, rows: list[tuple], schema: T.StructType) -> DataFrame:
+def _frame(pair: TablePair, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     return pair.source.sparkSession.createDataFrame(rows, schema)
 
 
@@ -131,6 +131,10 @@ def unique_value_parity(pair: TablePair) -> DataFrame:
     per_col = value_counts(pair, cols).groupBy("ci").agg(
         F.count_if(F.col("source_n") > 0).alias("source_distinct"),
         F.count_if(F.col("target_n") > 0).alias("target_distinct"))
-    names = F.array(*[F.lit(c) for c in cols])
-    return per_col.select(F.element_at(names, F.col("ci") + 1).alias("column_name"), "source_distinct", "target_distinct",
-                          (F.col("source_distinct") == F.col("target_distinct")).alias("passed"))
+    # A column with no value on either side (empty tables) has no group; the column list is
+    # schema-sized, so it is broadcast and the counts default to 0.
+    listing = _frame(pair, [(i, c) for i, c in enumerate(cols)], "ci int, column_name string")
+    j = F.broadcast(listing).join(per_col, "ci", "left")
+    s = F.coalesce(F.col("source_distinct"), F.lit(0).cast("bigint"))
+    t = F.coalesce(F.col("target_distinct"), F.lit(0).cast("bigint"))
+    return j.select("column_name", s.alias("source_distinct"), t.alias("target_distinct"), (s == t).alias("passed"))

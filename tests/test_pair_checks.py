@@ -48,6 +48,7 @@ def test_empty_vs_empty_and_empty_vs_rows(spark):
     assert PR.row_count_parity(e).first().passed
     assert rows(PR.null_count_parity(e), "column_name", "source_nulls", "target_nulls") == [("k", 0, 0), ("v", 0, 0)]
     assert R.frame_equal(e).filter("passed").count() == 3
+    assert rows(P.unique_value_parity(e), "column_name", "source_distinct", "passed") == [("k", 0, True), ("v", 0, True)]
     ne = pair(spark, [], [(1, "x")], ddl)
     assert not PR.row_count_parity(ne).first().passed
     assert {r.mode: (r.missing, r.extra) for r in R.frame_equal(ne).collect()}["general"] == (0, 1)
