@@ -240,6 +240,19 @@ def _pk(ctx: SuiteContext) -> DataFrame:
     return _rows_frame(both, [_row(name, ",".join(ctx.pair.keys), "key_violations", E("sv"), E("tv"), E("sv = 0 AND tv = 0"))])
 
 
+@frame_check("keyed_row_differences", needs_common=True)
+def _keyed(ctx: SuiteContext) -> DataFrame:
+    """E5 with keys: how many keys are missing, extra, duplicated, and changed per column."""
+    name = "keyed_row_differences"
+    if not ctx.pair.keys:
+        return _rows_frame(ctx.facts, [_row(name, None, None, None, None, None, "skipped", "no key columns given")])
+    counts = R.keyed_diff(ctx.pair).groupBy("column_name", "change").agg(F.count(F.lit(1)).alias("n"))
+    # one total row always exists (a global aggregate), so a clean pair reports a passing check
+    total = counts.selectExpr("CAST(NULL AS STRING) AS column_name", "'all_differences' AS change",
+                              "coalesce(sum(n), CAST(0 AS BIGINT)) AS n")
+    return _rows_frame(counts.unionByName(total), [_row(name, E("column_name"), E("change"), E("n"), None, E("n = 0"))])
+
+
 def _error_row(name: str, e: Exception) -> str:
     return _row(name, None, None, None, None, None, "error", f"{type(e).__name__}: {e}"[:2000])
 
