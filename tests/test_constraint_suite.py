@@ -52,3 +52,20 @@ def test_run_constraints_ignore_null_fk(spark):
     frames = _frames(spark)
     res = {(r.table_name, r.check): r for r in run_constraints(spark, _catalog(spark, frames), frames, null_fk="ignore").collect()}
     assert res[("cust", "orphaned_records")].source_value == "1"
+
+
+def test_catalog_parquet_round_trip_and_validation(spark):
+    import tempfile
+
+    import pytest
+
+    from paritas.sources.catalog import CATALOG_COLUMNS
+    frames = _frames(spark)
+    cat = _catalog(spark, frames)
+    root = tempfile.mkdtemp(prefix="paritas-cat-", dir="/tmp")
+    for name in CATALOG_COLUMNS:
+        getattr(cat, name).write.parquet(f"{root}/{name}")
+    back = CatalogTables.from_parquet(spark, root, "db")
+    assert sorted(map(tuple, G.key_constraints(back).collect())) == sorted(map(tuple, G.key_constraints(cat).collect()))
+    with pytest.raises(ValueError):
+        CatalogTables(**{n: getattr(cat, n) for n in CATALOG_COLUMNS} | {"tables": spark.range(1)})
