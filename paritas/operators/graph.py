@@ -28,14 +28,21 @@ def _edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
             .filter(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct())
 
 
+def _live(e: DataFrame) -> DataFrame:
+    """Nodes with both an in- and an out-edge in ``e``: one aggregation over both edge ends."""
+    ends = (e.select(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"))
+            .unionByName(e.select(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))))
+    return (ends.groupBy("node").agg(F.max("o").alias("o"), F.max("i").alias("i"))
+            .filter((F.col("o") == 1) & (F.col("i") == 1)).select("node"))
+
+
 def _peel(e: DataFrame) -> DataFrame:
     e = _cut(e)
     n = e.count()
     while True:
-        has_in = e.select(F.col("dst").alias("v")).distinct()
-        has_out = e.select(F.col("src").alias("v")).distinct()
-        nxt = _cut(e.join(has_in, F.col("src") == F.col("v"), "left_semi")
-                   .join(has_out, F.col("dst") == F.col("v"), "left_semi"))
+        live = _live(e)
+        nxt = _cut(e.join(live, F.col("src") == F.col("node"), "left_semi")
+                   .join(live, F.col("dst") == F.col("node"), "left_semi"))
         m = nxt.count()
         if m == n:
             return nxt
@@ -49,11 +56,7 @@ def peel(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
 
 def _degree_split(nodes: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(live, trivial): nodes with both an in- and an out-edge in ``e``, and the others."""
-    ends = (e.select(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"))
-            .unionByName(e.select(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))))
-    live = (ends.groupBy("node").agg(F.max("o").alias("o"), F.max("i").alias("i"))
-            .filter((F.col("o") == 1) & (F.col("i") == 1)).select("node"))
-    live = nodes.join(live, "node", "left_semi")
+    live = nodes.join(_live(e), "node", "left_semi")
     return live, nodes.join(live, "node", "left_anti")
 
 
