@@ -15,10 +15,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paritas.functions.values import quote
 from paritas.operators import catalog as G
 from paritas.operators import constraints as C
 from paritas.operators.pair import TablePair
-from paritas.plans.suite import RESULT_COLUMNS, RESULT_DDL, E, _error_row, _labelled, _row, _rows_frame, _union
+from paritas.plans.suite import RESULT_COLUMNS, RESULT_DDL, ROW_FIELDS, E, _error_row, _labelled, _row, _rows_frame, _union
 from paritas.session import ensure_checkpoint_dir, reliable_checkpoint
 from paritas.sources.catalog import CatalogTables
 
@@ -49,7 +50,7 @@ def declared(cat: CatalogTables) -> dict:
     return out
 
 
-def _table_checks(table: str, df: DataFrame, spec: dict, tables: Mapping[str, DataFrame], null_fk: str) -> list[DataFrame]:
+def _table_checks(df: DataFrame, spec: dict) -> list[DataFrame]:
     parts = []
     if spec["not_null"]:
         nn = C.not_null_violations(df, spec["not_null"])
@@ -67,41 +68,59 @@ def _table_checks(table: str, df: DataFrame, spec: dict, tables: Mapping[str, Da
         m = C.self_reference_missing(df, fk.parent_columns, fk.child_columns).agg(F.count(F.lit(1)).alias("n"))
         parts.append(_rows_frame(m, [_row("self_referencing_integrity", ",".join(fk.child_columns), "missing_values",
                                           E("n"), None, E("n = 0"), detail=fk.name)]))
-    for fk in spec["out"]:
-        if fk.parent in tables:
-            m = C.fk_missing_values(df, tables[fk.parent], fk.child_columns, fk.parent_columns).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(_rows_frame(m, [_row("referential_integrity", ",".join(fk.child_columns), "missing_values",
-                                              E("n"), None, E("n = 0"), detail=fk.name)]))
-    for fk in spec["in"]:
-        if fk.child in tables:
-            o = C.orphan_total(C.orphan_groups(tables[fk.child], df, fk.child_columns, fk.parent_columns, null_fk))
-            parts.append(_rows_frame(o, [_row("orphaned_records", ",".join(fk.child_columns), "orphaned_rows",
-                                              E("total_orphans"), None, E("total_orphans = 0"),
-                                              detail=f"{fk.name} from {fk.child}")]))
     return parts
 
 
+def _fk_checks(fk: C.ForeignKey, child: DataFrame, parent: DataFrame, null_fk: str, database: str) -> DataFrame:
+    """H7 and H5 of one foreign key from a single orphan grouping: distinct missing values (rows
+    without NULL key parts) for the child table, orphaned rows (per ``null_fk``) for the parent."""
+    g = C.orphan_groups(child, parent, fk.child_columns, fk.parent_columns, null_fk="orphan")
+    no_null = " AND ".join(f"{quote(c)} IS NOT NULL" for c in fk.child_columns)
+    rows_expr = "orphaned_count" if null_fk == "orphan" else f"CASE WHEN {no_null} THEN orphaned_count ELSE 0 END"
+    totals = g.selectExpr(f"count_if({no_null}) AS missing", f"coalesce(sum({rows_expr}), CAST(0 AS BIGINT)) AS orphans")
+    cols = ",".join(fk.child_columns)
+    out = _rows_frame(totals, [
+        _row("referential_integrity", cols, "missing_values", E("missing"), None, E("missing = 0"), detail=fk.name),
+        _row("orphaned_records", cols, "orphaned_rows", E("orphans"), None, E("orphans = 0"), detail=f"{fk.name} from {fk.child}")])
+    table = F.when(F.col("check") == "referential_integrity", F.lit(fk.child)).otherwise(F.lit(fk.parent))
+    return out.select(F.lit(database).cast("string").alias("database_name"), table.alias("table_name"), *ROW_FIELDS)
+
+
 def run_constraints(spark: SparkSession, cat: CatalogTables, tables: Mapping[str, DataFrame], null_fk: str = "orphan",
                     parallelism: int = 4) -> DataFrame:
-    """H1-H5/H7-H9 for every table of ``tables`` that the catalog declares constraints on."""
+    """H1-H5/H7-H9 for every table of ``tables`` that the catalog declares constraints on.
+
+    Key, not-null and self-reference checks run per table; each foreign key between two given
+    tables is one orphan grouping that yields both its missing values (child) and its orphaned
+    rows (parent). Tables and keys run concurrently from driver threads.
+    """
+    if null_fk not in ("orphan", "ignore"):
+        raise ValueError("null_fk must be 'orphan' or 'ignore'")
     ensure_checkpoint_dir(spark)
     spec = declared(cat)
     names = [t for t in tables if t in spec]
+    fks = {fk.name: fk for t in names for fk in spec[t]["out"] if fk.child in tables and fk.parent in tables}
 
-    def one(table: str) -> DataFrame:
+    def table_task(table: str) -> DataFrame | None:
         pair = TablePair(tables[table], tables[table], database_name=cat.database_name, table_name=table)
         try:
-            parts = _table_checks(table, tables[table], spec[table], tables, null_fk)
-            if not parts:
-                return None
-            return reliable_checkpoint(_labelled(pair, _union(parts)))
+            parts = _table_checks(tables[table], spec[table])
+            return reliable_checkpoint(_labelled(pair, _union(parts))) if parts else None
         except Exception as e:  # noqa: BLE001 - one table's failure becomes an error row
             return _labelled(pair, _rows_frame(spark.range(1), [_error_row("constraints", e)]))
 
-    if not names:
+    def fk_task(fk: C.ForeignKey) -> DataFrame:
+        try:
+            return reliable_checkpoint(_fk_checks(fk, tables[fk.child], tables[fk.parent], null_fk, cat.database_name))
+        except Exception as e:  # noqa: BLE001
+            pair = TablePair(tables[fk.child], tables[fk.child], database_name=cat.database_name, table_name=fk.child)
+            return _labelled(pair, _rows_frame(spark.range(1), [_error_row(f"foreign_key {fk.name}", e)]))
+
+    tasks = [(table_task, t) for t in names] + [(fk_task, fk) for fk in fks.values()]
+    if not tasks:
         return spark.createDataFrame([], RESULT_DDL)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
-        out = [d for d in pool.map(one, names) if d is not None]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
+        out = [d for d in pool.map(lambda task: task[0](task[1]), tasks) if d is not None]
     if not out:
         return spark.createDataFrame([], RESULT_DDL)
     return _union(out).select(*RESULT_COLUMNS)
