@@ -16,20 +16,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paritas.functions.types import comparable
 from paritas.functions.values import display_text, groupable
 from paritas.operators.pair import TablePair, align
 
 
-def _projected(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _projected(df: DataFrame, cols: Sequence[str], other: DataFrame | None = None) -> DataFrame:
+    """Columns ready for grouping against ``other``: maps as sorted entries, and a column whose
+    type cannot be compared with the other side's (e.g. string vs number) as display text, so
+    the union never casts data (an ANSI cast would fail on bad values)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[groupable(F.col(c), types[c], c) for c in cols])
+    others = {f.name: f.dataType for f in other.schema.fields} if other is not None else types
+    out = []
+    for c in cols:
+        if comparable(types[c], others[c]):
+            out.append(groupable(F.col(c), types[c], c))
+        else:
+            out.append(display_text(F.col(c), types[c]).alias(c))
+    return df.select(*out)
 
 
 def counted_rows(pair: TablePair, columns: Sequence[str] | None = None) -> DataFrame:
     """Every distinct row over the common columns with its count on each side: cols…, source_n, target_n."""
     cols = list(columns) if columns is not None else align(pair).common
-    s = _projected(pair.source, cols).withColumn("_side", F.lit(0))
-    t = _projected(pair.target, cols).withColumn("_side", F.lit(1))
+    s = _projected(pair.source, cols, pair.target).withColumn("_side", F.lit(0))
+    t = _projected(pair.target, cols, pair.source).withColumn("_side", F.lit(1))
     return (s.unionByName(t)
             .groupBy(*cols)
             .agg(F.count_if(F.col("_side") == 0).alias("source_n"), F.count_if(F.col("_side") == 1).alias("target_n")))
@@ -48,7 +59,7 @@ def multiset_diff(pair: TablePair, columns: Sequence[str] | None = None) -> Data
 def multiset_diff_except(pair: TablePair, columns: Sequence[str] | None = None) -> DataFrame:
     """Same result as ``multiset_diff`` from two ``exceptAll`` (two shuffles); used as a cross-check."""
     cols = list(columns) if columns is not None else align(pair).common
-    s, t = _projected(pair.source, cols), _projected(pair.target, cols)
+    s, t = _projected(pair.source, cols, pair.target), _projected(pair.target, cols, pair.source)
     only_s = s.exceptAll(t).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit("source"))
     only_t = t.exceptAll(s).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit("target"))
     return only_s.unionByName(only_t).select(*cols, "side", "n")
@@ -132,7 +143,14 @@ def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
                         kind.alias("change"))
 
     nul = F.lit(None).cast("string")
-    per_col = [F.when(~F.col(f"s_v.{c}").eqNullSafe(F.col(f"t_v.{c}")),
+    def differs(c: str) -> Column:
+        sv, tv = F.col(f"s_v.{c}"), F.col(f"t_v.{c}")
+        if comparable(a.source_types[c], a.target_types[c]):
+            return ~sv.eqNullSafe(tv)
+        # e.g. string vs number: compare the rendered text (a cast could fail under ANSI)
+        return ~display_text(sv, a.source_types[c]).eqNullSafe(display_text(tv, a.target_types[c]))
+
+    per_col = [F.when(differs(c),
                       change(F.lit(c), display_text(F.col(f"s_v.{c}"), a.source_types[c]),
                              display_text(F.col(f"t_v.{c}"), a.target_types[c]), F.lit("changed")))
                for c in vals]

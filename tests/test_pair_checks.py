@@ -192,3 +192,16 @@ def test_unique_to_one_side(spark, null_keys, expected):
     assert len(got) == expected
     if null_keys == "match":
         assert (None, "only", "A") in got
+
+
+def test_keyed_diff_mixed_types(spark):
+    p = pair(spark, [(1, "7"), (2, "x")], [(1, 7), (2, 8)], "k int, v string", "k int, v bigint", keys=("k",))
+    got = rows(R.keyed_diff(p), "k", "column_name", "source_value", "target_value", "change")
+    assert got == [(2, "v", "x", "8", "changed")]
+
+
+def test_set_operations_with_incomparable_types(spark):
+    p = pair(spark, [(1, "7"), (2, "x")], [(1, 7), (2, 8)], "k int, v string", "k int, v bigint")
+    assert rows(R.multiset_diff(p), "k", "v", "side", "n") == [(2, "8", "target", 1), (2, "x", "source", 1)]
+    assert rows(R.multiset_diff_except(p), "k", "v", "side", "n") == [(2, "8", "target", 1), (2, "x", "source", 1)]
+    assert {r.mode: r.types_equal for r in R.frame_equal(p).collect()}["general"] is False
