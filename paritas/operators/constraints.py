@@ -15,8 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paritas.functions.types import is_floating
-from paritas.functions.values import canonical_text
+from paritas.functions.types import comparable, is_floating
+from paritas.functions.values import canonical_text, display_text
 from paritas.operators.pair import TablePair
 
 
@@ -136,8 +136,16 @@ def _anti(child_keys: DataFrame, parent: DataFrame, child_cols: Sequence[str], p
     if len(child_cols) != len(parent_cols):
         raise ValueError("foreign key column lists differ in length")
     pk = _parent_keys(parent, parent_cols)
-    cond = _all([F.col(c) == F.col(f"_p{i}") for i, c in enumerate(child_cols)])
-    return child_keys.join(pk, cond, "left_anti")
+    ct = {f.name: f.dataType for f in child_keys.schema.fields}
+    pt = {f.name: f.dataType for f in pk.schema.fields}
+    preds = []
+    for i, c in enumerate(child_cols):
+        cv, pv = F.col(c), F.col(f"_p{i}")
+        if comparable(ct[c], pt[f"_p{i}"]):
+            preds.append(cv == pv)
+        else:  # e.g. a string key against a numeric key: match on text, never cast data
+            preds.append(display_text(cv, ct[c]) == display_text(pv, pt[f"_p{i}"]))
+    return child_keys.join(pk, _all(preds), "left_anti")
 
 
 def fk_missing_values(child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str]) -> DataFrame:

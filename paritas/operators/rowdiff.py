@@ -190,6 +190,12 @@ def unique_to_one_side(first: DataFrame, second: DataFrame, first_name: str, sec
     NULL in a group column (the reference's grouping gives them no size); ``'match'`` groups
     NULLs together.
     """
+    ft = {f.name: f.dataType for f in first.schema.fields}
+    st = {f.name: f.dataType for f in second.schema.fields}
+    clash = [c for c in ft if c in st and not comparable(ft[c], st[c])]
+    for c in clash:  # incomparable types stack as text (a union would cast data)
+        first = first.withColumn(c, display_text(F.col(c), ft[c]))
+        second = second.withColumn(c, display_text(F.col(c), st[c]))
     a = first.withColumn("database_name", F.lit(first_name))
     b = second.withColumn("database_name", F.lit(second_name))
     merged = a.unionByName(b, allowMissingColumns=True)

@@ -126,3 +126,12 @@ def test_counted_diff_matches_except_all_and_mirrors(spark, seed):
                     key=repr)
     assert fast == expect
     assert R.multiset_diff(TablePair(p.source, p.source)).count() == 0
+
+
+def test_fk_checks_with_incomparable_key_types(spark):
+    child = spark.createDataFrame([("1",), ("x",), (None,)], "k string")
+    parent = spark.createDataFrame([(1,), (2,)], "k bigint")
+    assert rows(C.orphan_groups(child, parent, ["k"], ["k"])) == sorted([("x", 1), (None, 1)], key=repr)
+    assert [r.k for r in C.fk_missing_values(child, parent, ["k"], ["k"]).collect()] == ["x"]
+    out = R.unique_to_one_side(child, parent, "A", "B")
+    assert rows(out, "k", "database_name") == [("2", "B"), ("x", "A")]
