@@ -141,6 +141,16 @@ def _diagnosis(ctx: SuiteContext) -> list[str]:
             _row(n, None, "only_on_side", ",".join(a.source_only), ",".join(a.target_only), None)]
 
 
+@frame_check("data_diagnosis_sample", needs_common=True)
+def _sample(ctx: SuiteContext) -> DataFrame:
+    """E1's sample: the five smallest values (NULLs last) of the first common column on each side."""
+    smp = P.pair_samples(ctx.pair, 5)
+    both = smp.groupBy("column_name").agg(
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("side") == "source", F.col("value")))), ",").alias("sv"),
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("side") == "target", F.col("value")))), ",").alias("tv"))
+    return _rows_frame(both, [_row("data_diagnosis_sample", E("column_name"), "sample", E("sv"), E("tv"), None)])
+
+
 @row_check("row_counts")
 def _row_counts(ctx: SuiteContext) -> list[str]:
     return [_row("row_counts", None, "row_count", E("s_rows"), E("t_rows"), E("s_rows = t_rows"))]
