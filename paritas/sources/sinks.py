@@ -5,6 +5,19 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _flat_text(df: DataFrame) -> DataFrame:
+    """Arrays, structs and maps as JSON text (CSV holds only flat values)."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            c = F.to_json(c)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
 
 
 def write_report(frames: Mapping[str, DataFrame], path: str, fmt: str = "parquet", mode: str = "overwrite") -> list[str]:
@@ -12,7 +25,7 @@ def write_report(frames: Mapping[str, DataFrame], path: str, fmt: str = "parquet
     written = []
     for label, df in frames.items():
         out = f"{path.rstrip('/')}/{label}"
-        df.write.mode(mode).format(fmt).option("header", "true").save(out)
+        (_flat_text(df) if fmt == "csv" else df).write.mode(mode).format(fmt).option("header", "true").save(out)
         written.append(out)
     return written
 

@@ -64,6 +64,10 @@ def test_layer_round_trip_and_sinks(spark, tables):
     assert os.path.isdir(root + "/results/database_name=cms/table_name=orders")
     paths = write_report({"source_only": tables.region, "target_only": tables.nation}, root + "/report")
     assert [spark.read.parquet(p).count() for p in paths] == [tables.region.count(), tables.nation.count()]
+    from paritas.operators.parity import column_match
+    csv = write_report({"match": column_match(pair)}, root + "/csv", fmt="csv")
+    got = spark.read.option("header", "true").csv(csv[0]).first()
+    assert got.source_only == '["o_orderstatus"]' and got.target_only == '["load_id"]'
 
 
 def test_suite_errors_skips_and_summary(spark, tables):
