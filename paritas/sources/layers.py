@@ -15,18 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from paritas.operators.pair import TablePair
 from paritas.sources.jdbc import JdbcSource
 
-# Fixed values of the medallion layout: layer order and the gold database names.
+# Fixed values of the medallion layout: layer order, the gold database names, the
+# data-source aliases a source name is reduced to, and the landing path pattern.
 LAYERS = ("bronze", "silver", "gold")
 GOLD_DATABASE = "gold_data_model"
 TRUNCATED_DATABASE = "gold_data_model_truncated"
+SOURCE_ALIASES = ("cms", "fvms")
+LANDING_TEMPLATE = "{landing}/{source}_clean/dbo/{table}"
 
 
 @dataclass(frozen=True)
 class LayerLocator:
     root: str = ""
     landing_root: str = ""
-    source_aliases: tuple[str, ...] = ("cms", "fvms")
-    landing_template: str = "{landing}/{source}_clean/dbo/{table}"
+    source_aliases: tuple[str, ...] = SOURCE_ALIASES
+    landing_template: str = LANDING_TEMPLATE
     layer_template: str = "{root}/{layer}_{source}.db/{l}_{source}_{table}"
     gold_template: str = "{root}/" + GOLD_DATABASE + ".db/{table}"
     truncated_template: str = "{root}/" + TRUNCATED_DATABASE + ".db/{table}"

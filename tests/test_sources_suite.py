@@ -20,10 +20,10 @@ from paritas.sources.tables import TABLES
 
 
 def test_layer_paths():
-    loc = LayerLocator(root="abfss://fs@acct.dfs.core.windows.net/wh", landing_root="/mnt/temp/container")
+    loc = LayerLocator(root="/lake/warehouse", landing_root="/mnt/temp/container")
     assert loc.source_name("CMS_prod") == "cms" and loc.source_name("Other") == "other"
     assert loc.landing("t1", "xx_fvms") == "/mnt/temp/container/fvms_clean/dbo/t1"
-    assert loc.layer("silver", "t1", "cms") == "abfss://fs@acct.dfs.core.windows.net/wh/silver_cms.db/s_cms_t1"
+    assert loc.layer("silver", "t1", "cms") == "/lake/warehouse/silver_cms.db/s_cms_t1"
     assert loc.previous("silver", "t1", "cms").endswith("/bronze_cms.db/b_cms_t1")
     assert loc.previous("gold", "t1", "cms").endswith("/silver_cms.db/s_cms_t1")
     assert loc.layer("gold", "t1", "cms").endswith("/gold_data_model.db/t1")
