@@ -9,7 +9,10 @@
    each colour's root inside its colour. Work per round is O(V + E); no node pairs are formed.
 3. ``fk_cycles``: the shortest cycle through a node is the SCC size when the SCC is a simple
    ring (each node has one edge inside it); other SCCs get a breadth-first search over
-   (origin, node) pairs restricted to the SCC, so pairs never leave a component.
+   (origin, node) pairs restricted to the SCC, so pairs never leave a component. When every
+   node of the peeled core has one out-edge (a functional graph such as one FK per table),
+   the core is a set of rings: all its nodes are on cycles and rings are labelled by pointer
+   doubling in log2 rounds instead of by colour propagation.
 
 Every loop round cuts lineage with a reliable ``checkpoint()`` (directory from the
 session's ``spark.checkpoint.dir``), so executor loss recomputes at most one round.
@@ -116,10 +119,35 @@ def _split_loops(edges: DataFrame, src: str, dst: str) -> tuple[DataFrame, DataF
     return loops, e.filter(F.col("src") != F.col("dst"))
 
 
+def _is_functional(core: DataFrame) -> bool:
+    """Every node of the peeled core has exactly one out-edge (then also one in-edge): the core
+    is a disjoint union of simple cycles."""
+    return core.groupBy("src").count().filter(F.col("count") > 1).isEmpty()
+
+
+def _ring_labels(core: DataFrame) -> DataFrame:
+    """(node, component) for a core of disjoint simple cycles, by pointer doubling: after k rounds
+    each node knows the largest id among the 2^k nodes ahead of it, so ceil(log2(n)) rounds label
+    every ring by its largest node (rounds grow with the log of the ring length, not the length)."""
+    state = _cut(core.select(F.col("src").alias("node"), F.col("dst").alias("jump"),
+                             F.greatest("src", "dst").alias("best")))
+    n = state.count()
+    span = 1
+    while span < n:
+        ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("best").alias("b2"))
+        state = _cut(state.join(ahead, "jump").select("node", F.col("next").alias("jump"),
+                                                      F.greatest("best", "b2").alias("best")))
+        span *= 2
+    return state.select("node", F.col("best").alias("component"))
+
+
 def cycle_nodes(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Nodes that lie on at least one directed cycle (self-loops included): (node)."""
     loops, rest = _split_loops(edges, src, dst)
-    comp = strongly_connected(_peel(rest))
+    core = _peel(rest)
+    if _is_functional(core):
+        return core.select(F.col("src").alias("node")).unionByName(loops).distinct()
+    comp = strongly_connected(core)
     sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     multi = comp.join(sizes.filter(F.col("size") > 1), "component").select("node")
     return multi.unionByName(loops).distinct()
@@ -129,6 +157,12 @@ def fk_cycles(edges: DataFrame, src: str = "parent_table", dst: str = "reference
     """Every node on a cycle with the length of its shortest cycle: (node, cycle_len)."""
     loops, rest = _split_loops(edges, src, dst)
     core = _peel(rest)
+    if _is_functional(core):
+        comp = _ring_labels(core)
+        ring = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        return (comp.join(ring, "component").select("node", F.col("size").alias("cycle_len"))
+                .unionByName(loops.select("node", F.lit(1).alias("cycle_len")))
+                .groupBy("node").agg(F.min("cycle_len").cast("bigint").alias("cycle_len")))
     comp = _cut(strongly_connected(core))
     inner = _cut(core.join(comp.withColumnRenamed("node", "src").withColumnRenamed("component", "c_src"), "src")
                  .join(comp.withColumnRenamed("node", "dst").withColumnRenamed("component", "c_dst"), "dst")

@@ -191,3 +191,16 @@ def test_cycles_random_graph_vs_brute_force(spark, seed):
     got = {r.node: r.cycle_len for r in GR.fk_cycles(df, "src", "dst").collect()}
     assert got == _brute_cycles(edges)
     assert {r.node for r in GR.cycle_nodes(df).collect()} == set(_brute_cycles(edges))
+
+
+@pytest.mark.parametrize("n", [50, 97])
+def test_cycles_functional_graph_vs_brute_force(spark, n):
+    edges = {(k, (k * k + 1) % n) for k in range(n)}
+    df = spark.createDataFrame(sorted(edges), "src long, dst long")
+    want = _brute_cycles(edges)
+    assert {r.node: r.cycle_len for r in GR.fk_cycles(df, "src", "dst").collect()} == want
+    assert {r.node for r in GR.cycle_nodes(df).collect()} == set(want)
+    # rings of several lengths: a permutation with cycles of length 1, 2, 3 and 7
+    perm = {0: 0, 1: 2, 2: 1, 3: 4, 4: 5, 5: 3, 6: 7, 7: 8, 8: 9, 9: 10, 10: 11, 11: 12, 12: 6}
+    pdf = spark.createDataFrame(sorted(perm.items()), "src long, dst long")
+    assert {r.node: r.cycle_len for r in GR.fk_cycles(pdf, "src", "dst").collect()} == _brute_cycles(set(perm.items()))
