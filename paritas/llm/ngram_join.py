@@ -85,7 +85,7 @@ def node_of(grams: np.ndarray) -> int:
 class Bands:
     """Size bands with the chunks and the allowance e of each."""
 
-    def __init__(self, percent: int, ratio: float = 1.5):
+    def __init__(self, percent: int, ratio: float = 1.15):
         self.percent, self.edges = percent, [1]
         while self.edges[-1] < 1 << 32:
             self.edges.append(max(self.edges[-1] + 1, math.ceil(self.edges[-1] * ratio)))
@@ -123,13 +123,20 @@ class Bands:
         """Join keys (signed 64-bit hashes of band, chunk and its bits) of a set."""
         out = []
         for band in self.listed(len(grams)):
-            c, e = self.shape[band]
+            c, _ = self.shape[band]
             if c:
                 words = self.sketch(grams, band)
-                low = np.bitwise_count(words) < 2
-                keys = mix(words ^ mix(np.arange(c, dtype=np.uint64) + _U(band << 40)))
-                out.append(keys[~low] if low.sum() <= e else keys)
-        return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+                keys = self.key(words, np.arange(c), band)
+                out.append(keys[self.kept(words[None], band)[0]])
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+    def key(self, words: np.ndarray, chunk: np.ndarray, band: int) -> np.ndarray:
+        return mix(words ^ mix(chunk.astype(np.uint64) + _U(int(band) << 40))).view(np.int64)
+
+    def kept(self, words: np.ndarray, band: int) -> np.ndarray:
+        """Which chunks of each sketch (a row) are listed."""
+        low = np.bitwise_count(words) < 2
+        return ~low | (low.sum(1) > self.shape[band][1])[:, None]
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         """Whether two sets link, exactly."""
@@ -206,48 +213,100 @@ def _verify(bands: Bands):
     return run
 
 
-def _compare(bands: Bands, rows: list[tuple]) -> list[tuple[int, int]]:
-    """Links that join labels among ``(node, label, n, sketches, grams)``."""
-    p = bands.percent
-    rows = sorted({r[0]: r for r in rows}.values(), key=lambda r: (r[2], r[0]))
-    label = np.array([r[1] for r in rows], np.int64)
-    n = np.array([r[2] for r in rows], np.int64)
-    own = np.array([bands.of(x) for x in n])
-    links = []
-    for band in np.unique(own):
-        listed = np.flatnonzero([own[i] <= band < own[i] + len(rows[i][3]) for i in range(len(rows))])
-        words = np.stack([np.frombuffer(rows[i][3][band - own[i]], np.uint64) for i in listed])
-        if not words.shape[1]:
-            continue
-        for k in np.flatnonzero(own[listed] == band):
+class Group:
+    """Members ``(node, label, n, sketches, ...)`` of a task, smallest set first."""
+
+    def __init__(self, bands: Bands, rows: list[tuple]):
+        self.bands, self.rows = bands, sorted({r[0]: r for r in rows}.values(), key=lambda r: (r[2], r[0]))
+        self.label = np.array([r[1] for r in self.rows], np.int64)
+        self.n = np.array([r[2] for r in self.rows], np.int64)
+
+    def near(self):
+        """(band, sketches, place of i, places of the smaller members of another label whose sketch
+        allows a link with i, members at the places) for each i that has some."""
+        p, n = self.bands.percent, self.n
+        own = np.array([self.bands.of(x) for x in n])
+        for band in np.unique(own):
+            listed = np.flatnonzero([own[i] <= band < own[i] + len(self.rows[i][3]) for i in range(len(own))])
+            words = np.stack([np.frombuffer(self.rows[i][3][band - own[i]], np.uint64) for i in listed])
+            if not words.shape[1]:
+                continue
+            for k in np.flatnonzero(own[listed] == band):
+                i = listed[k]
+                first = np.searchsorted(n[listed[:k]] * 100, p * n[i])
+                can = np.flatnonzero(self.label[listed[first:k]] != self.label[i]) + first
+                apart = np.bitwise_count(words[can] ^ words[k]).sum(1, dtype=np.int64)
+                can = can[(100 + p) * apart <= (100 - p) * (n[listed[can]] + n[i])]
+                if len(can):
+                    yield band, words, k, can, listed
+
+    def flagged(self, key: int) -> list[int]:
+        """Members in a near pair whose first common key is this one; so a pair counts in one key."""
+        out: set[int] = set()
+        for band, words, k, can, listed in self.near():
+            kept = self.bands.kept(words[np.r_[can, k]], band)
+            common = (words[can] == words[k]) & kept[:-1] & kept[-1]
+            first = common.argmax(1)
+            here = can[common.any(1) & (self.bands.key(words[k, first], first, band) == key)]
+            if len(here):
+                out.update(listed[here].tolist(), [int(listed[k])])
+        return sorted(out)
+
+    def links(self) -> list[tuple[int, int]]:
+        """Verified links that join labels."""
+        found, grams = [], lambda i: np.frombuffer(self.rows[i][4], np.uint64)
+        for _, _, k, can, listed in self.near():
             i = listed[k]
-            smaller = listed[:k]
-            first = np.searchsorted(n[smaller] * 100, p * n[i])
-            can = np.flatnonzero(label[smaller[first:]] != label[i]) + first
-            apart = np.bitwise_count(words[can] ^ words[k]).sum(1, dtype=np.int64)
-            for j in listed[can[(100 + p) * apart <= (100 - p) * (n[listed[can]] + n[i])]]:
-                if label[j] != label[i] and bands.linked(np.frombuffer(rows[j][4], np.uint64), np.frombuffer(rows[i][4], np.uint64)):
-                    links.append((rows[j][0], rows[i][0]))
-                    label[label == label[j]] = label[i]
-    return links
-
-
-def _compare_groups(bands: Bands):
-    """Rows sorted by (key, task), one group at a time; a group is two blocks at most."""
+            for j in listed[can]:
+                if self.label[j] != self.label[i] and self.bands.linked(grams(j), grams(i)):
+                    found.append((self.rows[j][0], self.rows[i][0]))
+                    self.label[self.label == self.label[j]] = self.label[i]
+        return found
+
+
+def _groups(batches, columns: list[str]):
+    """((key, task), rows) of rows sorted by both, and None after each batch; a group is two blocks."""
+    now, rows = None, []
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            b = batch.slice(at, 256)
+            for key, task, *row in zip(*(b.column(n).to_pylist() for n in ("key", "task", *columns))):
+                if now != (key, task):
+                    if rows:
+                        yield now, rows
+                    now, rows = (key, task), []
+                rows.append(row)
+        yield None
+    if rows:
+        yield now, rows
+    yield None
+
+
+def _flag_groups(bands: Bands):
     def run(batches):
-        now, rows, out = None, [], []
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                b = batch.slice(at, 256)
-                for key, task, *row in zip(*(b.column(n).to_pylist() for n in ("key", "task", "node", "label", "n", "sketches", "grams"))):
-                    if now != (key, task):
-                        out += _compare(bands, rows)
-                        now, rows = (key, task), []
-                    rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
-            out = []
-        out = _compare(bands, rows)
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+        out: list[tuple] = []
+        for got in _groups(batches, ["node", "label", "n", "sketches"]):
+            if got:
+                (key, task), rows = got
+                g = Group(bands, rows)
+                out += [(key, task, g.rows[i][0], g.rows[i][1]) for i in g.flagged(key)]
+            else:
+                cols = list(zip(*out)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64()))], ["key", "task", "node", "label"])
+                out = []
+
+    return run
+
+
+def _link_groups(bands: Bands):
+    def run(batches):
+        out: list[tuple] = []
+        for got in _groups(batches, ["node", "label", "n", "sketches", "grams"]):
+            if got:
+                out += Group(bands, got[1]).links()
+            else:
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+                out = []
 
     return run
 
@@ -300,9 +359,11 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     near = written(sides(stars, n="n", s="sketches").mapInArrow(_near(bands), "a long, b long"))
     links = written(sides(near, g="grams").mapInArrow(_verify(bands), "a long, b long"))
     roots = components(links)
-    rest = written(_unresolved(members, roots, known.select("node", "n")))
-    more = (rest.join(known, "node").select("key", "task", "node", "label", "n", "sketches", "grams")
-            .repartition("key", "task").sortWithinPartitions("key", "task").mapInArrow(_compare_groups(bands), "a long, b long"))
+    rest = _unresolved(members, roots, known.select("node", "n"))
+    for work, columns, schema in ((_flag_groups, [], "key long, task string, node long, label long"), (_link_groups, ["grams"], "a long, b long")):
+        rest = written(rest.join(known.select("node", "n", "sketches", *columns), "node").select("key", "task", "node", "label", "n", "sketches", *columns)
+                       .repartition("key", "task").sortWithinPartitions("key", "task").mapInArrow(work(bands), schema))
+    more = rest
     links = written(links.unionByName(more))
     roots = components(links)
     labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
