@@ -13,8 +13,8 @@ a chunk that both keep still agrees. It is listed in its own band and in the nex
 a document there may link to it.
 
 Join. Equal chunks meet by key. 1. Every member of a key is paired with the key's least
-node; the pairs (linear in the members) pass the sketch's bound and are then verified on
-the sets. Components of these links label the nodes. 2. Members of a key that still differ
+node; the pairs (linear in the members) pass the bound of a small sketch of fixed size, then
+that of the sketch, and are verified on the sets. Components of these links label the nodes. 2. Members of a key that still differ
 in label are compared with each other in blocks of bounded size, block against block: the
 sketch's bound first, then the sets, and only links that join two labels are emitted. A key
 with two members needs no second step, and a group of copies is resolved by the first. So
@@ -44,6 +44,8 @@ from paritas.llm.components import components
 
 #: Shingles of a block of the second step (8 bytes each), and words a worker remembers.
 BLOCK_SHINGLES, WORDS = 2_000_000, 500_000
+#: Places of the broadcast bitmap that spares rereading texts nobody asks for (a prime; 4 MB), and bits of the small sketch.
+PLACES, SMALL = 33_554_393, 512
 _HASHES: dict[bytes, bytes] = {}
 _U = np.uint64
 
@@ -170,15 +172,72 @@ def _keys(k: int, bands: Bands):
     return run
 
 
-def _known(k: int, bands: Bands):
+def small_sketch(grams: np.ndarray) -> bytes:
+    """One parity sketch of ``SMALL`` bits, alike for all sizes."""
+    return np.packbits((np.bincount(((grams >> _U(9)) % _U(SMALL)).astype(np.int64), minlength=SMALL) & 1).astype(np.uint8)).tobytes()
+
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """Bitmap of the ids modulo ``PLACES``: at most PLACES / 64 words, whatever the number of ids."""
+    place = F.pmod("doc_id", F.lit(PLACES))
+    words = (ids.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(pmod(doc_id, {PLACES}) & 63 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    out = np.zeros(PLACES // 64 + 1, np.int64)
+    out[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return out
+
+
+def _asked(batches, bitmap):
+    for batch in batches:
+        at = np.mod(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), PLACES)
+        b = batch.filter(pa.array((bitmap.value[at >> 6] >> (at & 63)) & 1 == 1))
+        for k in range(0, b.num_rows, 200):
+            part = b.slice(k, 200)
+            yield part.column("doc_id"), part.column("text").to_pylist()
+
+
+def _sketched(k: int, bands: Bands, bitmap):
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                got = [g for t in batch.column("text").slice(at, 200).to_pylist() if len(g := shingles(t, k))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([node_of(g) for g in got], pa.int64()), pa.array([len(g) for g in got], pa.int64()),
-                     pa.array([[bands.sketch(g, x).tobytes() for x in bands.listed(len(g))] for g in got], pa.list_(pa.binary())),
-                     pa.array([g.tobytes() for g in got], pa.binary())], ["node", "n", "sketches", "grams"])
+        for ids, texts in _asked(batches, bitmap):
+            got = [shingles(t, k) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([node_of(g) if len(g) else None for g in got], pa.int64()), pa.array([len(g) for g in got], pa.int64()),
+                 pa.array([small_sketch(g) for g in got], pa.binary()),
+                 pa.array([[bands.sketch(g, x).tobytes() for x in bands.listed(len(g))] if len(g) else [] for g in got], pa.list_(pa.binary()))],
+                ["doc_id", "node", "n", "small", "sketches"])
+
+    return run
+
+
+def _grams(k: int, bitmap):
+    def run(batches):
+        for ids, texts in _asked(batches, bitmap):
+            got = [shingles(t, k) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([node_of(g) if len(g) else None for g in got], pa.int64()), pa.array([g.tobytes() for g in got], pa.binary())], ["doc_id", "node", "grams"])
+
+    return run
+
+
+def _reread(texts: DataFrame, firsts: DataFrame, nodes: DataFrame, work, schema: str) -> DataFrame:
+    """What ``work`` makes of the texts of ``nodes``, one row per node."""
+    wanted = written(firsts.join(nodes.select("node").distinct(), "node", "left_semi").select("doc_id", "node"))
+    bitmap = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted))
+    made = written(texts.mapInArrow(work(bitmap), schema).join(wanted, ["doc_id", "node"], "left_semi").drop("doc_id"))
+    if made.count() > made.select("node").distinct().count():  # a repeated doc_id
+        made = written(made.dropDuplicates(["node"]))
+    return made
+
+
+def _near_small(percent: int):
+    """Keeps pairs whose sizes and small sketches allow a link."""
+    def run(batches):
+        for b in batches:
+            na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, SMALL // 64) for c in ("sa", "sb"))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            ok = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & ((100 + percent) * apart <= (100 - percent) * (na + nb))
+            yield b.select(["a", "b"]).filter(pa.array(ok))
 
     return run
 
@@ -240,6 +299,19 @@ class Group:
                 if len(can):
                     yield band, words, k, can, listed
 
+    def close(self) -> list[int]:
+        """Members with a member of another label whose small sketch allows a link."""
+        p, n, out = self.bands.percent, self.n, np.zeros(len(self.n), bool)
+        words = np.stack([np.frombuffer(r[3], np.uint64) for r in self.rows])
+        for i in range(1, len(n)):
+            first = np.searchsorted(n[:i] * 100, p * n[i])
+            can = np.flatnonzero(self.label[first:i] != self.label[i]) + first
+            apart = np.bitwise_count(words[can] ^ words[i]).sum(1, dtype=np.int64)
+            can = can[(100 + p) * apart <= (100 - p) * (n[can] + n[i])]
+            out[can] = True
+            out[i] |= len(can) > 0
+        return np.flatnonzero(out).tolist()
+
     def flagged(self, key: int) -> list[int]:
         """Members in a near pair whose first common key is this one; so a pair counts in one key."""
         out: set[int] = set()
@@ -282,14 +354,15 @@ def _groups(batches, columns: list[str]):
     yield None
 
 
-def _flag_groups(bands: Bands):
+def _flag_groups(bands: Bands, column: str):
+    """Members that stay after a look at the small sketches, or at the sketches."""
     def run(batches):
         out: list[tuple] = []
-        for got in _groups(batches, ["node", "label", "n", "sketches"]):
+        for got in _groups(batches, ["node", "label", "n", column]):
             if got:
                 (key, task), rows = got
                 g = Group(bands, rows)
-                out += [(key, task, g.rows[i][0], g.rows[i][1]) for i in g.flagged(key)]
+                out += [(key, task, g.rows[i][0], g.rows[i][1]) for i in (g.close() if column == "small" else g.flagged(key))]
             else:
                 cols = list(zip(*out)) or [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64()))], ["key", "task", "node", "label"])
@@ -345,25 +418,26 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     keys = texts.filter(F.col("doc_id").isNotNull()).mapInArrow(_keys(words, bands), "key long, node long")
     members = written(keys.withColumns({"lo": F.min("node").over(by_key), "hi": F.max("node").over(by_key)})
                       .filter(F.col("lo") < F.col("hi")).select("key", "node", "lo").distinct())
-    meeting = members.select("node").distinct()
-    wanted = written(firsts.join(meeting, "node", "left_semi").select("doc_id").distinct())
-    known = written(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_known(words, bands), "node long, n long, sketches array<binary>, grams binary")
-                    .dropDuplicates(["node"]))
+    known = _reread(texts, firsts, members, lambda m: _sketched(words, bands, m), "doc_id long, node long, n long, small binary, sketches array<binary>")
+    grams_of = lambda nodes: _reread(texts, firsts, nodes, lambda m: _grams(words, m), "doc_id long, node long, grams binary")
 
-    def sides(pairs: DataFrame, **columns: str) -> DataFrame:
+    def sides(pairs: DataFrame, table: DataFrame, **columns: str) -> DataFrame:
         for side in "ab":
-            pairs = pairs.join(known.select(F.col("node").alias(side), *(F.col(c).alias(x + side) for x, c in columns.items())), side)
+            pairs = pairs.join(table.select(F.col("node").alias(side), *(F.col(c).alias(x + side) for x, c in columns.items())), side)
         return pairs
 
     stars = members.filter(F.col("node") != F.col("lo")).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
-    near = written(sides(stars, n="n", s="sketches").mapInArrow(_near(bands), "a long, b long"))
-    links = written(sides(near, g="grams").mapInArrow(_verify(bands), "a long, b long"))
+    near = written(sides(stars, known, n="n", s="small").mapInArrow(_near_small(percent), "a long, b long"))
+    near = written(sides(near, known, n="n", s="sketches").mapInArrow(_near(bands), "a long, b long"))
+    grams = grams_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))))
+    links = written(sides(near, grams, g="grams").mapInArrow(_verify(bands), "a long, b long"))
     roots = components(links)
     rest = _unresolved(members, roots, known.select("node", "n"))
-    for work, columns, schema in ((_flag_groups, [], "key long, task string, node long, label long"), (_link_groups, ["grams"], "a long, b long")):
-        rest = written(rest.join(known.select("node", "n", "sketches", *columns), "node").select("key", "task", "node", "label", "n", "sketches", *columns)
-                       .repartition("key", "task").sortWithinPartitions("key", "task").mapInArrow(work(bands), schema))
-    more = rest
+    for column in ("small", "sketches"):
+        rest = written(rest.join(known.select("node", "n", column), "node").select("key", "task", "node", "label", "n", column)
+                       .repartition("key", "task").sortWithinPartitions("key", "task").mapInArrow(_flag_groups(bands, column), "key long, task string, node long, label long"))
+    more = (rest.join(known.select("node", "n", "sketches"), "node").join(grams_of(rest), "node").select("key", "task", "node", "label", "n", "sketches", "grams")
+            .repartition("key", "task").sortWithinPartitions("key", "task").mapInArrow(_link_groups(bands), "a long, b long"))
     links = written(links.unionByName(more))
     roots = components(links)
     labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
