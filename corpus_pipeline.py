@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from paritas.llm import decontamination, line_quality, ngram_join, packing
 from paritas.llm.common import read, written
-from paritas.llm.queries import QUALITY_BOUND, labelled
+from paritas.llm.queries import QUALITY_BOUND, learnable
 from paritas.llm.tokens import default_vocabulary
 
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -24,7 +24,7 @@ SHINGLE_WORDS, SIMILARITY = 5, 80
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose line score reaches the bound."""
-    field = line_quality.train(labelled(docs, read(spark, sf_dir, "labels")))
+    field = line_quality.train(docs, learnable(read(spark, sf_dir, "labels")))
     scored = line_quality.score(docs, field, docs.columns, name="_quality")
     return scored.filter(F.col("_quality") >= QUALITY_BOUND).drop("_quality")
 

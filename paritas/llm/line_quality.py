@@ -9,15 +9,16 @@ they need neither language nor source.
 Training. Labels are of documents, lines have none: every line of a document labelled good
 is good; in a document labelled bad each line starts as bad and is relabelled after each
 round by the model's own marginals, though the worst line stays bad. The field is fitted on
-at most ``max_docs`` labelled documents of at most ``max_lines`` lines each, the ones with
-the smallest hash of their id, read whole; only their line features reach the driver.
-Scoring has no such bounds.
+at most ``max_docs`` labelled documents, the ones with the smallest hash of their id, read
+whole, without those of over ``max_lines`` lines; only their line features reach the
+driver. Scoring has no such bounds.
 
 Scoring is one pass of ``mapInArrow`` without a shuffle; whole texts, every line.
 
 Defined cases: a null or empty text is one empty line and gets that line's marginal; a text
 without a newline is one line; weights are at least one per line, so white lines count;
-repeated rows get equal scores; no labelled rows, or one class only, raises ``ValueError``;
+repeated rows get equal scores; labels that contradict each other count as good, of
+documents with one id one is learnt from; no labelled rows, or one class only, raises ``ValueError``;
 an empty table of documents gives no rows; other columns are ignored.
 """
 
@@ -166,18 +167,19 @@ def _features(batches):
             [b.column("label"), pa.array([g[0].astype(np.float32).tobytes() for g in got], pa.binary())], ["label", "own"])
 
 
-def train(labelled: DataFrame, max_docs: int = 3000, max_lines: int = 300) -> Field:
-    """Fit on ``labelled(doc_id, text, label)`` with label 1 (good) or 0 (bad)."""
-    python_path(labelled.sparkSession)
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_lines: int = 300) -> Field:
+    """Fit on the texts of ``docs(doc_id, text)`` that ``labels(doc_id, label)`` calls 1 (good) or 0 (bad)."""
+    python_path(docs.sparkSession)
+    known = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
-    known = labelled.filter(F.col("label").isin(0, 1) & (lines <= max_lines)).select("doc_id", F.col("label").cast("int").alias("label"), "text")
-    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(max_docs)
-    rows = picked.select("label", "text").mapInArrow(_features, "label int, own binary").collect()
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").filter(lines <= max_lines)  # at most max_docs ids
+    rows = texts.dropDuplicates(["doc_id"]).select("label", "text").mapInArrow(_features, "label int, own binary").collect()
     rows = sorted((r["label"], bytes(r["own"])) for r in rows)  # the fit does not depend on the order of tasks
-    labels = np.array([r[0] for r in rows], np.int64)
-    if len(set(labels.tolist())) < 2:
+    labels_ = np.array([r[0] for r in rows], np.int64)
+    if len(set(labels_.tolist())) < 2:
         raise ValueError("training needs labelled documents of both classes")
-    return fit([np.frombuffer(r[1], np.float32).reshape(-1, N_OWN).astype(np.float64) for r in rows], labels)
+    return fit([np.frombuffer(r[1], np.float32).reshape(-1, N_OWN).astype(np.float64) for r in rows], labels_)
 
 
 def _score(field: Field, names: list[str], name: str):

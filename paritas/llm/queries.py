@@ -48,15 +48,14 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", "n_shingles", "component_id")
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, label`` of the labelled documents that are not held out."""
-    known = labels.select("doc_id", F.col("quality").alias("label")).filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
-    return docs.select("doc_id", "text").join(known, "doc_id")
+def learnable(labels: DataFrame) -> DataFrame:
+    """``doc_id, label`` of the quality labels that are not held out."""
+    return labels.select("doc_id", F.col("quality").alias("label")).filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
 
 
 def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    field = line_quality.train(labelled(docs, read(spark, sf_dir, "labels")))
+    field = line_quality.train(docs, learnable(read(spark, sf_dir, "labels")))
     return line_quality.score(docs, field, ["doc_id"]).select(
         "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score", (F.col("score") >= QUALITY_BOUND).cast("int").alias("predicted"))
 

@@ -62,7 +62,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, e
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
                .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
     (ordered.mapInArrow(_encode(vocabulary, end_id), FILE_SCHEMA).write
-     .option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
+     .option("compression", "snappy").option("parquet.writer.version", "PARQUET_2_0")
      .option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
      .option("parquet.block.size", row_group_mb << 20).option("parquet.page.size", page_kb << 10)
      .parquet(path))

@@ -3,8 +3,10 @@
 Byte-level BPE never merges across the boundary before a single space that stands between
 two non-white characters: the vocabulary's split pattern starts a new piece there, on
 either side of the cut the match is the same. So a text is cut at those spaces and every
-distinct piece is encoded once by the library and remembered (a bounded number of them)
-by the Python worker; joining the ids of the pieces gives the ids of the whole text.
+distinct piece is encoded by the library and remembered (a bounded number of them) by the
+Python worker; joining the ids of the pieces gives the ids of the whole text. New pieces go
+to the library as one string with a tab between them: a tab before a space or a letter is a
+token of its own, so its id marks their ends.
 """
 
 from __future__ import annotations
@@ -13,10 +15,12 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 _RUN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Longest piece that is remembered, and how many pieces a worker remembers (about 150 bytes each).
-PIECE_CHARS, PIECES = 64, 400_000
+#: Longest piece that is remembered, and how many pieces a worker remembers (about 170 bytes each).
+PIECE_CHARS, PIECES = 64, 1_400_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -28,26 +32,50 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.tab = self.tokenizer.encode("\t", add_special_tokens=False).ids
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of each piece with the space before it."""
+        joined = [x for x in pieces if x and "\t" not in x and not x[0].isspace() and not x[-1].isspace()]
+        text = "\t " + "\t ".join(joined) + "\t"
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(ids == self.tab[0])
+        if len(self.tab) != 1 or len(ends) != len(joined) + 1:
+            joined, ends = [], ends[:1]
+        blob = ids.tobytes()
+        out = {x: blob[i:j] for x, i, j in zip(joined, (4 * ends[:-1] + 4).tolist(), (4 * ends[1:]).tolist())}
+        rest = [x for x in pieces if x not in out]
+        return out | dict(zip(rest, self._ids([" " + x for x in rest])))
+
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Ids of each text and ``end_id`` after them, as little-endian unsigned 32-bit numbers."""
+        if len(self.known) > PIECES:
+            self.known.clear()
         known, end = self.known, array("I", [end_id]).tobytes()
-        parts = [(_CUT.split(t) if _RUN.search(t) else t.split(" ")) for t in texts]
-        if len(known) > PIECES:
-            known.clear()
-        new: set[str] = set()
-        for p in parts:
-            new |= set(p[1:]).difference(known)
-        new = list(new)
-        known.update(zip(new, self._ids([" " + x for x in new])))
-        heads = self._ids([p[0] for p in parts])
-        out = [h + b"".join(map(known.__getitem__, p[1:])) + end for h, p in zip(heads, parts)]
-        for x in new:
-            if len(x) > PIECE_CHARS:
-                del known[x]
+        found, heads = [], []
+        new: dict[str, None] = {}
+        for t in texts:
+            parts = _CUT.split(t) if _RUN.search(t) else t.split(" ")
+            heads.append(parts[0])
+            parts[0] = ""
+            ids = list(map(known.get, parts))
+            if None in ids:
+                missing = [i for i, x in enumerate(ids) if x is None]
+                new.update((parts[i], None) for i in missing)
+                found.append((ids, [(i, parts[i]) for i in missing]))
+            else:
+                found.append((ids, ()))
+        fresh = self._pieces(list(new)) if new else {}
+        out = []
+        for head, (ids, missing) in zip(self._ids(heads), found):
+            for i, x in missing:
+                ids[i] = fresh[x]
+            ids[0] = head
+            out.append(b"".join(ids) + end)
+        known.update((x, v) for x, v in fresh.items() if len(x) <= PIECE_CHARS)
         return out
 
 
