@@ -8,9 +8,9 @@
    Both sums are taken per term, or per row of the Gram matrix, by Spark. Folding the
    corpus into the space of the benchmark keeps the directions that tell its items apart;
    the leading directions of the corpus itself are its most common words.
-3. Every document is cut into overlapping passages at several sizes, a power of two words
-   each, and folded in; an item is compared with passages of the size just above its own.
-   Cosine candidates are pairs whose latent score reaches ``cosine`` times what the item
+3. Every document is cut into overlapping passages, for each item size of so many steps of
+   ``BASE`` words that start a quarter of the size apart. Passages whose terms weigh (summed
+   squares) at least ``weight`` times the lightest item of their size are folded in. Cosine candidates are pairs whose latent score reaches ``cosine`` times what the item
    itself scores.
 4. Candidates are checked on words: the longest common subsequence of the item and the
    passage with a margin on both sides. A share of ``verbatim`` of the item is a copy; a share
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,8 @@ from pyspark.sql import functions as F
 from paritas.llm.common import python_path
 
 _WORD = re.compile(r"\w+")
-BLOCK, SHORT, KNOWN, RANK = 2000, 8, 400_000, 64
-BASE = 8  # words of the smallest step between passages
+BLOCK, SHORT, RANK = 2000, 8, 256
+BASE = 8  # words of a step; passages are whole steps long
 MATCHES = "doc_id long, item_id long, cosine double, overlap double, answer double"
 
 
@@ -58,17 +59,11 @@ class Terms:
     """Texts as term numbers (16 bits each, 0 for words that are no term)."""
 
     def __init__(self, number: dict[str, int]):
-        self.number, self.known = number, {}
+        self.code = {w: array("H", [n]).tobytes() for w, n in number.items()}
+        self.none = array("H", [0]).tobytes()
 
     def encode(self, text: str | None) -> np.ndarray:
-        tokens = (text or "").lower().split()
-        new = set(tokens).difference(self.known)
-        if len(self.known) > KNOWN:
-            self.known.clear()
-            new = set(tokens)
-        for t in new:
-            self.known[t] = array("H", [self.number.get(w, 0) for w in _WORD.findall(t)]).tobytes()
-        return np.frombuffer(b"".join(map(self.known.__getitem__, tokens)), np.uint16)
+        return np.frombuffer(b"".join(map(self.code.get, words_of(text), repeat(self.none))), np.uint16)
 
 
 def common_subsequence(item: list[int], span: list[int]) -> int:
@@ -166,7 +161,7 @@ class Index:
     """What a task needs of a block of items: terms, folded terms, items by passage size."""
 
     def __init__(self, rows: list[tuple[int, str]], number: dict[str, int], idf: np.ndarray, vectors: np.ndarray, cosine: float,
-                 verbatim: float, paraphrase: float, answer: float):
+                 weight: float, verbatim: float, paraphrase: float, answer: float):
         self.number, self.weights = number, idf.astype(np.float32)
         self.folded = (idf[:, None] * vectors).astype(np.float32)
         self.verbatim, self.paraphrase, self.answer = verbatim, paraphrase, answer
@@ -175,14 +170,14 @@ class Index:
             words = terms.encode(text)
             if not len(words):
                 continue
-            size = max(2 * BASE, 1 << (len(words) - 1).bit_length())
+            size = max(2, -(-len(words) // BASE))
             q = self.folded[words].sum(0)
             t, w = _tf_idf(terms, idf, text)
             own = float(q @ q) / float(np.sqrt(w @ w)) / max(1e-12, float(np.sqrt(q @ q)))  # what the item itself scores
-            self.sizes.setdefault(size, []).append((len(self.items), q / max(1e-12, float(np.sqrt(q @ q))), cosine * own))
+            self.sizes.setdefault(size, []).append((len(self.items), q / max(1e-12, float(np.sqrt(q @ q))), cosine * own, weight * float(w @ w)))
             self.items.append((item_id, words.tolist()))
             self.answers.append(terms.encode(answer_of(text)).tolist())
-        self.sizes = {s: (np.array([x[0] for x in v]), np.stack([x[1] for x in v]), np.array([x[2] for x in v], np.float32)) for s, v in self.sizes.items()}
+        self.sizes = {s: (np.array([x[0] for x in v]), np.stack([x[1] for x in v]), np.array([x[2] for x in v], np.float32), max(1e-9, min(x[3] for x in v))) for s, v in self.sizes.items()}
 
     def matches(self, docs: list[np.ndarray]) -> list[list[tuple[int, float, float, float]]]:
         """Per document the (item_id, cosine, overlap, answer) of what it leaks."""
@@ -195,31 +190,34 @@ class Index:
         for d, at in zip(docs, first):
             flat[at * BASE: at * BASE + len(d)] = d
         grid = flat.reshape(-1, BASE)
-        base, norm = self.folded[grid[:, 0]], self.weights[grid[:, 0]] ** 2
-        for r in range(1, BASE):
-            base += self.folded[grid[:, r]]
-            norm += self.weights[grid[:, r]] ** 2
-        for size, (which, q, least) in self.sizes.items():
-            half = size // 2 // BASE
-            halves = -(-steps // half)
-            ends = np.cumsum(halves)
-            doc = np.repeat(np.arange(len(docs)), halves)
-            k = np.arange(ends[-1]) - np.repeat(ends - halves, halves)
-            starts = first[doc] + k * half
-            x, n2 = np.add.reduceat(base, starts), np.add.reduceat(norm, starts)
-            more = np.flatnonzero(doc[1:] == doc[:-1])
-            y, m2 = x.copy(), n2.copy()
-            y[more] += x[more + 1]
-            m2[more] += n2[more + 1]
-            score = (y @ q.T) / np.sqrt(np.maximum(m2, 1e-12))[:, None]
-            for w, j in zip(*np.nonzero(score >= least)):
-                d, item = int(doc[w]), int(which[j])
-                at = int(k[w]) * half * BASE
-                self._check(out[d], item, float(score[w, j]), docs[d][max(0, at - size // 2): at + size + size // 2].tolist())
+        heavy = np.concatenate([[0.0], np.cumsum((self.weights[grid] ** 2).sum(1, dtype=np.float64))])
+        grid = np.vstack([grid, np.zeros((1, BASE), np.uint16)])  # an empty step past the end
+        for size, (which, q, least, light) in self.sizes.items():
+            apart = max(1, size // 4)
+            count = np.where(steps, 1 - (np.minimum(0, size - steps) // apart), 0)
+            ends = np.cumsum(count)
+            doc = np.repeat(np.arange(len(docs)), count)
+            start = first[doc] + (np.arange(ends[-1]) - np.repeat(ends - count, count)) * apart
+            end = np.minimum(start + size, first[doc + 1])
+            energy = heavy[end] - heavy[start]
+            can = np.flatnonzero(energy >= light)
+            for part in (can[i: i + 1000] for i in range(0, len(can), 1000)):
+                at = start[part][:, None] + np.arange(size)
+                words = grid[np.where(at < end[part][:, None], at, len(grid) - 1)].reshape(len(part), -1)
+                y = self.folded[words[:, 0]]
+                for r in range(1, words.shape[1]):
+                    y += self.folded[words[:, r]]
+                score = (y @ q.T) / np.sqrt(energy[part]).astype(np.float32)[:, None]
+                for w, j in zip(*np.nonzero(score >= least)):
+                    d, item = int(doc[part[w]]), int(which[j])
+                    here, margin = int(start[part[w]] - first[d]) * BASE, size * BASE // 2
+                    self._check(out[d], item, float(score[w, j]), docs[d][max(0, here - margin): here + size * BASE + margin].tolist())
         return [[(self.items[i][0], *v) for i, v in sorted(o.items())] for o in out]
 
     def _check(self, found: dict, item: int, cosine: float, span: list[int]) -> None:
         words, answer = self.items[item][1], self.answers[item]
+        if sum(map(set(span).__contains__, words)) < self.paraphrase * len(words):
+            return  # the common subsequence is shorter still
         if len(words) < SHORT:
             overlap = 1.0 if stands_in(words, span) else 0.0
         else:
@@ -229,7 +227,7 @@ class Index:
             found[item] = max(found.get(item, (-2.0, 0.0, 0.0)), (min(1.0, cosine), overlap, said), key=lambda v: (v[1], v[2], v[0]))
 
 
-def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cosine: float, verbatim: float, paraphrase: float, answer: float, rank: int):
+def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cosine: float, weight: float, verbatim: float, paraphrase: float, answer: float, rank: int):
     """An index for each block of items, one after another."""
     python_path(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -251,12 +249,12 @@ def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cosine:
         df[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
         idf = np.log((df[0] + 1) / (np.minimum(df, df[0]) + 1)) + 0.1
         idf[0] = 0.0
-        vectors = singular_vectors(part, number, idf, min(rank, len(number)))
-        yield Index(rows, number, idf, vectors, cosine, verbatim, paraphrase, answer)
+        vectors = singular_vectors(part, number, idf, min(rank, len(rows), len(number)))
+        yield Index(rows, number, idf, vectors, cosine, weight, verbatim, paraphrase, answer)
         done += 1
 
 
-OPTIONS = {"cosine": 0.5, "verbatim": 0.75, "paraphrase": 0.55, "answer": 0.8, "rank": RANK}
+OPTIONS = {"cosine": 0.6, "weight": 0.5, "verbatim": 0.75, "paraphrase": 0.55, "answer": 0.8, "rank": RANK}
 
 
 def _slices(batches, index: Index):
