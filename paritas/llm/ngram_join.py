@@ -154,8 +154,8 @@ def _sets(k: int):
         for b in batches:
             got = [shingles(t, k) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(g) for g in got], pa.int64()), pa.array([node_of(g) if len(g) else None for g in got], pa.int64())],
-                ["doc_id", "n", "node"])
+                [b.column("doc_id"), pa.array([len(g) for g in got], pa.int64()), pa.array([node_of(g) if len(g) else None for g in got], pa.int64()),
+                 pa.array([small_sketch(g) if len(g) else None for g in got], pa.binary())], ["doc_id", "n", "node", "small"])
 
     return run
 
@@ -201,10 +201,9 @@ def _sketched(k: int, bands: Bands, bitmap):
         for ids, texts in _asked(batches, bitmap):
             got = [shingles(t, k) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([node_of(g) if len(g) else None for g in got], pa.int64()), pa.array([len(g) for g in got], pa.int64()),
-                 pa.array([small_sketch(g) for g in got], pa.binary()),
+                [ids, pa.array([node_of(g) if len(g) else None for g in got], pa.int64()),
                  pa.array([[bands.sketch(g, x).tobytes() for x in bands.listed(len(g))] if len(g) else [] for g in got], pa.list_(pa.binary()))],
-                ["doc_id", "node", "n", "small", "sketches"])
+                ["doc_id", "node", "sketches"])
 
     return run
 
@@ -411,15 +410,18 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     python_path(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     bands = Bands(percent)
-    sets = written(texts.mapInArrow(_sets(words), "doc_id long, n long, node long"))
-    firsts = sets.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    sets = written(texts.mapInArrow(_sets(words), "doc_id long, n long, node long, small binary"))
+    nodes = written(sets.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
+                    .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("small").alias("small")))
+    firsts = nodes.select("node", "doc_id")
 
     by_key = Window.partitionBy("key")
     keys = texts.filter(F.col("doc_id").isNotNull()).mapInArrow(_keys(words, bands), "key long, node long")
     members = written(keys.withColumns({"lo": F.min("node").over(by_key), "hi": F.max("node").over(by_key)})
                       .filter(F.col("lo") < F.col("hi")).select("key", "node", "lo").distinct())
-    known = _reread(texts, firsts, members, lambda m: _sketched(words, bands, m), "doc_id long, node long, n long, small binary, sketches array<binary>")
-    grams_of = lambda nodes: _reread(texts, firsts, nodes, lambda m: _grams(words, m), "doc_id long, node long, grams binary")
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    sketches_of = lambda some: _reread(texts, firsts, some, lambda m: _sketched(words, bands, m), "doc_id long, node long, sketches array<binary>")
+    grams_of = lambda some: _reread(texts, firsts, some, lambda m: _grams(words, m), "doc_id long, node long, grams binary")
 
     def sides(pairs: DataFrame, table: DataFrame, **columns: str) -> DataFrame:
         for side in "ab":
@@ -427,17 +429,19 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
         return pairs
 
     stars = members.filter(F.col("node") != F.col("lo")).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
-    near = written(sides(stars, known, n="n", s="small").mapInArrow(_near_small(percent), "a long, b long"))
-    near = written(sides(near, known, n="n", s="sketches").mapInArrow(_near(bands), "a long, b long"))
-    grams = grams_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))))
-    links = written(sides(near, grams, g="grams").mapInArrow(_verify(bands), "a long, b long"))
+    near = written(sides(stars, nodes, n="n", s="small").mapInArrow(_near_small(percent), "a long, b long"))
+    near = written(sides(sides(near, nodes, n="n"), sketches_of(ends(near)), s="sketches").mapInArrow(_near(bands), "a long, b long"))
+    links = written(sides(near, grams_of(ends(near)), g="grams").mapInArrow(_verify(bands), "a long, b long"))
     roots = components(links)
-    rest = _unresolved(members, roots, known.select("node", "n"))
-    for column in ("small", "sketches"):
-        rest = written(rest.join(known.select("node", "n", column), "node").select("key", "task", "node", "label", "n", column)
-                       .repartition("key", "task").sortWithinPartitions("key", "task").mapInArrow(_flag_groups(bands, column), "key long, task string, node long, label long"))
-    more = (rest.join(known.select("node", "n", "sketches"), "node").join(grams_of(rest), "node").select("key", "task", "node", "label", "n", "sketches", "grams")
-            .repartition("key", "task").sortWithinPartitions("key", "task").mapInArrow(_link_groups(bands), "a long, b long"))
+
+    def look(rest: DataFrame, work, *columns: str, schema: str = "key long, task string, node long, label long") -> DataFrame:
+        rows = rest.select("key", "task", "node", "label", "n", *columns).repartition("key", "task").sortWithinPartitions("key", "task")
+        return written(rows.mapInArrow(work, schema))
+
+    rest = look(_unresolved(members, roots, nodes.select("node", "n")).join(nodes.select("node", "n", "small"), "node"), _flag_groups(bands, "small"), "small")
+    sketches, sizes = sketches_of(rest), nodes.select("node", "n")
+    rest = look(rest.join(sizes, "node").join(sketches, "node"), _flag_groups(bands, "sketches"), "sketches")
+    more = look(rest.join(sizes, "node").join(sketches, "node").join(grams_of(rest), "node"), _link_groups(bands), "sketches", "grams", schema="a long, b long")
     links = written(links.unionByName(more))
     roots = components(links)
     labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
