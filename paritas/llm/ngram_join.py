@@ -43,7 +43,7 @@ from paritas.llm.common import python_path, written
 from paritas.llm.components import components
 
 #: Shingles of a block of the second step (8 bytes each), and words a worker remembers.
-BLOCK_SHINGLES, WORDS = 2_000_000, 300_000
+BLOCK_SHINGLES, WORDS = 2_000_000, 100_000
 #: Places of the broadcast bitmap that spares rereading texts nobody asks for (a prime; 4 MB), and bits of the small sketch.
 PLACES, SMALL = 33_554_393, 512
 _HASHES: dict[bytes, bytes] = {}

@@ -20,7 +20,7 @@ import numpy as np
 _RUN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Longest piece that is remembered, and how many pieces a worker remembers (about 170 bytes each).
-PIECE_CHARS, PIECES = 64, 600_000
+PIECE_CHARS, PIECES = 64, 250_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
