@@ -452,16 +452,17 @@ def test_oracles(spark):
 
 def test_pipeline_against_brute_force(spark, library):
     """Each stage's decisions, by its plain definition, on what the stage before kept."""
-    docs = read(spark, SF_SMALL, "documents")
+    sf = SF_SMALL.replace("0.001", "0.01")
+    docs = read(spark, sf, "documents")
     text = {x.doc_id: x.text for x in docs.collect()}
-    kept = corpus_pipeline.quality(spark, docs, SF_SMALL)
-    label = {x.doc_id: x.quality for x in read(spark, SF_SMALL, "labels").collect()}
+    kept = corpus_pipeline.quality(spark, docs, sf)
+    label = {x.doc_id: x.quality for x in read(spark, sf, "labels").collect()}
     ids = {x.doc_id for x in kept.collect()}
     assert kept.columns == docs.columns and np.mean([(d in ids) == (q == 1) for d, q in label.items()]) > 0.95
     groups = _components([(d, text[d]) for d in ids], corpus_pipeline.SHINGLE_WORDS, corpus_pipeline.SIMILARITY)
     ids = {d for d in ids if groups[d][1] == d}
-    items = [decontamination.words_of(x.text) for x in read(spark, SF_SMALL, "benchmark").collect()]
+    items = [decontamination.words_of(x.text) for x in read(spark, sf, "benchmark").collect()]
     ids = {d for d in ids if not any(f" {' '.join(i)} " in f" {' '.join(decontamination.words_of(text[d]))} " for i in items)}
-    rows = corpus_pipeline.run(spark, SF_SMALL).collect()
+    rows = corpus_pipeline.run(spark, sf).collect()
     assert {x.doc_id for x in rows} == ids
     assert sum(x.length for x in rows) == sum(len(library.encode(text[d], add_special_tokens=False).ids) + 1 for d in ids)
