@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from paritas.llm.common import python_path, written
 
 #: Rows of the sample that the tree is fitted on, rows a leaf aims at, most leaves, rows of a block of candidates or queries.
-SAMPLE, LEAF, MAX_LEAVES, BLOCK = 32_768, 1024, 4096, 4096
-STEP = 64
+SAMPLE, LEAF, MAX_LEAVES, BLOCK = 32_768, 4096, 4096, 8192
+STEP = 256
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -177,7 +177,7 @@ def _search(k: int, m: int, q: float):
     return run
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5, m: int = 8, confidence: float = 0.99, seed: int = 7) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = 5, m: int = 8, confidence: float = 0.95, seed: int = 7) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k nearest found of each query among
     ``vectors(vec_id, embedding)``; ``is_query`` is a condition on ``vec_id``."""
     spark = vectors.sparkSession
