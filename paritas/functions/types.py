@@ -63,9 +63,25 @@ def type_class(dt: T.DataType) -> str:
     return "nested"
 
 
+def _digits(dt: T.DataType) -> tuple[int, int] | None:
+    """(integer digits, scale) of an integral or decimal type."""
+    whole = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}.get(type(dt))
+    if whole:
+        return whole, 0
+    return (dt.precision - dt.scale, dt.scale) if isinstance(dt, T.DecimalType) else None
+
+
 def comparable(a: T.DataType, b: T.DataType) -> bool:
-    """Values of the two types can be compared natively (same type or both numeric / both temporal)."""
+    """Values of the two types can be compared natively: the type Spark widens both to holds every value of
+    both exactly (a bigint or decimal against a double does not: 2^53 and 2^53 + 1 would meet)."""
     if a == b:
         return True
-    return (is_numeric(a) and is_numeric(b)) or (is_temporal(a) and is_temporal(b) and
-                                                 not {type(a), type(b)} == {T.DateType, T.TimestampType})
+    if is_numeric(a) and is_numeric(b):
+        da, db = _digits(a), _digits(b)
+        if da and db:
+            return max(da[0], db[0]) + max(da[1], db[1]) <= 38
+        if not da and not db:
+            return True
+        held, floating = (da, b) if da else (db, a)
+        return isinstance(a if da else b, (T.ByteType, T.ShortType, T.IntegerType)) and held[0] <= (15 if isinstance(floating, T.DoubleType) else 5)
+    return is_temporal(a) and is_temporal(b) and not {type(a), type(b)} == {T.DateType, T.TimestampType}

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.functions.types import contains_map, is_floating
+from paritas.functions.types import comparable, contains_map, is_floating, is_numeric
 
 
 def quote(name: str) -> str:
@@ -32,6 +32,58 @@ def display_sql(expr: str, dt: T.DataType) -> str:
     return f"CAST({expr} AS STRING)"
 
 
+def exact_number_text(c: Column, dt: T.DataType) -> Column:
+    """Text that is equal exactly when two numbers of any types are: no exponent where the digits fit a
+    decimal(38, 18), no trailing zeros; a float counts as the number its shortest text names."""
+    def plain(x: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(x, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+
+    text = c.cast("string")
+    if isinstance(dt, T.DecimalType):
+        return plain(text)
+    if not is_floating(dt):
+        return text
+    whole = (F.rint(c.cast("double")) == c) & (F.abs(c) < F.lit(9.2e18))
+    dec = text.try_cast("decimal(38,18)")
+    return (F.when(whole, c.cast("bigint").cast("string"))
+            .when(dec.cast("double") == text.try_cast("double"), plain(dec.cast("string"))).otherwise(text))
+
+
+def exact_number_sql(expr: str, dt: T.DataType) -> str:
+    """``exact_number_text`` as SQL text over an expression string."""
+    def plain(x: str) -> str:
+        return f"regexp_replace(regexp_replace({x}, '([.][0-9]*?)0+$', '$1'), '[.]$', '')"
+
+    text = f"CAST({expr} AS STRING)"
+    if isinstance(dt, T.DecimalType):
+        return plain(text)
+    if not is_floating(dt):
+        return text
+    dec = f"try_cast({text} AS DECIMAL(38,18))"
+    return (f"CASE WHEN rint(CAST({expr} AS DOUBLE)) = {expr} AND abs({expr}) < 9.2e18 THEN CAST(CAST({expr} AS BIGINT) AS STRING) "
+            f"WHEN CAST({dec} AS DOUBLE) = try_cast({text} AS DOUBLE) THEN {plain(f'CAST({dec} AS STRING)')} ELSE {text} END")
+
+
+def common_form(c: Column, dt: T.DataType, other: T.DataType) -> Column:
+    """The value in the form in which it is compared with a value of the type ``other``: itself, exact text
+    for two kinds of numbers, display text otherwise (a cast could fail under ANSI)."""
+    if comparable(dt, other):
+        return c
+    return exact_number_text(c, dt) if is_numeric(dt) and is_numeric(other) else display_text(c, dt)
+
+
+def sorted_maps(c: Column, dt: T.DataType) -> Column:
+    """The value with every map, at any depth, as its entries sorted by key."""
+    if not contains_map(dt):
+        return c
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: sorted_maps(x, dt.elementType))
+    if isinstance(dt, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[sorted_maps(c.getField(f.name), f.dataType).alias(f.name) for f in dt.fields]))
+    entries = F.transform(F.map_entries(c), lambda e: F.struct(sorted_maps(e["key"], dt.keyType).alias("key"), sorted_maps(e["value"], dt.valueType).alias("value")))
+    return F.array_sort(entries)
+
+
 def canonical_text(c: Column, dt: T.DataType) -> Column:
     """Text that is equal exactly when the values are equal as group keys.
 
@@ -45,20 +97,14 @@ def canonical_text(c: Column, dt: T.DataType) -> Column:
         return F.unix_micros(c).cast("string")
     if isinstance(dt, T.BinaryType):
         return F.hex(c)
-    if isinstance(dt, T.MapType):
-        return F.to_json(F.array_sort(F.map_entries(c)))
     if contains_map(dt):
-        return F.to_json(c)
+        return F.to_json(sorted_maps(c, dt))
     return c.cast("string")
 
 
 def groupable(c: Column, dt: T.DataType, name: str) -> Column:
-    """Map columns cannot be grouped or set-compared; replace them with their sorted entries."""
-    if isinstance(dt, T.MapType):
-        return F.array_sort(F.map_entries(c)).alias(name)
-    if contains_map(dt):
-        return F.to_json(c).alias(name)
-    return c.alias(name)
+    """Maps cannot be grouped or set-compared; at any depth they become their sorted entries."""
+    return sorted_maps(c, dt).alias(name)
 
 
 _EPOCH_NTZ = "1970-01-01 00:00:00"

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paritas.functions.types import comparable, is_floating
-from paritas.functions.values import canonical_text, display_text
+from paritas.functions.values import common_form, canonical_text, display_text
 from paritas.operators.pair import TablePair
 
 
@@ -143,8 +143,8 @@ def _anti(child_keys: DataFrame, parent: DataFrame, child_cols: Sequence[str], p
         cv, pv = F.col(c), F.col(f"_p{i}")
         if comparable(ct[c], pt[f"_p{i}"]):
             preds.append(cv == pv)
-        else:  # e.g. a string key against a numeric key: match on text, never cast data
-            preds.append(display_text(cv, ct[c]) == display_text(pv, pt[f"_p{i}"]))
+        else:  # match on exact or display text, never cast data
+            preds.append(common_form(cv, ct[c], pt[f"_p{i}"]) == common_form(pv, pt[f"_p{i}"], ct[c]))
     return child_keys.join(pk, _all(preds), "left_anti")
 
 

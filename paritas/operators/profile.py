@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paritas.functions.types import comparable, is_floating, is_numeric, is_orderable, is_string, is_temporal
-from paritas.functions.values import display_sql, display_text, quote
+from paritas.functions.values import common_form, exact_number_sql, display_sql, display_text, quote
 from paritas.operators.pair import TablePair, align
 
 
@@ -93,6 +93,8 @@ class PairProfile:
         t_txt = display_sql(t, tt) if t != "NULL" else "CAST(NULL AS STRING)"
         if s != "NULL" and t != "NULL" and comparable(st, tt):
             return s_txt, t_txt, f"({s} <=> {t})"
+        if s != "NULL" and t != "NULL" and is_numeric(st) and is_numeric(tt):
+            return s_txt, t_txt, f"({exact_number_sql(s, st)} <=> {exact_number_sql(t, tt)})"
         return s_txt, t_txt, f"({s_txt} <=> {t_txt})"
 
     def index(self, column: str) -> int:
@@ -129,6 +131,8 @@ class PairProfile:
         t_txt = display_text(t, tt) if self.has("t", metric, i) else F.lit(None).cast("string")
         if self.has("s", metric, i) and self.has("t", metric, i) and comparable(st, tt):
             eq = s.eqNullSafe(t)
+        elif self.has("s", metric, i) and self.has("t", metric, i):
+            eq = common_form(s, st, tt).eqNullSafe(common_form(t, tt, st))
         else:
             eq = s_txt.eqNullSafe(t_txt)
         return s_txt, t_txt, eq

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.functions.types import comparable
-from paritas.functions.values import display_text, groupable
+from paritas.functions.types import comparable, is_numeric
+from paritas.functions.values import common_form, display_text, exact_number_text, groupable
 from paritas.operators.pair import TablePair, align
 
 
@@ -32,7 +32,7 @@ def _projected(df: DataFrame, cols: Sequence[str], other: DataFrame | None = Non
         if comparable(types[c], others[c]):
             out.append(groupable(F.col(c), types[c], c))
         else:
-            out.append(display_text(F.col(c), types[c]).alias(c))
+            out.append(common_form(F.col(c), types[c], others[c]).alias(c))
     return df.select(*out)
 
 
@@ -109,6 +109,11 @@ def frame_equal(pair: TablePair) -> DataFrame:
                     (rows_equal & F.lit(types_equal) & (~F.col("needs_nullable") | F.lit(nullable_equal))).alias("passed")))
 
 
+def _key_text(c: Column, dt: T.DataType, other: T.DataType) -> Column:
+    """Text form of a key whose types drifted: numbers of any two types match by value."""
+    return exact_number_text(c, dt) if is_numeric(dt) and is_numeric(other) else display_text(c, dt)
+
+
 def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
     """E5 with keys: one row per difference: keys…, column_name, source_value, target_value, change.
 
@@ -124,19 +129,19 @@ def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
     ktypes = {k: a.source_types[k] if a.source_types[k] == a.target_types[k] else T.StringType() for k in keys}
     knames = [x for i in range(len(keys)) for x in (f"_k{i}", f"_n{i}")]
 
-    def side(df: DataFrame, tag: str) -> DataFrame:
+    def side(df: DataFrame, tag: str, types: dict, others: dict) -> DataFrame:
         # NULL-safe key matching as plain equality on (value-or-default, is-null): the grouping's
         # hash partitioning on these columns is exactly what the join needs, so the join adds no
         # exchange (an eqNullSafe condition would re-shuffle on a derived key).
         norm = []
         for i, k in enumerate(keys):
-            kc = F.col(k).cast(ktypes[k])
+            kc = F.col(k) if types[k] == others[k] else _key_text(F.col(k), types[k], others[k])
             norm += [F.coalesce(kc, _default(ktypes[k])).alias(f"_k{i}"), kc.isNull().alias(f"_n{i}")]
-        row = F.struct(*[F.col(c) for c in vals]) if vals else F.lit(None)
+        row = F.struct(*[groupable(F.col(c), types[c], c) for c in vals]) if vals else F.lit(None)
         return (df.select(*norm, row.alias("_row"))
                 .groupBy(*knames).agg(F.count(F.lit(1)).alias(f"{tag}_n"), F.first("_row").alias(f"{tag}_v")))
 
-    j = side(pair.source, "s").join(side(pair.target, "t"), knames, "full_outer")
+    j = side(pair.source, "s", a.source_types, a.target_types).join(side(pair.target, "t", a.target_types, a.source_types), knames, "full_outer")
 
     def change(column: Column, sv: Column, tv: Column, kind: Column) -> Column:
         return F.struct(column.cast("string").alias("column_name"), sv.alias("source_value"), tv.alias("target_value"),
@@ -147,8 +152,7 @@ def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
         sv, tv = F.col(f"s_v.{c}"), F.col(f"t_v.{c}")
         if comparable(a.source_types[c], a.target_types[c]):
             return ~sv.eqNullSafe(tv)
-        # e.g. string vs number: compare the rendered text (a cast could fail under ANSI)
-        return ~display_text(sv, a.source_types[c]).eqNullSafe(display_text(tv, a.target_types[c]))
+        return ~common_form(sv, a.source_types[c], a.target_types[c]).eqNullSafe(common_form(tv, a.target_types[c], a.source_types[c]))
 
     per_col = [F.when(differs(c),
                       change(F.lit(c), display_text(F.col(f"s_v.{c}"), a.source_types[c]),
@@ -194,8 +198,8 @@ def unique_to_one_side(first: DataFrame, second: DataFrame, first_name: str, sec
     st = {f.name: f.dataType for f in second.schema.fields}
     clash = [c for c in ft if c in st and not comparable(ft[c], st[c])]
     for c in clash:  # incomparable types stack as text (a union would cast data)
-        first = first.withColumn(c, display_text(F.col(c), ft[c]))
-        second = second.withColumn(c, display_text(F.col(c), st[c]))
+        first = first.withColumn(c, common_form(F.col(c), ft[c], st[c]))
+        second = second.withColumn(c, common_form(F.col(c), st[c], ft[c]))
     a = first.withColumn("database_name", F.lit(first_name))
     b = second.withColumn("database_name", F.lit(second_name))
     merged = a.unionByName(b, allowMissingColumns=True)

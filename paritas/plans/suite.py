@@ -264,7 +264,7 @@ def _keyed(ctx: SuiteContext) -> DataFrame:
 
 
 def _error_row(name: str, e: Exception) -> str:
-    return _row(name, None, None, None, None, None, "error", f"{type(e).__name__}: {e}"[:2000])
+    return _row(name, None, None, None, None, None, "error", f"{type(e).__name__}: {e}")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -10,7 +10,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paritas.sources.tables import parallel_scan
 
 
 @dataclass(frozen=True)
@@ -49,11 +48,11 @@ class JdbcSource:
         """Options that ship a whole SELECT to the database (A2)."""
         return self.options() | {"query": sql}
 
-    def table(self, spark: SparkSession, table: str, **partitioning) -> DataFrame:
-        """Scan ``table``; without partition options the read is one task, so its rows are
-        spread round-robin before any further work (``parallel_scan``)."""
+    def table(self, spark: SparkSession, table: str, spread: int | None = None, **partitioning) -> DataFrame:
+        """Scan ``table``. Without partition options the read is one task; ``spread`` deals its rows
+        round-robin to so many partitions."""
         df = spark.read.format("jdbc").options(**self.table_options(table, **partitioning)).load()
-        return df if partitioning.get("partition_column") else parallel_scan(df)
+        return df.repartition(spread) if spread else df
 
     def query(self, spark: SparkSession, sql: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.query_options(sql)).load()

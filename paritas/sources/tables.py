@@ -8,20 +8,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def parallel_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster's default parallelism.
-
-    A file written as one row group (or a JDBC read without partition options) is read
-    by one task, and every narrow step before the first shuffle stays on that task. Such
-    a scan is spread round-robin once; a large table (many files or row groups) already
-    has more splits than cores and passes through unchanged. Filters and column pruning
-    still reach the scan below the repartition.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
-
-
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """``{base_dir}/{name}.parquet``; column pruning and filters reach the scan through Catalyst."""
     return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
