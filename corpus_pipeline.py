@@ -19,7 +19,7 @@ from paritas.llm.common import read, written
 from paritas.llm.queries import QUALITY_BOUND, learnable
 from paritas.llm.tokens import default_vocabulary
 
-#: Five words; 85 per cent: at 80 a chunk of the sketch holds three shingles and the join's disk passes its budget (README).
+#: Five words; 85 per cent: at 80 a chunk of the sketch holds three shingles and the join goes over its disk budget (README).
 SHINGLE_WORDS, SIMILARITY = 5, 85
 
 
