@@ -4,13 +4,14 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Document
 ``100 * |A and B| >= percent * |A or B|``, which bounds their symmetric difference by
 ``d = (100 - percent)(|A| + |B|) / (100 + percent)``.
 
-Sketch. Sets are dealt to geometric size bands. In a band a sketch has c chunks of 64 bits;
+Sketch. Sets are dealt to geometric size bands. In a band a sketch has c > d chunks of 64 bits;
 every shingle flips one bit of one chunk, so the Hamming distance of two sketches never
-exceeds the symmetric difference. With ``c = d + 1 + e`` at least ``e + 1`` chunks of a
-linked pair hold the same shingles and so the same bits. A document drops its chunks with
-fewer than two bits, which many documents share by chance, when it has at most e of them:
-a chunk that both keep still agrees. It is listed in its own band and in the next one when
-a document there may link to it.
+exceeds the symmetric difference, and at least c - d chunks of a linked pair have the same bits.
+All chunks (place and bits) stand in one fixed order, those with more bits first, as many
+documents share one with few bits by chance. A document lists its first d + 1 chunks, d taken from its own
+size and the largest partner it can have in the band: two sketches that agree in c - d chunks share one
+among these. A document is listed in its own band and in the next one when a document there may
+link to it.
 
 Join. Equal chunks meet by key. 1. Every member of a key is paired with the key's least
 node; the pairs (linear in the members) pass the bound of a small sketch of fixed size, then
@@ -85,27 +86,31 @@ def node_of(grams: np.ndarray) -> int:
 
 
 class Bands:
-    """Size bands with the chunks and the allowance e of each."""
+    """Size bands with the chunks of each."""
 
-    def __init__(self, percent: int, ratio: float = 1.15):
+    def __init__(self, percent: int, ratio: float = 2.0):
         self.percent, self.edges = percent, [1]
         while self.edges[-1] < 1 << 32:
             self.edges.append(max(self.edges[-1] + 1, math.ceil(self.edges[-1] * ratio)))
-        self.shape = [self._shape(lo, hi - 1) for lo, hi in zip(self.edges, self.edges[1:])]
+        self.chunks = [self._chunks(hi - 1) for hi in self.edges[1:]]
 
-    def _shape(self, lo: int, hi: int) -> tuple[int, int]:
-        d = 2 * hi * (100 - self.percent) // (100 + self.percent)
+    def apart(self, sizes):
+        """Largest symmetric difference of two linked sets with that sum of sizes."""
+        return sizes * (100 - self.percent) // (100 + self.percent)
+
+    def _chunks(self, most: int) -> int:
+        d = self.apart(2 * most)
         if not d:
-            return 0, 0  # links are equal sets only
+            return 0  # links are equal sets only
         e = 0
         while e <= d:
             c = d + 1 + e
-            mean = lo / c
-            few = c * math.exp(-mean) * (1 + mean)
+            mean = most / c
+            few = c * math.exp(-mean) * (1 + mean)  # chunks with fewer than two shingles, about
             if e >= few + 2 * math.sqrt(few):
                 break
             e += max(1, e // 16)
-        return d + 1 + e, e
+        return d + 1 + e
 
     def of(self, n: int) -> int:
         return int(np.searchsorted(self.edges, n, side="right")) - 1
@@ -115,7 +120,7 @@ class Bands:
         return range(self.of(n), self.of(n * 100 // self.percent) + 1)
 
     def sketch(self, grams: np.ndarray, band: int) -> np.ndarray:
-        c, _ = self.shape[band]
+        c = self.chunks[band]
         words = np.zeros(c, np.uint64)
         if c:
             np.bitwise_xor.at(words, (((grams >> _U(32)) * _U(c)) >> _U(32)).astype(np.int64), _U(1) << (grams & _U(63)))
@@ -123,22 +128,24 @@ class Bands:
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
         """Join keys (signed 64-bit hashes of band, chunk and its bits) of a set."""
-        out = []
-        for band in self.listed(len(grams)):
-            c, _ = self.shape[band]
-            if c:
-                words = self.sketch(grams, band)
-                keys = self.key(words, np.arange(c), band)
-                out.append(keys[self.kept(words[None], band)[0]])
+        out, n = [], len(grams)
+        for band in self.listed(n):
+            words = self.sketch(grams, band)
+            if len(words):
+                keys = self.key(words, np.arange(len(words)), band)
+                out.append(keys[self.kept(words[None], np.array([n]), band)[0]])
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
     def key(self, words: np.ndarray, chunk: np.ndarray, band: int) -> np.ndarray:
         return mix(words ^ mix(chunk.astype(np.uint64) + _U(int(band) << 40))).view(np.int64)
 
-    def kept(self, words: np.ndarray, band: int) -> np.ndarray:
-        """Which chunks of each sketch (a row) are listed."""
-        low = np.bitwise_count(words) < 2
-        return ~low | (low.sum(1) > self.shape[band][1])[:, None]
+    def kept(self, words: np.ndarray, n: np.ndarray, band: int) -> np.ndarray:
+        """Which chunks of each sketch (a row, of a set of n shingles) are listed: the first d + 1,
+        those with more bits before those with fewer, then by the hash of the key."""
+        d = self.apart(n + np.minimum(self.edges[band + 1] - 1, n * 100 // self.percent))
+        order = (_U(64) - np.bitwise_count(words).astype(np.uint64)) << _U(57) | self.key(words, np.arange(words.shape[1]), band).view(np.uint64) >> _U(7)
+        rank = np.argsort(np.argsort(order, axis=1, kind="stable"), axis=1, kind="stable")
+        return (rank <= d[:, None]) & (d > 0)[:, None]
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         """Whether two sets link, exactly."""
@@ -314,9 +321,11 @@ class Group:
     def flagged(self, key: int) -> list[int]:
         """Members in a near pair whose first common key is this one; so a pair counts in one key."""
         out: set[int] = set()
+        last = None
         for band, words, k, can, listed in self.near():
-            kept = self.bands.kept(words[np.r_[can, k]], band)
-            common = (words[can] == words[k]) & kept[:-1] & kept[-1]
+            if band != last:
+                last, kept = band, self.bands.kept(words, self.n[listed], band)
+            common = (words[can] == words[k]) & kept[can] & kept[k]
             first = common.argmax(1)
             here = can[common.any(1) & (self.bands.key(words[k, first], first, band) == key)]
             if len(here):

@@ -377,6 +377,22 @@ def test_sketch_bounds_the_difference():
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
 
 
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_linked_sets_share_a_key(percent):
+    """Sets as far apart as a link allows, of all sizes and on both sides of band edges."""
+    bands, r, linked = ngram_join.Bands(percent), np.random.default_rng(percent), 0
+    for n in [1, 4, 5, 8, 9, 15, 16, 17, 31, 60, 64, 100, 127, 128, 250, 256, 300, 1000]:
+        for _ in range(40):
+            a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+            gone = r.integers(0, n * (100 - percent) // 100 + 1)
+            room = max(0, (n - gone) * 100 // percent - n)  # at most these may be added
+            b = np.unique(np.r_[r.permutation(a)[gone:], r.integers(0, 1 << 63, r.integers(0, room + 1)).astype(np.uint64)])
+            if bands.linked(a, b) and len(np.setxor1d(a, b)):
+                linked += 1
+                assert np.intersect1d(bands.keys(a), bands.keys(b)).size
+    assert linked > 300
+
+
 # ---- line quality ---------------------------------------------------------------------------------------------
 
 
