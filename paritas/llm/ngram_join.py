@@ -14,8 +14,10 @@ among these. A document is listed in its own band and in the next one when a doc
 link to it.
 
 Join. Equal chunks meet by key. 1. Every member of a key is paired with the key's least
-node; the pairs (linear in the members) pass the bound of a small sketch of fixed size, then
-that of the sketch, and are verified on the sets. Components of these links label the nodes. 2. Members of a key that still differ
+node; the pairs (linear in the members) pass the bound of a small sketch of fixed size and are
+verified on the sets: one pair of each node first, then those that components of the links
+found so far leave apart. Components of all these links label the nodes.
+2. Members of a key that still differ
 in label are compared with each other in blocks of bounded size, block against block: the
 sketch's bound first, then the sets, and only links that join two labels are emitted. A key
 with two members needs no second step, and a group of copies is resolved by the first. So
@@ -248,27 +250,6 @@ def _near_small(percent: int):
     return run
 
 
-def _near(bands: Bands):
-    """Keeps pairs whose sketches allow a link."""
-    p = bands.percent
-
-    def run(batches):
-        for b in batches:
-            keep = []
-            for na, nb, sa, sb in zip(*(b.column(n).to_pylist() for n in ("na", "nb", "sa", "sb"))):
-                if na > nb:
-                    na, nb, sa, sb = nb, na, sb, sa
-                at = bands.of(nb) - bands.of(na)
-                ok = 100 * na >= p * nb and at < len(sa)
-                if ok:
-                    apart = (int.from_bytes(sa[at], "little") ^ int.from_bytes(sb[0], "little")).bit_count()
-                    ok = (100 + p) * apart <= (100 - p) * (na + nb)
-                keep.append(ok)
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def _verify(bands: Bands):
     def run(batches):
         for b in batches:
@@ -437,10 +418,17 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
             pairs = pairs.join(table.select(F.col("node").alias(side), *(F.col(c).alias(x + side) for x, c in columns.items())), side)
         return pairs
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        return written(sides(pairs, grams_of(ends(pairs)), g="grams").mapInArrow(_verify(bands), "a long, b long"))
+
     stars = members.filter(F.col("node") != F.col("lo")).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
     near = written(sides(stars, nodes, n="n", s="small").mapInArrow(_near_small(percent), "a long, b long"))
-    near = written(sides(sides(near, nodes, n="n"), sketches_of(ends(near)), s="sketches").mapInArrow(_near(bands), "a long, b long"))
-    links = written(sides(near, grams_of(ends(near)), g="grams").mapInArrow(_verify(bands), "a long, b long"))
+    links = verified(written(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
+    roots = components(links)
+    for side in "ab":  # the pairs that these links leave apart
+        near = near.join(roots.select(F.col("node").alias(side), F.col("root").alias("r" + side)), side, "left")
+    apart = F.coalesce("ra", "a") != F.coalesce("rb", "b")
+    links = written(links.unionByName(verified(written(near.filter(apart).select("a", "b")))))
     roots = components(links)
 
     def look(rest: DataFrame, work, *columns: str, schema: str = "key long, task string, node long, label long") -> DataFrame:
