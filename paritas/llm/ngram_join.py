@@ -14,7 +14,7 @@ among these. A document is listed in its own band and in the next one when a doc
 link to it.
 
 Join. Equal chunks meet by key. 1. Every member of a key is paired with the key's least
-node; the pairs (linear in the members) pass the bound of a small sketch of fixed size and are
+node; the pairs (linear in the members) pass the bound of a small sketch (two to four bits a shingle) and are
 verified on the sets: one pair of each node first, then those that components of the links
 found so far leave apart. Components of all these links label the nodes.
 2. Members of a key that still differ
@@ -47,7 +47,7 @@ from paritas.llm.components import components
 
 #: Shingles of a block of the second step (8 bytes each), and words a worker remembers.
 BLOCK_SHINGLES, WORDS = 2_000_000, 100_000
-#: Places of the broadcast bitmap that spares rereading texts nobody asks for (a prime; 4 MB), and bits of the small sketch.
+#: Places of the broadcast bitmap that spares rereading texts nobody asks for (a prime; 4 MB), and least bits of the small sketch.
 PLACES, SMALL = 33_554_393, 512
 _HASHES: dict[bytes, bytes] = {}
 _U = np.uint64
@@ -182,8 +182,17 @@ def _keys(k: int, bands: Bands):
 
 
 def small_sketch(grams: np.ndarray) -> bytes:
-    """One parity sketch of ``SMALL`` bits, alike for all sizes."""
-    return np.packbits((np.bincount(((grams >> _U(9)) % _U(SMALL)).astype(np.int64), minlength=SMALL) & 1).astype(np.uint8)).tobytes()
+    """One parity sketch of a power of two of bits, two to four a shingle and ``SMALL`` at least; ``fold`` makes it shorter."""
+    bits = max(SMALL, 2 << (len(grams) - 1).bit_length())
+    return np.packbits((np.bincount(((grams >> _U(9)) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def fold(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Small sketches (rows of 64-bit words) as they are with ``width`` words."""
+    while sketches.shape[1] > width:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -242,8 +251,13 @@ def _near_small(percent: int):
     def run(batches):
         for b in batches:
             na, nb = b.column("na").to_numpy(), b.column("nb").to_numpy()
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, SMALL // 64) for c in ("sa", "sb"))
-            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            sa, sb = b.column("sa").to_pylist(), b.column("sb").to_pylist()
+            wide = np.array([(len(x) // 8, len(y) // 8) for x, y in zip(sa, sb)]).reshape(-1, 2)
+            apart = np.zeros(len(sa), np.int64)
+            for wa, wb in np.unique(wide, axis=0).tolist():
+                at = np.flatnonzero((wide == (wa, wb)).all(1))
+                x, y = (fold(np.frombuffer(b"".join(s[i] for i in at), np.uint64).reshape(-1, w), min(wa, wb)) for s, w in ((sa, wa), (sb, wb)))
+                apart[at] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
             ok = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & ((100 + percent) * apart <= (100 - percent) * (na + nb))
             yield b.select(["a", "b"]).filter(pa.array(ok))
 
@@ -289,7 +303,9 @@ class Group:
     def close(self) -> list[int]:
         """Members with a member of another label whose small sketch allows a link."""
         p, n, out = self.bands.percent, self.n, np.zeros(len(self.n), bool)
-        words = np.stack([np.frombuffer(r[3], np.uint64) for r in self.rows])
+        words = [np.frombuffer(r[3], np.uint64)[None] for r in self.rows]
+        width = min(x.shape[1] for x in words)  # a key's sizes are of one band: at most twice as wide
+        words = np.concatenate([fold(x, width) for x in words])
         for i in range(1, len(n)):
             first = np.searchsorted(n[:i] * 100, p * n[i])
             can = np.flatnonzero(self.label[first:i] != self.label[i]) + first

@@ -375,6 +375,10 @@ def test_sketch_bounds_the_difference():
         b = np.unique(np.r_[a[r.random(len(a)) > 0.1], r.integers(0, 1 << 63, 12).astype(np.uint64)])
         x, y = (bands.sketch(s, bands.of(max(len(a), len(b)))) for s in (a, b))
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        b = a[: r.integers(1, len(a))]  # sketches of unlike widths
+        x, y = (np.frombuffer(ngram_join.small_sketch(s), np.uint64)[None] for s in (np.r_[a, a + np.uint64(1 << 20)], b))
+        apart = np.bitwise_count(ngram_join.fold(x, y.shape[1]) ^ y).sum()
+        assert x.shape[1] > y.shape[1] and apart <= 2 * len(a) - len(b)
 
 
 @pytest.mark.parametrize("percent", [80, 85, 90])
