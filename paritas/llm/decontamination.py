@@ -1,4 +1,4 @@
-"""Benchmark decontamination by latent semantic retrieval.
+"""Benchmark decontamination by word shares, with latent semantic scores.
 
 1. Words of the benchmark are the terms. Their document frequencies come from one pass over
    all documents (partial sums per task).
@@ -9,13 +9,17 @@
    corpus into the space of the benchmark keeps the directions that tell its items apart;
    the leading directions of the corpus itself are its most common words.
 3. Every document is cut into overlapping passages, for each item size of so many steps of
-   ``BASE`` words that start a quarter of the size apart. Passages whose terms weigh (summed
-   squares) at least ``weight`` times the lightest item of their size are folded in. Cosine candidates are pairs whose latent score reaches ``cosine`` times what the item
-   itself scores.
+   ``BASE`` words that start a quarter of the size apart, with a margin of half the size on
+   both sides. Candidates are the pairs that the check below can accept: the passage has as
+   many words of the item as the smallest accepted share asks for, counted first by place,
+   then with no term more often than in the item. Both counts are at least the longest common
+   subsequence, so nothing that the check accepts is left out.
 4. Candidates are checked on words: the longest common subsequence of the item and the
-   passage with a margin on both sides. A share of ``verbatim`` of the item is a copy; a share
+   passage with its margins. A share of ``verbatim`` of the item is a copy; a share
    of ``paraphrase`` is a leak when the item's answer (its last sentence) is there by a share
    of ``answer``. Items of under ``SHORT`` words must stand there word for word.
+5. The latent score of a leak is given as its ``cosine`` and decides between passages with
+   equal shares; it leaves no pair out.
 
 The benchmark is worked through in blocks of at most ``BLOCK`` items and 2^16 - 2 terms, so
 what a task holds is bounded; each block is one more pass over the documents. Whole texts
@@ -160,28 +164,42 @@ def singular_vectors(items: DataFrame, number: dict[str, int], idf: np.ndarray,
 class Index:
     """What a task needs of a block of items: terms, folded terms, items by passage size."""
 
-    def __init__(self, rows: list[tuple[int, str]], number: dict[str, int], idf: np.ndarray, vectors: np.ndarray, cosine: float,
-                 weight: float, verbatim: float, paraphrase: float, answer: float):
+    def __init__(self, rows: list[tuple[int, str]], number: dict[str, int], idf: np.ndarray, vectors: np.ndarray,
+                 verbatim: float, paraphrase: float, answer: float):
         self.number, self.weights = number, idf.astype(np.float32)
         self.folded = (idf[:, None] * vectors).astype(np.float32)
         self.verbatim, self.paraphrase, self.answer = verbatim, paraphrase, answer
-        terms, self.items, self.answers, self.sizes = Terms(number), [], [], {}
+        self.least = min(verbatim, paraphrase)
+        terms, self.items, self.answers, self.latent, self.sizes = Terms(number), [], [], [], {}
         for item_id, text in rows:
             words = terms.encode(text)
             if not len(words):
                 continue
-            size = max(2, -(-len(words) // BASE))
             q = self.folded[words].sum(0)
-            t, w = _tf_idf(terms, idf, text)
-            own = float(q @ q) / float(np.sqrt(w @ w)) / max(1e-12, float(np.sqrt(q @ q)))  # what the item itself scores
-            self.sizes.setdefault(size, []).append((len(self.items), q / max(1e-12, float(np.sqrt(q @ q))), cosine * own, weight * float(w @ w)))
+            self.sizes.setdefault(max(2, -(-len(words) // BASE)), []).append(len(self.items))
+            self.latent.append(q / max(1e-12, float(np.sqrt(q @ q))))
             self.items.append((item_id, words.tolist()))
             self.answers.append(terms.encode(answer_of(text)).tolist())
-        self.sizes = {s: (np.array([x[0] for x in v]), np.stack([x[1] for x in v]), np.array([x[2] for x in v], np.float32), max(1e-9, min(x[3] for x in v))) for s, v in self.sizes.items()}
+        self.tables: dict | None = None  # made in the task: terms x items
+
+    def _needed(self, item: int) -> int:
+        """Words of the item that any accepted passage has."""
+        n = len(self.items[item][1])
+        return n if n < SHORT else next((k for k in range(1, n) if k / n >= self.least), n)
+
+    def _table(self, which: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items, the words they need, and how often a term (row) stands in an item (255: that often or more)."""
+        often = np.zeros((len(self.number) + 1, len(which)), np.uint8)
+        for j, i in enumerate(which):
+            t, n = np.unique(self.items[i][1], return_counts=True)
+            often[t, j] = np.minimum(n, 255)
+        return np.array(which), np.array([self._needed(i) for i in which]), often
 
     def matches(self, docs: list[np.ndarray]) -> list[list[tuple[int, float, float, float]]]:
         """Per document the (item_id, cosine, overlap, answer) of what it leaks."""
         out: list[dict] = [{} for _ in docs]
+        if self.tables is None:
+            self.tables = {size: self._table(which) for size, which in self.sizes.items()}
         steps = np.array([-(-len(d) // BASE) for d in docs], np.int64)
         if not self.sizes or not steps.sum():
             return [[] for _ in docs]
@@ -190,33 +208,54 @@ class Index:
         for d, at in zip(docs, first):
             flat[at * BASE: at * BASE + len(d)] = d
         grid = flat.reshape(-1, BASE)
-        heavy = np.concatenate([[0.0], np.cumsum((self.weights[grid] ** 2).sum(1, dtype=np.float64))])
-        grid = np.vstack([grid, np.zeros((1, BASE), np.uint16)])  # an empty step past the end
-        for size, (which, q, least, light) in self.sizes.items():
-            apart = max(1, size // 4)
+        for size, (which, need, often) in self.tables.items():
+            apart, side = max(1, size // 4), -(-size // 2)
             count = np.where(steps, 1 - (np.minimum(0, size - steps) // apart), 0)
             ends = np.cumsum(count)
             doc = np.repeat(np.arange(len(docs)), count)
             start = first[doc] + (np.arange(ends[-1]) - np.repeat(ends - count, count)) * apart
-            end = np.minimum(start + size, first[doc + 1])
-            energy = heavy[end] - heavy[start]
-            can = np.flatnonzero(energy >= light)
-            for part in (can[i: i + 1000] for i in range(0, len(can), 1000)):
-                at = start[part][:, None] + np.arange(size)
-                words = grid[np.where(at < end[part][:, None], at, len(grid) - 1)].reshape(len(part), -1)
-                y = self.folded[words[:, 0]]
-                for r in range(1, words.shape[1]):
-                    y += self.folded[words[:, r]]
-                score = (y @ q.T) / np.sqrt(energy[part]).astype(np.float32)[:, None]
-                for w, j in zip(*np.nonzero(score >= least)):
-                    d, item = int(doc[part[w]]), int(which[j])
-                    here, margin = int(start[part[w]] - first[d]) * BASE, size * BASE // 2
-                    self._check(out[d], item, float(score[w, j]), docs[d][max(0, here - margin): here + size * BASE + margin].tolist())
+            low, high = np.maximum(first[doc], start - side), np.minimum(first[doc + 1], start + size + side)
+            each = max(1, 1000 // apart)
+            for i in range(0, len(start), each):
+                for w, j in zip(*self._candidates(grid, low[i: i + each], high[i: i + each], need, often)):
+                    d, item = int(doc[i + w]), int(which[j])
+                    here, margin = int(start[i + w] - first[d]) * BASE, size * BASE // 2
+                    passage = docs[d][here: here + size * BASE]
+                    self._check(out[d], item, self._score(passage, item), docs[d][max(0, here - margin): here + size * BASE + margin].tolist())
         return [[(self.items[i][0], *v) for i, v in sorted(o.items())] for o in out]
 
+    @staticmethod
+    def _candidates(grid: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (passage, item) of steps ``low`` to ``high`` with as many words of the item as it needs."""
+        a, z = int(low[0]), int(high[-1])  # both rise from passage to passage
+        places = np.zeros((z - a + 1, len(need)), np.int32)
+        for r in range(BASE):
+            places[1:] += often[grid[a:z, r]] > 0
+        np.cumsum(places, axis=0, out=places)
+        w, j = np.nonzero(places[high - a] - places[low - a] >= need)
+        if not len(w):
+            return w, j
+        some, at = np.unique(w, return_inverse=True)
+        step = low[some][:, None] + np.arange(int((high - low).max()))
+        words = np.where((step < high[some][:, None])[:, :, None], grid[np.minimum(step, len(grid) - 1)], 0).reshape(len(some), -1)
+        words.sort(1)
+        place = np.arange(words.shape[1])
+        begins = np.ones(words.shape, bool)
+        begins[:, 1:] = words[:, 1:] != words[:, :-1]
+        again = np.minimum(place - np.maximum.accumulate(np.where(begins, place, 0), 1), 254).astype(np.uint8)  # earlier places of the term
+        keep, each = np.zeros(len(w), bool), max(1, 500_000 // words.shape[1])
+        for k in range(0, len(w), each):
+            p = at[k: k + each]
+            keep[k: k + each] = (again[p] < often[words[p], j[k: k + each, None]]).sum(1) >= need[j[k: k + each]]
+        return w[keep], j[keep]
+
+    def _score(self, passage: np.ndarray, item: int) -> float:
+        energy = float((self.weights[passage] ** 2).sum(dtype=np.float64))
+        return float(self.folded[passage].sum(0) @ self.latent[item]) / energy ** 0.5 if energy else 0.0
+
     def _check(self, found: dict, item: int, cosine: float, span: list[int]) -> None:
         words, answer = self.items[item][1], self.answers[item]
-        if sum(map(set(span).__contains__, words)) < self.paraphrase * len(words):
+        if sum(map(set(span).__contains__, words)) < self._needed(item):
             return  # the common subsequence is shorter still
         if len(words) < SHORT:
             overlap = 1.0 if stands_in(words, span) else 0.0
@@ -227,7 +266,7 @@ class Index:
             found[item] = max(found.get(item, (-2.0, 0.0, 0.0)), (min(1.0, cosine), overlap, said), key=lambda v: (v[1], v[2], v[0]))
 
 
-def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cosine: float, weight: float, verbatim: float, paraphrase: float, answer: float, rank: int):
+def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, verbatim: float, paraphrase: float, answer: float, rank: int):
     """An index for each block of items, one after another."""
     python_path(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -250,11 +289,11 @@ def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, cosine:
         idf = np.log((df[0] + 1) / (np.minimum(df, df[0]) + 1)) + 0.1
         idf[0] = 0.0
         vectors = singular_vectors(part, number, idf, min(rank, len(rows), len(number)))
-        yield Index(rows, number, idf, vectors, cosine, weight, verbatim, paraphrase, answer)
+        yield Index(rows, number, idf, vectors, verbatim, paraphrase, answer)
         done += 1
 
 
-OPTIONS = {"cosine": 0.6, "weight": 0.5, "verbatim": 0.75, "paraphrase": 0.55, "answer": 0.8, "rank": RANK}
+OPTIONS = {"verbatim": 0.75, "paraphrase": 0.55, "answer": 0.8, "rank": RANK}
 
 
 def _slices(batches, index: Index):

@@ -253,6 +253,44 @@ def test_leaks_copies_and_paraphrases(spark):
     assert decontamination.search(frame, bench.limit(0)).count() == 0 and decontamination.clean(frame.limit(0), bench).count() == 0
 
 
+def _checked(docs, items, options=decontamination.OPTIONS):
+    """(doc_id, item_id) that the check accepts in any window, each pair checked."""
+    out, base = set(), decontamination.BASE
+    for d, text in docs:
+        words = decontamination.words_of(text)
+        for i, item in items:
+            want, answer = decontamination.words_of(item), decontamination.words_of(decontamination.answer_of(item))
+            size = max(2, -(-len(want) // base))
+            apart, margin = max(1, size // 4) * base, size * base // 2
+            for at in range(0, max(1, len(words) - size * base + apart), apart):
+                span = words[max(0, at - margin): at + size * base + margin]
+                same = decontamination.common_subsequence(want, span) / len(want)
+                if same >= options["verbatim"] or same >= options["paraphrase"] and decontamination.common_subsequence(answer, span) >= options["answer"] * len(answer):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_no_paraphrase_that_the_check_accepts_is_left_out(spark):
+    r = random.Random(8)
+    items = [(x.item_id, x.text) for x in read(spark, SF_SMALL, "benchmark").orderBy("item_id").limit(25).collect()]
+    texts = [decontamination.words_of(x.text) for x in read(spark, SF_SMALL, "documents").orderBy("doc_id").limit(120).collect()]
+    seen = collections.Counter(w for t in texts for w in set(t))
+    pool, docs = [w for t in texts for w in t], []
+    for k in range(150):
+        item = r.choice(items)[1]
+        words, kept = decontamination.words_of(item), len(decontamination.words_of(decontamination.answer_of(item)))
+        rare = sorted(range(len(words) - kept), key=lambda j: seen[words[j]])  # the rarest are exchanged, the last sentence stays
+        for j in rare[: round(r.uniform(0.2, 0.45) * len(words))]:
+            words[j] = r.choice(pool)
+        near = r.choice(texts)
+        docs.append((k, " ".join(near[:r.randint(0, 60)] + words + near[60: 60 + r.randint(0, 60)])))
+    want = _checked(docs, items)
+    assert len(want) > 100
+    got = decontamination.search(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == want
+
+
 # ---- neighbours ------------------------------------------------------------------------------------
 
 
