@@ -19,9 +19,9 @@ The templates of all hosts are a written table; the planner broadcasts it when i
 below the session's limit and otherwise joins by host, where AQE splits a hot host.
 
 Defined cases: a null or empty page has an empty text; a null url belongs to the host "";
-broken markup is closed by the next block or enclosing end tag; repeated pages count as
-they stand (a pair of equal rows leaves a class as it is); an empty table gives no rows;
-other columns are ignored.
+broken markup is closed by the next block or enclosing end tag; pages of a host with equal
+html count as one page of its template, however many rows they are, and each row gets its
+text; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -229,12 +229,12 @@ def main_text(page: str, template: dict) -> str:
 def _explode(batches):
     for b in batches:
         cols: list[list] = [[], [], [], [], [], []]
-        for page_id, host, page in zip(*(b.column(n).to_pylist() for n in ("page_id", "host", "html"))):
+        for sign, host, page in zip(*(b.column(n).to_pylist() for n in ("page", "host", "html"))):
             for token, (n, chars, links) in page_tokens(page or "").items():
-                for c, v in zip(cols, (page_id, host, token, n, chars, links)):
+                for c, v in zip(cols, (sign, host, token, n, chars, links)):
                     c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()))],
-                                         ["page_id", "host", "token", "n", "chars", "links"])
+                                         ["page", "host", "token", "n", "chars", "links"])
 
 
 def _deduce(batches):
@@ -243,12 +243,22 @@ def _deduce(batches):
         yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(found, pa.string())], ["host", "template"])
 
 
+def _different(pages: DataFrame) -> DataFrame:
+    """``page, host, html``: each html of a host once. Hashes are counted first; only html that
+    stands in several rows is shuffled, once per task."""
+    signed = pages.select("host", F.coalesce("html", F.lit("")).alias("html")).select(F.xxhash64("html").alias("page"), "host", "html")
+    again = written(signed.groupBy("host", "page").count().filter("count > 1").select("host", "page"))
+    if again.isEmpty():
+        return signed
+    once = signed.join(again, ["host", "page"], "left_anti").select(signed.columns)
+    return once.unionByName(signed.join(again, ["host", "page"], "left_semi").select(signed.columns).distinct())
+
+
 def templates(pages: DataFrame, min_share: float = 0.1) -> DataFrame:
-    """``host, template`` (JSON) of ``pages(page_id, host, html)``."""
+    """``host, template`` (JSON) of ``pages(host, html)``."""
     python_path(pages.sparkSession)
-    seen = (pages.select(F.col("page_id").cast("long").alias("page_id"), "host", "html")
-            .mapInArrow(_explode, "page_id long, host string, token string, n int, chars long, links long")
-            .withColumn("mark", F.xxhash64("page_id", "n"))
+    seen = (_different(pages).mapInArrow(_explode, "page long, host string, token string, n int, chars long, links long")
+            .withColumn("mark", F.xxhash64("page", "n"))
             .groupBy("host", "token").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.bit_xor("mark").alias("mark"),
                                           F.sum("chars").alias("chars"), F.sum("links").alias("links")))
     seen = written(seen.filter((F.col("pages") > 1) | F.col("token").startswith("+") | F.col("token").startswith("-") | (F.col("token") == "")))

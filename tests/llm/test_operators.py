@@ -353,6 +353,16 @@ def test_page_without_article_and_with_main(spark):
     assert html_template.extract(frame.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_without_article_keep_their_text(spark):
+    page = "<html><body><div>Copyright us</div><div><p>%s</p><p>and more</p></div></body></html>"
+    rows = [(k, f"http://three.example/{k}", page % "one text") for k in range(3)] + [(k, f"http://many.example/{k}", page % "one text") for k in range(10, 3010)]
+    rows += [(k, f"http://most.example/{k}", page % "one text") for k in range(4000, 4040)]
+    rows += [(k, f"http://most.example/{k}", "<html><body><div>Copyright us</div><div><p>other %d</p></div></body></html>" % k) for k in (4100, 4101)]
+    got = {x.page_id: x.text for x in html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and {got[k] for k in [*range(3), *range(10, 3010)]} == {"Copyright us one text and more"}
+    assert {got[k] for k in range(4000, 4040)} == {"one text and more"} and got[4100] == "other 4100" and got[4101] == "other 4101"
+
+
 # ---- n-gram join ------------------------------------------------------------------------------------------
 
 
