@@ -5,7 +5,8 @@ and reread as the next stage's ``docs``; all but the last keep the columns of ``
 
 Defined cases: null texts are empty; a row without a ``doc_id`` is never a duplicate; equal
 rows (same ``doc_id`` and text) count as one document and one stays, rows that share a
-``doc_id`` with different texts stay unless another group keeps them out; empty tables give
+``doc_id`` with different texts are each decided in their own text's group, so one row of
+each group stays; empty tables give
 empty results, but training needs labels of both classes (``ValueError`` otherwise).
 """
 
@@ -30,17 +31,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group."""
+    """Keeps the row with the least id of each group."""
     _, found = ngram_join.join(docs, words=SHINGLE_WORDS, percent=SIMILARITY)
-    found = written(found.select("doc_id", "component_id"))
-    drop = written(found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
-    kept = docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    found = written(found.select("doc_id", "node", "stays"))
+    drop = written(found.filter(~F.col("stays")).select("doc_id", "node").distinct())
     again = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if again.isEmpty():
-        return kept
+        return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
     again = written(again)
-    return (kept.join(again, "doc_id", "left_anti").select(docs.columns)
-            .unionByName(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])))
+    once = docs.join(again, "doc_id", "left_anti").join(drop, "doc_id", "left_anti").select(docs.columns)
+    rows = ngram_join.with_nodes(docs.join(again, "doc_id", "left_semi").select(docs.columns), SHINGLE_WORDS, "_node")
+    rows = rows.join(drop.withColumnRenamed("node", "_node"), ["doc_id", "_node"], "left_anti").withColumn("_text", F.when(F.col("_node").isNull(), F.col("text")))
+    return once.unionByName(rows.dropDuplicates(["doc_id", "_node", "_text"]).select(docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

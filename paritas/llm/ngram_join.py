@@ -28,7 +28,8 @@ stands for the set: two different sets of N share it with odds of about N^2 / 3.
 
 Defined cases: a null or empty text has no set and links with nothing; a text of fewer words
 than a shingle is one shingle; a null ``doc_id`` links with nothing and has a null
-component; rows that repeat a ``doc_id`` are one document with several texts; an empty
+component; rows that repeat a ``doc_id`` are one document with several texts, whose groups
+are one component, while ``stays`` is decided in each text's own group; an empty
 table gives no rows; columns other than ``doc_id`` and ``text`` are ignored.
 """
 
@@ -41,6 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from paritas.llm.common import python_path, written
 from paritas.llm.components import components
@@ -169,6 +171,16 @@ def _sets(k: int):
     return run
 
 
+def with_nodes(docs: DataFrame, words: int, name: str) -> DataFrame:
+    """``docs`` with the node of each row's text in a column ``name`` (null without a set)."""
+    def run(batches):
+        for b in batches:
+            got = [shingles(t, words) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([node_of(g) if len(g) else None for g in got], pa.int64())], [*b.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
 def _keys(k: int, bands: Bands):
     def run(batches):
         for batch in batches:
@@ -411,7 +423,8 @@ def _unresolved(members: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataF
 def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Links between different sets and the documents:
     (``a, b`` nodes of verified links, enough to connect every component;
-    ``doc_id, n_shingles, node, component_id``, one row per row of ``docs``)."""
+    ``doc_id, n_shingles, node, component_id, stays``, one row per row of ``docs``; ``stays`` is
+    true for the least ``doc_id, node`` of a group of linked texts and for rows that link with nothing)."""
     spark = docs.sparkSession
     python_path(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -457,10 +470,21 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     more = look(rest.join(sizes, "node").join(sketches, "node").join(grams_of(rest), "node"), _link_groups(bands), "sketches", "grams", schema="a long, b long")
     links = written(links.unionByName(more))
     roots = components(links)
-    labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = labels.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = labels.join(least, "root").select("node", "component_id")
-    documents = (sets.join(named, "node", "left")
+
+    def named(roots: DataFrame) -> DataFrame:
+        labels = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        least = labels.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+        return labels.join(least, "root").select("node", "least", F.col("least.doc_id").alias("component_id"))
+
+    names = named(roots)
+    several = written(sets.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
+                      .groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a"))
+    if not several.isEmpty():  # documents with different texts join the groups of these
+        same = sets.join(several, "doc_id").filter(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
+        names = names.drop("component_id").join(named(components(links.unionByName(same))).drop("least"), "node")
+    least = (F.col("doc_id") == F.col("least.doc_id")) & (F.col("node") == F.col("least.node"))
+    documents = (sets.join(names, "node", "left")
                  .select("doc_id", F.col("n").alias("n_shingles"), "node",
-                         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+                         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+                         F.when(F.col("doc_id").isNotNull() & F.col("node").isNotNull(), least).otherwise(F.lit(True)).alias("stays")))
     return links, documents

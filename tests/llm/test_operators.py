@@ -445,6 +445,18 @@ def test_linked_sets_share_a_key(percent):
     assert linked > 300
 
 
+def test_one_row_of_each_group_stays_when_a_document_has_two_texts(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(3, x), (5, x), (5, y), (9, y), (9, y), (7, z), (7, z + " end"), (11, ""), (11, None), (None, x), (None, x)]
+    frame = spark.createDataFrame(rows, DOCS).withColumn("other", F.lit("o"))
+    _, found = ngram_join.join(frame, words=corpus_pipeline.SHINGLE_WORDS, percent=corpus_pipeline.SIMILARITY)
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == {(3, 3), (5, 3), (9, 3), (7, 7), (11, 11), (None, None)}
+    kept = corpus_pipeline.near_duplicates(spark, frame, SF_SMALL)
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    assert kept.columns == frame.columns and sum(got[7, t] for t in (z, z + " end")) == 1
+    assert {k: n for k, n in got.items() if k[0] != 7} == {(3, x): 1, (5, y): 1, (11, ""): 1, (11, None): 1, (None, x): 2}
+
+
 # ---- line quality ---------------------------------------------------------------------------------------------
 
 
