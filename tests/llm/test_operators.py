@@ -291,6 +291,23 @@ def test_no_paraphrase_that_the_check_accepts_is_left_out(spark):
     assert {(x.doc_id, x.item_id) for x in got.collect()} == want
 
 
+def test_short_items_are_found_between_heavy_words(spark):
+    r = random.Random(12)
+    texts = [w for x in read(spark, SF_SMALL, "documents").orderBy("doc_id").limit(120).collect() if len(w := decontamination.words_of(x.text)) > 90]
+    items, docs = [], []
+    for k in range(60):
+        n, t = 3 + k % 5, r.choice(texts)
+        at = r.randint(0, len(t) - n)
+        items.append((k, " ".join(t[at: at + n])))
+        near = r.choice(texts)
+        docs.append((k, " ".join(near[:r.randint(0, 60)] + t[at: at + n] + near[60: 60 + r.randint(0, 30)])))
+    items += [(100, " ".join(w for t in texts for w in t))]  # every word of the texts is a term, and weighs
+    want = {(d, i) for d, t in docs for i, x in items if f" {x} " in f" {t} "}
+    assert len(want) >= 60
+    got = decontamination.search(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == want
+
+
 # ---- neighbours ------------------------------------------------------------------------------------
 
 
