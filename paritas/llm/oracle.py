@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from paritas.llm.chat import CONTROL, END, TEXT, TURN
 from paritas.llm.queries import RULES
+from paritas.llm.repair import DELETE, FULL, INSERT, REROLE, STATES, STEP, TRUNCATED
 from paritas.llm.url_reputation import STRENGTH
 
 
@@ -108,4 +109,79 @@ SELECT page_id, host, path, {_rule('rule')} AS rule,
 FROM post
 """
 
-ORACLES = {"op4_chat": CHAT, "op6_html_template": ARTICLE, "op7_ngram_join": NGRAM, "op9_url_reputation": URLS}
+#: CRC-32 of an ASCII string: the reflected polynomial, a byte at a time over a table made of eight shifts.
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({s}, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda c, b: xor(c // 256, t[(xor(c, b) % 256 + 1)::BIGINT])), 4294967295::UBIGINT)"""
+
+
+def _states(of: dict[int, list[str]]) -> str:
+    """The list of the four states' least (cost, audit, repaired text)."""
+    return "[" + ", ".join(f"list_sort(list_filter([{', '.join(of.get(q, [])) or 'NULL'}], lambda x: x IS NOT NULL AND x.c IS NOT NULL))[1]" for q in STATES) + "]"
+
+
+def _moved(p: int, cost: str, letter: str, text: str = "NULL") -> str:
+    """State ``p`` of ``l`` one edit further; ``text`` is the row it adds."""
+    add = f"CASE WHEN l[{p + 1}].t IS NULL THEN {text} ELSE l[{p + 1}].t || chr(10) || {text} END" if text != "NULL" else f"l[{p + 1}].t"
+    return f"CASE WHEN l[{p + 1}] IS NOT NULL THEN {{'c': l[{p + 1}].c + {cost}, 'a': l[{p + 1}].a || '{letter}', 't': {add}}} END"
+
+
+def _inserted(of: str) -> str:
+    """``of`` closed under insertions: two rounds, a third insertion leads nowhere new."""
+    for _ in range(2):
+        moves = {q: [f"l[{q + 1}]"] for q in STATES}
+        for i, full in FULL.items():
+            for p, q in STEP[i].items():
+                moves[q].append(_moved(p, str(INSERT), "I", f"'{full}:'"))
+        of = f"list_transform([{of}], lambda l: {_states(moves)})[1]"
+    return of
+
+
+def _edited() -> str:
+    """All edits of row ``r`` from the states ``l``."""
+    live, extra = "r.fault IS DISTINCT FROM 'blank' AND r.fault IS DISTINCT FROM 'duplicate'", f"CASE WHEN r.fault = 'truncated' THEN {TRUNCATED} ELSE 0 END"
+    moves = {p: [_moved(p, str(DELETE), "D")] for p in STATES}
+    for i in STEP:
+        for p, q in STEP[i].items():
+            moves[q].append(f"CASE WHEN {live} AND r.initial = '{i}' THEN {_moved(p, extra, 'K', chr(39) * 2 + ' || r.line')} END")
+            if i in FULL:
+                moves[q].append(f"CASE WHEN {live} THEN {_moved(p, f'{REROLE} + {extra}', 'R', chr(39) + FULL[i] + ':' + chr(39) + ' || r.text')} END")
+    return _states(moves)
+
+
+_NO_STATE = "{'c': NULL::BIGINT, 'a': '', 't': NULL::VARCHAR}"
+REPAIR = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END)) AS t),
+source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC.format(s="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM source WHERE fault <> 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i, left(role, 1) AS initial, role || ':' || text AS line,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged),
+r AS (
+  SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' END AS fault
+  FROM ranked),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank, count_if(fault = 'duplicate') AS duplicate,
+    count_if(fault = 'truncated') AS truncated, count_if(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM r GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {_inserted("[{'c': 0::BIGINT, 'a': '', 't': NULL::VARCHAR}, " + ", ".join([_NO_STATE] * 3) + "]")} AS l FROM counts
+  UNION ALL
+  SELECT w.conv_id, r.i, {_inserted("list_transform([w.l], lambda l: " + _edited() + ")[1]")} FROM walk w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1),
+ended AS (
+  SELECT c.*, list_sort(list_filter([l[1], l[4]], lambda x: x IS NOT NULL AND x.c IS NOT NULL))[1] AS best FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(best.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+ORACLES = {"op4_chat": CHAT, "op6_html_template": ARTICLE, "op7_ngram_join": NGRAM, "op9_url_reputation": URLS,
+           "op11_conversation_repair": REPAIR}
