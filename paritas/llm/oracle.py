@@ -4,6 +4,7 @@ trained models, tokenizers, approximate search) are held against brute force in
 from __future__ import annotations
 
 from paritas.llm.chat import CONTROL, END, TEXT, TURN
+from paritas.llm.licences import BASE, PHRASES
 from paritas.llm.queries import RULES
 from paritas.llm.repair import DELETE, FULL, INSERT, REROLE, STATES, STEP, TRUNCATED
 from paritas.llm.url_reputation import STRENGTH
@@ -183,5 +184,29 @@ SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
+def _places(phrase: str) -> str:
+    """Where the words of ``phrase`` stand one after the other in ``w``, from 0."""
+    words = phrase.split(" ")
+    return f"list_filter(range(len(w)), lambda i: w[i + 1] = '{words[0]}' AND w[i + 1:i + {len(words)}] = {words})"
+
+
+def _labels(of: dict[str, str]) -> str:
+    found = ", ".join(f"CASE WHEN len({_places(p)}) > 0 THEN '{label}' END" for p, label in of.items())
+    return f"list_sort(list_distinct(list_filter([{found}], lambda x: x IS NOT NULL)))"
+
+
+#: Phrases only: an expression behind an identifier tag, of which the given tables have none, is left to tests/llm.
+LICENCES = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+p AS (
+  SELECT doc_id, len(w) AS n_words, flatten([{', '.join(map(_places, BASE))}]) AS base, {_labels(BASE)} AS base_labels, {_labels(BASE | PHRASES)} AS labels,
+    {' + '.join(f'len({_places(p)})' for p in PHRASES)} AS others
+  FROM d)
+SELECT doc_id, n_words::BIGINT AS n_words, len(base)::BIGINT AS n_base, list_min(base)::BIGINT AS first_word, list_max(base)::BIGINT AS last_word,
+  coalesce(array_to_string(base_labels, ','), '') AS base_labels, coalesce(array_to_string(labels, ','), '') AS labels, 1 - pow(0.5, len(base) + others) AS score
+FROM p
+"""
+
 ORACLES = {"op4_chat": CHAT, "op6_html_template": ARTICLE, "op7_ngram_join": NGRAM, "op9_url_reputation": URLS,
-           "op11_conversation_repair": REPAIR}
+           "op11_conversation_repair": REPAIR, "op12_licence_scan": LICENCES}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import chat, decontamination, html_template, line_quality, neighbours, ngram_join, packing, repair, sharding, token_files, url_reputation
+from paritas.llm import chat, decontamination, html_template, licences, line_quality, neighbours, ngram_join, packing, repair, sharding, token_files, url_reputation
 from paritas.llm.common import read, scratch
 from paritas.llm.tokens import default_vocabulary
 
@@ -84,9 +84,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(turns), turns.select("conv_id"))
 
 
+def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding, "op2_decontamination": op2_decontamination, "op3_neighbours": op3_neighbours, "op4_chat": op4_chat,
     "op5_packing": op5_packing, "op6_html_template": op6_html_template, "op7_ngram_join": op7_ngram_join, "op8_line_quality": op8_line_quality,
     "op9_url_reputation": op9_url_reputation, "op10_token_files": op10_token_files,
-    "op11_conversation_repair": op11_conversation_repair,
+    "op11_conversation_repair": op11_conversation_repair, "op12_licence_scan": op12_licence_scan,
 }
