@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm import chat, decontamination, html_template, licences, line_quality, neighbours, ngram_join, packing, repair, sharding, token_files, url_reputation
+from paritas.llm import alignment, chat, decontamination, html_template, licences, line_quality, neighbours, ngram_join, packing, repair, sharding, token_files, url_reputation
 from paritas.llm.common import read, scratch
-from paritas.llm.tokens import default_vocabulary
+from paritas.llm.tokens import default_piece_vocabulary, default_vocabulary
 
 SHARDS = {f"shard-{k:03d}": 1 + (k % 8 == 0) for k in range(96)}  # every eighth has twice the room
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -88,9 +88,13 @@ def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read(spark, sf_dir, "documents"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read(spark, sf_dir, "documents"), default_vocabulary(), default_piece_vocabulary())
+
+
 QUERIES = {
     "op1_sharding": op1_sharding, "op2_decontamination": op2_decontamination, "op3_neighbours": op3_neighbours, "op4_chat": op4_chat,
     "op5_packing": op5_packing, "op6_html_template": op6_html_template, "op7_ngram_join": op7_ngram_join, "op8_line_quality": op8_line_quality,
     "op9_url_reputation": op9_url_reputation, "op10_token_files": op10_token_files,
-    "op11_conversation_repair": op11_conversation_repair, "op12_licence_scan": op12_licence_scan,
+    "op11_conversation_repair": op11_conversation_repair, "op12_licence_scan": op12_licence_scan, "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }

@@ -97,3 +97,9 @@ def default_vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def default_piece_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
