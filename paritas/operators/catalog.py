@@ -254,8 +254,9 @@ def fk_type_mismatch(meta: DataFrame) -> DataFrame:
                     F.inline(F.filter(F.array(*items), lambda x: x.isNotNull())))
 
 
-def fk_edges(cat: CatalogTables, qualified: bool = False) -> DataFrame:
-    """DM8: (parent_table, referenced_table) per foreign key, by table name (or schema.table)."""
+def fk_edges(cat: CatalogTables, qualified: bool = True) -> DataFrame:
+    """DM8: (parent_table, referenced_table) per foreign key, by schema.table; with ``qualified=False`` by
+    table name alone, which takes tables of equal name in two schemas for one."""
     tabs = _tables(cat)
     name = F.concat_ws(".", "schema_name", "table_name") if qualified else F.col("table_name")
     t = tabs.select("object_id", name.alias("n"))

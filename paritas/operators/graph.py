@@ -1,18 +1,24 @@
 """Cycles in a foreign-key (or any directed) graph (G8), as iterative DataFrame jobs.
 
-0. Self-loops are cycles of length one; they are taken out first (a self-reference keeps
+Every step is linear in nodes and edges: no pairs of nodes are formed.
+
+1. Self-loops are cycles of length one; they are taken out first (a self-reference keeps
    its node alive through every trim below and would stall them).
-1. ``peel``: drop edges whose source has no in-edge or whose target has no out-edge, to a
-   fixpoint; only cycle cores and paths between them stay.
-2. ``strongly_connected``: SCC labels, phase by phase: trim nodes without an in- or
+2. A graph with at most one out-edge per node (one foreign key per table) needs no search: by
+   pointer doubling each node knows where it stands after 2^k steps. After as many
+   steps as there are nodes only cycle nodes are reached, and each of them is.
+3. Otherwise ``peel`` drops edges whose source has no in-edge or whose target has no
+   out-edge. Single rounds take off leaves; chains go as a whole: a node with one
+   out-edge follows it by pointer doubling to the end of its chain, and is dropped when
+   nothing leads on from there (in-edges alike). So trees and chains of any length take a
+   number of rounds that grows with the logarithm of their size.
+4. ``strongly_connected``: SCC labels, phase by phase: trim nodes without an in- or
    out-edge (singletons), forward max-colour propagation, then backward reachability from
-   each colour's root inside its colour. Work per round is O(V + E); no node pairs are formed.
-3. ``fk_cycles``: the shortest cycle through a node is the SCC size when the SCC is a simple
-   ring (each node has one edge inside it); other SCCs get a breadth-first search over
-   (origin, node) pairs restricted to the SCC, so pairs never leave a component. When every
-   node of the peeled core has one out-edge (a functional graph such as one FK per table),
-   the core is a set of rings: all its nodes are on cycles and rings are labelled by pointer
-   doubling in log2 rounds instead of by colour propagation.
+   each colour's root inside its colour. Work per round is O(V + E).
+5. ``fk_cycles``: one witness path per component. A breadth-first tree grows from the
+   component's least node, all components at once, each node with its depth and one parent
+   (the least); the first level that leads back to the root closes the cycle, and the nodes between are marked
+   along the parent pointers by doubling. Components that are rings take positions from doubling, without a search.
 
 Every loop round cuts lineage with a reliable ``checkpoint()`` (directory from the
 session's ``spark.checkpoint.dir``), so executor loss recomputes at most one round.
@@ -25,31 +31,70 @@ from pyspark.sql import functions as F
 
 from paritas.session import reliable_checkpoint as _cut
 
+#: Leaf rounds before chains are followed; the edges that stay are the same for any number.
+LEAF_ROUNDS = 3
+
 
 def _edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
     return (edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
             .filter(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct())
 
 
-def _live(e: DataFrame) -> DataFrame:
-    """Nodes with both an in- and an out-edge in ``e``: one aggregation over both edge ends."""
+def _degrees(e: DataFrame) -> DataFrame:
+    """(node, o, i): whether a node has an out-edge and an in-edge, one aggregation over both edge ends."""
     ends = (e.select(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"))
             .unionByName(e.select(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))))
-    return (ends.groupBy("node").agg(F.max("o").alias("o"), F.max("i").alias("i"))
-            .filter((F.col("o") == 1) & (F.col("i") == 1)).select("node"))
+    return ends.groupBy("node").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
+
+
+def _live(e: DataFrame) -> DataFrame:
+    """Nodes with both an in- and an out-edge in ``e``."""
+    return _degrees(e).filter((F.col("o") > 0) & (F.col("i") > 0)).select("node")
+
+
+def _between(e: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The edges with both ends among ``nodes``."""
+    return (e.join(nodes, F.col("src") == F.col("node"), "left_semi")
+            .join(nodes, F.col("dst") == F.col("node"), "left_semi"))
+
+
+def _jump_ends(pointers: DataFrame) -> DataFrame:
+    """(node, end) for ``pointers`` (node, jump), one row per node: where a node's walk stops,
+    which is the first node without a pointer. Walks that run in a circle have no row."""
+    state = _cut(pointers.select("node", "jump", F.lit(True).alias("moving")))
+    n, span = state.count(), 1
+    while span <= n:
+        ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"))
+        state = _cut(state.join(ahead, "jump", "left")
+                     .select("node", F.coalesce("next", "jump").alias("jump"), F.col("next").isNotNull().alias("moving")))
+        if state.filter("moving").isEmpty():
+            break
+        span *= 2
+    return state.filter(~F.col("moving")).select("node", F.col("jump").alias("end"))
+
+
+def _dead_chains(e: DataFrame, src: str, dst: str) -> DataFrame:
+    """Nodes whose only ``src -> dst`` way leads along nodes with one way on to a node without any."""
+    single = e.groupBy(F.col(src).alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min(dst).alias("jump")).filter("n = 1")
+    ends = _jump_ends(single.select("node", "jump"))
+    return ends.join(e.select(F.col(src).alias("end")), "end", "left_anti").select("node")
 
 
 def _peel(e: DataFrame) -> DataFrame:
     e = _cut(e)
-    n = e.count()
-    while True:
-        live = _live(e)
-        nxt = _cut(e.join(live, F.col("src") == F.col("node"), "left_semi")
-                   .join(live, F.col("dst") == F.col("node"), "left_semi"))
-        m = nxt.count()
-        if m == n:
-            return nxt
-        e, n = nxt, m
+    n, rounds = e.count(), 0
+    while n:
+        if rounds % (LEAF_ROUNDS + 1) == LEAF_ROUNDS:
+            dead = _cut(_dead_chains(e, "src", "dst").unionByName(_dead_chains(e, "dst", "src")).distinct())
+            rest = e.join(dead, F.col("src") == F.col("node"), "left_anti").join(dead, F.col("dst") == F.col("node"), "left_anti")
+        else:
+            rest = _between(e, _live(e))
+        rest = _cut(rest)
+        m, rounds = rest.count(), rounds + 1
+        if m == n and rounds % (LEAF_ROUNDS + 1) != 0:  # a round of leaves that found none
+            return rest
+        e, n = rest, m
+    return e
 
 
 def peel(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -119,71 +164,128 @@ def _split_loops(edges: DataFrame, src: str, dst: str) -> tuple[DataFrame, DataF
     return loops, e.filter(F.col("src") != F.col("dst"))
 
 
-def _is_functional(core: DataFrame) -> bool:
-    """Every node of the peeled core has exactly one out-edge (then also one in-edge): the core
-    is a disjoint union of simple cycles."""
-    return core.groupBy("src").count().filter(F.col("count") > 1).isEmpty()
+def _is_functional(e: DataFrame) -> bool:
+    """No node has more than one out-edge."""
+    return e.groupBy("src").count().filter(F.col("count") > 1).isEmpty()
 
 
-def _ring_labels(core: DataFrame) -> DataFrame:
-    """(node, component) for a core of disjoint simple cycles, by pointer doubling: after k rounds
-    each node knows the largest id among the 2^k nodes ahead of it, so ceil(log2(n)) rounds label
-    every ring by its largest node (rounds grow with the log of the ring length, not the length)."""
-    state = _cut(core.select(F.col("src").alias("node"), F.col("dst").alias("jump"),
-                             F.greatest("src", "dst").alias("best")))
-    n = state.count()
-    span = 1
+def _ring_edges(e: DataFrame) -> DataFrame:
+    """The edges on cycles of a graph with at most one out-edge per node. Walks that end drop out
+    of the inner join; what is reached after at least as many steps as there are edges lies on a cycle."""
+    e = _cut(e)
+    state, n, span = e.select(F.col("src").alias("node"), F.col("dst").alias("jump")), e.count(), 1
+    while span < n:
+        ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"))
+        state = _cut(state.join(ahead, "jump").select("node", F.col("next").alias("jump")))
+        span *= 2
+    on = state.select(F.col("jump").alias("node")).distinct()
+    return _cut(e.join(on, F.col("src") == F.col("node"), "left_semi"))
+
+
+def _rings(ring: DataFrame) -> DataFrame:
+    """(node, component, position) for disjoint simple cycles: each ring's least node, and the steps
+    from it. Both by pointer doubling: the least id among the 2^k nodes ahead, then the steps
+    to the root, which keeps its walk."""
+    state = _cut(ring.select(F.col("src").alias("node"), F.col("dst").alias("jump"), F.least("src", "dst").alias("best")))
+    n, span = state.count(), 1
     while span < n:
         ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("best").alias("b2"))
-        state = _cut(state.join(ahead, "jump").select("node", F.col("next").alias("jump"),
-                                                      F.greatest("best", "b2").alias("best")))
+        state = _cut(state.join(ahead, "jump").select("node", F.col("next").alias("jump"), F.least("best", "b2").alias("best")))
         span *= 2
-    return state.select("node", F.col("best").alias("component"))
+    member = state.select("node", F.col("best").alias("component"))
+    root = F.col("node") == F.col("component")
+    walk = _cut(ring.join(member, F.col("src") == F.col("node")).select(
+        "node", "component", F.when(root, F.col("node")).otherwise(F.col("dst")).alias("jump"), F.when(root, 0).otherwise(1).cast("bigint").alias("steps")))
+    span = 1
+    while span < n:
+        ahead = walk.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("steps").alias("more"))
+        walk = _cut(walk.join(ahead, "jump").select("node", "component", F.col("next").alias("jump"), (F.col("steps") + F.col("more")).alias("steps")))
+        span *= 2
+    size = walk.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    return walk.join(size, "component").select("node", "component", F.when(F.col("steps") == 0, 0).otherwise(F.col("size") - F.col("steps")).cast("bigint").alias("position"))
 
 
-def cycle_nodes(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Nodes that lie on at least one directed cycle (self-loops included): (node)."""
+def _components(edges: DataFrame, src: str, dst: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(loops, edges inside components, rings): what stands on cycles of more than one node, the
+    edges with their component, and the positions of those components that are rings."""
     loops, rest = _split_loops(edges, src, dst)
+    if _is_functional(rest):
+        rings = _cut(_rings(_ring_edges(rest)))
+        inner = rest.join(rings.select(F.col("node").alias("src"), "component"), "src").limit(0)
+        return loops, inner, rings
     core = _peel(rest)
-    if _is_functional(core):
-        return core.select(F.col("src").alias("node")).unionByName(loops).distinct()
     comp = strongly_connected(core)
+    least = comp.groupBy("component").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    comp = _cut(comp.join(least, "component").select("node", F.col("least").alias("component"), "size"))
+    ends = lambda side: comp.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+    inner = _cut(core.join(ends("src"), "src").join(ends("dst"), "dst").filter(F.col("c_src") == F.col("c_dst")).select("src", "dst", F.col("c_src").alias("component")))
+    ring = inner.groupBy("component").agg(F.count(F.lit(1)).alias("n")).join(comp.select("component", "size").distinct(), "component").filter("n = size").select("component")
+    rings = _cut(_rings(inner.join(ring, "component", "left_semi").select("src", "dst")))
+    return loops, inner.join(ring, "component", "left_anti"), rings
+
+
+def _searched(inner: DataFrame) -> DataFrame:
+    """(component, node, position) of a shortest cycle through each component's least node:
+    breadth-first trees of all components at once. A component leaves the search on the level that leads
+    back to its root; among a node's parents on a level, and among the nodes that close the cycle, the least counts."""
+    inner = _cut(inner)
+    root = inner.select("component").distinct()
+    tree = _cut(root.select("component", F.col("component").alias("node"), F.lit(None).cast(inner.schema["src"].dataType).alias("parent"), F.lit(0).cast("bigint").alias("depth")))
+    frontier, closed, level = tree, None, 0
+    while not frontier.isEmpty():
+        step = _cut(inner.join(frontier.select(F.col("node").alias("src"), "component"), ["src", "component"]))
+        back = step.filter(F.col("dst") == F.col("component")).groupBy("component").agg(F.min("src").alias("node"), F.lit(level).cast("bigint").alias("last"))
+        back = _cut(back)
+        closed = back if closed is None else _cut(closed.unionByName(back))
+        level += 1
+        frontier = _cut(step.join(back, "component", "left_anti").groupBy("component", F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
+                        .join(tree, ["component", "node"], "left_anti").withColumn("depth", F.lit(level).cast("bigint")))
+        tree = _cut(tree.unionByName(frontier.select(tree.columns)))
+    if closed is None:
+        return inner.select("component", F.col("src").alias("node"), F.lit(0).cast("bigint").alias("position")).limit(0)
+    marked = closed.select("component", "node")
+    jumps = _cut(tree.filter(F.col("parent").isNotNull()).select("component", "node", F.col("parent").alias("jump")))
+    span = 1
+    while span <= level:  # after k rounds the 2^k nodes nearest to the closing one are marked
+        marked = _cut(marked.unionByName(marked.join(jumps, ["component", "node"]).select("component", F.col("jump").alias("node"))).distinct())
+        ahead = jumps.select("component", F.col("node").alias("jump"), F.col("jump").alias("next"))
+        jumps = _cut(jumps.join(ahead, ["component", "jump"]).select("component", "node", F.col("next").alias("jump")))
+        span *= 2
+    return marked.join(tree, ["component", "node"]).select("component", "node", F.col("depth").alias("position"))
+
+
+def cycle_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Nodes that lie on a directed cycle (self-loops included) and the least node of their
+    strongly connected component: (node, component)."""
+    loops, inner, rings = _components(edges, src, dst)
+    multi = rings.select("node", "component").unionByName(inner.select(F.col("src").alias("node"), "component").distinct())
+    alone = loops.join(multi, "node", "left_anti").select("node", F.col("node").alias("component"))
+    return multi.unionByName(alone)
+
+
+def cycle_nodes(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Nodes that lie on at least one directed cycle (self-loops included): (node)."""
+    loops, rest = _split_loops(edges, src, dst)
+    if _is_functional(rest):
+        return _ring_edges(rest).select(F.col("src").alias("node")).unionByName(loops).distinct()
+    comp = strongly_connected(_peel(rest))
     sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     multi = comp.join(sizes.filter(F.col("size") > 1), "component").select("node")
     return multi.unionByName(loops).distinct()
 
 
 def fk_cycles(edges: DataFrame, src: str = "parent_table", dst: str = "referenced_table") -> DataFrame:
-    """Every node on a cycle with the length of its shortest cycle: (node, cycle_len)."""
-    loops, rest = _split_loops(edges, src, dst)
-    core = _peel(rest)
-    if _is_functional(core):
-        comp = _ring_labels(core)
-        ring = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        return (comp.join(ring, "component").select("node", F.col("size").alias("cycle_len"))
-                .unionByName(loops.select("node", F.lit(1).alias("cycle_len")))
-                .groupBy("node").agg(F.min("cycle_len").cast("bigint").alias("cycle_len")))
-    comp = _cut(strongly_connected(core))
-    inner = _cut(core.join(comp.withColumnRenamed("node", "src").withColumnRenamed("component", "c_src"), "src")
-                 .join(comp.withColumnRenamed("node", "dst").withColumnRenamed("component", "c_dst"), "dst")
-                 .filter(F.col("c_src") == F.col("c_dst")).select("src", "dst", F.col("c_src").alias("component")))
-    stats = (inner.groupBy("component").agg(F.count(F.lit(1)).alias("n_edges"), F.count_distinct("src").alias("n_src"))
-             .join(comp.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component"))
-    ring = stats.filter((F.col("n_edges") == F.col("size")) & (F.col("n_src") == F.col("size")))
-    ring_nodes = comp.join(ring.select("component", "size"), "component").select("node", F.col("size").alias("cycle_len"))
-    # other components: BFS from each node, staying inside its component
-    e = inner.join(ring.select("component"), "component", "left_anti").select("src", "dst")
-    frontier = _cut(e.select(F.col("src").alias("origin"), F.col("dst").alias("node"), F.lit(1).alias("depth")))
-    visited = frontier.select("origin", "node")
-    found = frontier.filter(F.col("origin") == F.col("node")).select("origin", "depth")
-    while not frontier.isEmpty():
-        open_front = frontier.join(found.select("origin"), "origin", "left_anti")
-        step = _cut(open_front.join(e.withColumnRenamed("src", "node"), "node")
-                    .select("origin", F.col("dst").alias("node"), (F.col("depth") + 1).alias("depth"))
-                    .join(visited, ["origin", "node"], "left_anti").distinct())
-        visited = _cut(visited.unionByName(step.select("origin", "node")))
-        found = _cut(found.unionByName(step.filter(F.col("origin") == F.col("node")).select("origin", "depth")))
-        frontier = step
-    searched = found.select(F.col("origin").alias("node"), F.col("depth").alias("cycle_len"))
-    return (ring_nodes.unionByName(searched).unionByName(loops.select("node", F.lit(1).alias("cycle_len")))
-            .groupBy("node").agg(F.min("cycle_len").cast("bigint").alias("cycle_len")))
+    """One row per strongly connected component with a cycle: ``component`` (its least node),
+    ``n_nodes``, and as witness a shortest cycle through that node: ``cycle_len`` and ``path``
+    (the nodes in order, the first one again at the end). A self-loop of that node is its shortest cycle."""
+    loops, inner, rings = _components(edges, src, dst)
+    own = loops.select(F.col("node").alias("component")).distinct()
+    steps = rings.select("component", "node", "position").unionByName(_searched(inner)).join(own, "component", "left_anti")
+    steps = steps.unionByName(own.select("component", F.col("component").alias("node"), F.lit(0).cast("bigint").alias("position")))
+    paths = steps.groupBy("component").agg(F.sort_array(F.collect_list(F.struct("position", "node"))).alias("steps"))
+    nodes = rings.select("node", "component").unionByName(inner.select(F.col("src").alias("node"), "component").distinct())
+    nodes = nodes.unionByName(loops.join(nodes, "node", "left_anti").select("node", F.col("node").alias("component")))
+    sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("n_nodes"))
+    return (sizes.join(paths, "component")  # a self-loop of another node than the least one is no component
+            .select("component", "n_nodes", F.size("steps").cast("bigint").alias("cycle_len"),
+                    F.concat(F.transform("steps", lambda s: s["node"]), F.array("component")).alias("path")))

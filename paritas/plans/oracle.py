@@ -398,18 +398,46 @@ UNION ALL
               f"WHERE c_{s} IS NOT NULL AND p_{s} IS NOT NULL AND c_{s} <> p_{s}"
               for a, s in (("max_length", "ml"), ("precision", "pr"), ("scale", "sc"))])
 
-ORACLES["fk_cycles"] = f"""WITH RECURSIVE {CATALOG},
+# one out-edge per table besides a self-reference: the walk from a node comes back or never does
+_FK_WALK = f"""{CATALOG},
+q AS (SELECT object_id, concat_ws('.', s.name, t.name) AS name FROM cat_tables t JOIN cat_schemas s USING (schema_id)),
 e AS (SELECT DISTINCT pt.name AS src, rt.name AS dst FROM cat_fks f
-      JOIN cat_tables pt ON pt.object_id = f.parent_object_id JOIN cat_tables rt ON rt.object_id = f.referenced_object_id),
+      JOIN q pt ON pt.object_id = f.parent_object_id JOIN q rt ON rt.object_id = f.referenced_object_id),
 e2 AS (SELECT * FROM e WHERE src <> dst),
 r(origin, node, depth) AS (
   SELECT src, dst, 1 FROM e2
   UNION ALL
   SELECT r.origin, e2.dst, r.depth + 1 FROM r JOIN e2 ON r.node = e2.src
-  WHERE r.node <> r.origin AND r.depth < (SELECT count(*) FROM e2))
-SELECT node, CAST(min(len) AS BIGINT) AS cycle_len FROM (
-  SELECT origin AS node, depth AS len FROM r WHERE origin = node
-  UNION ALL SELECT src, 1 FROM e WHERE src = dst) GROUP BY node"""
+  WHERE r.node <> r.origin AND r.depth < (SELECT count(*) FROM e2)),
+back AS (SELECT origin, depth AS len FROM r WHERE origin = node),
+walk AS (SELECT r.origin, r.node, r.depth FROM r JOIN back ON r.origin = back.origin),
+ring AS (SELECT origin AS node, min(node) AS component FROM walk GROUP BY origin),
+member AS (SELECT node, component FROM ring UNION ALL SELECT src, src FROM e WHERE src = dst AND src NOT IN (SELECT node FROM ring))"""
+
+ORACLES["fk_cycles"] = f"""WITH RECURSIVE {_FK_WALK},
+path AS (
+  SELECT origin AS component, count(*) AS cycle_len, origin || ' -> ' || string_agg(walk.node, ' -> ' ORDER BY depth) AS path
+  FROM walk WHERE origin IN (SELECT component FROM ring) AND origin NOT IN (SELECT src FROM e WHERE src = dst) GROUP BY origin
+  UNION ALL SELECT src, 1, src || ' -> ' || src FROM e WHERE src = dst)
+SELECT m.component, count(*) AS n_nodes, p.cycle_len, p.path FROM member m JOIN path p ON p.component = m.component GROUP BY ALL"""
+
+ORACLES["fk_cycle_components"] = f"""WITH RECURSIVE {_FK_WALK}
+SELECT node, component FROM member"""
+
+# closure of the whole graph: two nodes are in one component when each reaches the other
+ORACLES["graph_cycle_witnesses"] = """WITH RECURSIVE e AS (
+  SELECT c_custkey AS src, c_custkey // 97 * 97 + ((c_custkey % 97) * (c_custkey % 97) + 1) % 97 AS dst FROM customer
+  UNION SELECT c_custkey, c_custkey // 97 * 97 + ((c_custkey % 97) * 5 + 3) % 97 FROM customer WHERE c_custkey % 4 = 0
+  UNION SELECT c_custkey, c_custkey + 97 FROM customer WHERE c_custkey % 5 = 0),
+r(origin, node) AS (SELECT src, dst FROM e UNION SELECT r.origin, e.dst FROM r JOIN e ON r.node = e.src),
+member AS (SELECT a.origin AS node, least(a.origin, min(a.node)) AS component FROM r a JOIN r b ON a.origin = b.node AND a.node = b.origin GROUP BY a.origin),
+d(root, node, depth) AS (
+  SELECT src, dst, 1 FROM e WHERE src IN (SELECT component FROM member)
+  UNION
+  SELECT d.root, e.dst, d.depth + 1 FROM d JOIN e ON d.node = e.src JOIN member m ON m.node = e.dst AND m.component = d.root
+  WHERE d.node <> d.root AND d.depth < (SELECT count(*) FROM member))
+SELECT m.component, m.n_nodes, min(d.depth) AS cycle_len
+FROM (SELECT component, count(*) AS n_nodes FROM member GROUP BY component) m JOIN d ON d.root = m.component AND d.node = m.component GROUP BY ALL"""
 
 ORACLES["graph_cycle_nodes"] = """WITH RECURSIVE e AS (
   SELECT c_custkey AS src, (c_custkey * c_custkey + 1) % (SELECT count(*) FROM customer) AS dst FROM customer),

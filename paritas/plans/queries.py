@@ -351,8 +351,21 @@ def _fk_type_mismatch(t: TableSet) -> DataFrame:
 
 @query("fk_cycles")
 def _fk_cycles(t: TableSet) -> DataFrame:
-    """Tables on FK cycles of the derived catalog with their shortest cycle length."""
-    return GR.fk_cycles(G.fk_edges(FX.derived_catalog(t)))
+    """One row per component of the foreign-key graph with a witness path."""
+    found = GR.fk_cycles(G.fk_edges(FX.derived_catalog(t)))
+    return found.withColumn("path", F.array_join("path", " -> "))
+
+
+@query("fk_cycle_components")
+def _fk_cycle_components(t: TableSet) -> DataFrame:
+    """Every table on a cycle and its component."""
+    return GR.cycle_components(G.fk_edges(FX.derived_catalog(t)), "parent_table", "referenced_table")
+
+
+@query("graph_cycle_witnesses")
+def _graph_cycle_witnesses(t: TableSet) -> DataFrame:
+    """G8 on a graph whose nodes have several out-edges."""
+    return GR.fk_cycles(FX.customer_graph(t), "src", "dst").select("component", "n_nodes", "cycle_len")
 
 
 @query("graph_cycle_nodes")

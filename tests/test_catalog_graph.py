@@ -1,7 +1,9 @@
 """Catalog operators on a hand-made star-schema catalog (FIXTURES.md §3), and cycle
 detection against brute force on random graphs."""
 
+import dataclasses
 import random
+from collections import Counter
 
 import pytest
 
@@ -157,50 +159,103 @@ def test_fk_type_mismatch_found(spark):
 
 
 def test_fk_cycles_on_catalog(spark):
-    cyc = {r.node: r.cycle_len for r in GR.fk_cycles(G.fk_edges(catalog(spark))).collect()}
-    assert cyc == {"cyc_a": 3, "cyc_b": 3, "cyc_c": 3, "loop": 1, "staff": 1}
+    cyc = {r.component: (r.n_nodes, r.cycle_len, r.path) for r in GR.fk_cycles(G.fk_edges(catalog(spark))).collect()}
+    assert cyc == {"dbo.cyc_a": (3, 3, ["dbo.cyc_a", "dbo.cyc_b", "dbo.cyc_c", "dbo.cyc_a"]),
+                   "dbo.loop": (1, 1, ["dbo.loop", "dbo.loop"]), "dbo.staff": (1, 1, ["dbo.staff", "dbo.staff"])}
 
 
-def _brute_cycles(edges):
+def test_equal_table_names_in_two_schemas_make_no_cycle(spark):
+    cat = catalog(spark)
+    tables = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "a", 2)], "object_id int, name string, schema_id int")
+    keys = spark.createDataFrame([(10, "k1", 1, 2), (11, "k2", 2, 3)], "object_id int, name string, parent_object_id int, referenced_object_id int")
+    cat = dataclasses.replace(cat, tables=tables, foreign_keys=keys)
+    assert GR.fk_cycles(G.fk_edges(cat)).collect() == []
+    assert [r.path for r in GR.fk_cycles(G.fk_edges(cat, qualified=False)).collect()] == [["a", "b", "a"]]
+
+
+def _reach(edges):
     adj = {}
     for s, d in edges:
         adj.setdefault(s, set()).add(d)
     out = {}
     for v in {x for e in edges for x in e}:
-        seen, frontier, depth = set(), {v}, 0
-        while frontier and v not in out:
-            depth += 1
-            nxt = set()
-            for u in frontier:
-                for w in adj.get(u, ()):
-                    if w == v:
-                        out[v] = depth
-                    if w not in seen:
-                        seen.add(w)
-                        nxt.add(w)
-            frontier = nxt
-    return out
+        seen, todo = set(), list(adj.get(v, ()))
+        while todo:
+            u = todo.pop()
+            if u not in seen:
+                seen.add(u)
+                todo += adj.get(u, ())
+        out[v] = seen
+    return adj, out
+
+
+def _brute_components(edges):
+    """node -> least node of its component, for the nodes on cycles."""
+    _, reach = _reach(edges)
+    return {v: min(u for u in reach[v] if v in reach[u]) for v in reach if v in reach[v]}
+
+
+def _shortest(edges, root):
+    adj, _ = _reach(edges)
+    seen, frontier, depth = set(), {root}, 0
+    while True:
+        depth += 1
+        frontier = {w for u in frontier for w in adj.get(u, ())} - seen
+        if root in frontier:
+            return depth
+        seen |= frontier
+
+
+def _holds(spark, edges):
+    df = spark.createDataFrame(sorted(edges), "src long, dst long")
+    member = _brute_components(edges)
+    assert {r.node: r.component for r in GR.cycle_components(df).collect()} == member
+    assert {r.node for r in GR.cycle_nodes(df).collect()} == set(member)
+    found = GR.fk_cycles(df, "src", "dst").collect()
+    assert {r.component: r.n_nodes for r in found} == dict(Counter(member.values()))
+    for r in found:
+        assert r.path[0] == r.path[-1] == r.component and len(set(r.path)) == r.cycle_len == len(r.path) - 1
+        assert set(zip(r.path, r.path[1:])) <= edges and r.cycle_len == _shortest(edges, r.component)
 
 
 @pytest.mark.parametrize("seed", [3, 7])
 def test_cycles_random_graph_vs_brute_force(spark, seed):
     rnd = random.Random(seed)
     n = 40
-    edges = {(rnd.randrange(n), rnd.randrange(n)) for _ in range(55)}
-    df = spark.createDataFrame(sorted(edges), "src long, dst long")
-    got = {r.node: r.cycle_len for r in GR.fk_cycles(df, "src", "dst").collect()}
-    assert got == _brute_cycles(edges)
-    assert {r.node for r in GR.cycle_nodes(df).collect()} == set(_brute_cycles(edges))
+    _holds(spark, {(rnd.randrange(n), rnd.randrange(n)) for _ in range(55)})
 
 
 @pytest.mark.parametrize("n", [50, 97])
 def test_cycles_functional_graph_vs_brute_force(spark, n):
-    edges = {(k, (k * k + 1) % n) for k in range(n)}
-    df = spark.createDataFrame(sorted(edges), "src long, dst long")
-    want = _brute_cycles(edges)
-    assert {r.node: r.cycle_len for r in GR.fk_cycles(df, "src", "dst").collect()} == want
-    assert {r.node for r in GR.cycle_nodes(df).collect()} == set(want)
-    # rings of several lengths: a permutation with cycles of length 1, 2, 3 and 7
+    _holds(spark, {(k, (k * k + 1) % n) for k in range(n)})
+
+
+def test_rings_of_several_lengths(spark):
     perm = {0: 0, 1: 2, 2: 1, 3: 4, 4: 5, 5: 3, 6: 7, 7: 8, 8: 9, 9: 10, 10: 11, 11: 12, 12: 6}
-    pdf = spark.createDataFrame(sorted(perm.items()), "src long, dst long")
-    assert {r.node: r.cycle_len for r in GR.fk_cycles(pdf, "src", "dst").collect()} == _brute_cycles(set(perm.items()))
+    _holds(spark, set(perm.items()))
+
+
+def test_no_edges_and_null_ends(spark):
+    df = spark.createDataFrame([(1, None), (None, 2)], "src long, dst long")
+    assert GR.fk_cycles(df, "src", "dst").collect() == [] == GR.cycle_components(df).collect()
+
+
+def _rounds(spark, monkeypatch, edges):
+    cuts = []
+    real = GR._cut
+    monkeypatch.setattr(GR, "_cut", lambda df: cuts.append(1) or real(df))
+    found = {r.component: r.path for r in GR.fk_cycles(spark.createDataFrame(sorted(edges), "src long, dst long"), "src", "dst").collect()}
+    return found, len(cuts)
+
+
+def test_long_chain_takes_tens_of_rounds(spark, monkeypatch):
+    found, cuts = _rounds(spark, monkeypatch, {(k, k + 1) for k in range(10_000)})
+    assert found == {} and cuts < 40
+
+
+def test_long_chains_at_a_branching_cycle_take_tens_of_rounds(spark, monkeypatch):
+    cycle = {(0, 1), (1, 2), (2, 0), (1, 0)}
+    way_in = {(k, k + 1) for k in range(-3000, 0)}
+    way_out = {(2, 10)} | {(k, k + 1) for k in range(10, 3000)} | {(k, -k - 100_000) for k in range(10, 3000, 7)}
+    found, cuts = _rounds(spark, monkeypatch, cycle | way_in | way_out)
+    assert found == {0: [0, 1, 0]} and cuts < 120
