@@ -73,7 +73,9 @@ def _digits(dt: T.DataType) -> tuple[int, int] | None:
 
 def comparable(a: T.DataType, b: T.DataType) -> bool:
     """Values of the two types can be compared natively: the type Spark widens both to holds every value of
-    both exactly (a bigint or decimal against a double does not: 2^53 and 2^53 + 1 would meet)."""
+    both exactly (a bigint or decimal against a double does not: 2^53 and 2^53 + 1 would meet). Float
+    against double does not count either: widened, 0.1 would differ from 0.1, while both equal the
+    decimal 0.1; all three meet in their normal form."""
     if a == b:
         return True
     if is_numeric(a) and is_numeric(b):
@@ -81,7 +83,7 @@ def comparable(a: T.DataType, b: T.DataType) -> bool:
         if da and db:
             return max(da[0], db[0]) + max(da[1], db[1]) <= 38
         if not da and not db:
-            return True
+            return False
         held, floating = (da, b) if da else (db, a)
         return isinstance(a if da else b, (T.ByteType, T.ShortType, T.IntegerType)) and held[0] <= (15 if isinstance(floating, T.DoubleType) else 5)
     return is_temporal(a) and is_temporal(b) and not {type(a), type(b)} == {T.DateType, T.TimestampType}

@@ -32,36 +32,59 @@ def display_sql(expr: str, dt: T.DataType) -> str:
     return f"CAST({expr} AS STRING)"
 
 
-def exact_number_text(c: Column, dt: T.DataType) -> Column:
-    """Text that is equal exactly when two numbers of any types are: no exponent where the digits fit a
-    decimal(38, 18), no trailing zeros; a float counts as the number its shortest text names."""
-    def plain(x: Column) -> Column:
-        return F.regexp_replace(F.regexp_replace(x, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+def _shortest_sql(expr: str, dt: T.DataType) -> str:
+    """Text of a float or double with as few digits as read back as itself. The JVM's own text may have
+    more (4.9999999999999996E22 for 5E22), so long texts are tried with fewer digits: 15 or 16
+    (6 to 8 for a float)."""
+    kind, few = ("FLOAT", (6, 7, 8)) if isinstance(dt, T.FloatType) else ("DOUBLE", (15, 16))
+    text = f"CAST({expr} AS STRING)"
+    tries = "".join(f" WHEN try_cast(format_string('%.{n - 1}e', {expr}) AS {kind}) = {expr} THEN upper(format_string('%.{n - 1}e', {expr}))" for n in few)
+    return f"CASE WHEN {text} RLIKE '[a-z]' OR length({text}) <= {few[0]} THEN {text}{tries} ELSE {text} END"
 
-    text = c.cast("string")
-    if isinstance(dt, T.DecimalType):
-        return plain(text)
-    if not is_floating(dt):
-        return text
-    whole = (F.rint(c.cast("double")) == c) & (F.abs(c) < F.lit(9.2e18))
-    dec = text.try_cast("decimal(38,18)")
-    return (F.when(whole, c.cast("bigint").cast("string"))
-            .when(dec.cast("double") == text.try_cast("double"), plain(dec.cast("string"))).otherwise(text))
+
+def _parts_sql(text: str) -> str:
+    """Sign, bare digits and exponent of a number's plain or scientific text."""
+    mantissa = f"regexp_replace({text}, '^-|E.*$', '')"
+    fraction = f"split_part({mantissa}, '.', 2)"
+    digits = f"ltrim('0', concat(split_part({mantissa}, '.', 1), {fraction}))"
+    bare = f"rtrim('0', {digits})"
+    power = f"coalesce(CAST(nullif(regexp_extract({text}, 'E(.*)$', 1), '') AS INT), 0) - length({fraction}) + length({digits}) - length({bare})"
+    return f"CASE WHEN {bare} = '' THEN '0' ELSE concat(CASE WHEN startswith({text}, '-') THEN '-' ELSE '' END, {bare}, 'E', CAST({power} AS STRING)) END"
 
 
 def exact_number_sql(expr: str, dt: T.DataType) -> str:
-    """``exact_number_text`` as SQL text over an expression string."""
-    def plain(x: str) -> str:
-        return f"regexp_replace(regexp_replace({x}, '([.][0-9]*?)0+$', '$1'), '[.]$', '')"
+    """SQL text of the normal form of a number: sign, digits without zeros at either end, ``E``,
+    exponent (``-25E-1``; zero is ``0``; ``NaN`` and infinities are their names).
 
-    text = f"CAST({expr} AS STRING)"
-    if isinstance(dt, T.DecimalType):
-        return plain(text)
+    Two numbers of any types have the same form exactly when they name the same decimal number; a
+    float or double names the one of the fewest digits that reads back as itself. So 0.1 is
+    the same number as float, double and decimal, and equality is transitive over all types.
+    The text is taken apart, never computed with: any precision, with ANSI mode or without.
+    """
     if not is_floating(dt):
-        return text
-    dec = f"try_cast({text} AS DECIMAL(38,18))"
-    return (f"CASE WHEN rint(CAST({expr} AS DOUBLE)) = {expr} AND abs({expr}) < 9.2e18 THEN CAST(CAST({expr} AS BIGINT) AS STRING) "
-            f"WHEN CAST({dec} AS DOUBLE) = try_cast({text} AS DOUBLE) THEN {plain(f'CAST({dec} AS STRING)')} ELSE {text} END")
+        return f"transform(array(CAST({expr} AS STRING)), t -> {_parts_sql('t')})[0]"
+    return f"transform(array({_shortest_sql(expr, dt)}), t -> CASE WHEN t RLIKE '[a-z]' THEN t ELSE {_parts_sql('t')} END)[0]"
+
+
+def exact_number_text(c: Column, dt: T.DataType) -> Column:
+    """``exact_number_sql`` as a column expression."""
+    text = c.cast("string")
+    named = text.rlike("[a-z]")
+    if is_floating(dt):
+        kind, few = ("float", (6, 7, 8)) if isinstance(dt, T.FloatType) else ("double", (15, 16))
+        short = F.when(named | (F.length(text) <= few[0]), text)
+        for n in few:
+            tried = F.format_string(f"%.{n - 1}e", c)
+            short = short.when(tried.try_cast(kind) == c, F.upper(tried))
+        text = short.otherwise(text)
+    mantissa = F.regexp_replace(text, "^-|E.*$", "")
+    fraction = F.split_part(mantissa, F.lit("."), F.lit(2))
+    digits = F.ltrim(F.concat(F.split_part(mantissa, F.lit("."), F.lit(1)), fraction), F.lit("0"))
+    bare = F.rtrim(digits, F.lit("0"))
+    power = F.coalesce(F.nullif(F.regexp_extract(text, "E(.*)$", 1), F.lit("")).cast("int"), F.lit(0))
+    power = power - F.length(fraction) + F.length(digits) - F.length(bare)
+    form = F.when(bare == "", "0").otherwise(F.concat(F.when(text.startswith("-"), "-").otherwise(""), bare, F.lit("E"), power.cast("string")))
+    return F.when(named, text).otherwise(form) if is_floating(dt) else form
 
 
 def common_form(c: Column, dt: T.DataType, other: T.DataType) -> Column:
@@ -110,13 +133,47 @@ def groupable(c: Column, dt: T.DataType, name: str) -> Column:
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
+def _ntz_micros(c: str) -> str:
+    return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{_EPOCH_NTZ}', {c})"
+
+
+def canonical_sql(c: str, dt: T.DataType, depth: int = 0) -> str:
+    """SQL text of a value whose JSON is equal exactly when the values are equal as group keys: maps at any
+    depth as entries sorted by key, -0.0 as 0.0, instants as micros (JSON shows no more than
+    milliseconds), binary as hex. Parts without any of these stay as they are."""
+    x = f"x{depth}"
+    if isinstance(dt, T.MapType):
+        key, value = (canonical_sql(f"{x}.{p}", t, depth + 1) for p, t in (("key", dt.keyType), ("value", dt.valueType)))
+        return f"array_sort(transform(map_entries({c}), {x} -> named_struct('key', {key}, 'value', {value})))"
+    if isinstance(dt, T.ArrayType):
+        part = canonical_sql(x, dt.elementType, depth + 1)
+        return c if part == x else f"transform({c}, {x} -> {part})"
+    if isinstance(dt, T.StructType):
+        parts = {f.name: (f"{c}.{quote(f.name)}", f.dataType) for f in dt.fields}
+        made = {n: canonical_sql(e, t, depth) for n, (e, t) in parts.items()}
+        if all(made[n] == e for n, (e, _) in parts.items()):
+            return c
+        names = {n: "'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in made}
+        return f"CASE WHEN {c} IS NOT NULL THEN named_struct({', '.join(f'{names[n]}, {e}' for n, e in made.items())}) END"
+    if is_floating(dt):
+        return f"({c} + CAST(0 AS {dt.simpleString()}))"
+    if isinstance(dt, T.TimestampType):
+        return f"unix_micros({c})"
+    if isinstance(dt, T.TimestampNTZType):
+        return _ntz_micros(c)
+    if isinstance(dt, T.BinaryType):
+        return f"hex({c})"
+    return c
+
+
 def typed_key_sql(c: str, dt: T.DataType) -> tuple[str, str, str]:
     """Exact group key of column expression ``c`` as SQL text for three typed slots
     (l bigint, d double, s string).
 
     Integral, boolean, date and timestamp values go to ``l`` (days / epoch micros), float and
     double to ``d`` (grouping folds -0.0 into 0.0 and NaNs together), everything else to ``s``
-    as canonical text. Numbers are never turned into text, so grouping many columns together
+    as text: nested values as JSON of their canonical form, which keeps ``["a, b"]`` and
+    ``["a", "b"]`` apart. Numbers are never turned into text, so grouping many columns together
     stays cheap; NULL leaves all three slots NULL.
     """
     nl, nd, ns = "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
@@ -129,13 +186,11 @@ def typed_key_sql(c: str, dt: T.DataType) -> tuple[str, str, str]:
     if isinstance(dt, T.TimestampType):
         return f"unix_micros({c})", nd, ns
     if isinstance(dt, T.TimestampNTZType):
-        return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{_EPOCH_NTZ}', {c})", nd, ns
+        return _ntz_micros(c), nd, ns
     if is_floating(dt):
         return nl, f"CAST({c} AS DOUBLE)", ns
     if isinstance(dt, T.BinaryType):
         return nl, nd, f"hex({c})"
-    if isinstance(dt, T.MapType):
-        return nl, nd, f"to_json(array_sort(map_entries({c})))"
-    if contains_map(dt):
-        return nl, nd, f"to_json({c})"
+    if isinstance(dt, (T.MapType, T.ArrayType, T.StructType)):
+        return nl, nd, f"to_json({canonical_sql(c, dt)})"
     return nl, nd, f"CAST({c} AS STRING)"

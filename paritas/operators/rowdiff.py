@@ -4,8 +4,8 @@ The core is one counted grouping: both sides projected on the common columns, ta
 and grouped by every column. One shuffle gives the multiset difference, duplicate
 counts and the equality verdict; map-side partial aggregation collapses repeated rows
 (a hot row value costs one row per map task). ``exceptAll`` stays as the readable
-cross-check. The keyed diff groups each side by key before its full outer join, so a
-duplicated key never multiplies rows, and the join reuses the grouping's partitioning.
+cross-check. The keyed diff groups both sides by key with fixed-width buffers and fetches
+rows only for keys whose digests differ; a duplicated key never multiplies rows.
 """
 
 from __future__ import annotations
@@ -16,24 +16,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.functions.types import comparable, is_numeric
-from paritas.functions.values import common_form, display_text, exact_number_text, groupable
+from paritas.functions.types import comparable
+from paritas.functions.values import common_form, display_text, groupable, quote, sorted_maps
 from paritas.operators.pair import TablePair, align
+from paritas.session import reliable_checkpoint
 
 
-def _projected(df: DataFrame, cols: Sequence[str], other: DataFrame | None = None) -> DataFrame:
+def _forms(df: DataFrame, cols: Sequence[str], other: DataFrame | None = None) -> list[Column]:
     """Columns ready for grouping against ``other``: maps as sorted entries, and a column whose
     type cannot be compared with the other side's (e.g. string vs number) as display text, so
     the union never casts data (an ANSI cast would fail on bad values)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     others = {f.name: f.dataType for f in other.schema.fields} if other is not None else types
-    out = []
-    for c in cols:
-        if comparable(types[c], others[c]):
-            out.append(groupable(F.col(c), types[c], c))
-        else:
-            out.append(common_form(F.col(c), types[c], others[c]).alias(c))
-    return df.select(*out)
+    return [groupable(F.col(quote(c)), types[c], c) if comparable(types[c], others[c]) else common_form(F.col(quote(c)), types[c], others[c]).alias(c)
+            for c in cols]
+
+
+def _projected(df: DataFrame, cols: Sequence[str], other: DataFrame | None = None) -> DataFrame:
+    return df.select(*_forms(df, cols, other))
 
 
 def counted_rows(pair: TablePair, columns: Sequence[str] | None = None) -> DataFrame:
@@ -109,9 +109,43 @@ def frame_equal(pair: TablePair) -> DataFrame:
                     (rows_equal & F.lit(types_equal) & (~F.col("needs_nullable") | F.lit(nullable_equal))).alias("passed")))
 
 
-def _key_text(c: Column, dt: T.DataType, other: T.DataType) -> Column:
-    """Text form of a key whose types drifted: numbers of any two types match by value."""
-    return exact_number_text(c, dt) if is_numeric(dt) and is_numeric(other) else display_text(c, dt)
+def _digest_parts(c: str, dt: T.DataType) -> list[Column]:
+    """What a row digest hashes for one column: a hash skips nulls, so the null flag is a part of its own,
+    and nested values, where it would skip nulls inside, go in as JSON."""
+    nested = isinstance(dt, (T.ArrayType, T.StructType, T.MapType))
+    return [F.col(c).isNull(), F.to_json(F.col(c), {"ignoreNullFields": "false"}) if nested else F.col(c)]
+
+
+def _same_keys(left: str, right: str, n: int) -> Column:
+    out = F.lit(True)
+    for i in range(n):
+        out &= F.col(f"{left}._k{i}").eqNullSafe(F.col(f"{right}._k{i}"))
+    return out
+
+
+def key_counts(pair: TablePair, keys: Sequence[str], vals: Sequence[str]) -> DataFrame:
+    """Every key of either side (``_k0``…, in the form that both sides share): rows per side ``s_n, t_n``, and
+    ``differs``: it stands once on each side, with different 128-bit digests of the row. One grouping of the
+    stacked sides over fixed-width buffers, so a hash aggregation; no row is shuffled."""
+    n = len(keys)
+
+    def side(df: DataFrame, other: DataFrame, number: int) -> DataFrame:
+        shared = _projected(df, [*keys, *vals], other)
+        names = [f"_k{i}" for i in range(n)] + [f"_v{i}" for i in range(len(vals))]
+        return shared.toDF(*names).withColumn("_side", F.lit(number))
+
+    both = side(pair.source, pair.target, 0).unionByName(side(pair.target, pair.source, 1))
+    types = {f.name: f.dataType for f in both.schema.fields}
+    parts = [p for i in range(len(vals)) for p in _digest_parts(f"_v{i}", types[f"_v{i}"])]
+    knames = [f"_k{i}" for i in range(n)]
+    buffers = []
+    for number, tag in enumerate("st"):
+        mine = F.col("_side") == number
+        buffers.append(F.count_if(mine).alias(f"{tag}_n"))
+        buffers += [F.max(F.when(mine, F.col(f"_d{d}"))).alias(f"{tag}_d{d}") for d in range(2)]
+    counted = both.select(*knames, "_side", *[F.xxhash64(F.lit(d), *parts).alias(f"_d{d}") for d in range(2)]).groupBy(*knames).agg(*buffers)
+    same = (F.col("s_d0") == F.col("t_d0")) & (F.col("s_d1") == F.col("t_d1"))
+    return counted.select(*knames, "s_n", "t_n", ((F.col("s_n") == 1) & (F.col("t_n") == 1) & ~same).alias("differs"))
 
 
 def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
@@ -119,69 +153,49 @@ def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
 
     change ∈ missing (key only in source) · extra (only in target) · changed (per column) ·
     duplicate_key (key repeated on a side; values show the counts, the rows are not paired).
-    NULL keys match NULL keys. Values are rendered as text after a native null-safe compare.
+    NULL keys match NULL keys, of any type; a key whose types drifted is compared and shown in the
+    common form, a map as its sorted entries. Values are rendered as text after a native null-safe compare.
+
+    One grouping by key finds the keys that differ (``key_counts``), which are checkpointed: few rows of
+    a pair that is nearly equal. Rows are read again only for keys with different digests, by a
+    semi join with those keys, and not at all when there are none; equal values of different digests (-0.0 and 0.0) drop out there.
     """
     a = align(pair)
     keys = list(keys or pair.keys)
     if not keys:
         raise ValueError("keyed_diff needs key columns")
     vals = [c for c in a.common if c not in keys]
-    ktypes = {k: a.source_types[k] if a.source_types[k] == a.target_types[k] else T.StringType() for k in keys}
-    knames = [x for i in range(len(keys)) for x in (f"_k{i}", f"_n{i}")]
-
-    def side(df: DataFrame, tag: str, types: dict, others: dict) -> DataFrame:
-        # NULL-safe key matching as plain equality on (value-or-default, is-null): the grouping's
-        # hash partitioning on these columns is exactly what the join needs, so the join adds no
-        # exchange (an eqNullSafe condition would re-shuffle on a derived key).
-        norm = []
-        for i, k in enumerate(keys):
-            kc = F.col(k) if types[k] == others[k] else _key_text(F.col(k), types[k], others[k])
-            norm += [F.coalesce(kc, _default(ktypes[k])).alias(f"_k{i}"), kc.isNull().alias(f"_n{i}")]
-        row = F.struct(*[groupable(F.col(c), types[c], c) for c in vals]) if vals else F.lit(None)
-        return (df.select(*norm, row.alias("_row"))
-                .groupBy(*knames).agg(F.count(F.lit(1)).alias(f"{tag}_n"), F.first("_row").alias(f"{tag}_v")))
-
-    j = side(pair.source, "s", a.source_types, a.target_types).join(side(pair.target, "t", a.target_types, a.source_types), knames, "full_outer")
-
-    def change(column: Column, sv: Column, tv: Column, kind: Column) -> Column:
-        return F.struct(column.cast("string").alias("column_name"), sv.alias("source_value"), tv.alias("target_value"),
-                        kind.alias("change"))
+    n, knames = len(keys), [f"_k{i}" for i in range(len(keys))]
+    counted = key_counts(pair, keys, vals)
+    types = {f.name: f.dataType for f in counted.schema.fields}
+    unequal = reliable_checkpoint(counted.filter(F.col("differs") | (F.col("s_n") != 1) | (F.col("t_n") != 1)))
 
     nul = F.lit(None).cast("string")
-    def differs(c: str) -> Column:
-        sv, tv = F.col(f"s_v.{c}"), F.col(f"t_v.{c}")
-        if comparable(a.source_types[c], a.target_types[c]):
-            return ~sv.eqNullSafe(tv)
-        return ~common_form(sv, a.source_types[c], a.target_types[c]).eqNullSafe(common_form(tv, a.target_types[c], a.source_types[c]))
-
-    per_col = [F.when(differs(c),
-                      change(F.lit(c), display_text(F.col(f"s_v.{c}"), a.source_types[c]),
-                             display_text(F.col(f"t_v.{c}"), a.target_types[c]), F.lit("changed")))
-               for c in vals]
-    changed = F.filter(F.array(*per_col), lambda x: x.isNotNull()) if per_col else F.array().cast(
-        "array<struct<column_name:string,source_value:string,target_value:string,change:string>>")
-    events = (F.when(F.col("t_n").isNull(), F.array(change(nul, nul, nul, F.lit("missing"))))
-              .when(F.col("s_n").isNull(), F.array(change(nul, nul, nul, F.lit("extra"))))
-              .when((F.col("s_n") > 1) | (F.col("t_n") > 1),
-                    F.array(change(nul, F.col("s_n").cast("string"), F.col("t_n").cast("string"), F.lit("duplicate_key"))))
-              .otherwise(changed))
-    key_out = [F.when(F.col(f"_n{i}"), F.lit(None)).otherwise(F.col(f"_k{i}")).cast(ktypes[k]).alias(k) for i, k in enumerate(keys)]
-    return j.select(*key_out, F.inline(events))
-
-
-def _default(dt: T.DataType) -> Column:
-    """A typed stand-in for NULL in a (value, is-null) key pair; any value works since the flag decides."""
-    if isinstance(dt, T.StringType):
-        return F.lit("")
-    if isinstance(dt, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dt, T.BinaryType):
-        return F.lit(bytearray()).cast("binary")
-    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit("1970-01-01 00:00:00").cast(dt)
-    if isinstance(dt, T.NumericType):
-        return F.lit(0).cast(dt)
-    return F.lit(None).cast(dt)
+    twice = (F.col("s_n") > 0) & (F.col("t_n") > 0)
+    whole = unequal.filter(~F.col("differs")).select(
+        *[F.col(k).alias(name) for k, name in zip(knames, keys)], nul.alias("column_name"),
+        F.when(twice, F.col("s_n").cast("string")).alias("source_value"), F.when(twice, F.col("t_n").cast("string")).alias("target_value"),
+        F.when(F.col("t_n") == 0, "missing").when(F.col("s_n") == 0, "extra").otherwise("duplicate_key").alias("change"))
+    suspects = unequal.filter("differs").select(*knames)
+    if not vals or suspects.isEmpty():
+        return whole
+
+    def rows(df: DataFrame, other: DataFrame, name: str) -> DataFrame:
+        key = [form.cast(types[k]).alias(k) for k, form in zip(knames, _forms(df, keys, other))]
+        keyed = df.select(*key, F.struct(*[F.col(quote(c)).alias(c) for c in vals]).alias("_row"))
+        return keyed.alias(name).join(suspects.alias("want"), _same_keys(name, "want", n), "left_semi").alias(name)
+
+    paired = rows(pair.source, pair.target, "s").join(rows(pair.target, pair.source, "t"), _same_keys("s", "t", n))
+
+    def changed(c: str) -> Column:
+        st, tt = a.source_types[c], a.target_types[c]
+        sv, tv = F.col("s._row").getField(c), F.col("t._row").getField(c)
+        forms = (sorted_maps(sv, st), sorted_maps(tv, tt)) if comparable(st, tt) else (common_form(sv, st, tt), common_form(tv, tt, st))
+        return F.when(~forms[0].eqNullSafe(forms[1]), F.struct(F.lit(c).alias("column_name"), display_text(sv, st).alias("source_value"),
+                                                              display_text(tv, tt).alias("target_value"), F.lit("changed").alias("change")))
+
+    found = F.filter(F.array(*[changed(c) for c in vals]), lambda x: x.isNotNull())
+    return whole.unionByName(paired.select(*[F.col(f"s.{k}").alias(name) for k, name in zip(knames, keys)], F.inline(found)))
 
 
 def unique_to_one_side(first: DataFrame, second: DataFrame, first_name: str, second_name: str,

@@ -32,6 +32,43 @@ def orders_target(t: TableSet, doubled: bool = True, custkey_type: str | None =
     return base.unionAll(base.filter(k % 101 == 0))
 
 
+#: Fixed values of the drifted pair: keys by these moduli get another value in the named column.
+DRIFT = {"price": 89, "huge": 83, "tiny": 79, "tenth": 73}
+DRIFT_LOST = 97
+
+
+def drifted_orders(t: TableSet) -> tuple[DataFrame, DataFrame]:
+    """Orders and the same orders under other types of numbers: key bigint → decimal, price and tiny
+    double → decimal, huge decimal of 22 digits and more → double, tenth float → double, day date →
+    timestamp_ntz. Keys by ``DRIFT_LOST`` are lost, keys by ``DRIFT`` changed."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    tenth = (k % 10).cast("double") / 10
+    source = t.orders.select(k.alias("k"), F.col("o_totalprice").cast("double").alias("price"), (c.cast("decimal(17,0)") * F.lit("1000000000000000000000").cast("decimal(22,0)")).cast("decimal(38,0)").alias("huge"),
+                             (c / 1e7).alias("tiny"), tenth.cast("float").alias("tenth"), F.col("o_orderdate").cast("date").alias("day"))
+    moved = {n: F.when(k % m == 0, 1).otherwise(0) for n, m in DRIFT.items()}
+    target = t.orders.filter(k % DRIFT_LOST != 0).select(
+        k.cast("decimal(20,0)").alias("k"), (F.col("o_totalprice").cast("decimal(20,4)") + moved["price"]).cast("decimal(22,4)").alias("price"), ((c + moved["huge"]) * 1e21).alias("huge"),
+        (c.cast("decimal(20,10)") * F.lit("0.0000001").cast("decimal(8,7)") + moved["tiny"]).cast("decimal(38,17)").alias("tiny"), (tenth + moved["tenth"]).alias("tenth"),
+        F.col("o_orderdate").cast("date").cast("timestamp_ntz").alias("day"))
+    return source, target
+
+
+def nested_orders(t: TableSet) -> tuple[DataFrame, DataFrame]:
+    """Maps inside arrays of structs, whose entries stand in either order, and arrays whose texts would look
+    alike without quotes; the target has other values."""
+    k = F.col("o_orderkey")
+
+    def side(modulus: int) -> DataFrame:
+        a, b = (F.lit("a"), k % 7), (F.lit("b"), k % modulus)
+        either = F.when(k % 2 == 0, F.create_map(*a, *b)).otherwise(F.create_map(*b, *a))
+        p, q = (k % 3).cast("string"), (k % 5).cast("string")
+        listed = F.when(k % 2 == 0, F.array(p, q)).otherwise(F.array(F.concat(p, F.lit(", "), q)))
+        return t.orders.select(F.array(F.struct(either.alias("m"))).alias("nested"), listed.alias("listed"),
+                               F.when(k % 11 != 0, F.struct(either.alias("m"), F.when(k % 4 != 0, k % 4).alias("r"))).alias("part"))
+
+    return side(3), side(4)
+
+
 def orders_parent(t: TableSet) -> DataFrame:
     return t.orders.filter(F.col("o_orderkey") % 10 != 0)
 

@@ -149,6 +149,39 @@ SELECT s.o_orderkey, CAST(NULL AS VARCHAR) AS column_name, CAST(s.n AS VARCHAR)
        CAST(t.n AS VARCHAR) AS target_value, 'duplicate_key' AS change
 FROM s JOIN t ON s.o_orderkey = t.o_orderkey WHERE s.n > 1 OR t.n > 1"""
 
+# by the rules of the injected changes, on the values before any change of type
+def _drift_sql() -> dict[str, str]:
+    from paritas.plans.fixtures import DRIFT, DRIFT_LOST
+
+    kept = f"o_orderkey % {DRIFT_LOST} <> 0"
+    row = lambda change, by: f"o_custkey + {change} * (o_orderkey % {by} = 0)::INT"
+    source = "SELECT o_custkey AS huge, o_totalprice AS price, o_orderkey % 10 AS tenth, o_custkey AS tiny FROM orders"
+    target = (f"SELECT {row(1, DRIFT['huge'])} AS huge, o_totalprice + (o_orderkey % {DRIFT['price']} = 0)::INT AS price, "
+              f"o_orderkey % 10 + 10 * (o_orderkey % {DRIFT['tenth']} = 0)::INT AS tenth, {row(10000000, DRIFT['tiny'])} AS tiny FROM orders WHERE {kept}")
+    keyed = _union([f"SELECT '{c}' AS column_name, 'changed' AS change, count(*) AS n FROM orders WHERE {kept} AND o_orderkey % {m} = 0 HAVING count(*) > 0" for c, m in DRIFT.items()])
+    ranges = _union([f"SELECT '{c}' AS column_name, (SELECT min({c}) = min(t_{c}) AND max({c}) = max(t_{c}) FROM s, (SELECT min({c}) AS t_{c} FROM t UNION ALL SELECT max({c}) FROM t)) AS passed" for c in DRIFT])
+    both = f"WITH s AS ({source}), t AS ({target})"
+    return {
+        "number_drift": f"{keyed} UNION ALL SELECT NULL, 'missing', count(*) FROM orders WHERE NOT ({kept}) HAVING count(*) > 0",
+        "number_drift_multiset": f"""{both} SELECT (SELECT count(*) FROM (FROM s EXCEPT ALL FROM t)) AS missing, (SELECT count(*) FROM (FROM t EXCEPT ALL FROM s)) AS extra,
+  (SELECT count(*) FROM s) AS source_rows, (SELECT count(*) FROM t) AS target_rows,
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM s)) AS source_distinct, (SELECT count(*) FROM (SELECT DISTINCT * FROM t)) AS target_distinct""",
+        "number_drift_ranges": f"{both}, x AS ({ranges}) FROM x UNION ALL SELECT 'k', (SELECT min(o_orderkey) FROM orders) = (SELECT min(o_orderkey) FROM orders WHERE {kept}) "
+                               f"AND (SELECT max(o_orderkey) FROM orders) = (SELECT max(o_orderkey) FROM orders WHERE {kept})",
+    }
+
+
+ORACLES |= _drift_sql()
+
+ORACLES["nested_unique_values"] = """WITH v AS (
+  SELECT o_orderkey % 7 AS a, o_orderkey % 3 AS s, o_orderkey % 4 AS t, o_orderkey % 2 AS odd, o_orderkey % 5 AS q, o_orderkey % 11 = 0 AS gone FROM orders),
+d AS (
+  SELECT count(DISTINCT (a, s)) AS nested_s, count(DISTINCT (a, t)) AS nested_t, count(DISTINCT (odd, s, q)) AS listed,
+    count(DISTINCT CASE WHEN NOT gone THEN (a, s, t) END) + max(gone::INT) AS part_s, count(DISTINCT CASE WHEN NOT gone THEN (a, t) END) + max(gone::INT) AS part_t FROM v)
+SELECT 'nested' AS column_name, nested_s AS source_distinct, nested_t AS target_distinct, nested_s = nested_t AS passed FROM d
+UNION ALL SELECT 'listed', listed, listed, true FROM d
+UNION ALL SELECT 'part', part_s, part_t, part_s = part_t FROM d"""
+
 _HASH_COLS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "load_id"]
 _hash_text = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '__NULL__')" for c in _HASH_COLS) + ")"
 ORACLES["row_hash"] = f"WITH {ORDERS_T}\nSELECT o_orderkey, sha256({_hash_text}) AS row_hash FROM orders_t"

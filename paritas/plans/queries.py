@@ -1,7 +1,8 @@
 """Registered queries: one per operator of the inventory, each over whole given tables.
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose columns are
-named as in the matching oracle statement (``paritas.plans.oracle``).
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose columns are
+named as in the matching oracle statement (``paritas.plans.oracle``). Most are lazy; those of iterative
+operators, the suite and the keyed diff checkpoint steps when they are called.
 """
 
 from __future__ import annotations
@@ -153,6 +154,31 @@ def _keyed_diff_dup_keys(t: TableSet) -> DataFrame:
     return R.keyed_diff(orders_pair(t)).filter(F.col("change") == "duplicate_key")
 
 
+@query("number_drift")
+def _number_drift(t: TableSet) -> DataFrame:
+    """E5 across drifted types of numbers and dates: differences per column and kind."""
+    found = R.keyed_diff(TablePair(*FX.drifted_orders(t), keys=("k",)))
+    return found.groupBy("column_name", "change").agg(F.count("*").alias("n"))
+
+
+@query("number_drift_multiset")
+def _number_drift_multiset(t: TableSet) -> DataFrame:
+    """E7 and E11 across drifted types, without keys."""
+    return R.diff_summary(TablePair(*FX.drifted_orders(t)), ["huge", "price", "tenth", "tiny"])
+
+
+@query("number_drift_ranges")
+def _number_drift_ranges(t: TableSet) -> DataFrame:
+    """E12 across drifted types."""
+    return PR.numeric_range_parity(TablePair(*FX.drifted_orders(t))).select("column_name", "passed")
+
+
+@query("nested_unique_values")
+def _nested_unique_values(t: TableSet) -> DataFrame:
+    """E15 on nested columns: two orders of a map's entries are one value."""
+    return P.unique_value_parity(TablePair(*FX.nested_orders(t)))
+
+
 @query("row_hash")
 def _row_hash(t: TableSet) -> DataFrame:
     return add_row_hash(FX.orders_target(t, doubled=False)).select("o_orderkey", "row_hash")
