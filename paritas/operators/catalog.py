@@ -32,7 +32,8 @@ def _column_names(cat: CatalogTables) -> DataFrame:
 
 
 def resolved_fk_columns(cat: CatalogTables) -> DataFrame:
-    """One row per FK column pair with names resolved on both sides."""
+    """One row per FK column pair with names resolved on both sides; a target that is not in the catalog
+    leaves its names NULL (another database, no permission)."""
     tabs = _tables(cat)
     cols = _column_names(cat)
     fkc = cat.foreign_key_columns.join(
@@ -46,8 +47,8 @@ def resolved_fk_columns(cat: CatalogTables) -> DataFrame:
                        F.col("column_name").alias("child_column_name"))
     rcol = cols.select(F.col("object_id").alias("referenced_object_id"), F.col("column_id").alias("referenced_column_id"),
                        F.col("column_name").alias("referenced_column_name"))
-    return (fkc.join(child, "parent_object_id").join(ref, "referenced_object_id")
-            .join(ccol, ["parent_object_id", "parent_column_id"]).join(rcol, ["referenced_object_id", "referenced_column_id"]))
+    return (fkc.join(child, "parent_object_id").join(ref, "referenced_object_id", "left")
+            .join(ccol, ["parent_object_id", "parent_column_id"]).join(rcol, ["referenced_object_id", "referenced_column_id"], "left"))
 
 
 def column_metadata(cat: CatalogTables, schema_name: str | None = None, exclude_pattern: str | None = "DO_NOT") -> DataFrame:
@@ -134,22 +135,35 @@ def fk_columns(meta: DataFrame) -> DataFrame:
 class MetadataCache:
     """Column metadata cached per (database, schema); evict one entry or all, refresh one.
 
-    The cached frames are the metadata rows themselves (``cache()``), not collected Python objects.
+    The cached frames are the metadata rows themselves (``cache()``), not collected Python objects, of every
+    table: ``exclude_pattern`` (B8) applies to the listing of a database (G2), while one table is found
+    whatever its name (G1). As a context manager the cache ends with its block: all entries are
+    evicted, so a query that looks tables up leaves nothing behind.
     """
 
     def __init__(self, loader: Callable[[str], CatalogTables], exclude_pattern: str | None = "DO_NOT"):
         self._loader = loader
         self._exclude = exclude_pattern
-        self._frames: dict[tuple[str, str], DataFrame] = {}
+        self._frames: dict[tuple[str, str | None], DataFrame] = {}
 
-    def database(self, database_name: str, schema_name: str | None = "dbo") -> DataFrame:
+    def __enter__(self) -> "MetadataCache":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.evict()
+
+    def _whole(self, database_name: str, schema_name: str | None) -> DataFrame:
         key = (database_name, schema_name)
         if key not in self._frames:
-            self._frames[key] = column_metadata(self._loader(database_name), schema_name, self._exclude).cache()
+            self._frames[key] = column_metadata(self._loader(database_name), schema_name, None).cache()
         return self._frames[key]
 
+    def database(self, database_name: str, schema_name: str | None = "dbo") -> DataFrame:
+        found = self._whole(database_name, schema_name)
+        return found.filter(~F.col("table_name").contains(self._exclude)) if self._exclude else found
+
     def table(self, database_name: str, table_name: str, schema_name: str | None = "dbo") -> DataFrame:
-        return table_metadata(self.database(database_name, schema_name), table_name, schema_name)
+        return table_metadata(self._whole(database_name, schema_name), table_name, schema_name)
 
     def table_nested(self, database_name: str, table_name: str, schema_name: str | None = "dbo") -> DataFrame:
         return nested_table_metadata(self.table(database_name, table_name, schema_name))
@@ -214,8 +228,9 @@ def referencing_tables(cat: CatalogTables, table_name: str | None = None, schema
                        include_self: bool = True) -> DataFrame:
     """Foreign keys pointing at a table (all tables when ``table_name`` is None), one row per FK:
     referenced schema/table, child schema/table, FK name, child and parent column lists in
-    constraint-column order. ``include_self=False`` drops FKs of a table into itself."""
-    r = resolved_fk_columns(cat)
+    constraint-column order. ``include_self=False`` drops FKs of a table into itself. A key whose target is
+    not in the catalog points at no listed table."""
+    r = resolved_fk_columns(cat).filter(F.col("referenced_table_name").isNotNull())
     if table_name is not None:
         r = r.filter(F.col("referenced_table_name") == table_name)
     if schema_name is not None:

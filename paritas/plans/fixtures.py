@@ -243,3 +243,34 @@ def table_catalog(t: TableSet, frames: dict | None = None) -> "CatalogTables":
         not_null.setdefault(child, []).extend(cols)
     return CatalogTables.from_frames(t.spark, frames, PRIMARY_KEYS, FOREIGN_KEYS, UNIQUE_KEYS, not_null,
                                      database_name="tpch")
+
+
+def two_schemas(t: TableSet) -> tuple["CatalogTables", dict[str, DataFrame]]:
+    """``live`` holds customer and orders, ``stage`` tables of the same names with defects, keys of the same
+    names, a key into a table that the catalog lacks, and one into ``stage.nation``, which has no frame."""
+    from paritas.sources.catalog import CatalogTables
+
+    k = F.col("o_orderkey")
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    staged = orders.filter(k % 97 != 0).select(k, F.when(k % 53 == 0, F.lit(None)).when(k % 59 == 0, F.col("o_custkey") + 10000000).otherwise(F.col("o_custkey")).cast("decimal(20,0)").alias("o_custkey"))
+    customer = t.customer.select("c_custkey", "c_nationkey")
+    frames = {"live.customer": customer, "live.orders": orders, "stage.customer": customer.filter(F.col("c_custkey") % 31 != 0),
+              "stage.orders": staged.unionAll(staged.filter(k % 101 == 0))}
+    mk = t.spark.createDataFrame
+    names = [(1, "customer", 1), (2, "orders", 1), (3, "customer", 2), (4, "orders", 2), (5, "nation", 2)]
+    columns = [(1, 1, "c_custkey", False), (1, 2, "c_nationkey", False), (2, 1, "o_orderkey", False), (2, 2, "o_custkey", True), (3, 1, "c_custkey", False), (3, 2, "c_nationkey", True),
+               (4, 1, "o_orderkey", False), (4, 2, "o_custkey", False), (5, 1, "n_nationkey", False)]
+    indexes = [(i, 1, True, False) for i in (1, 2, 3, 4)] + [(4, 2, False, True)]
+    index_columns = [(i, 1, 1, 1) for i in (1, 2, 3, 4)] + [(4, 2, 2, 1), (4, 2, 1, 2)]
+    keys = [(11, "fk_customer", 2, 1), (12, "fk_customer", 4, 3), (13, "fk_nation", 3, 5), (14, "fk_gone", 4, 99)]
+    key_columns = [(11, 1, 2, 2, 1, 1), (12, 1, 4, 2, 3, 1), (13, 1, 3, 2, 5, 1), (14, 1, 4, 1, 99, 1)]
+    cat = CatalogTables(
+        tables=mk(names, "object_id int, name string, schema_id int"), schemas=mk([("live", 1), ("stage", 2)], "name string, schema_id int"),
+        columns=mk([(i, c, n, 1, None, None, None, null, False, 0) for i, c, n, null in columns],
+                   "object_id int, column_id int, name string, user_type_id int, max_length int, precision int, scale int, is_nullable boolean, is_identity boolean, default_object_id int"),
+        types=mk([(1, "bigint")], "user_type_id int, name string"), computed_columns=mk([], "object_id int, column_id int, definition string"),
+        index_columns=mk(index_columns, "object_id int, index_id int, column_id int, key_ordinal int"),
+        indexes=mk(indexes, "object_id int, index_id int, is_primary_key boolean, is_unique_constraint boolean"),
+        foreign_key_columns=mk(key_columns, "constraint_object_id int, constraint_column_id int, parent_object_id int, parent_column_id int, referenced_object_id int, referenced_column_id int"),
+        foreign_keys=mk(keys, "object_id int, name string, parent_object_id int, referenced_object_id int"), database_name="tpch")
+    return cat, frames

@@ -537,3 +537,51 @@ def _declared_constraints_sql() -> str:
 
 
 ORACLES["declared_constraints"] = _declared_constraints_sql()
+
+
+_STAGED = """o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 53 = 0 THEN NULL WHEN o_orderkey % 59 = 0 THEN o_custkey + 10000000 ELSE o_custkey END AS o_custkey FROM orders WHERE o_orderkey % 97 <> 0),
+so AS (FROM o UNION ALL FROM o WHERE o_orderkey % 101 = 0),
+sc AS (SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 31 <> 0),
+lost AS (SELECT o_custkey, count(*) AS n FROM so WHERE o_custkey IS NULL OR o_custkey NOT IN (SELECT c_custkey FROM sc) GROUP BY o_custkey),
+live_lost AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) GROUP BY o_custkey)"""
+
+
+def _two_schema_sql() -> dict[str, str]:
+    row = lambda table, check, column, metric, sv, tv, detail, status="'ok'", passed=None: (
+        f"SELECT '{table}' AS table_name, '{check}' AS \"check\", '{column}' AS column_name, '{metric}' AS metric, CAST({sv} AS VARCHAR) AS source_value, "
+        f"CAST({tv} AS VARCHAR) AS target_value, {passed or f'({sv}) = 0'} AS passed, {status} AS status, {detail} AS detail")
+    pk = lambda table, rel, key: row(table, "primary_key_uniqueness", key, "violations", f"(SELECT count(*) - count(DISTINCT {key}) FROM {rel})",
+                                     f"(SELECT count(*) FROM (SELECT 1 FROM {rel} GROUP BY {key} HAVING count(*) > 1))", "'primary_key_1'")
+    nn = lambda table, rel, c: row(table, "not_null_constraints", c, "null_or_nan", f"(SELECT count(*) FROM {rel} WHERE {c} IS NULL)", "NULL", "NULL")
+    skipped = lambda table, check, column, metric, detail: row(table, check, column, metric, "NULL", "NULL", f"'{detail}'", "'skipped'", "CAST(NULL AS BOOLEAN)")
+    rows = [pk("live.customer", "customer", "c_custkey"), pk("live.orders", "orders", "o_orderkey"), pk("stage.customer", "sc", "c_custkey"), pk("stage.orders", "so", "o_orderkey"),
+            row("stage.orders", "unique_constraints", "o_custkey,o_orderkey", "violations", "(SELECT count(*) - count(DISTINCT (o_custkey, o_orderkey)) FROM so WHERE o_custkey IS NOT NULL)",
+                "(SELECT count(*) FROM (SELECT 1 FROM so WHERE o_custkey IS NOT NULL GROUP BY o_custkey, o_orderkey HAVING count(*) > 1))", "'unique_2'"),
+            nn("live.customer", "customer", "c_custkey"), nn("live.customer", "customer", "c_nationkey"), nn("live.orders", "orders", "o_orderkey"), nn("stage.customer", "sc", "c_custkey"),
+            nn("stage.orders", "so", "o_orderkey"), nn("stage.orders", "so", "o_custkey"),
+            row("stage.orders", "referential_integrity", "o_custkey", "missing_values", "(SELECT count(o_custkey) FROM lost)", "NULL", "'fk_customer'"),
+            row("stage.customer", "orphaned_records", "o_custkey", "orphaned_rows", "(SELECT sum(n) FROM lost)", "NULL", "'fk_customer from stage.orders'"),
+            row("live.orders", "referential_integrity", "o_custkey", "missing_values", "(SELECT count(*) FROM live_lost)", "NULL", "'fk_customer'"),
+            row("live.customer", "orphaned_records", "o_custkey", "orphaned_rows", "(SELECT coalesce(sum(n), 0) FROM live_lost)", "NULL", "'fk_customer from live.orders'"),
+            skipped("stage.customer", "referential_integrity", "c_nationkey", "missing_values", "fk_nation: no frame for nation"),
+            skipped("stage.orders", "referential_integrity", "o_orderkey", "missing_values", "fk_gone: its target is not in the catalog")]
+    sample = lambda table, check, column, detail, rel, shown, order: (
+        f"SELECT * FROM (SELECT '{table}' AS table_name, '{check}' AS \"check\", '{column}' AS column_name, {shown} AS source_value, CAST(n AS VARCHAR) AS target_value, '{detail}' AS detail "
+        f"FROM ({rel}) ORDER BY {order} LIMIT 10)")
+    twice = "SELECT o_orderkey, o_custkey, count(*) AS n FROM so {0} GROUP BY ALL HAVING count(*) > 1"
+    samples = [sample("stage.orders", "primary_key_uniqueness", "o_orderkey", "primary_key_1", twice.format(""), "CAST(o_orderkey AS VARCHAR)", "n DESC, o_orderkey"),
+               sample("stage.orders", "unique_constraints", "o_custkey,o_orderkey", "unique_2", twice.format("WHERE o_custkey IS NOT NULL"), "concat(o_custkey, ', ', o_orderkey)",
+                      "n DESC, CAST(concat('[\"{\\\\\"v\\\\\":', o_custkey, '}\",\"{\\\\\"v\\\\\":', o_orderkey, '}\"]') AS VARCHAR)"),
+               sample("stage.orders", "referential_integrity", "o_custkey", "fk_customer", "FROM lost WHERE o_custkey IS NOT NULL",
+                      "CASE WHEN o_custkey = 0 THEN '0' ELSE concat(rtrim(CAST(o_custkey AS VARCHAR), '0'), 'E', length(CAST(o_custkey AS VARCHAR)) - length(rtrim(CAST(o_custkey AS VARCHAR), '0'))) END", "source_value")]
+    return {"two_schema_constraints": f"WITH {_STAGED}\n" + _union(rows), "declared_constraint_samples": f"WITH {_STAGED}\n" + _union(samples)}
+
+
+ORACLES |= _two_schema_sql()
+_mismatch = ORACLES["fk_type_mismatch"]
+ORACLES["catalog_constraint_rows"] = f"""WITH m AS (SELECT attribute AS metric, count(*) AS n FROM ({_mismatch}) GROUP BY attribute),
+c AS (SELECT count(*) AS n FROM ({ORACLES["fk_cycles"]}))
+SELECT 'foreign_key_datatype_consistency' AS "check", metric, false AS passed, n, CAST(NULL AS VARCHAR) AS total FROM m
+UNION ALL SELECT 'circular_references', 'cycle', false, n, NULL FROM c WHERE n > 0
+UNION ALL SELECT 'foreign_key_datatype_consistency', 'total', coalesce(sum(n), 0) = 0, 1, CAST(coalesce(sum(n), 0) AS BIGINT)::VARCHAR FROM m
+UNION ALL SELECT 'circular_references', 'total', n = 0, 1, n::VARCHAR FROM c"""

@@ -21,6 +21,7 @@ from paritas.operators import profile as PR
 from paritas.operators import rowdiff as R
 from paritas.operators.pair import TablePair
 from paritas.plans import fixtures as FX
+from paritas.session import reliable_checkpoint
 from paritas.sources.tables import TableSet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,16 +312,16 @@ def _catalog_metadata(t: TableSet) -> DataFrame:
 @query("table_metadata")
 def _table_metadata(t: TableSet) -> DataFrame:
     """One table's rows through the metadata cache."""
-    cache = G.MetadataCache(lambda db: FX.derived_catalog(t, db[-1]))
-    m = cache.table("db_a", "Customer#000000001", schema_name=None)
+    with G.MetadataCache(lambda db: FX.derived_catalog(t, db[-1])) as cache:
+        m = reliable_checkpoint(cache.table("db_a", "Customer#000000001", schema_name=None))
     return m.select(*[c for c in m.columns if c != "foreign_keys"], _fk_text().alias("foreign_keys"))
 
 
 @query("table_metadata_nested")
 def _table_metadata_nested(t: TableSet) -> DataFrame:
     """DM6/G3: the nested form of one table, columns in column-id order."""
-    cache = G.MetadataCache(lambda db: FX.derived_catalog(t, db[-1]))
-    n = cache.table_nested("db_a", "Customer#000000001", schema_name=None)
+    with G.MetadataCache(lambda db: FX.derived_catalog(t, db[-1])) as cache:
+        n = reliable_checkpoint(cache.table_nested("db_a", "Customer#000000001", schema_name=None))
     return n.select("database_name", "schema_name", "table_name", F.size("columns").cast("bigint").alias("n_columns"),
                     F.array_join(F.transform("columns", lambda x: x["column_name"]), ",").alias("column_names"))
 
@@ -452,4 +453,28 @@ def _declared_constraints(t: TableSet) -> DataFrame:
     """H1-H5/H7-H9 driven by catalog metadata: every declared key, not-null column and FK of the given tables."""
     from paritas.plans.constraint_suite import run_constraints
     frames = FX.table_frames(t)
-    return run_constraints(t.spark, FX.table_catalog(t, frames), frames)
+    return run_constraints(t.spark, FX.table_catalog(t, frames), frames, samples=0)
+
+
+@query("declared_constraint_samples")
+def _declared_constraint_samples(t: TableSet) -> DataFrame:
+    """H1, H3, H4, H7: the duplicated and missing keys that the constraint run reports, on orders with defects."""
+    from paritas.plans.constraint_suite import run_constraints
+    found = run_constraints(t.spark, *FX.two_schemas(t))
+    return found.filter(F.col("metric").endswith("_sample")).select("table_name", "check", "column_name", "source_value", "target_value", "detail")
+
+
+@query("two_schema_constraints")
+def _two_schema_constraints(t: TableSet) -> DataFrame:
+    """H1-H5, H7-H9 in a catalog with equal table and constraint names in two schemas, a target that is
+    not in the catalog and a table without a frame."""
+    from paritas.plans.constraint_suite import run_constraints
+    found = run_constraints(t.spark, *FX.two_schemas(t), samples=0)
+    return found.select("table_name", "check", "column_name", "metric", "source_value", "target_value", "passed", "status", "detail")
+
+
+@query("catalog_constraint_rows")
+def _catalog_constraint_rows(t: TableSet) -> DataFrame:
+    """G8 and G9 as result rows of the constraint run."""
+    from paritas.plans.constraint_suite import catalog_rows
+    return catalog_rows(FX.derived_catalog(t)).groupBy("check", "metric", "passed").agg(F.count("*").alias("n"), F.max(F.when(F.col("metric") == "total", F.col("source_value"))).alias("total"))
