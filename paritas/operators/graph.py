@@ -12,8 +12,7 @@ Every step is linear in nodes and edges: no pairs of nodes are formed.
    out-edge follows it by pointer doubling to the end of its chain, and is dropped when
    nothing leads on from there (in-edges alike). So trees and chains of any length take a
    number of rounds that grows with the logarithm of their size.
-4. ``strongly_connected``: SCC labels, phase by phase: trim nodes without an in- or
-   out-edge (singletons), forward max-colour propagation, then backward reachability from
+4. ``strongly_connected``: SCC labels, phase by phase: peel (singletons), forward max-colour propagation, then backward reachability from
    each colour's root inside its colour. Work per round is O(V + E).
 5. ``fk_cycles``: one witness path per component. A breadth-first tree grows from the
    component's least node, all components at once, each node with its depth and one parent
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paritas.session import reliable_checkpoint as _cut
+from paritas.session import reliable_table as _table
 
 #: Leaf rounds before chains are followed; the edges that stay are the same for any number.
 LEAF_ROUNDS = 3
@@ -102,23 +102,15 @@ def peel(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     return _peel(_edges(edges, src, dst))
 
 
-def _degree_split(nodes: DataFrame, e: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(live, trivial): nodes with both an in- and an out-edge in ``e``, and the others."""
-    live = nodes.join(_live(e), "node", "left_semi")
-    return live, nodes.join(live, "node", "left_anti")
-
-
 def strongly_connected(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (src, dst); component = largest node id of the SCC."""
     nodes = _cut(edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct())
     rem_e = edges
     done: list[DataFrame] = []
     while not nodes.isEmpty():
-        live, trivial = _degree_split(nodes, rem_e)
-        live = _cut(live)
-        done.append(_cut(trivial.select("node", F.col("node").alias("component"))))
-        rem_e = _cut(rem_e.join(live.withColumnRenamed("node", "src"), "src", "left_semi")
-                     .join(live.withColumnRenamed("node", "dst"), "dst", "left_semi"))
+        rem_e = _peel(rem_e)  # whole tails and bridges go at once, not a layer a phase
+        live = _cut(rem_e.select(F.col("src").alias("node")).distinct())
+        done.append(_cut(nodes.join(live, "node", "left_anti").select("node", F.col("node").alias("component"))))
         if live.isEmpty():
             break
         # forward: colour(v) = max colour over v and its predecessors, to a fixpoint
@@ -194,12 +186,12 @@ def _rings(ring: DataFrame) -> DataFrame:
         span *= 2
     member = state.select("node", F.col("best").alias("component"))
     root = F.col("node") == F.col("component")
-    walk = _cut(ring.join(member, F.col("src") == F.col("node")).select(
+    walk = _table(ring.join(member, F.col("src") == F.col("node")).select(
         "node", "component", F.when(root, F.col("node")).otherwise(F.col("dst")).alias("jump"), F.when(root, 0).otherwise(1).cast("bigint").alias("steps")))
     span = 1
     while span < n:
         ahead = walk.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("steps").alias("more"))
-        walk = _cut(walk.join(ahead, "jump").select("node", "component", F.col("next").alias("jump"), (F.col("steps") + F.col("more")).alias("steps")))
+        walk = _table(walk.join(ahead, "jump").select("node", "component", F.col("next").alias("jump"), (F.col("steps") + F.col("more")).alias("steps")))
         span *= 2
     size = walk.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     return walk.join(size, "component").select("node", "component", F.when(F.col("steps") == 0, 0).otherwise(F.col("size") - F.col("steps")).cast("bigint").alias("position"))

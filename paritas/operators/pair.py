@@ -6,7 +6,7 @@ it never starts a Spark job.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -20,9 +20,15 @@ class TablePair:
     database_name: str | None = None
     table_name: str | None = None
     label: str = ""
+    #: Column metadata (G2 rows) of the table on either side; the suite's catalog checks read it.
+    source_metadata: DataFrame | None = None
+    target_metadata: DataFrame | None = None
 
     def with_keys(self, *keys: str) -> "TablePair":
-        return TablePair(self.source, self.target, tuple(keys), self.database_name, self.table_name, self.label)
+        return replace(self, keys=tuple(keys))
+
+    def with_metadata(self, source: DataFrame, target: DataFrame | None = None) -> "TablePair":
+        return replace(self, source_metadata=source, target_metadata=target)
 
 
 @dataclass(frozen=True)

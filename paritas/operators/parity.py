@@ -6,7 +6,7 @@ schema facts. Data checks are lazy DataFrames; nothing here collects data rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +70,27 @@ def pair_diagnosis(pair: TablePair, profile: PairProfile | None = None) -> DataF
         arr(a.source_only).alias("source_only"), arr(a.target_only).alias("target_only"))
 
 
+def schema_profile(pair: TablePair, profile: PairProfile | None = None) -> DataFrame:
+    """E3, E8-E10 in one row per common column: data type and declared nullability of both sides, and from
+    the profile pass their rows and NULLs. ``nullable_ok``: a column declared not null holds none."""
+    p = profile or PairProfile(pair)
+    a = p.alignment
+    cells = []
+    for i, c in enumerate(p.columns):
+        sn, tn = p.get("s", "nulls", i), p.get("t", "nulls", i)
+        kept = F.lit(True)
+        for nullable, n in ((a.source_nullable[c], sn), (a.target_nullable[c], tn)):
+            kept = kept & (F.lit(nullable) | (n == 0))
+        cells.append(F.struct(F.lit(c).alias("column_name"), F.lit(a.source_types[c].simpleString()).alias("source_type"), F.lit(a.target_types[c].simpleString()).alias("target_type"),
+                              F.lit(a.source_types[c] == a.target_types[c]).alias("types_equal"), F.lit(a.source_nullable[c]).alias("source_nullable"),
+                              F.lit(a.target_nullable[c]).alias("target_nullable"), F.col("s_rows").alias("source_rows"), F.col("t_rows").alias("target_rows"),
+                              sn.alias("source_nulls"), tn.alias("target_nulls"), kept.alias("nullable_ok")))
+    if not cells:
+        return _frame(pair, [], "column_name string, source_type string, target_type string, types_equal boolean, source_nullable boolean, target_nullable boolean, "
+                                "source_rows bigint, target_rows bigint, source_nulls bigint, target_nulls bigint, nullable_ok boolean")
+    return p.wide.select(F.inline(F.array(*cells)))
+
+
 def pair_samples(pair: TablePair, n: int = 5, column: str | None = None) -> DataFrame:
     """The ``n`` smallest values (NULLs last) of one common column per side.
 
@@ -84,12 +105,30 @@ def pair_samples(pair: TablePair, n: int = 5, column: str | None = None) -> Data
     col = column or a.common[0]
 
     def side(df: DataFrame, name: str, dt: T.DataType) -> DataFrame:
-        top = df.select(col).orderBy(F.col(col).asc_nulls_last()).limit(n)
-        return top.select(F.lit(name).alias("side"), F.lit(col).alias("column_name"), display_text(F.col(col), dt).alias("value"))
+        top = df.select(quote(col)).orderBy(F.col(quote(col)).asc_nulls_last()).limit(n)
+        return top.select(F.lit(name).alias("side"), F.lit(col).alias("column_name"), display_text(F.col(quote(col)), dt).alias("value"))
 
     return side(pair.source, "source", a.source_types[col]).unionAll(side(pair.target, "target", a.target_types[col]))
 
 
+def sample_texts(pair: TablePair, n: int = 5, column: str | None = None) -> DataFrame:
+    """The samples of ``pair_samples`` as one row: column_name, source_sample, target_sample, values in their
+    type's order with NULL last (9,10,NULL). Each side is a top-k, then one aggregate over at most ``n`` rows."""
+    a = align(pair)
+    col = column or a.common[0]
+
+    def side(df: DataFrame, number: int, dt: T.DataType) -> DataFrame:
+        top = df.select(F.col(quote(col)).alias("v")).orderBy(F.col("v").asc_nulls_last()).limit(n)
+        ranked = top.select(F.row_number().over(Window.orderBy(F.col("v").asc_nulls_last())).alias("r"), F.coalesce(display_text(F.col("v"), dt), F.lit("NULL")).alias("text"))
+        return ranked.select(F.lit(number).alias("side"), "r", "text")
+
+    def joined(number: int) -> F.Column:
+        return F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("side") == number, F.struct("r", "text")))), lambda x: x["text"]), ",")
+
+    both = side(pair.source, 0, a.source_types[col]).unionAll(side(pair.target, 1, a.target_types[col]))
+    return both.agg(joined(0).alias("source_sample"), joined(1).alias("target_sample")).select(F.lit(col).alias("column_name"), "source_sample", "target_sample")
+
+
 def _unpivot(df: DataFrame, columns: list[str], side: int) -> DataFrame:
     """(side, ci, l, d, s) per cell: the typed exact key as flat columns, all NULL exactly when the cell is.
     Built as one SQL ``inline`` expression (one parse, no per-node JVM round trips)."""

@@ -111,14 +111,14 @@ def edges_big(t: TableSet) -> DataFrame:
 
 
 def customer_graph(t: TableSet) -> DataFrame:
-    """Several out-edges per customer: inside its block of 97 customers by ``x*x + 1`` (all) and ``5x + 3``
+    """Several out-edges per customer: inside its block of 31 customers by ``x*x + 1`` (all) and ``5x + 3``
     (every fourth), and on to the next block (every fifth): components of many sizes, cycles of many
     lengths, and ways between them that lie on no cycle."""
     k = F.col("c_custkey")
-    block, x = F.floor(k / 97).cast("bigint") * 97, k % 97
-    squares = t.customer.select(k.alias("src"), (block + (x * x + 1) % 97).alias("dst"))
-    lines = t.customer.filter(k % 4 == 0).select(k.alias("src"), (block + (x * 5 + 3) % 97).alias("dst"))
-    return squares.unionByName(lines).unionByName(t.customer.filter(k % 5 == 0).select(k.alias("src"), (k + 97).alias("dst")))
+    block, x = F.floor(k / 31).cast("bigint") * 31, k % 31
+    squares = t.customer.select(k.alias("src"), (block + (x * x + 1) % 31).alias("dst"))
+    lines = t.customer.filter(k % 4 == 0).select(k.alias("src"), (block + (x * 5 + 3) % 31).alias("dst"))
+    return squares.unionByName(lines).unionByName(t.customer.filter(k % 5 == 0).select(k.alias("src"), (k + 31).alias("dst")))
 
 
 def non_nullable(df: DataFrame, *columns: str) -> DataFrame:

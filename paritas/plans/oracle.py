@@ -7,6 +7,8 @@ FULL JOIN … IS DISTINCT FROM), not as the counted groupings the Spark side use
 
 from __future__ import annotations
 
+from paritas.plans import suite_oracle
+
 ORDERS_T = """orders_t AS (
   SELECT o_orderkey,
          CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
@@ -459,9 +461,9 @@ SELECT node, component FROM member"""
 
 # closure of the whole graph: two nodes are in one component when each reaches the other
 ORACLES["graph_cycle_witnesses"] = """WITH RECURSIVE e AS (
-  SELECT c_custkey AS src, c_custkey // 97 * 97 + ((c_custkey % 97) * (c_custkey % 97) + 1) % 97 AS dst FROM customer
-  UNION SELECT c_custkey, c_custkey // 97 * 97 + ((c_custkey % 97) * 5 + 3) % 97 FROM customer WHERE c_custkey % 4 = 0
-  UNION SELECT c_custkey, c_custkey + 97 FROM customer WHERE c_custkey % 5 = 0),
+  SELECT c_custkey AS src, c_custkey // 31 * 31 + ((c_custkey % 31) * (c_custkey % 31) + 1) % 31 AS dst FROM customer
+  UNION SELECT c_custkey, c_custkey // 31 * 31 + ((c_custkey % 31) * 5 + 3) % 31 FROM customer WHERE c_custkey % 4 = 0
+  UNION SELECT c_custkey, c_custkey + 31 FROM customer WHERE c_custkey % 5 = 0),
 r(origin, node) AS (SELECT src, dst FROM e UNION SELECT r.origin, e.dst FROM r JOIN e ON r.node = e.src),
 member AS (SELECT a.origin AS node, least(a.origin, min(a.node)) AS component FROM r a JOIN r b ON a.origin = b.node AND a.node = b.origin GROUP BY a.origin),
 d(root, node, depth) AS (
@@ -481,9 +483,17 @@ r(origin, node, depth) AS (
   WHERE r.node <> r.origin AND r.depth < (SELECT count(*) FROM e))
 SELECT DISTINCT origin AS node FROM r WHERE origin = node"""
 
-# both sides of the silver→gold hop resolve to the orders table through the test locator
-ORACLES["layer_pair_parity"] = """SELECT s.n AS source_rows, t.n AS target_rows, s.n = t.n AS passed
-FROM (SELECT count(*) AS n FROM orders) s, (SELECT count(*) AS n FROM orders) t"""
+ORACLES["layer_pair_parity"] = f"""WITH {ORDERS_T}
+SELECT s.n AS source_rows, t.n AS target_rows, s.n = t.n AS passed
+FROM (SELECT count(*) AS n FROM orders) s, (SELECT count(*) AS n FROM orders_t) t"""
+
+ORACLES |= suite_oracle.build(ORDERS_TARGET, CUSTOMER_OTHER)
+ORACLES["scope_results"] = suite_oracle.scope(ORDERS_T, CUSTOMER_OTHER)
+
+_TYPES = {"o_custkey": ("bigint", "int"), "o_orderdate": ("timestamp_ntz",) * 2, "o_orderkey": ("bigint",) * 2, "o_orderpriority": ("string",) * 2, "o_totalprice": ("double",) * 2}
+ORACLES["schema_profile"] = f"WITH {ORDERS_TARGET}\n" + _union([f"""SELECT '{c}' AS column_name, '{a}' AS source_type, '{b}' AS target_type, {a == b} AS types_equal, true AS source_nullable, true AS target_nullable,
+  (SELECT count(*) FROM orders) AS source_rows, (SELECT count(*) FROM orders_target) AS target_rows, (SELECT count(*) - count({c}) FROM orders) AS source_nulls,
+  (SELECT count(*) - count({c}) FROM orders_target) AS target_nulls, true AS nullable_ok""" for c, (a, b) in _TYPES.items()])
 
 ORACLES["orphan_records"] = f"""WITH {LINEITEM_CHILD}, {ORDERS_PARENT},
 g AS (SELECT c.l_orderkey, count(*) AS n FROM lineitem_child c LEFT JOIN orders_parent p ON c.l_orderkey = p.o_orderkey

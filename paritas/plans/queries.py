@@ -403,42 +403,74 @@ def _graph_cycle_nodes(t: TableSet) -> DataFrame:
 
 # -- A/L: layer readers and the suite ---------------------------------------------
 
+def _layers(t: TableSet):
+    """Two layers of a small lake in the shared folder, written from the given tables: silver as they are, gold
+    with the injected defects. The table ``ghost`` is in neither."""
+    import uuid
+
+    from paritas.session import ensure_checkpoint_dir
+    from paritas.sources.layers import LayerLocator
+    root = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/{uuid.uuid4().hex}"
+    loc = LayerLocator(root=root)
+    for table, pair in (("orders", orders_pair(t, doubled=False)), ("customer", customer_pair(t))):
+        pair.source.write.parquet(loc.layer("silver", table, "tpch"))
+        pair.target.write.parquet(loc.layer("gold", table, "tpch"))
+    return loc
+
+
 @query("layer_pair_parity")
 def _layer_pair_parity(t: TableSet) -> DataFrame:
-    """The silver→gold pairing read through a locator whose templates point at the table directory."""
-    from paritas.sources.layers import LayerLocator, load_pair
-    loc = LayerLocator(root=t.base_dir, layer_template="{root}/{table}.parquet", gold_template="{root}/{table}.parquet")
-    pair = load_pair(t.spark, "silver_to_gold", loc, "orders", "tpch")
-    return PR.row_count_parity(pair)
+    """The silver→gold hop of a lake whose two layers differ."""
+    from paritas.sources.layers import load_pair
+    return PR.row_count_parity(load_pair(t.spark, "silver_to_gold", _layers(t), "orders", "tpch"))
+
 
+@query("scope_results")
+def _scope_results(t: TableSet) -> DataFrame:
+    """L1, L3: two hops of the lake over a scope with a table that does not exist, run twice: the second run
+    finds the finished tables and tries the failed ones again."""
+    from paritas.plans.suite import run_scope
+    loc = _layers(t)
+    keys = {"orders": ("o_orderkey",), "customer": ("c_custkey",)}
+    args = dict(scope={"tpch": ["orders", "customer", "ghost"], "other": ["orders"]}, pairings=["silver_to_gold"], path=f"{loc.root}/results", keys=keys,
+                checks=["row_counts", "null_count_per_column", "keyed_row_differences"], databases=["tpch"])
+    run_scope(t.spark, loc, **args)
+    found = run_scope(t.spark, loc, **args)
+    return found.select("pairing", "database_name", "table_name", "check", "column_name", "metric", "source_value", "target_value", "passed", "status")
 
-def _suite_pairs(t: TableSet) -> list:
-    return [
-        ("tpch", "orders", lambda: orders_pair(t)),
-        ("tpch", "customer", lambda: customer_pair(t)),
-        ("tpch", "lineitem", lambda: TablePair(t.lineitem, FX.lineitem_child(t), keys=(), database_name="tpch",
-                                               table_name="lineitem")),
-    ]
+
+def _suite_pairs(t: TableSet) -> list[TablePair]:
+    """Orders with its catalog rows on both sides, customer with keys, lineitem without."""
+    from dataclasses import replace
+
+    from paritas.sources.catalog import CatalogTables
+    orders = replace(orders_pair(t), database_name="tpch")
+    own = G.table_metadata(G.column_metadata(FX.table_catalog(t)), "orders")
+    other = CatalogTables.from_frames(t.spark, {"orders": orders.target}, {"orders": FX.PRIMARY_KEYS["orders"]}, not_null={"orders": ["o_custkey"]}, database_name="tpch_new")
+    return [orders.with_metadata(own, G.column_metadata(other)), replace(customer_pair(t), database_name="tpch"),
+            TablePair(t.lineitem, FX.lineitem_child(t), keys=(), database_name="tpch", table_name="lineitem")]
 
 
 @query("suite_results")
 def _suite_results(t: TableSet) -> DataFrame:
-    """Every registered check on three pairs, one result table (rows-only check)."""
+    """Every registered check on three pairs, one result table."""
     from paritas.plans.suite import run_suite
-    pairs = []
-    for db, table, loader in _suite_pairs(t):
-        p = loader()
-        pairs.append(TablePair(p.source, p.target, p.keys, db, table))
-    return run_suite(t.spark, pairs)
+    return run_suite(t.spark, _suite_pairs(t))
 
 
 @query("suite_summary")
 def _suite_summary(t: TableSet) -> DataFrame:
-    """L4: pass/fail roll-up per table."""
+    """L4: pass/fail roll-up per table of a results frame."""
     from paritas.plans.suite import summarise
     return summarise(QUERIES["suite_results"](t.spark, t.base_dir))
 
 
+@query("schema_profile")
+def _schema_profile(t: TableSet) -> DataFrame:
+    """Types, declared nullability and, from the profile pass over the data, rows and NULLs of both sides."""
+    return P.schema_profile(orders_pair(t, custkey_type="int"))
+
+
 @query("orphan_records")
 def _orphan_records(t: TableSet) -> DataFrame:
     """DM7/H5 record form for lineitem_child → orders_parent; the value map rendered as JSON."""

@@ -12,7 +12,7 @@ compared natively and cast to text last.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -144,11 +144,7 @@ def _diagnosis(ctx: SuiteContext) -> list[str]:
 @frame_check("data_diagnosis_sample", needs_common=True)
 def _sample(ctx: SuiteContext) -> DataFrame:
     """E1's sample: the five smallest values (NULLs last) of the first common column on each side."""
-    smp = P.pair_samples(ctx.pair, 5)
-    both = smp.groupBy("column_name").agg(
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("side") == "source", F.col("value")))), ",").alias("sv"),
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("side") == "target", F.col("value")))), ",").alias("tv"))
-    return _rows_frame(both, [_row("data_diagnosis_sample", E("column_name"), "sample", E("sv"), E("tv"), None)])
+    return _rows_frame(P.sample_texts(ctx.pair, 5), [_row("data_diagnosis_sample", E("column_name"), "sample", E("source_sample"), E("target_sample"), None)])
 
 
 @row_check("row_counts")
@@ -263,6 +259,72 @@ def _keyed(ctx: SuiteContext) -> DataFrame:
     return _rows_frame(counts.unionByName(total), [_row(name, E("column_name"), E("change"), E("n"), None, E("n = 0"))])
 
 
+# -- catalog checks: which column is checked by which rule comes from the metadata rows -----------
+
+def _needs_metadata(fn: Callable[[SuiteContext, str], DataFrame], name: str, both: bool = False):
+    """Registers a catalog check; without metadata it is one skipped row."""
+    @frame_check(name)
+    def check(ctx: SuiteContext) -> DataFrame:
+        p = ctx.pair
+        if p.source_metadata is None or (both and p.target_metadata is None):
+            why = "no metadata given" if p.source_metadata is None else "no target metadata given"
+            return _rows_frame(ctx.pair.source.sparkSession.range(1), [_row(name, None, None, None, None, None, "skipped", why)])
+        return fn(ctx, name)
+    return check
+
+
+def _ruled(ctx: SuiteContext, flag: str) -> DataFrame:
+    """The metadata rows with ``flag`` joined to the long-form profile of the same column. The metadata of one
+    table is bounded by the database's column limit; a column that is not on both sides keeps NULL counts."""
+    profile = ctx.profile.null_counts().select("column_name", "source_nulls", "target_nulls").join(ctx.distinct.drop("passed"), "column_name")
+    wanted = ctx.pair.source_metadata.filter(flag).select("column_name").distinct()
+    return wanted.join(profile, "column_name", "left")
+
+
+def _verdicts(df: DataFrame, rows: list[tuple[str, str, str, str, str]]) -> DataFrame:
+    """Result rows (check, metric, source, target, passed) per column; skipped where the column is not on both sides."""
+    lost = "source_nulls IS NULL"
+    cells = [f"named_struct('check', '{c}', 'column_name', column_name, 'metric', '{m}', 'source_value', CAST({s} AS STRING), 'target_value', CAST({t} AS STRING), "
+             f"'passed', CASE WHEN {lost} THEN NULL ELSE {p} END, 'status', CASE WHEN {lost} THEN 'skipped' ELSE 'ok' END, "
+             f"'detail', CASE WHEN {lost} THEN 'column is not on both sides' END)" for c, m, s, t, p in rows]
+    return _rows_frame(df, cells)
+
+
+def _metadata_found(ctx: SuiteContext, name: str) -> DataFrame:
+    """The catalog knows the table by this name, with at least one column."""
+    one = ctx.pair.source_metadata.agg(F.count(F.lit(1)).alias("n"), F.min("table_name").alias("lo"), F.max("table_name").alias("hi"))
+    wanted = _sql(ctx.pair.table_name)
+    named = "true" if ctx.pair.table_name is None else f"(n > 0 AND lo = {wanted} AND hi = {wanted})"
+    return _rows_frame(one, [_row(name, None, "columns", E("n"), None, E("n > 0")), _row(name, None, "table_name", E("lo"), ctx.pair.table_name, E(named))])
+
+
+def _schema_comparison(ctx: SuiteContext, name: str) -> DataFrame:
+    """Every column attribute in which the two catalogs differ, and how many (0 passes)."""
+    from paritas.operators.catalog import compare_schemas
+    same = [m.withColumn("schema_name", F.lit("")).withColumn("table_name", F.lit("")) for m in (ctx.pair.source_metadata, ctx.pair.target_metadata)]
+    found = compare_schemas(*same)
+    rows = _rows_frame(found, [_row(name, E("column_name"), E("attribute"), E("source_value"), E("target_value"), False)])
+    return rows.unionByName(_rows_frame(found.agg(F.count(F.lit(1)).alias("n")), [_row(name, None, "differences", E("n"), None, E("n = 0"))]))
+
+
+def _fk_columns(ctx: SuiteContext, name: str) -> DataFrame:
+    """NULL and distinct counts of every foreign-key column agree."""
+    return _verdicts(_ruled(ctx, "size(foreign_keys) > 0"), [(name, "nulls", "source_nulls", "target_nulls", "source_nulls = target_nulls"),
+                                                             (name, "distinct_values", "source_distinct", "target_distinct", "source_distinct = target_distinct")])
+
+
+def _metadata_columns(ctx: SuiteContext, name: str) -> DataFrame:
+    """Identity columns hold no NULL on either side, declared not-null columns equally many."""
+    identity = _verdicts(_ruled(ctx, "is_identity"), [(name, "identity_nulls", "source_nulls", "target_nulls", "source_nulls = 0 AND target_nulls = 0")])
+    return identity.unionByName(_verdicts(_ruled(ctx, "NOT is_nullable"), [(name, "not_null_parity", "source_nulls", "target_nulls", "source_nulls = target_nulls")]))
+
+
+_needs_metadata(_metadata_found, "table_metadata_retrieval")
+_needs_metadata(_schema_comparison, "schema_comparison", both=True)
+_needs_metadata(_fk_columns, "foreign_key_integrity")
+_needs_metadata(_metadata_columns, "metadata_driven_column_validation")
+
+
 def _error_row(name: str, e: Exception) -> str:
     return _row(name, None, None, None, None, None, "error", f"{type(e).__name__}: {e}")
 
@@ -355,6 +417,51 @@ def run_suite(spark: SparkSession, pairs: Iterable[TablePair | tuple[str, str, C
     return _union(out).select(*RESULT_COLUMNS)
 
 
+def scope_items(scope: Mapping[str, Iterable[str]], pairings: Iterable[str], databases: Iterable[str] | None = None,
+                tables: Iterable[str] | None = None) -> list[tuple[str, str, str]]:
+    """(pairing, database, table) of a scope ``{database: tables}``, optionally of some databases or tables only (L3)."""
+    dbs, tabs = (None if x is None else set(x) for x in (databases, tables))
+    return [(p, d, t) for p in pairings for d, of in scope.items() if dbs is None or d in dbs for t in of if tabs is None or t in tabs]
+
+
+def run_scope(spark: SparkSession, locator: "LayerLocator", scope: Mapping[str, Iterable[str]], pairings: Iterable[str], path: str,
+              keys: Mapping[str, tuple[str, ...]] | None = None, checks: Iterable[str] | None = None, databases: Iterable[str] | None = None,
+              tables: Iterable[str] | None = None, parallelism: int = 4) -> DataFrame:
+    """L1, L3: every check on every table of every database at every layer hop, results kept per table.
+
+    The results of one table and hop are one dataset below ``path`` (``pairing=/database_name=/table_name=``),
+    complete when its success marker is there. A run that was stopped is started again with the same
+    ``path``: finished tables are skipped, unfinished ones written anew. A table that cannot be
+    loaded is an ``error`` row and counts as unfinished, so the next run tries it again.
+    Returns the results of the whole scope, read back.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from paritas.sources.layers import load_pair
+    from paritas.sources.sinks import finished, read_scope, write_scope
+
+    ensure_checkpoint_dir(spark)
+    names = list(checks) if checks is not None else None
+    items = scope_items(scope, pairings, databases, tables)
+    todo = [i for i in items if not finished(spark, path, *i)]
+
+    def one(item: tuple[str, str, str]) -> None:
+        pairing, database, table = item
+        try:
+            pair = load_pair(spark, pairing, locator, table, database, tuple((keys or {}).get(table, ())))
+            rows, whole = run_pair(pair, names), True
+        except Exception as e:  # noqa: BLE001 - one table's failure does not stop the run
+            failed = TablePair(spark.range(0), spark.range(0), database_name=database, table_name=table)
+            rows, whole = _labelled(failed, _rows_frame(spark.range(1), [_error_row("load", e)])), False
+        write_scope(rows, path, pairing, database, table, whole)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(todo) or 1))) as pool:
+        list(pool.map(one, todo))
+    if not items:
+        return spark.createDataFrame([], "pairing string, " + RESULT_DDL)
+    return read_scope(spark, path, items)
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """L4: per table, checks passed / failed / skipped / in error, and the overall verdict."""
     out = results.groupBy("database_name", "table_name").agg(

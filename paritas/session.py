@@ -6,6 +6,7 @@ On a cluster the caller owns the session; the library only reads its settings.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,13 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint directory and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def reliable_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared checkpoint directory and read back. Cuts the lineage as a
+    checkpoint does, and also what the optimizer knows about the columns: in a loop that computes
+    columns from columns that knowledge multiplies each round, and planning with it."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

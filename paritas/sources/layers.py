@@ -7,7 +7,7 @@ Fields: ``{root}`` warehouse root, ``{landing}`` landing root, ``{layer}`` layer
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,25 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from paritas.operators.pair import TablePair
 from paritas.sources.jdbc import JdbcSource
 
-# Fixed values of the medallion layout: layer order, the gold database names, the
-# data-source aliases a source name is reduced to, and the landing path pattern.
+#: Layer order; all names of databases, folders and sources are the caller's, by templates and aliases.
 LAYERS = ("bronze", "silver", "gold")
-GOLD_DATABASE = "gold_data_model"
-TRUNCATED_DATABASE = "gold_data_model_truncated"
-SOURCE_ALIASES = ("cms", "fvms")
-LANDING_TEMPLATE = "{landing}/{source}_clean/dbo/{table}"
 
 
 @dataclass(frozen=True)
 class LayerLocator:
     root: str = ""
     landing_root: str = ""
-    source_aliases: tuple[str, ...] = SOURCE_ALIASES
-    landing_template: str = LANDING_TEMPLATE
+    source_aliases: tuple[str, ...] = ()
+    landing_template: str = "{landing}/{source}/{table}"
     layer_template: str = "{root}/{layer}_{source}.db/{l}_{source}_{table}"
-    gold_template: str = "{root}/" + GOLD_DATABASE + ".db/{table}"
-    truncated_template: str = "{root}/" + TRUNCATED_DATABASE + ".db/{table}"
+    gold_template: str = "{root}/gold.db/{table}"
+    truncated_template: str = "{root}/gold_truncated.db/{table}"
     jdbc: Callable[[str], JdbcSource] | None = field(default=None, compare=False)
+    #: Split of a table's SQL read, by table name (see ``JdbcSource.table``); tables without one are read by one task.
+    splits: Mapping[str, Mapping[str, object]] = field(default_factory=dict, compare=False)
 
     def source_name(self, name: str) -> str:
         """A source name containing a known alias (case-insensitive) is reduced to the alias."""
@@ -74,7 +71,7 @@ Reader = Callable[[SparkSession, LayerLocator, str, str], DataFrame]
 def _sql(spark: SparkSession, loc: LayerLocator, table: str, database: str) -> DataFrame:
     if loc.jdbc is None:
         raise ValueError("this pairing reads the SQL source; give the locator a jdbc factory")
-    return loc.jdbc(database).table(spark, table)
+    return loc.jdbc(database).table(spark, table, **loc.splits.get(table, {}))
 
 
 def _landing(spark, loc, table, source):
@@ -93,7 +90,7 @@ def _truncated(spark, loc, table, source):
 PAIRINGS: dict[str, tuple[Reader, Reader]] = {
     "sql_to_landing": (_sql, _landing),
     "landing_to_bronze": (_landing, _layer("bronze")),
-    "legacy_nds": (_landing, _layer("bronze")),
+    "landing_to_bronze_second": (_landing, _layer("bronze")),
     "bronze_to_silver": (_layer("bronze"), _layer("silver")),
     "silver_to_gold": (_layer("silver"), _layer("gold")),
     "gold_to_truncated": (_layer("gold"), _truncated),
