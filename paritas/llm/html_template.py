@@ -12,8 +12,12 @@
    of the main text (article, main), parts that are not text (by element, by words of class
    and id, or mostly links), and constant runs.
 3. Each page is read again with its host's template; what stands in the template's main
-   slots is the text. Where a host or a page has no main container, all slots count that
-   are not dropped parts or constant runs.
+   slots is the text, without the parts that are no text by their element. Words of class and id
+   drop boxes inside a main container only where the whole class says so (``share``, ``ad-slot``, not
+   ``alert-story``), and never a container that holds the main one: text of a main container
+   below such words counts when the page has no other. Where a page has no main container, all
+   slots count that are not dropped parts, mostly links, or constant runs (text that stands in 90 per cent of
+   a host's different pages and in three of them at least: with fewer pages nothing tells them from text).
 
 The templates of all hosts are a written table; the planner broadcasts it when its size is
 below the session's limit and otherwise joins by host, where AQE splits a hot host.
@@ -21,7 +25,8 @@ below the session's limit and otherwise joins by host, where AQE splits a hot ho
 Defined cases: a null or empty page has an empty text; a null url belongs to the host "";
 broken markup is closed by the next block or enclosing end tag; pages of a host with equal
 html count as one page of its template, however many rows they are, and each row gets its
-text; an empty table gives no rows; other columns are ignored.
+text; elements nested deeper than ``DEPTH`` count as children of the element at that depth, as in
+browsers, so time and memory are linear in a page's length; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,28 +55,66 @@ NOT_TEXT_WORDS = set(
     "newsletter subscribe subscription signup menu nav navbar navigation breadcrumb breadcrumbs sidebar widget related recommended share sharing social "
     "footer header masthead topbar copyright pagination pager comment comments reply replies respond disqus login search toolbar skip hidden".split())
 
+#: Boxes that a word of class or id may drop inside a main container, and words beside it that say nothing of their own.
+BOXES = set("center div dl ol section span table ul".split())
+PLAIN_WORDS = set("area articles bar block bottom box buttons container content frame group icons inner item items left links list outer panel posts right row section slot top unit wrapper zone".split())
+DEPTH = 512
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)""", re.DOTALL)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 
 
+class Open:
+    """The open elements, with the places of each name, of elements that are no inline ones, and of lists."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, str]] = [("", "")]
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = [0]
+        self.lists: list[int] = [0]
+
+    def path(self) -> str:
+        return self.stack[min(len(self.stack) - 1, DEPTH)][1]
+
+    def push(self, name: str, path: str) -> None:
+        k = len(self.stack)
+        self.stack.append((name, path))
+        self.at.setdefault(name, []).append(k)
+        if name not in INLINE:
+            self.blocks.append(k)
+        if name in ("li", "ul", "ol"):
+            self.lists.append(k)
+
+    def pop(self) -> tuple[str, str]:
+        name, path = self.stack.pop()
+        k = len(self.stack)
+        self.at[name].pop()
+        for places in (self.blocks, self.lists):
+            if places[-1] == k:
+                places.pop()
+        return name, path
+
+    def shut(self, name: str):
+        """Closes elements up to the last one of that name."""
+        while True:
+            gone, path = self.pop()
+            yield "-", path, ""
+            if gone == name:
+                return
+
+
 def tokens(page: str):
     """(kind, path, text) in page order: kind ``+`` a start tag, ``-`` an end tag, ``t`` a text run
-    inside the path's element, ``/`` a break between blocks."""
-    stack: list[tuple[str, str]] = [("", "")]
+    inside the path's element, ``/`` a break between blocks. A path's parent comes before it."""
+    open_ = Open()
     at, n = 0, len(page)
     low = None
-
-    def shut(name: str):
-        while stack[-1][0] != name:
-            yield "-", stack.pop()[1], ""
-        yield "-", stack.pop()[1], ""
-
     while at < n:
         m = _TOKEN.search(page, at)
         end = m.start() if m else n
         if end > at:
-            yield "t", stack[-1][1], page[at:end]
+            yield "t", open_.path(), page[at:end]
         if not m:
             break
         at = m.end()
@@ -81,22 +125,20 @@ def tokens(page: str):
         if name not in INLINE:
             yield "/", "", ""
         if m[1] or m[4]:
-            if any(s[0] == name for s in stack):
-                yield from shut(name)
+            if open_.at.get(name):
+                yield from open_.shut(name)
             continue
-        if name in CLOSES_P and any(s[0] == "p" for s in stack):
-            k = max(i for i, s in enumerate(stack) if s[0] == "p")
-            if all(s[0] in INLINE for s in stack[k + 1:]):
-                yield from shut("p")
-        if name == "li" and (k := next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in ("li", "ul", "ol")), 0)) and stack[k][0] == "li":
-            yield from shut("li")
+        if name in CLOSES_P and open_.at.get("p") and open_.blocks[-1] == open_.at["p"][-1]:
+            yield from open_.shut("p")
+        if name == "li" and open_.lists[-1] and open_.stack[open_.lists[-1]][0] == "li":
+            yield from open_.shut("li")
         attrs = m[3] or m[6] or ""
         sig = name
         if "=" in attrs:
             marks = sorted(f"{a.lower()}={(x or y or z).lower()}" for a, x, y, z in _ATTR.findall(attrs))
             if marks:
                 sig += "[" + re.sub(r"\d+", "0", " ".join(marks)).replace(">", "") + "]"
-        path = stack[-1][1] + ">" + sig
+        path = open_.path() + ">" + sig
         yield "+", path, ""
         if name in VOID or attrs.endswith("/") and name not in INLINE | CLOSES_P:
             continue
@@ -109,33 +151,51 @@ def tokens(page: str):
                 at = (low.find(">", at) + 1) or n
             yield "/", "", ""
             continue
-        stack.append((name, path))
+        open_.push(name, path)
 
 
-def element(step: str) -> tuple[str, set[str]]:
-    """Name of a path's step, and the words of its class, id and role."""
+@lru_cache(maxsize=4096)
+def element(step: str) -> tuple[str, frozenset[str], frozenset[str]]:
+    """Name of a path's step, the words of its class, id and role, and those that are whole class names, with
+    plain words at most beside them."""
     name, _, marks = step.partition("[")
-    return name, set(_WORD.findall(marks)) - {"class", "id", "role"}
+    whole = set()
+    for mark in marks.rstrip("]").split():
+        parts = set(_WORD.findall(mark.rpartition("=")[2]))
+        if parts & NOT_TEXT_WORDS and parts <= NOT_TEXT_WORDS | PLAIN_WORDS:
+            whole |= parts
+    return name, frozenset(_WORD.findall(marks)) - {"class", "id", "role"}, frozenset(whole)
 
 
 def is_main(step: str) -> bool:
-    name, words = element(step)
+    name, words, _ = element(step)
     return (name in MAIN or "main" in words and name in ("div", "section")) and not words & {"comment", "comments"}
 
 
-def is_part(path: str) -> bool:
-    """Whether the path's last element is no text by its name or words."""
-    above, _, step = path.rpartition(">")
-    name, words = element(step)
-    if name in NOT_TEXT or "comment" in words or "comments" in words:
-        return True
-    if name == "header":
-        return not any(is_main(s) for s in above.split(">"))
-    return name not in ("html", "body") and not is_main(step) and bool(words & NOT_TEXT_WORDS)
-
-
-def in_main(path: str) -> bool:
-    return any(is_main(s) for s in path.split(">"))
+class Places:
+    """Per path of a page: (in a main container, dropped, doubtful). Dropped parts are no text wherever they
+    stand; doubtful ones only outside main containers."""
+
+    def __init__(self, template: dict | None = None):
+        self.main = None if template is None else set(template["main"])
+        self.parts = set() if template is None else set(template["parts"])
+        self.of: dict[str, tuple[bool, bool, bool]] = {"": (False, False, False)}
+
+    def see(self, path: str) -> tuple[bool, bool, bool]:
+        """The path's place; its parent was seen before."""
+        if path not in self.of:
+            above, _, step = path.rpartition(">")
+            main, dropped, doubtful = self.of[above]
+            name, words, whole = element(step)
+            own = is_main(step) and (self.main is None or path in self.main)
+            comments = words & {"comment", "comments"} and name not in ("html", "body") and (name in BOXES | MAIN | {"li"} or not main)
+            dropped |= name in NOT_TEXT or name == "header" and not main or bool(comments)
+            if main:
+                dropped |= name in BOXES and bool(whole)
+            elif not own and name not in ("html", "body"):
+                doubtful |= bool(words & NOT_TEXT_WORDS) and not is_main(step) or path in self.parts
+            self.of[path] = main or own, dropped, doubtful
+        return self.of[path]
 
 
 def _run_token(path: str, text: str) -> str:
@@ -145,26 +205,29 @@ def _run_token(path: str, text: str) -> str:
 def page_tokens(page: str) -> dict[str, list[int]]:
     """token -> [count, characters of text, characters in links] of a page."""
     out: dict[str, list[int]] = {"": [1, 0, 0]}
-    inside: dict[str, bool] = {}
+    own: dict[str, list[int]] = {}
+    places = Places()
     for kind, path, text in tokens(page):
         if kind == "/":
             continue
         if kind == "t":
-            if path not in inside:
-                inside[path] = in_main(path)
-            if inside[path] or text.isspace():
+            if places.see(path)[0] or text.isspace():
                 continue
-            steps = path.split(">")
-            chars = len(text)
-            link = any(s == "a" or s.startswith("a[") for s in steps)
-            for k in range(2, len(steps) + 1):
-                c = out.setdefault("+" + ">".join(steps[:k]), [0, 0, 0])
-                c[1] += chars
-                c[2] += chars * link
+            chars = own.setdefault(path, [0])
+            chars[0] += len(text)
             key = _run_token(path, text)
         else:
+            if kind == "+":
+                places.see(path)
             key = kind + path
         out.setdefault(key, [0, 0, 0])[0] += 1
+    for path, (chars,) in own.items():  # once per path, to all elements around it
+        steps = path.split(">")
+        link = any(s == "a" or s.startswith("a[") for s in steps)
+        for k in range(2, len(steps) + 1):
+            c = out.setdefault("+" + ">".join(steps[:k]), [0, 0, 0])
+            c[1] += chars
+            c[2] += chars * link
     return out
 
 
@@ -178,52 +241,39 @@ def deduce(classes: list[list[tuple[str, int, int]]]) -> dict:
                 constant.append(token)
             elif token.startswith("+"):
                 path = token[1:]
-                name = element(path.rpartition(">")[2])[0]
+                step = path.rpartition(">")[2]
+                name = element(step)[0]
                 valid = "-" + path in have or name in VOID
-                if valid and is_main(path.rpartition(">")[2]) and not any(is_part(">" + p) for p in _prefixes(path)):
+                if valid and is_main(step) and not any(element(s)[0] in NOT_TEXT for s in path.split(">")):
                     main.append(path)
-                elif is_part(path) or valid and name not in INLINE | {"html", "body"} and chars and links > 0.6 * chars:
+                elif valid and name not in INLINE | {"html", "body"} and chars and links > 0.6 * chars:
                     parts.append(path)
     return {"main": sorted(main), "parts": sorted(parts), "constant": sorted(constant)}
 
 
-def _prefixes(path: str):
-    steps = path.split(">")[1:]
-    return [">".join(steps[: k + 1]) for k in range(len(steps))]
-
-
 def main_text(page: str, template: dict) -> str:
     """Text of the page's slots that hold main text under its host's template."""
-    main, parts, constant = (set(template[k]) for k in ("main", "parts", "constant"))
-    verdicts: dict[str, tuple[bool, bool]] = {}
-
-    def verdict(path: str) -> tuple[bool, bool]:
-        """(in a main container, not in a dropped part)"""
-        if path not in verdicts:
-            above = path.rpartition(">")[0]
-            if not path:
-                return False, True
-            a, b = verdict(above)
-            verdicts[path] = (a or path in main, b and not (path in parts or is_part(path)))
-        return verdicts[path]
-
-    blocks: list[tuple[bool, list[str]]] = []
+    constant, places = set(template["constant"]), Places(template)
+    blocks: list[tuple[int, list[str]]] = []  # how sure: 2 main, 1 main below doubtful containers, 0 outside
     new = True
     for kind, path, text in tokens(page):
         if kind == "/":
             new = True
+        elif kind == "+":
+            places.see(path)
         elif kind == "t":
-            a, b = verdict(path)
-            if not b or not a and _run_token(path, text) in constant:
+            main, dropped, doubtful = places.see(path)
+            if dropped or not main and (doubtful or _run_token(path, text) in constant):
                 continue
-            if new or blocks[-1][0] != a:
-                blocks.append((a, []))
+            sure = (2 - doubtful) if main else 0
+            if new or blocks[-1][0] != sure:
+                blocks.append((sure, []))
                 new = False
             blocks[-1][1].append(text)
-    if any(a for a, _ in blocks):
-        blocks = [x for x in blocks if x[0]]
-    out = (" ".join(html.unescape("".join(t)).split()) for _, t in blocks)
-    return " ".join(x for x in out if x)
+    cleaned = ((sure, " ".join(html.unescape("".join(t)).split())) for sure, t in blocks)
+    found = [(sure, t) for sure, t in cleaned if t]
+    best = max((sure for sure, _ in found), default=0)
+    return " ".join(t for sure, t in found if sure == best)
 
 
 def _explode(batches):
