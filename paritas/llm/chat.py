@@ -19,7 +19,7 @@ drops all later turns, and later deltas fill it again.
 Defined cases: a null text is empty, a null role is the role ``unknown``; a null ``conv_id``
 is a conversation of its own; events that share turn and sequence are ordered by kind and
 text; a delta without a message opens a message of the role it carries; an empty log gives
-no rows; other columns are ignored.
+no rows; texts of any length are cut in one pass; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,8 +68,8 @@ def log_of(turns: DataFrame, delta_chars: int = 512) -> DataFrame:
     in order of turn, role and text, and its text streams in by deltas."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = turns.select("conv_id", F.col("role"), F.coalesce("text", F.lit("")).alias("text"), F.row_number().over(order).cast("long").alias("at"))
-    parts = F.transform(F.sequence(F.lit(0), F.ceil(F.length("text") / F.lit(delta_chars)).cast("int")),
-                        lambda k: F.struct(k.alias("k"), F.when(k > 0, F.col("text").substr((k - 1) * delta_chars + F.lit(1), F.lit(delta_chars))).otherwise("").alias("t")))
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))  # one pass, however long the text
+    parts = F.transform(F.concat(F.array(F.lit("")), pieces), lambda t, k: F.struct(k.alias("k"), t.alias("t")))
     return (rows.select("conv_id", "role", "at", F.explode(parts).alias("p"))
             .select("conv_id", (F.col("at") * (1 << 24) + F.col("p.k")).alias("seq"), F.when(F.col("p.k") == 0, "message").otherwise("delta").alias("kind"),
                     F.col("at").alias("turn"), "role", F.col("p.t").alias("text")))
