@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import os
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from paritas.session import ensure_checkpoint_dir
@@ -33,13 +37,28 @@ def written(df: DataFrame, partition_by: tuple[str, ...] = (), **options: str) -
 
 
 def python_path(spark: SparkSession) -> None:
-    """Before a Python step: batches of 1,000 rows unless the session says otherwise (rows are whole
-    texts, two tasks share an executor), and let Python workers on this machine import the package when it was found through
+    """Before a Python step: batches of 250 rows unless the session says otherwise (rows are whole
+    texts, some very long, and two tasks share an executor), and let Python workers on this machine import the package when it was found through
     ``sys.path`` alone. On a cluster the package comes by ``--py-files`` or the image."""
     if spark.conf.get(BATCH_ROWS) == "10000":  # Spark's default
-        spark.conf.set(BATCH_ROWS, "1000")
+        spark.conf.set(BATCH_ROWS, "250")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
     if root not in have.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, have) if x)
+
+
+def tidy(work: Callable) -> Callable:
+    """``work`` for ``mapInArrow``, giving the memory it freed back to the system when its task ends: workers
+    live on for later stages, and what they keep would add up beside the JVM."""
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            libc = ctypes.util.find_library("c")
+            if libc and hasattr(trim := ctypes.CDLL(libc), "malloc_trim"):
+                trim.malloc_trim(0)
+
+    return run

@@ -39,12 +39,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from paritas.llm.common import python_path, written
+from paritas.llm.common import python_path, tidy, written
 from paritas.llm.components import components
 
 #: Shingles of a block of the second step (8 bytes each), and words a worker remembers.
@@ -66,6 +65,8 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     if len(_HASHES) > WORDS:
         _HASHES.clear()
         new = set(words)
+    import xxhash
+
     _HASHES.update((w, xxhash.xxh3_64_digest(w)) for w in new)
     return np.frombuffer(b"".join(map(_HASHES.__getitem__, words)), np.uint64)
 
@@ -181,14 +182,13 @@ def with_nodes(docs: DataFrame, words: int, name: str) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
-def _keys(k: int, bands: Bands):
+def _keys(k: int, bands: Bands, bitmap):
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                got = [g for t in batch.column("text").slice(at, 500).to_pylist() if len(g := shingles(t, k))]
-                keys = [bands.keys(g) for g in got]
-                nodes = np.repeat(np.array([node_of(g) for g in got], np.int64), [len(x) for x in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(nodes)], ["key", "node"])
+        for _, texts in _asked(batches, bitmap):
+            got = [g for t in texts if len(g := shingles(t, k))]
+            keys = [bands.keys(g) for g in got]
+            nodes = np.repeat(np.array([node_of(g) for g in got], np.int64), [len(x) for x in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(nodes)], ["key", "node"])
 
     return run
 
@@ -221,8 +221,8 @@ def _asked(batches, bitmap):
     for batch in batches:
         at = np.mod(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), PLACES)
         b = batch.filter(pa.array((bitmap.value[at >> 6] >> (at & 63)) & 1 == 1))
-        for k in range(0, b.num_rows, 200):
-            part = b.slice(k, 200)
+        for k in range(0, b.num_rows, 64):
+            part = b.slice(k, 64)
             yield part.column("doc_id"), part.column("text").to_pylist()
 
 
@@ -252,7 +252,7 @@ def _reread(texts: DataFrame, firsts: DataFrame, nodes: DataFrame, work, schema:
     """What ``work`` makes of the texts of ``nodes``, one row per node."""
     wanted = written(firsts.join(nodes.select("node").distinct(), "node", "left_semi").select("doc_id", "node"))
     bitmap = texts.sparkSession.sparkContext.broadcast(_bitmap(wanted))
-    made = written(texts.mapInArrow(work(bitmap), schema).join(wanted, ["doc_id", "node"], "left_semi").drop("doc_id"))
+    made = written(texts.mapInArrow(tidy(work(bitmap)), schema).join(wanted, ["doc_id", "node"], "left_semi").drop("doc_id"))
     if made.count() > made.select("node").distinct().count():  # a repeated doc_id
         made = written(made.dropDuplicates(["node"]))
     return made
@@ -429,13 +429,15 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     python_path(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     bands = Bands(percent)
-    sets = written(texts.mapInArrow(_sets(words), "doc_id long, n long, node long, small binary"))
+    sets = written(texts.mapInArrow(tidy(_sets(words)), "doc_id long, n long, node long, small binary"))
     nodes = written(sets.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
                     .groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("small").alias("small")))
     firsts = nodes.select("node", "doc_id")
 
     by_key = Window.partitionBy("key")
-    keys = texts.filter(F.col("doc_id").isNotNull()).mapInArrow(_keys(words, bands), "key long, node long")
+    # only rows whose id stands for a node list its keys, so copies list none (ids that share a place of the bitmap may)
+    named = spark.sparkContext.broadcast(_bitmap(firsts))
+    keys = texts.filter(F.col("doc_id").isNotNull()).mapInArrow(tidy(_keys(words, bands, named)), "key long, node long")
     members = written(keys.withColumns({"lo": F.min("node").over(by_key), "hi": F.max("node").over(by_key)})
                       .filter(F.col("lo") < F.col("hi")).select("key", "node", "lo").distinct())
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node"))
@@ -448,10 +450,10 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
         return pairs
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return written(sides(pairs, grams_of(ends(pairs)), g="grams").mapInArrow(_verify(bands), "a long, b long"))
+        return written(sides(pairs, grams_of(ends(pairs)), g="grams").mapInArrow(tidy(_verify(bands)), "a long, b long"))
 
     stars = members.filter(F.col("node") != F.col("lo")).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
-    near = written(sides(stars, nodes, n="n", s="small").mapInArrow(_near_small(percent), "a long, b long"))
+    near = written(sides(stars, nodes, n="n", s="small").mapInArrow(tidy(_near_small(percent)), "a long, b long"))
     links = verified(written(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
     roots = components(links)
     for side in "ab":  # the pairs that these links leave apart
@@ -462,7 +464,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
 
     def look(rest: DataFrame, work, *columns: str, schema: str = "key long, task string, node long, label long") -> DataFrame:
         rows = rest.select("key", "task", "node", "label", "n", *columns).repartition("key", "task").sortWithinPartitions("key", "task")
-        return written(rows.mapInArrow(work, schema))
+        return written(rows.mapInArrow(tidy(work), schema))
 
     rest = look(_unresolved(members, roots, nodes.select("node", "n")).join(nodes.select("node", "n", "small"), "node"), _flag_groups(bands, "small"), "small")
     sketches, sizes = sketches_of(rest), nodes.select("node", "n")
