@@ -1,31 +1,29 @@
-"""Benchmark decontamination by word shares, with latent semantic scores.
+"""Benchmark decontamination by latent semantic retrieval.
 
 1. Words of the benchmark are the terms. Their document frequencies come from one pass over
    all documents (partial sums per task).
-2. Benchmark items are TF-IDF passages. A randomised SVD, distributed over the benchmark's
-   rows, gives a latent space: Z = A'(A R) for a random R, an orthonormal basis Q of Z, the
-   Gram matrix of A Q, and from its eigenvectors the leading right singular vectors of A.
-   Both sums are taken per term, or per row of the Gram matrix, by Spark. Folding the
-   corpus into the space of the benchmark keeps the directions that tell its items apart;
-   the leading directions of the corpus itself are its most common words.
-3. Every document is cut into overlapping passages, for each item size of so many steps of
-   ``BASE`` words that start a quarter of the size apart, with a margin of half the size on
-   both sides. Candidates are the pairs that the check below can accept: the passage has as
-   many words of the item as the smallest accepted share asks for, counted first by place,
-   then with no term more often than in the item. Both counts are at least the longest common
-   subsequence, so nothing that the check accepts is left out.
-4. Candidates are checked on words: the longest common subsequence of the item and the
-   passage with its margins. A share of ``verbatim`` of the item is a copy; a share
-   of ``paraphrase`` is a leak when the item's answer (its last sentence) is there by a share
-   of ``answer``. Items of under ``SHORT`` words must stand there word for word.
-5. The latent score of a leak is given as its ``cosine`` and decides between passages with
-   equal shares; it leaves no pair out.
-
-The benchmark is worked through in blocks of at most ``BLOCK`` items and 2^16 - 2 terms, so
-what a task holds is bounded; each block is one more pass over the documents. Whole texts
-are read; no row is shuffled but the frequency sums.
-
-Defined cases: a null or empty text has no match, a null or wordless item matches nothing;
+2. The benchmark's TF-IDF passages (each item, and its stretches of two steps of ``BASE`` words)
+   span a latent space by a randomised SVD distributed over them: Z = A'(A R) for a random R, an
+   orthonormal basis Q of Z, the Gram matrix of A Q, and from its eigenvectors the ``RANK`` leading
+   right singular vectors of A. Both sums are taken per term, or per row of the Gram matrix, by
+   Spark. The leading directions of the corpus itself are its most common words, which do not tell items apart.
+3. Every document is cut into overlapping passages, for each item size of so many steps, that
+   start a quarter of the size apart. Candidates are the pairs whose cosine, folded passage against item in the
+   latent space over the passage's TF-IDF length, reaches ``cosine``.
+4. Candidates are checked on words, of the passage with a margin of half the size on both sides: first
+   by counts (words of the item, no term more often than in the item: at least the common
+   subsequence), then by the longest common subsequence of item and passage. A share of
+   ``verbatim`` of the item is a copy; a share of ``paraphrase`` is a leak when the item's answer
+   (its last sentence) is there by a share of ``answer``. Items of under ``SHORT`` words must stand there
+   word for word; any neighbours outweigh so few words, so they are found by the counts alone.
+   With ``exact=True`` all items are, which leaves out nothing that the check accepts.
+
+The benchmark is worked through in blocks of ``BLOCK`` items (and 2^16 - 2 terms) at most, so the rank
+holds as many directions as a block has items whatever the size of the benchmark; one block's index
+is alive at a time, its result is written, and each block is one more pass over the documents. Whole
+texts are read; no row is shuffled but the frequency sums.
+
+Defined cases: a null or empty text has no match, a null or wordless item and one without an id match nothing;
 repeated items match each; rows that repeat a ``doc_id`` give one row per item with the best
 match; empty tables give no matches; other columns pass through ``clean`` untouched.
 """
@@ -41,10 +39,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.llm.common import python_path
+from paritas.llm.common import python_path, tidy, written
 
 _WORD = re.compile(r"\w+")
-BLOCK, SHORT, RANK = 2000, 8, 256
+BLOCK, SHORT, RANK, COSINE = 256, 8, 256, 0.2
 BASE = 8  # words of a step; passages are whole steps long
 MATCHES = "doc_id long, item_id long, cosine double, overlap double, answer double"
 
@@ -150,6 +148,21 @@ def _summed(df: DataFrame, work, rows: int, width: int) -> np.ndarray:
     return out
 
 
+def passages(items: DataFrame) -> DataFrame:
+    """The rows of the TF-IDF matrix: each item, and its stretches of two steps that begin a step apart, so that
+    a small benchmark too has more passages than the space has directions."""
+    def run(batches):
+        for b in batches:
+            out = []
+            for t in b.column("text").to_pylist():
+                words = words_of(t)
+                out.append(t)
+                out += [" ".join(words[k: k + 2 * BASE]) for k in range(0, max(0, len(words) - BASE), BASE)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
+
+    return items.select("text").mapInArrow(run, "text string")
+
+
 def singular_vectors(items: DataFrame, number: dict[str, int], idf: np.ndarray, rank: int, seed: int = 11) -> np.ndarray:
     """Leading right singular vectors (terms x rank) of the items' TF-IDF matrix."""
     width = rank + 8
@@ -165,7 +178,8 @@ class Index:
     """What a task needs of a block of items: terms, folded terms, items by passage size."""
 
     def __init__(self, rows: list[tuple[int, str]], number: dict[str, int], idf: np.ndarray, vectors: np.ndarray,
-                 verbatim: float, paraphrase: float, answer: float):
+                 verbatim: float, paraphrase: float, answer: float, cosine: float, exact: bool):
+        self.cosine, self.exact = cosine, exact
         self.number, self.weights = number, idf.astype(np.float32)
         self.folded = (idf[:, None] * vectors).astype(np.float32)
         self.verbatim, self.paraphrase, self.answer = verbatim, paraphrase, answer
@@ -180,6 +194,7 @@ class Index:
             self.latent.append(q / max(1e-12, float(np.sqrt(q @ q))))
             self.items.append((item_id, words.tolist()))
             self.answers.append(terms.encode(answer_of(text)).tolist())
+        self.vectors = np.array(self.latent, np.float32).reshape(-1, self.folded.shape[1])
         self.tables: dict | None = None  # made in the task: terms x items
 
     def _needed(self, item: int) -> int:
@@ -208,31 +223,70 @@ class Index:
         for d, at in zip(docs, first):
             flat[at * BASE: at * BASE + len(d)] = d
         grid = flat.reshape(-1, BASE)
+        if not self.exact:
+            self._fold(grid)
         for size, (which, need, often) in self.tables.items():
             apart, side = max(1, size // 4), -(-size // 2)
             count = np.where(steps, 1 - (np.minimum(0, size - steps) // apart), 0)
             ends = np.cumsum(count)
             doc = np.repeat(np.arange(len(docs)), count)
             start = first[doc] + (np.arange(ends[-1]) - np.repeat(ends - count, count)) * apart
+            stop = np.minimum(first[doc + 1], start + size)
             low, high = np.maximum(first[doc], start - side), np.minimum(first[doc + 1], start + size + side)
             each = max(1, 1000 // apart)
             for i in range(0, len(start), each):
-                for w, j in zip(*self._candidates(grid, low[i: i + each], high[i: i + each], need, often)):
+                w, j = self._pairs(grid, *(x[i: i + each] for x in (start, stop, low, high)), which, need, often)
+                for w, j in zip(*self._enough(grid, low[i: i + each], high[i: i + each], need, often, w, j)):
                     d, item = int(doc[i + w]), int(which[j])
                     here, margin = int(start[i + w] - first[d]) * BASE, size * BASE // 2
                     passage = docs[d][here: here + size * BASE]
                     self._check(out[d], item, self._score(passage, item), docs[d][max(0, here - margin): here + size * BASE + margin].tolist())
         return [[(self.items[i][0], *v) for i, v in sorted(o.items())] for o in out]
 
+    def _fold(self, grid: np.ndarray) -> None:
+        """Sums over the steps before each step: vectors folded into the latent space, and energies (squared weights)."""
+        steps, energy = np.zeros((len(grid), self.folded.shape[1]), np.float32), np.zeros(len(grid))
+        for r in range(BASE):
+            steps += self.folded[grid[:, r]]
+            energy += self.weights[grid[:, r]] ** 2
+        self.sums = np.zeros((len(grid) + 1, steps.shape[1]))
+        np.cumsum(steps, axis=0, out=self.sums[1:])
+        self.energy = np.r_[0.0, np.cumsum(energy)]
+
+    def _pairs(self, grid, start, stop, low, high, which, need, often) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates: by latent cosine; items of under SHORT words, whose few words any neighbours outweigh, and all
+        with ``exact``, by their words."""
+        by_words = np.array([self.exact or len(self.items[i][1]) < SHORT for i in which])
+        w, j = (np.zeros(0, np.int64),) * 2
+        if not by_words.all():
+            w, j = self._near(grid, start, stop, which)
+            w, j = w[~by_words[j]], j[~by_words[j]]
+        if by_words.any():
+            cols = np.flatnonzero(by_words)
+            w2, j2 = self._placed(grid, low, high, need[cols], often[:, cols])
+            w, j = np.r_[w, w2], np.r_[j, cols[j2]]
+        return w, j
+
+    def _near(self, grid: np.ndarray, start: np.ndarray, stop: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (passage, item) whose latent cosine reaches the bound."""
+        y = (self.sums[stop] - self.sums[start]).astype(np.float32)
+        bound = self.cosine * np.sqrt(np.maximum(self.energy[stop] - self.energy[start], 1e-12))
+        return np.nonzero(y @ self.vectors[which].T >= bound[:, None])
+
     @staticmethod
-    def _candidates(grid: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (passage, item) of steps ``low`` to ``high`` with as many words of the item as it needs."""
+    def _placed(grid: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (passage, item) of steps ``low`` to ``high`` with words of the item in as many places as it needs."""
         a, z = int(low[0]), int(high[-1])  # both rise from passage to passage
         places = np.zeros((z - a + 1, len(need)), np.int32)
         for r in range(BASE):
             places[1:] += often[grid[a:z, r]] > 0
         np.cumsum(places, axis=0, out=places)
-        w, j = np.nonzero(places[high - a] - places[low - a] >= need)
+        return np.nonzero(places[high - a] - places[low - a] >= need)
+
+    @staticmethod
+    def _enough(grid: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray, often: np.ndarray, w: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs with as many words of the item as it needs, no term more often than in the item: that
+        many at least are in any common subsequence that the check accepts."""
         if not len(w):
             return w, j
         some, at = np.unique(w, return_inverse=True)
@@ -266,16 +320,16 @@ class Index:
             found[item] = max(found.get(item, (-2.0, 0.0, 0.0)), (min(1.0, cosine), overlap, said), key=lambda v: (v[1], v[2], v[0]))
 
 
-def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, verbatim: float, paraphrase: float, answer: float, rank: int):
+def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, verbatim: float, paraphrase: float, answer: float, rank: int, cosine: float, exact: bool):
     """An index for each block of items, one after another."""
     python_path(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).filter(F.col("item_id").isNotNull())
     blocks = -(-items.count() // BLOCK)
     done, todo = 0, [(blocks, b) for b in range(blocks)]
     while todo:
         of, b = todo.pop()
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(of)) == b)
-        rows = sorted((r["item_id"] or 0, r["text"]) for r in part.collect())  # about BLOCK items
+        rows = sorted((r["item_id"], r["text"]) for r in part.collect())  # about BLOCK items
         vocabulary = sorted({w for _, t in rows for w in words_of(t)})
         if len(vocabulary) > (1 << 16) - 2 and len(rows) > 1:
             todo += [(2 * of, b), (2 * of, b + of)]
@@ -288,12 +342,12 @@ def indexes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, verbatim
         df[counts.column("term").to_numpy()] = counts.column("n").to_numpy()
         idf = np.log((df[0] + 1) / (np.minimum(df, df[0]) + 1)) + 0.1
         idf[0] = 0.0
-        vectors = singular_vectors(part, number, idf, min(rank, len(rows), len(number)))
-        yield Index(rows, number, idf, vectors, verbatim, paraphrase, answer)
+        vectors = singular_vectors(passages(part), number, idf, min(rank, len(number)))
+        yield Index(rows, number, idf, vectors, verbatim, paraphrase, answer, cosine, exact)
         done += 1
 
 
-OPTIONS = {"verbatim": 0.75, "paraphrase": 0.55, "answer": 0.8, "rank": RANK}
+OPTIONS = {"verbatim": 0.75, "paraphrase": 0.55, "answer": 0.8, "rank": RANK, "cosine": COSINE, "exact": False}
 
 
 def _slices(batches, index: Index):
@@ -334,15 +388,21 @@ def search(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame
     found = spark.createDataFrame([], MATCHES)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for index in indexes(spark, rows, benchmark, **{**OPTIONS, **options}):
-        found = found.unionByName(rows.mapInArrow(_pairs(spark.sparkContext.broadcast(index)), MATCHES))  # a block of items
+        shared = spark.sparkContext.broadcast(index)  # a block of items
+        found = found.unionByName(written(rows.mapInArrow(tidy(_pairs(shared)), MATCHES)))
+        shared.unpersist()
     best = F.max(F.struct("overlap", "answer", "cosine")).alias("m")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.cosine", "m.overlap", "m.answer")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
-    """The rows of ``docs`` that leak no benchmark item, all columns kept."""
+    """The rows of ``docs`` that leak no benchmark item, all columns kept. Between two blocks the rows that stay are written."""
     spark = docs.sparkSession
-    rows = docs
+    rows, last = docs, None
     for index in indexes(spark, docs, benchmark, **{**OPTIONS, **options}):
-        rows = rows.mapInArrow(_unmatched(spark.sparkContext.broadcast(index)), docs.schema)
+        if last is not None:
+            rows = written(rows)
+            last.unpersist()
+        last = spark.sparkContext.broadcast(index)
+        rows = rows.mapInArrow(tidy(_unmatched(last)), docs.schema)
     return rows

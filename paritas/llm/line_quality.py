@@ -10,15 +10,15 @@ Training. Labels are of documents, lines have none: every line of a document lab
 is good; in a document labelled bad each line starts as bad and is relabelled after each
 round by the model's own marginals, though the worst line stays bad. The field is fitted on
 at most ``max_docs`` labelled documents, the ones with the smallest hash of their id, read
-whole, without those of over ``max_lines`` lines; only their line features reach the
-driver. Scoring has no such bounds.
+whole; only their line features reach the driver. Scoring has no such bound.
 
 Scoring is one pass of ``mapInArrow`` without a shuffle; whole texts, every line.
 
 Defined cases: a null or empty text is one empty line and gets that line's marginal; a text
 without a newline is one line; weights are at least one per line, so white lines count;
 repeated rows get equal scores; labels that contradict each other count as good, of
-documents with one id one is learnt from; no labelled rows, or one class only, raises ``ValueError``;
+documents with one id one is learnt from; where the labelled documents are of one class only, every text
+gets that class's score (1 or 0), and without any labelled document 0.5;
 an empty table of documents gives no rows; other columns are ignored.
 """
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import python_path
+from paritas.llm.common import python_path, tidy
 
 _RUNS = re.compile(r"[^\w\s.,;:'\"()\-]{2,}")
 N_OWN = 11
@@ -83,6 +83,13 @@ class Field:
     pair: np.ndarray
 
 
+def constant(score: float) -> Field:
+    """The field that gives every text about ``score``: 0, 0.5 or 1."""
+    state = np.zeros(N_FEATURES)
+    state[-1] = 60 * (2 * score - 1)
+    return Field(state, np.zeros((2, 2)))
+
+
 def forward_backward(emit: np.ndarray, pair: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """P(good) per line, P(states of this and the next line) per line (zeros at a document's last
     line), and log Z per document, for the good state's scores ``emit`` of lines of whole
@@ -167,18 +174,17 @@ def _features(batches):
             [b.column("label"), pa.array([g[0].astype(np.float32).tobytes() for g in got], pa.binary())], ["label", "own"])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_lines: int = 300) -> Field:
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000) -> Field:
     """Fit on the texts of ``docs(doc_id, text)`` that ``labels(doc_id, label)`` calls 1 (good) or 0 (bad)."""
     python_path(docs.sparkSession)
     known = labels.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n"))
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").filter(lines <= max_lines)  # at most max_docs ids
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most max_docs ids
     rows = texts.dropDuplicates(["doc_id"]).select("label", "text").mapInArrow(_features, "label int, own binary").collect()
     rows = sorted((r["label"], bytes(r["own"])) for r in rows)  # the fit does not depend on the order of tasks
     labels_ = np.array([r[0] for r in rows], np.int64)
     if len(set(labels_.tolist())) < 2:
-        raise ValueError("training needs labelled documents of both classes")
+        return constant(float(labels_[0]) if len(labels_) else 0.5)
     return fit([np.frombuffer(r[1], np.float32).reshape(-1, N_OWN).astype(np.float64) for r in rows], labels_)
 
 
@@ -200,4 +206,4 @@ def score(docs: DataFrame, field: Field, keep: list[str], name: str = "score") -
         raise ValueError(f"{name!r} is a column of the input already")
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     schema = rows.select(*keep).schema.add(name, "double")
-    return rows.mapInArrow(_score(field, keep, name), schema)
+    return rows.mapInArrow(tidy(_score(field, keep, name)), schema)

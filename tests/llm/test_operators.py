@@ -287,8 +287,48 @@ def test_no_paraphrase_that_the_check_accepts_is_left_out(spark):
         docs.append((k, " ".join(near[:r.randint(0, 60)] + words + near[60: 60 + r.randint(0, 60)])))
     want = _checked(docs, items)
     assert len(want) > 100
-    got = decontamination.search(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
-    assert {(x.doc_id, x.item_id) for x in got.collect()} == want
+    frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    assert {(x.doc_id, x.item_id) for x in decontamination.search(*frames, exact=True).collect()} == want
+    found = {(x.doc_id, x.item_id) for x in decontamination.search(*frames).collect()}
+    assert found <= want and len(found) >= 0.95 * len(want)
+
+
+def test_recall_of_latent_search_over_blocks(spark, monkeypatch):
+    """All items of two blocks against all pairs of the check, and the same result whatever the size of a block."""
+    items = [(x.item_id, x.text) for x in read(spark, SF_SMALL, "benchmark").orderBy("item_id").collect()]
+    r = random.Random(21)
+    docs = []
+    for k, (_, item) in enumerate(items * 3):
+        words = decontamination.words_of(item)
+        keep = len(words) - len(decontamination.words_of(decontamination.answer_of(item)))
+        for j in r.sample(range(keep), keep // 5):
+            words[j] = "unheard"
+        docs.append((k, " ".join(words)))
+    frames = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    want = _checked(docs, items)
+    for block in (256, 16):
+        monkeypatch.setattr(decontamination, "BLOCK", block)
+        found = {(x.doc_id, x.item_id) for x in decontamination.search(*frames).collect()}
+        assert found <= want and len(found) >= 0.95 * len(want)
+        kept = {x.doc_id for x in decontamination.clean(*frames).collect()}
+        assert kept == {d for d, _ in docs} - {d for d, _ in found}
+
+
+def test_singular_vectors_equal_a_plain_svd(spark):
+    texts = [f"{a} {b} {a} c{k % 5}" for k, (a, b) in enumerate((f"a{i}", f"b{j}") for i in range(6) for j in range(5))]
+    vocabulary = sorted({w for t in texts for w in t.split()})
+    number = {w: i + 1 for i, w in enumerate(vocabulary)}
+    idf = np.r_[0.0, np.linspace(0.5, 3, len(vocabulary))]
+    dense = np.zeros((len(texts), len(idf)))
+    for row, t in zip(dense, texts):
+        for w in t.split():
+            row[number[w]] += idf[number[w]]
+    got = decontamination.singular_vectors(spark.createDataFrame([(t,) for t in texts], "text string"), number, idf, 6)
+    _, _, right = np.linalg.svd(dense)
+    assert np.allclose(np.abs(got.T @ right[:6].T), np.eye(6), atol=1e-3)
+    index = decontamination.Index([(1, texts[0])], number, idf, right.T, 0.75, 0.55, 0.8, 0.2, False)
+    plain = lambda a, b: a @ b / np.sqrt((a @ a) * (b @ b))
+    assert abs(index._score(decontamination.Terms(number).encode(texts[7]), 0) - plain(dense[7], dense[0])) < 1e-5
 
 
 def test_short_items_are_found_between_heavy_words(spark):
@@ -506,8 +546,11 @@ def test_quality_of_odd_rows(spark, odd):
     field = line_quality.train(texts, labels)
     got = line_quality.score(odd, field, ["doc_id"]).collect()
     assert len(got) == len(ODD) and all(0 <= x.score <= 1 for x in got)
-    with pytest.raises(ValueError):
-        line_quality.train(texts, labels.filter("label = 1"))
+    one = {x.score for x in line_quality.score(odd, line_quality.train(texts, labels.filter("label = 1")), ["doc_id"]).collect()}
+    none = {x.score for x in line_quality.score(odd, line_quality.train(texts, labels.limit(0)), ["doc_id"]).collect()}
+    assert min(one) > 0.999 and none == {0.5}
+    empty = texts.limit(0)
+    assert line_quality.score(empty, line_quality.train(empty, labels), ["doc_id"]).collect() == []
     with pytest.raises(ValueError):
         line_quality.score(odd, field, odd.columns)
 
