@@ -49,6 +49,14 @@ def python_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, have) if x)
 
 
+def free_name(name: str, columns) -> str:
+    """``name``, longer by underscores until no column has it (Spark's names ignore case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tidy(work: Callable) -> Callable:
     """``work`` for ``mapInArrow``, giving the memory it freed back to the system when its task ends: workers
     live on for later stages, and what they keep would add up beside the JVM."""

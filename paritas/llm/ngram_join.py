@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from paritas.llm.common import python_path, tidy, written
+from paritas.llm.common import free_name, python_path, tidy, written
 from paritas.llm.components import components
 
 #: Shingles of a block of the second step (8 bytes each), and words a worker remembers.
@@ -490,3 +490,21 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
                          F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
                          F.when(F.col("doc_id").isNotNull() & F.col("node").isNotNull(), least).otherwise(F.lit(True)).alias("stays")))
     return links, documents
+
+
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns kept, without near duplicates: of each group of linked texts the row with
+    the least id stays. Equal rows (id and text) count as one document and one stays; rows that share an id
+    with different texts are each decided in their own text's group; rows without an id or without words stay."""
+    _, found = join(docs, words=words, percent=percent)
+    found = written(found.select("doc_id", "node", "stays"))
+    drop = written(found.filter(~F.col("stays")).select("doc_id", "node").distinct())
+    again = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if again.isEmpty():
+        return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    again = written(again)
+    node, text = free_name("_node", docs.columns), free_name("_text", docs.columns)
+    once = docs.join(again, "doc_id", "left_anti").join(drop.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    rows = with_nodes(docs.join(again, "doc_id", "left_semi").select(docs.columns), words, node)
+    rows = rows.join(drop.withColumnRenamed("node", node), ["doc_id", node], "left_anti").withColumn(text, F.when(F.col(node).isNull(), F.col("text")))
+    return once.unionByName(rows.dropDuplicates(["doc_id", node, text]).select(docs.columns))

@@ -70,3 +70,15 @@ def test_line_scores_equal_a_plain_field(spark):
             good += w * np.array(states)
         want.append(float((good / total) @ lengths / lengths.sum()))
     assert np.allclose(line_quality.score_texts(texts, field), want)
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like the stages' own helpers pass through, and one row of each group stays."""
+    text = "Some plain words stand here in a line. And more of them follow until the end of it, as they do. "
+    rows = [(1, text * 2, 7, "n", "t", 0.1), (2, text * 2, 8, "n", "t", 0.2), (2, "Other words are said in this one, and none of them stand in the first text.", 9, None, "t", 0.3), (None, text * 2, 1, "", "", 0.0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _quality int, _node string, _text string, score double")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(r._quality for r in kept.collect()) == [1, 7, 9]
+    stage = corpus_pipeline.quality(spark, docs, SF)
+    assert stage.columns == docs.columns and set(stage.collect()) <= set(docs.collect())
+    assert corpus_pipeline.decontaminate(spark, docs, SF).columns == docs.columns
