@@ -6,8 +6,8 @@ and reread as the next stage's ``docs``; all but the last keep the columns of ``
 Defined cases: null texts are empty; a row without a ``doc_id`` is never a duplicate; equal
 rows (same ``doc_id`` and text) count as one document and one stays, rows that share a
 ``doc_id`` with different texts are each decided in their own text's group, so one row of
-each group stays; empty tables give
-empty results, but training needs labels of both classes (``ValueError`` otherwise).
+each group stays; empty tables give empty results; without labels of both classes the quality stage keeps
+everything (class 1 only) or nothing; further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paritas.llm import decontamination, line_quality, ngram_join, packing
-from paritas.llm.common import read, written
+from paritas.llm.common import free_name, read, written
 from paritas.llm.queries import QUALITY_BOUND, learnable
 from paritas.llm.tokens import default_vocabulary
 
@@ -26,23 +26,13 @@ SHINGLE_WORDS, SIMILARITY = 5, 80
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose line score reaches the bound."""
     field = line_quality.train(docs, learnable(read(spark, sf_dir, "labels")))
-    scored = line_quality.score(docs, field, docs.columns, name="_quality")
-    return scored.filter(F.col("_quality") >= QUALITY_BOUND).drop("_quality")
+    name = free_name("_quality", docs.columns)
+    return line_quality.score(docs, field, docs.columns, name=name).filter(F.col(name) >= QUALITY_BOUND).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the least id of each group."""
-    _, found = ngram_join.join(docs, words=SHINGLE_WORDS, percent=SIMILARITY)
-    found = written(found.select("doc_id", "node", "stays"))
-    drop = written(found.filter(~F.col("stays")).select("doc_id", "node").distinct())
-    again = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if again.isEmpty():
-        return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
-    again = written(again)
-    once = docs.join(again, "doc_id", "left_anti").join(drop, "doc_id", "left_anti").select(docs.columns)
-    rows = ngram_join.with_nodes(docs.join(again, "doc_id", "left_semi").select(docs.columns), SHINGLE_WORDS, "_node")
-    rows = rows.join(drop.withColumnRenamed("node", "_node"), ["doc_id", "_node"], "left_anti").withColumn("_text", F.when(F.col("_node").isNull(), F.col("text")))
-    return once.unionByName(rows.dropDuplicates(["doc_id", "_node", "_text"]).select(docs.columns))
+    return ngram_join.keep_one(docs, SHINGLE_WORDS, SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
