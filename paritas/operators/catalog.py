@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from paritas.sources.catalog import CatalogTables
 
 FK_STRUCT = "array<struct<foreign_key_name:string,referenced_schema_name:string,referenced_table_name:string,referenced_column_name:string>>"
+# The column attributes that a schema comparison compares.
 COMPARED_ATTRIBUTES = ("data_type", "max_length", "precision", "scale", "is_nullable")
 
 

@@ -198,8 +198,12 @@ def keyed_diff(pair: TablePair, keys: Sequence[str] | None = None) -> DataFrame:
     return whole.unionByName(paired.select(*[F.col(f"s.{k}").alias(name) for k, name in zip(knames, keys)], F.inline(found)))
 
 
+#: Columns that do not decide whether a metadata row stands on both sides.
+IGNORED = ("database_name", "foreign_key_name", "referenced_object_id")
+
+
 def unique_to_one_side(first: DataFrame, second: DataFrame, first_name: str, second_name: str,
-                       ignore_cols: Sequence[str] = ("database_name", "foreign_key_name", "referenced_object_id"),
+                       ignore_cols: Sequence[str] = IGNORED,
                        null_keys: str = "drop") -> DataFrame:
     """stack two frames by column name (missing columns → NULL), tag each with
     ``database_name``, keep rows whose group over all non-ignored columns has exactly one row.

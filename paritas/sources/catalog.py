@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from paritas.sources.jdbc import JdbcSource
 
+# Columns of the database's system views that the operators read.
 CATALOG_COLUMNS: dict[str, tuple[str, ...]] = {
     "tables": ("object_id", "name", "schema_id"),
     "schemas": ("schema_id", "name"),
