@@ -215,6 +215,8 @@ class Index:
         out: list[dict] = [{} for _ in docs]
         if self.tables is None:
             self.tables = {size: self._table(which) for size, which in self.sizes.items()}
+            order = [i for which in self.sizes.values() for i in which]
+            self.dots = self.folded @ self.vectors[order].T  # of each term with each item, in the latent space
         steps = np.array([-(-len(d) // BASE) for d in docs], np.int64)
         if not self.sizes or not steps.sum():
             return [[] for _ in docs]
@@ -225,7 +227,9 @@ class Index:
         grid = flat.reshape(-1, BASE)
         if not self.exact:
             self._fold(grid)
+        at = 0
         for size, (which, need, often) in self.tables.items():
+            columns, at = slice(at, at + len(which)), at + len(which)
             apart, side = max(1, size // 4), -(-size // 2)
             count = np.where(steps, 1 - (np.minimum(0, size - steps) // apart), 0)
             ends = np.cumsum(count)
@@ -235,7 +239,7 @@ class Index:
             low, high = np.maximum(first[doc], start - side), np.minimum(first[doc + 1], start + size + side)
             each = max(1, 1000 // apart)
             for i in range(0, len(start), each):
-                w, j = self._pairs(grid, *(x[i: i + each] for x in (start, stop, low, high)), which, need, often)
+                w, j = self._pairs(grid, *(x[i: i + each] for x in (start, stop, low, high)), which, need, often, columns)
                 for w, j in zip(*self._enough(grid, low[i: i + each], high[i: i + each], need, often, w, j)):
                     d, item = int(doc[i + w]), int(which[j])
                     here, margin = int(start[i + w] - first[d]) * BASE, size * BASE // 2
@@ -244,22 +248,29 @@ class Index:
         return [[(self.items[i][0], *v) for i, v in sorted(o.items())] for o in out]
 
     def _fold(self, grid: np.ndarray) -> None:
-        """Sums over the steps before each step: vectors folded into the latent space, and energies (squared weights)."""
-        steps, energy = np.zeros((len(grid), self.folded.shape[1]), np.float32), np.zeros(len(grid))
+        """Sums over the steps before each step: of every item's dot product with the step folded into the latent
+        space (items in the order of the tables; a step folds to the sum of its words, so each word brings
+        its own dot products), and of energies (squared weights)."""
+        dots, energy = np.zeros((len(grid), self.dots.shape[1]), np.float32), np.zeros(len(grid))
+        held = np.empty((2048, dots.shape[1]), np.float32)
+        for k in range(0, len(grid), 2048):
+            part = grid[k: k + 2048]
+            for r in range(BASE):
+                dots[k: k + 2048] += np.take(self.dots, part[:, r], axis=0, out=held[: len(part)], mode="clip")
         for r in range(BASE):
-            steps += self.folded[grid[:, r]]
             energy += self.weights[grid[:, r]] ** 2
-        self.sums = np.zeros((len(grid) + 1, steps.shape[1]))
-        np.cumsum(steps, axis=0, out=self.sums[1:])
+        self.sums = np.zeros((len(grid) + 1, dots.shape[1]))
+        for k in range(len(grid)):
+            np.add(self.sums[k], dots[k], out=self.sums[k + 1])
         self.energy = np.r_[0.0, np.cumsum(energy)]
 
-    def _pairs(self, grid, start, stop, low, high, which, need, often) -> tuple[np.ndarray, np.ndarray]:
+    def _pairs(self, grid, start, stop, low, high, which, need, often, columns: slice) -> tuple[np.ndarray, np.ndarray]:
         """Candidates: by latent cosine; items of under SHORT words, whose few words any neighbours outweigh, and all
         with ``exact``, by their words."""
         by_words = np.array([self.exact or len(self.items[i][1]) < SHORT for i in which])
         w, j = (np.zeros(0, np.int64),) * 2
         if not by_words.all():
-            w, j = self._near(grid, start, stop, which)
+            w, j = self._near(start, stop, columns)
             w, j = w[~by_words[j]], j[~by_words[j]]
         if by_words.any():
             cols = np.flatnonzero(by_words)
@@ -267,11 +278,11 @@ class Index:
             w, j = np.r_[w, w2], np.r_[j, cols[j2]]
         return w, j
 
-    def _near(self, grid: np.ndarray, start: np.ndarray, stop: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _near(self, start: np.ndarray, stop: np.ndarray, columns: slice) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (passage, item) whose latent cosine reaches the bound."""
-        y = (self.sums[stop] - self.sums[start]).astype(np.float32)
+        dots = self.sums[stop, columns] - self.sums[start, columns]
         bound = self.cosine * np.sqrt(np.maximum(self.energy[stop] - self.energy[start], 1e-12))
-        return np.nonzero(y @ self.vectors[which].T >= bound[:, None])
+        return np.nonzero(dots >= bound[:, None])
 
     @staticmethod
     def _placed(grid: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
