@@ -12,5 +12,6 @@ Sub-packages:
 
 from paritas.operators.pair import TablePair, align  # noqa: F401
 from paritas.plans.constraint_suite import run_constraints  # noqa: F401
-from paritas.plans.suite import run_pair, run_suite, summarise  # noqa: F401
+from paritas.plans.suite import run_pair, run_scope, run_suite, summarise  # noqa: F401
 from paritas.sources.catalog import CatalogTables  # noqa: F401
+from paritas.sources.layers import LayerLocator  # noqa: F401
