@@ -187,8 +187,9 @@ def _keys(k: int, bands: Bands, bitmap):
         for _, texts in _asked(batches, bitmap):
             got = [g for t in texts if len(g := shingles(t, k))]
             keys = [bands.keys(g) for g in got]
-            nodes = np.repeat(np.array([node_of(g) for g in got], np.int64), [len(x) for x in keys])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(nodes)], ["key", "node"])
+            each = [len(x) for x in keys]
+            nodes, sizes = (np.repeat(np.array(x, np.int64), each) for x in ([node_of(g) for g in got], [len(g) for g in got]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate([np.zeros(0, np.int64), *keys]), nodes, sizes)], ["key", "node", "n"])
 
     return run
 
@@ -401,14 +402,18 @@ def _link_groups(bands: Bands):
     return run
 
 
-def _unresolved(members: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+def _unresolved(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """``key, task, node, label`` of the members to compare: those of a key, without its least node,
-    that still differ in label; every block meets every block but those of the main label each other."""
+    that still differ in label; every block meets every block but those of the main label each other.
+    A member whose neighbours by size are too small or too large for a link has no partner in its key."""
     by_key = Window.partitionBy("key")
-    rest = (members.filter(F.col("node") != F.col("lo")).select("key", "node", "lo")
+    by_size = by_key.orderBy("n")
+    rest = (members.filter(F.col("node") != F.col("lo")).select("key", "node", "n")
+            .withColumns({"under": F.lag("n").over(by_size), "over": F.lead("n").over(by_size)})
+            .filter((100 * F.col("under") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("over"))).drop("under", "over")
             .join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"))
     rest = rest.withColumns({"l0": F.min("label").over(by_key), "l1": F.max("label").over(by_key)}).filter(F.col("l0") < F.col("l1"))
-    rest = rest.join(sizes, "node").withColumn("main", F.col("label") == F.col("l0"))
+    rest = rest.withColumn("main", F.col("label") == F.col("l0"))
     for name, side in (("mains", F.col("main")), ("others", ~F.col("main"))):
         rest = rest.withColumn(name, F.ceil(F.sum(F.when(side, F.col("n")).otherwise(0)).over(by_key) / F.lit(BLOCK_SHINGLES)))
     h = F.xxhash64("node")
@@ -437,9 +442,9 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     by_key = Window.partitionBy("key")
     # only rows whose id stands for a node list its keys, so copies list none (ids that share a place of the bitmap may)
     named = spark.sparkContext.broadcast(_bitmap(firsts))
-    keys = texts.filter(F.col("doc_id").isNotNull()).mapInArrow(tidy(_keys(words, bands, named)), "key long, node long")
-    members = written(keys.withColumns({"lo": F.min("node").over(by_key), "hi": F.max("node").over(by_key)})
-                      .filter(F.col("lo") < F.col("hi")).select("key", "node", "lo").distinct())
+    keys = texts.filter(F.col("doc_id").isNotNull()).mapInArrow(tidy(_keys(words, bands, named)), "key long, node long, n long")
+    members = written(keys.withColumns({"least": F.min(F.struct("node", "n")).over(by_key), "hi": F.max("node").over(by_key)})
+                      .filter(F.col("least.node") < F.col("hi")).select("key", "node", "n", F.col("least.node").alias("lo"), F.col("least.n").alias("lo_n")).distinct())
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node"))
     sketches_of = lambda some: _reread(texts, firsts, some, lambda m: _sketched(words, bands, m), "doc_id long, node long, sketches array<binary>")
     grams_of = lambda some: _reread(texts, firsts, some, lambda m: _grams(words, m), "doc_id long, node long, grams binary")
@@ -452,8 +457,9 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
     def verified(pairs: DataFrame) -> DataFrame:
         return written(sides(pairs, grams_of(ends(pairs)), g="grams").mapInArrow(tidy(_verify(bands)), "a long, b long"))
 
-    stars = members.filter(F.col("node") != F.col("lo")).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
-    near = written(sides(stars, nodes, n="n", s="small").mapInArrow(tidy(_near_small(percent)), "a long, b long"))
+    stars = members.filter(F.col("node") != F.col("lo")).select(F.col("lo").alias("a"), F.col("node").alias("b"), F.col("lo_n").alias("na"), F.col("n").alias("nb"))
+    stars = stars.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).distinct()  # before their sketches are moved
+    near = written(sides(stars, nodes, s="small").mapInArrow(tidy(_near_small(percent)), "a long, b long"))
     links = verified(written(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
     roots = components(links)
     for side in "ab":  # the pairs that these links leave apart
@@ -466,7 +472,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple[DataFrame,
         rows = rest.select("key", "task", "node", "label", "n", *columns).repartition("key", "task").sortWithinPartitions("key", "task")
         return written(rows.mapInArrow(tidy(work), schema))
 
-    rest = look(_unresolved(members, roots, nodes.select("node", "n")).join(nodes.select("node", "n", "small"), "node"), _flag_groups(bands, "small"), "small")
+    rest = look(_unresolved(members, roots, percent).join(nodes.select("node", "n", "small"), "node"), _flag_groups(bands, "small"), "small")
     sketches, sizes = sketches_of(rest), nodes.select("node", "n")
     rest = look(rest.join(sizes, "node").join(sketches, "node"), _flag_groups(bands, "sketches"), "sketches")
     more = look(rest.join(sizes, "node").join(sketches, "node").join(grams_of(rest), "node"), _link_groups(bands), "sketches", "grams", schema="a long, b long")
