@@ -19,6 +19,9 @@ Every step is linear in nodes and edges: no pairs of nodes are formed.
    (the least); the first level that leads back to the root closes the cycle, and the nodes between are marked
    along the parent pointers by doubling. Components that are rings take positions from doubling, without a search.
 
+Joins carry the ``merge`` hint: their sides grow with the graph, and a side below Spark's broadcast
+threshold would pass through the driver again in each of some hundred rounds.
+
 Every loop round cuts lineage with a reliable ``checkpoint()`` (directory from the
 session's ``spark.checkpoint.dir``), so executor loss recomputes at most one round.
 """
@@ -54,8 +57,8 @@ def _live(e: DataFrame) -> DataFrame:
 
 def _between(e: DataFrame, nodes: DataFrame) -> DataFrame:
     """The edges with both ends among ``nodes``."""
-    return (e.join(nodes, F.col("src") == F.col("node"), "left_semi")
-            .join(nodes, F.col("dst") == F.col("node"), "left_semi"))
+    return (e.join(nodes.hint("merge"), F.col("src") == F.col("node"), "left_semi")
+            .join(nodes.hint("merge"), F.col("dst") == F.col("node"), "left_semi"))
 
 
 def _jump_ends(pointers: DataFrame) -> DataFrame:
@@ -65,7 +68,7 @@ def _jump_ends(pointers: DataFrame) -> DataFrame:
     n, span = state.count(), 1
     while span <= n:
         ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"))
-        state = _cut(state.join(ahead, "jump", "left")
+        state = _cut(state.join(ahead.hint("merge"), "jump", "left")
                      .select("node", F.coalesce("next", "jump").alias("jump"), F.col("next").isNotNull().alias("moving")))
         if state.filter("moving").isEmpty():
             break
@@ -77,7 +80,7 @@ def _dead_chains(e: DataFrame, src: str, dst: str) -> DataFrame:
     """Nodes whose only ``src -> dst`` way leads along nodes with one way on to a node without any."""
     single = e.groupBy(F.col(src).alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min(dst).alias("jump")).filter("n = 1")
     ends = _jump_ends(single.select("node", "jump"))
-    return ends.join(e.select(F.col(src).alias("end")), "end", "left_anti").select("node")
+    return ends.join(e.select(F.col(src).alias("end")).hint("merge"), "end", "left_anti").select("node")
 
 
 def _peel(e: DataFrame) -> DataFrame:
@@ -86,7 +89,7 @@ def _peel(e: DataFrame) -> DataFrame:
     while n:
         if rounds % (LEAF_ROUNDS + 1) == LEAF_ROUNDS:
             dead = _cut(_dead_chains(e, "src", "dst").unionByName(_dead_chains(e, "dst", "src")).distinct())
-            rest = e.join(dead, F.col("src") == F.col("node"), "left_anti").join(dead, F.col("dst") == F.col("node"), "left_anti")
+            rest = e.join(dead.hint("merge"), F.col("src") == F.col("node"), "left_anti").join(dead.hint("merge"), F.col("dst") == F.col("node"), "left_anti")
         else:
             rest = _between(e, _live(e))
         rest = _cut(rest)
@@ -110,13 +113,13 @@ def strongly_connected(edges: DataFrame) -> DataFrame:
     while not nodes.isEmpty():
         rem_e = _peel(rem_e)  # whole tails and bridges go at once, not a layer a phase
         live = _cut(rem_e.select(F.col("src").alias("node")).distinct())
-        done.append(_cut(nodes.join(live, "node", "left_anti").select("node", F.col("node").alias("component"))))
+        done.append(_cut(nodes.join(live.hint("merge"), "node", "left_anti").select("node", F.col("node").alias("component"))))
         if live.isEmpty():
             break
         # forward: colour(v) = max colour over v and its predecessors, to a fixpoint
         colour = live.select("node", F.col("node").alias("colour"))
         while True:
-            pushed = (rem_e.join(colour.withColumnRenamed("node", "src"), "src")
+            pushed = (rem_e.join(colour.withColumnRenamed("node", "src").hint("merge"), "src")
                       .select(F.col("dst").alias("node"), "colour", F.lit(False).alias("own")))
             nxt = _cut(colour.select("node", "colour", F.lit(True).alias("own")).unionByName(pushed)
                        .groupBy("node").agg(F.max("colour").alias("colour"),
@@ -128,19 +131,19 @@ def strongly_connected(edges: DataFrame) -> DataFrame:
         member = _cut(colour.filter(F.col("node") == F.col("colour")).select("node", F.col("colour").alias("component")))
         frontier = member
         while True:
-            preds = _cut(rem_e.join(frontier.withColumnRenamed("node", "dst"), "dst")
+            preds = _cut(rem_e.join(frontier.withColumnRenamed("node", "dst").hint("merge"), "dst")
                          .select(F.col("src").alias("node"), "component")
-                         .join(colour, "node").filter(F.col("colour") == F.col("component")).select("node", "component")
-                         .join(member, "node", "left_anti").distinct())
+                         .join(colour.hint("merge"), "node").filter(F.col("colour") == F.col("component")).select("node", "component")
+                         .join(member.hint("merge"), "node", "left_anti").distinct())
             if preds.isEmpty():
                 break
             member = _cut(member.unionByName(preds))
             frontier = preds
         done.append(member)
         gone = member.select("node")
-        nodes = _cut(live.join(gone, "node", "left_anti"))
-        rem_e = _cut(rem_e.join(gone.withColumnRenamed("node", "src"), "src", "left_anti")
-                     .join(gone.withColumnRenamed("node", "dst"), "dst", "left_anti"))
+        nodes = _cut(live.join(gone.hint("merge"), "node", "left_anti"))
+        rem_e = _cut(rem_e.join(gone.withColumnRenamed("node", "src").hint("merge"), "src", "left_anti")
+                     .join(gone.withColumnRenamed("node", "dst").hint("merge"), "dst", "left_anti"))
     if not done:
         t = edges.schema["src"].dataType.simpleString()
         return edges.sparkSession.createDataFrame([], f"node {t}, component {t}")
@@ -168,10 +171,10 @@ def _ring_edges(e: DataFrame) -> DataFrame:
     state, n, span = e.select(F.col("src").alias("node"), F.col("dst").alias("jump")), e.count(), 1
     while span < n:
         ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"))
-        state = _cut(state.join(ahead, "jump").select("node", F.col("next").alias("jump")))
+        state = _cut(state.join(ahead.hint("merge"), "jump").select("node", F.col("next").alias("jump")))
         span *= 2
     on = state.select(F.col("jump").alias("node")).distinct()
-    return _cut(e.join(on, F.col("src") == F.col("node"), "left_semi"))
+    return _cut(e.join(on.hint("merge"), F.col("src") == F.col("node"), "left_semi"))
 
 
 def _rings(ring: DataFrame) -> DataFrame:
@@ -182,19 +185,19 @@ def _rings(ring: DataFrame) -> DataFrame:
     n, span = state.count(), 1
     while span < n:
         ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("best").alias("b2"))
-        state = _cut(state.join(ahead, "jump").select("node", F.col("next").alias("jump"), F.least("best", "b2").alias("best")))
+        state = _cut(state.join(ahead.hint("merge"), "jump").select("node", F.col("next").alias("jump"), F.least("best", "b2").alias("best")))
         span *= 2
     member = state.select("node", F.col("best").alias("component"))
     root = F.col("node") == F.col("component")
-    walk = _table(ring.join(member, F.col("src") == F.col("node")).select(
+    walk = _table(ring.join(member.hint("merge"), F.col("src") == F.col("node")).select(
         "node", "component", F.when(root, F.col("node")).otherwise(F.col("dst")).alias("jump"), F.when(root, 0).otherwise(1).cast("bigint").alias("steps")))
     span = 1
     while span < n:
         ahead = walk.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("steps").alias("more"))
-        walk = _table(walk.join(ahead, "jump").select("node", "component", F.col("next").alias("jump"), (F.col("steps") + F.col("more")).alias("steps")))
+        walk = _table(walk.join(ahead.hint("merge"), "jump").select("node", "component", F.col("next").alias("jump"), (F.col("steps") + F.col("more")).alias("steps")))
         span *= 2
     size = walk.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    return walk.join(size, "component").select("node", "component", F.when(F.col("steps") == 0, 0).otherwise(F.col("size") - F.col("steps")).cast("bigint").alias("position"))
+    return walk.join(size.hint("merge"), "component").select("node", "component", F.when(F.col("steps") == 0, 0).otherwise(F.col("size") - F.col("steps")).cast("bigint").alias("position"))
 
 
 def _components(edges: DataFrame, src: str, dst: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -203,17 +206,17 @@ def _components(edges: DataFrame, src: str, dst: str) -> tuple[DataFrame, DataFr
     loops, rest = _split_loops(edges, src, dst)
     if _is_functional(rest):
         rings = _cut(_rings(_ring_edges(rest)))
-        inner = rest.join(rings.select(F.col("node").alias("src"), "component"), "src").limit(0)
+        inner = rest.join(rings.select(F.col("node").alias("src"), "component").hint("merge"), "src").limit(0)
         return loops, inner, rings
     core = _peel(rest)
     comp = strongly_connected(core)
     least = comp.groupBy("component").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    comp = _cut(comp.join(least, "component").select("node", F.col("least").alias("component"), "size"))
+    comp = _cut(comp.join(least.hint("merge"), "component").select("node", F.col("least").alias("component"), "size"))
     ends = lambda side: comp.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-    inner = _cut(core.join(ends("src"), "src").join(ends("dst"), "dst").filter(F.col("c_src") == F.col("c_dst")).select("src", "dst", F.col("c_src").alias("component")))
-    ring = inner.groupBy("component").agg(F.count(F.lit(1)).alias("n")).join(comp.select("component", "size").distinct(), "component").filter("n = size").select("component")
-    rings = _cut(_rings(inner.join(ring, "component", "left_semi").select("src", "dst")))
-    return loops, inner.join(ring, "component", "left_anti"), rings
+    inner = _cut(core.join(ends("src").hint("merge"), "src").join(ends("dst").hint("merge"), "dst").filter(F.col("c_src") == F.col("c_dst")).select("src", "dst", F.col("c_src").alias("component")))
+    ring = inner.groupBy("component").agg(F.count(F.lit(1)).alias("n")).join(comp.select("component", "size").distinct().hint("merge"), "component").filter("n = size").select("component")
+    rings = _cut(_rings(inner.join(ring.hint("merge"), "component", "left_semi").select("src", "dst")))
+    return loops, inner.join(ring.hint("merge"), "component", "left_anti"), rings
 
 
 def _searched(inner: DataFrame) -> DataFrame:
@@ -225,13 +228,13 @@ def _searched(inner: DataFrame) -> DataFrame:
     tree = _cut(root.select("component", F.col("component").alias("node"), F.lit(None).cast(inner.schema["src"].dataType).alias("parent"), F.lit(0).cast("bigint").alias("depth")))
     frontier, closed, level = tree, None, 0
     while not frontier.isEmpty():
-        step = _cut(inner.join(frontier.select(F.col("node").alias("src"), "component"), ["src", "component"]))
+        step = _cut(inner.join(frontier.select(F.col("node").alias("src"), "component").hint("merge"), ["src", "component"]))
         back = step.filter(F.col("dst") == F.col("component")).groupBy("component").agg(F.min("src").alias("node"), F.lit(level).cast("bigint").alias("last"))
         back = _cut(back)
         closed = back if closed is None else _cut(closed.unionByName(back))
         level += 1
-        frontier = _cut(step.join(back, "component", "left_anti").groupBy("component", F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
-                        .join(tree, ["component", "node"], "left_anti").withColumn("depth", F.lit(level).cast("bigint")))
+        frontier = _cut(step.join(back.hint("merge"), "component", "left_anti").groupBy("component", F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
+                        .join(tree.hint("merge"), ["component", "node"], "left_anti").withColumn("depth", F.lit(level).cast("bigint")))
         tree = _cut(tree.unionByName(frontier.select(tree.columns)))
     if closed is None:
         return inner.select("component", F.col("src").alias("node"), F.lit(0).cast("bigint").alias("position")).limit(0)
@@ -239,11 +242,11 @@ def _searched(inner: DataFrame) -> DataFrame:
     jumps = _cut(tree.filter(F.col("parent").isNotNull()).select("component", "node", F.col("parent").alias("jump")))
     span = 1
     while span <= level:  # after k rounds the 2^k nodes nearest to the closing one are marked
-        marked = _cut(marked.unionByName(marked.join(jumps, ["component", "node"]).select("component", F.col("jump").alias("node"))).distinct())
+        marked = _cut(marked.unionByName(marked.join(jumps.hint("merge"), ["component", "node"]).select("component", F.col("jump").alias("node"))).distinct())
         ahead = jumps.select("component", F.col("node").alias("jump"), F.col("jump").alias("next"))
-        jumps = _cut(jumps.join(ahead, ["component", "jump"]).select("component", "node", F.col("next").alias("jump")))
+        jumps = _cut(jumps.join(ahead.hint("merge"), ["component", "jump"]).select("component", "node", F.col("next").alias("jump")))
         span *= 2
-    return marked.join(tree, ["component", "node"]).select("component", "node", F.col("depth").alias("position"))
+    return marked.join(tree.hint("merge"), ["component", "node"]).select("component", "node", F.col("depth").alias("position"))
 
 
 def cycle_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -251,7 +254,7 @@ def cycle_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> Da
     strongly connected component: (node, component)."""
     loops, inner, rings = _components(edges, src, dst)
     multi = rings.select("node", "component").unionByName(inner.select(F.col("src").alias("node"), "component").distinct())
-    alone = loops.join(multi, "node", "left_anti").select("node", F.col("node").alias("component"))
+    alone = loops.join(multi.hint("merge"), "node", "left_anti").select("node", F.col("node").alias("component"))
     return multi.unionByName(alone)
 
 
@@ -262,7 +265,7 @@ def cycle_nodes(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFra
         return _ring_edges(rest).select(F.col("src").alias("node")).unionByName(loops).distinct()
     comp = strongly_connected(_peel(rest))
     sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    multi = comp.join(sizes.filter(F.col("size") > 1), "component").select("node")
+    multi = comp.join(sizes.filter(F.col("size") > 1).hint("merge"), "component").select("node")
     return multi.unionByName(loops).distinct()
 
 
@@ -272,12 +275,12 @@ def fk_cycles(edges: DataFrame, src: str = "parent_table", dst: str = "reference
     (the nodes in order, the first one again at the end). A self-loop of that node is its shortest cycle."""
     loops, inner, rings = _components(edges, src, dst)
     own = loops.select(F.col("node").alias("component")).distinct()
-    steps = rings.select("component", "node", "position").unionByName(_searched(inner)).join(own, "component", "left_anti")
+    steps = rings.select("component", "node", "position").unionByName(_searched(inner)).join(own.hint("merge"), "component", "left_anti")
     steps = steps.unionByName(own.select("component", F.col("component").alias("node"), F.lit(0).cast("bigint").alias("position")))
     paths = steps.groupBy("component").agg(F.sort_array(F.collect_list(F.struct("position", "node"))).alias("steps"))
     nodes = rings.select("node", "component").unionByName(inner.select(F.col("src").alias("node"), "component").distinct())
-    nodes = nodes.unionByName(loops.join(nodes, "node", "left_anti").select("node", F.col("node").alias("component")))
+    nodes = nodes.unionByName(loops.join(nodes.hint("merge"), "node", "left_anti").select("node", F.col("node").alias("component")))
     sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("n_nodes"))
-    return (sizes.join(paths, "component")  # a self-loop of another node than the least one is no component
+    return (sizes.join(paths.hint("merge"), "component")  # a self-loop of another node than the least one is no component
             .select("component", "n_nodes", F.size("steps").cast("bigint").alias("cycle_len"),
                     F.concat(F.transform("steps", lambda s: s["node"]), F.array("component")).alias("path")))

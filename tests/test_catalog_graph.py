@@ -259,3 +259,24 @@ def test_long_chains_at_a_branching_cycle_take_tens_of_rounds(spark, monkeypatch
     way_out = {(2, 10)} | {(k, k + 1) for k in range(10, 3000)} | {(k, -k - 100_000) for k in range(10, 3000, 7)}
     found, cuts = _rounds(spark, monkeypatch, cycle | way_in | way_out)
     assert found == {0: [0, 1, 0]} and cuts < 120
+
+
+def test_cycle_search_broadcasts_no_side_of_its_joins(spark, monkeypatch):
+    """Sides grow with the graph; each one below the broadcast threshold would pass through the driver."""
+    plans = []
+
+    def kept(cut):
+        def run(df):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return cut(df)
+        return run
+
+    monkeypatch.setattr(GR, "_cut", kept(GR._cut))
+    monkeypatch.setattr(GR, "_table", kept(GR._table))
+    # two linked components with chords, a ring of three, a self-loop, a tail
+    edges = [(1, 2), (2, 3), (3, 1), (2, 1), (3, 4), (4, 5), (5, 6), (6, 4), (5, 4), (7, 8), (8, 9), (9, 7), (10, 10), (11, 1)]
+    found = GR.fk_cycles(spark.createDataFrame(edges, "src long, dst long"), "src", "dst")
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert {(r["component"], r["n_nodes"], r["cycle_len"]) for r in found.collect()} == {(1, 3, 2), (4, 3, 2), (7, 3, 3), (10, 1, 1)}
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "BroadcastHashJoin" in p or "BroadcastNestedLoopJoin" in p]
