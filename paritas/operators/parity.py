@@ -160,6 +160,32 @@ def value_counts(pair: TablePair, columns: list[str] | None = None) -> DataFrame
                                          F.count_if(F.col("side") == 1).alias("target_n"))
 
 
+def _cells_by_kind(df: DataFrame, columns: list[str], side: int) -> dict[str, DataFrame]:
+    """(side, ci, v) per cell, by the typed slot (l, d or s) that a column's key takes: v alone is the exact key."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cells: dict[str, list[str]] = {}
+    for i, c in enumerate(columns):
+        slot, key = next((n, k) for n, k in zip("lds", typed_key_sql(quote(c), types[c])) if not k.startswith("CAST(NULL AS"))
+        cells.setdefault(slot, []).append(f"named_struct('ci', {i}, 'v', {key})")
+    return {slot: df.selectExpr(f"{side} AS side", f"inline(array({', '.join(x)}))") for slot, x in cells.items()}
+
+
+def _distinct_counts(pair: TablePair, cols: list[str]) -> DataFrame:
+    """(ci, source_distinct, target_distinct): ``value_counts`` counted per column, grouped by kind of value, so that
+    a key is two columns instead of four, and with the sides that hold a value (1, 2 or 3) as the only buffer. A
+    column whose types drifted stands in two kinds, one a side."""
+    kinds: dict[str, DataFrame] = {}
+    for side, df in enumerate((pair.source, pair.target), 1):
+        for slot, cells in _cells_by_kind(df, cols, side).items():
+            kinds[slot] = kinds[slot].unionAll(cells) if slot in kinds else cells
+    counts = [cells.groupBy("ci", "v").agg(F.bit_or("side").alias("sides")).groupBy("ci").agg(
+        *[F.count_if(F.col("sides").bitwiseAND(bit) > 0).alias(name) for name, bit in (("source_distinct", 1), ("target_distinct", 2))]) for cells in kinds.values()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionAll(c)
+    return out.groupBy("ci").agg(F.sum("source_distinct").alias("source_distinct"), F.sum("target_distinct").alias("target_distinct"))
+
+
 def unique_value_parity(pair: TablePair) -> DataFrame:
     """Distinct values per common column, NULL counted as one value."""
     cols = align(pair).common
@@ -167,9 +193,7 @@ def unique_value_parity(pair: TablePair) -> DataFrame:
                            T.StructField("target_distinct", T.LongType()), T.StructField("passed", T.BooleanType())])
     if not cols:
         return _frame(pair, [], schema)
-    per_col = value_counts(pair, cols).groupBy("ci").agg(
-        F.count_if(F.col("source_n") > 0).alias("source_distinct"),
-        F.count_if(F.col("target_n") > 0).alias("target_distinct"))
+    per_col = _distinct_counts(pair, cols)
     # A column with no value on either side (empty tables) has no group; the column list is
     # schema-sized, so it is broadcast and the counts default to 0.
     listing = _frame(pair, [(i, c) for i, c in enumerate(cols)], "ci int, column_name string")
