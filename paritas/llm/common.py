@@ -15,6 +15,7 @@ from paritas.session import ensure_checkpoint_dir
 
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +29,17 @@ def scratch(spark: SparkSession) -> str:
 
 def written(df: DataFrame, partition_by: tuple[str, ...] = (), **options: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: the lineage ends there,
-    so a lost executor costs no recomputation of what was written."""
+    so a lost executor costs no recomputation of what was written, and the shuffle files that
+    led to it are removed with the write instead of staying until the driver collects garbage."""
     spark = df.sparkSession
     path = scratch(spark)
     writer = df.write.options(**options)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
