@@ -6,9 +6,11 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Document
 
 Sketch. Sets are dealt to geometric size bands. In a band a sketch has c > d chunks of 64 bits;
 every shingle flips one bit of one chunk, so the Hamming distance of two sketches never
-exceeds the symmetric difference, and at least c - d chunks of a linked pair have the same bits.
-All chunks (place and bits) stand in one fixed order, those with more bits first, as many
-documents share one with few bits by chance. A document lists its first d + 1 chunks, d taken from its own
+exceeds the symmetric difference, and at least c - d chunks of a linked pair hold the same shingles.
+A key is the 64-bit hash of a chunk's shingles: of the bits alone, few are set, so unlike documents would share
+them by chance, in numbers that grow with the square of the documents.
+All chunks (place and shingles) stand in one fixed order, those with more bits first, as many
+documents share one with few shingles. A document lists its first d + 1 chunks, d taken from its own
 size and the largest partner it can have in the band: two sketches that agree in c - d chunks share one
 among these. A document is listed in its own band and in the next one when a document there may
 link to it.
@@ -124,31 +126,41 @@ class Bands:
         """Bands in which a set of n shingles is listed."""
         return range(self.of(n), self.of(n * 100 // self.percent) + 1)
 
-    def sketch(self, grams: np.ndarray, band: int) -> np.ndarray:
+    def _dealt(self, grams: np.ndarray, values: np.ndarray, band: int) -> np.ndarray:
+        """Exclusive-or of the values of the (sorted) shingles in each chunk."""
         c = self.chunks[band]
-        words = np.zeros(c, np.uint64)
-        if c:
-            np.bitwise_xor.at(words, (((grams >> _U(32)) * _U(c)) >> _U(32)).astype(np.int64), _U(1) << (grams & _U(63)))
-        return words
+        out = np.zeros(c, np.uint64)
+        if c and len(grams):
+            chunk = ((grams >> _U(32)) * _U(c)) >> _U(32)
+            first = np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]])
+            out[chunk[first].astype(np.int64)] = np.bitwise_xor.reduceat(values, first)
+        return out
+
+    def sketch(self, grams: np.ndarray, band: int) -> np.ndarray:
+        return self._dealt(grams, _U(1) << (grams & _U(63)), band)
+
+    def contents(self, grams: np.ndarray, band: int) -> np.ndarray:
+        """Hash of the shingles in each chunk."""
+        return self._dealt(grams, mix(grams + _U(0x8CB92BA72F3D8DD7)), band)
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
-        """Join keys (signed 64-bit hashes of band, chunk and its bits) of a set."""
+        """Join keys (signed 64-bit hashes of band, chunk and its shingles) of a set."""
         out, n = [], len(grams)
         for band in self.listed(n):
-            words = self.sketch(grams, band)
+            words, contents = self.sketch(grams, band), self.contents(grams, band)
             if len(words):
-                keys = self.key(words, np.arange(len(words)), band)
-                out.append(keys[self.kept(words[None], np.array([n]), band)[0]])
+                keys = self.key(contents, np.arange(len(words)), band)
+                out.append(keys[self.kept(words[None], contents[None], np.array([n]), band)[0]])
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
-    def key(self, words: np.ndarray, chunk: np.ndarray, band: int) -> np.ndarray:
-        return mix(words ^ mix(chunk.astype(np.uint64) + _U(int(band) << 40))).view(np.int64)
+    def key(self, contents: np.ndarray, chunk: np.ndarray, band: int) -> np.ndarray:
+        return mix(contents ^ mix(chunk.astype(np.uint64) + _U(int(band) << 40))).view(np.int64)
 
-    def kept(self, words: np.ndarray, n: np.ndarray, band: int) -> np.ndarray:
+    def kept(self, words: np.ndarray, contents: np.ndarray, n: np.ndarray, band: int) -> np.ndarray:
         """Which chunks of each sketch (a row, of a set of n shingles) are listed: the first d + 1,
         those with more bits before those with fewer, then by the hash of the key."""
         d = self.apart(n + np.minimum(self.edges[band + 1] - 1, n * 100 // self.percent))
-        order = (_U(64) - np.bitwise_count(words).astype(np.uint64)) << _U(57) | self.key(words, np.arange(words.shape[1]), band).view(np.uint64) >> _U(7)
+        order = (_U(64) - np.bitwise_count(words).astype(np.uint64)) << _U(57) | self.key(contents, np.arange(words.shape[1]), band).view(np.uint64) >> _U(7)
         rank = np.argsort(np.argsort(order, axis=1, kind="stable"), axis=1, kind="stable")
         return (rank <= d[:, None]) & (d > 0)[:, None]
 
@@ -233,7 +245,7 @@ def _sketched(k: int, bands: Bands, bitmap):
             got = [shingles(t, k) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([node_of(g) if len(g) else None for g in got], pa.int64()),
-                 pa.array([[bands.sketch(g, x).tobytes() for x in bands.listed(len(g))] if len(g) else [] for g in got], pa.list_(pa.binary()))],
+                 pa.array([[bands.sketch(g, x).tobytes() + bands.contents(g, x).tobytes() for x in bands.listed(len(g))] if len(g) else [] for g in got], pa.list_(pa.binary()))],
                 ["doc_id", "node", "sketches"])
 
     return run
@@ -295,15 +307,16 @@ class Group:
         self.n = np.array([r[2] for r in self.rows], np.int64)
 
     def near(self):
-        """(band, sketches, place of i, places of the smaller members of another label whose sketch
+        """(band, sketches and their contents, place of i, places of the smaller members of another label whose sketch
         allows a link with i, members at the places) for each i that has some."""
         p, n = self.bands.percent, self.n
         own = np.array([self.bands.of(x) for x in n])
         for band in np.unique(own):
             listed = np.flatnonzero([own[i] <= band < own[i] + len(self.rows[i][3]) for i in range(len(own))])
-            words = np.stack([np.frombuffer(self.rows[i][3][band - own[i]], np.uint64) for i in listed])
-            if not words.shape[1]:
+            both = np.stack([np.frombuffer(self.rows[i][3][band - own[i]], np.uint64) for i in listed])
+            if not both.shape[1]:
                 continue
+            words, contents = np.split(both, 2, axis=1)
             for k in np.flatnonzero(own[listed] == band):
                 i = listed[k]
                 first = np.searchsorted(n[listed[:k]] * 100, p * n[i])
@@ -311,7 +324,7 @@ class Group:
                 apart = np.bitwise_count(words[can] ^ words[k]).sum(1, dtype=np.int64)
                 can = can[(100 + p) * apart <= (100 - p) * (n[listed[can]] + n[i])]
                 if len(can):
-                    yield band, words, k, can, listed
+                    yield band, (words, contents), k, can, listed
 
     def close(self) -> list[int]:
         """Members with a member of another label whose small sketch allows a link."""
@@ -332,12 +345,12 @@ class Group:
         """Members in a near pair whose first common key is this one; so a pair counts in one key."""
         out: set[int] = set()
         last = None
-        for band, words, k, can, listed in self.near():
+        for band, (words, contents), k, can, listed in self.near():
             if band != last:
-                last, kept = band, self.bands.kept(words, self.n[listed], band)
-            common = (words[can] == words[k]) & kept[can] & kept[k]
+                last, kept = band, self.bands.kept(words, contents, self.n[listed], band)
+            common = (contents[can] == contents[k]) & kept[can] & kept[k]
             first = common.argmax(1)
-            here = can[common.any(1) & (self.bands.key(words[k, first], first, band) == key)]
+            here = can[common.any(1) & (self.bands.key(contents[k, first], first, band) == key)]
             if len(here):
                 out.update(listed[here].tolist(), [int(listed[k])])
         return sorted(out)

@@ -502,6 +502,13 @@ def test_linked_sets_share_a_key(percent):
     assert linked > 300
 
 
+def test_unlike_sets_share_no_key():
+    """By the bits of a chunk alone thousands of these pairs would meet, more with the square of the sets."""
+    bands, r = ngram_join.Bands(80), np.random.default_rng(3)
+    keys = np.concatenate([np.unique(bands.keys(np.unique(r.integers(0, 1 << 64, n, np.uint64)))) for n in r.integers(60, 400, 1000)])
+    assert len(keys) > 20_000 and len(np.unique(keys)) == len(keys)
+
+
 def test_one_row_of_each_group_stays_when_a_document_has_two_texts(spark):
     x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
     rows = [(3, x), (5, x), (5, y), (9, y), (9, y), (7, z), (7, z + " end"), (11, ""), (11, None), (None, x), (None, x)]
