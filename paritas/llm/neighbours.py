@@ -152,20 +152,23 @@ def _search(k: int, m: int, q: float):
                 gap = (gap * gap).sum(1)
                 order = np.flatnonzero(gap <= q * bound + 1e-9)
                 order = order[np.argsort(gap[order], kind="stable")]
-                want, near, found = max(1, k - copies + 1), np.zeros(0), []
+                want, near, found, apart = max(1, k - copies + 1), np.zeros(0), [], []
                 for at in range(0, len(order), STEP):
                     part = order[at: at + STEP]
                     if gap[part[0]] > q * bound + 1e-9:
                         break  # a nearer vector would have been met before
                     d = unit[part] - yu
-                    d = (d * d).sum(1)
+                    d = np.einsum("ij,ij->i", d, d)
                     found.append(part)
+                    apart.append(d)
                     near = np.sort(np.r_[near, d[(k1[part] != q1) | (k2[part] != q2)]])[:want]
                     if len(near) == want:
                         bound = min(bound, float(near[-1]))
                 if not found:
                     continue
-                got = np.concatenate(found)
+                got, d = np.concatenate(found), np.concatenate(apart)
+                if len(got) > k + 1:  # scores only of those that can be among the k + 1 best
+                    got = got[d <= np.partition(d, k)[k] + 1e-9]
                 dot = (x[got] * y[i]).sum(1)
                 score = dot / (np.sqrt((x[got] * x[got]).sum(1)) * np.sqrt((y[i] * y[i]).sum()))
                 for j in np.lexsort((first[got], -score))[: k + 1]:

@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -466,6 +467,20 @@ def test_join_against_all_pairs(spark, monkeypatch, k, percent, block):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == _components(rows, k, percent)
 
 
+def test_search_scores_ties_and_copies_like_brute_force():
+    """Many equal distances around the last place of a block's answer: the least ids of the best scores."""
+    r = np.random.default_rng(4)
+    x = np.repeat(r.integers(-1, 2, (40, 4)) + np.array([0.5, 0, 0, 0]), 3, axis=0) * r.choice([1.0, 2.0, 4.0], (120, 1))
+    n = len(x)
+    cands = pa.table({"vec": x.tolist(), "point": x.tolist(), "ids": [[i] for i in range(n)], "k1": range(n), "k2": range(n)})
+    asks = pa.table({"q1": range(9), "q2": range(9), "copies": [1] * 9, "vec": x[:9].tolist(), "point": x[:9].tolist(), "bound": [1e9] * 9})
+    got = neighbours._search(5, 4, 100.0)(cands, asks).to_pylist()
+    for i in range(9):
+        score = (x @ x[i]) / np.sqrt((x * x).sum(1) * (x[i] * x[i]).sum())
+        best = np.sort(score)[::-1][:6]
+        np.testing.assert_allclose([g["score"] for g in got if g["q1"] == i], best, atol=1e-12)
+
+
 def test_join_of_odd_rows(spark, odd):
     _, got = ngram_join.join(odd, words=3, percent=90)
     got = {(x.doc_id, x.n_shingles, x.component_id) for x in got.collect()}
