@@ -4,9 +4,8 @@ Byte-level BPE never merges across the boundary before a single space that stand
 two non-white characters: the vocabulary's split pattern starts a new piece there, on
 either side of the cut the match is the same. So a text is cut at those spaces and every
 distinct piece is encoded by the library and remembered (a bounded number of them) by the
-Python worker; joining the ids of the pieces gives the ids of the whole text. New pieces go
-to the library as one string with a tab between them: a tab before a space or a letter is a
-token of its own, so its id marks their ends.
+Python worker; joining the ids of the pieces gives the ids of the whole text. New pieces without
+spaces of their own go to the library as one string: a token begins with a space only where a piece begins.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ import numpy as np
 
 _RUN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Longest piece that is remembered, and how many pieces a worker remembers (about 170 bytes each).
-PIECE_CHARS, PIECES = 64, 250_000
+#: Longest piece that is remembered, how many pieces a worker remembers (about 170 bytes each), and a byte-level vocabulary's space.
+PIECE_CHARS, PIECES, SPACE = 64, 250_000, "\u0120"
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -31,52 +30,51 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.tab = self.tokenizer.encode("\t", add_special_tokens=False).ids
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # ids of tokens that begin with a space
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of each piece with the space before it."""
-        joined = [x for x in pieces if x and "\t" not in x and not x[0].isspace() and not x[-1].isspace()]
-        text = "\t " + "\t ".join(joined) + "\t"
+        joined, text = pieces, " " + " ".join(pieces)
+        if _RUN.search(text) or text[-1].isspace():  # an empty piece, or one with spaces of its own or white space at an end
+            joined = [x for x in pieces if x and " " not in x and not x[0].isspace() and not x[-1].isspace()]
+            text = " " + " ".join(joined) if joined else ""
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.flatnonzero(ids == self.tab[0])
-        if len(self.tab) != 1 or len(ends) != len(joined) + 1:
-            joined, ends = [], ends[:1]
-        blob = ids.tobytes()
-        out = {x: blob[i:j] for x, i, j in zip(joined, (4 * ends[:-1] + 4).tolist(), (4 * ends[1:]).tolist())}
-        rest = [x for x in pieces if x not in out]
+        at = np.flatnonzero(self.spaced[ids])
+        if len(at) != len(joined) or len(at) and at[0]:
+            joined, at = [], at[:0]
+        blob, at = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+        out = {x: blob[i:j] for x, i, j in zip(joined, at, at[1:])}
+        rest = [x for x in pieces if x not in out] if len(out) < len(pieces) else []
         return out | dict(zip(rest, self._ids([" " + x for x in rest])))
 
+    def _known(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of each piece, from memory or the library. What is asked for is young again; when half of what may be
+        remembered is young, what was not asked for since the last time is forgotten."""
+        young, old = self.young, self.old
+        ids = {x: young[x] for x in pieces & young.keys()}
+        rest = pieces.difference(ids)
+        more = {x: old[x] for x in rest & old.keys()}
+        if new := list(rest.difference(more)):
+            more |= self._pieces(new)
+        young |= more if max(map(len, more), default=0) <= PIECE_CHARS else {x: v for x, v in more.items() if len(x) <= PIECE_CHARS}
+        if len(young) > PIECES // 2:
+            self.old, self.young = young, {}
+        return ids | more
+
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Ids of each text and ``end_id`` after them, as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > PIECES:
-            self.known.clear()
-        known, end = self.known, array("I", [end_id]).tobytes()
-        found, heads = [], []
-        new: dict[str, None] = {}
-        for t in texts:
-            parts = _CUT.split(t) if _RUN.search(t) else t.split(" ")
-            heads.append(parts[0])
-            parts[0] = ""
-            ids = list(map(known.get, parts))
-            if None in ids:
-                missing = [i for i, x in enumerate(ids) if x is None]
-                new.update((parts[i], None) for i in missing)
-                found.append((ids, [(i, parts[i]) for i in missing]))
-            else:
-                found.append((ids, ()))
-        fresh = self._pieces(list(new)) if new else {}
-        out = []
-        for head, (ids, missing) in zip(self._ids(heads), found):
-            for i, x in missing:
-                ids[i] = fresh[x]
-            ids[0] = head
-            out.append(b"".join(ids) + end)
-        known.update((x, v) for x, v in fresh.items() if len(x) <= PIECE_CHARS)
-        return out
+        end = array("I", [end_id]).tobytes()
+        parts = [_CUT.split(t) if _RUN.search(t) else t.split(" ") for t in texts]
+        heads = self._ids([x.pop(0) for x in parts])
+        ids = self._known(set().union(*parts))
+        return [b"".join([head, *map(ids.__getitem__, x), end]) for head, x in zip(heads, parts)]
 
 
 def encoder(path: str) -> Encoder:

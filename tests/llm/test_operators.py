@@ -90,6 +90,16 @@ def test_encoder_equals_the_library(library):
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [[*x.ids, 0] for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_encoder_keeps_the_pieces_that_are_asked_for(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES", 40)
+    e, asked = tokens.Encoder(tokens.default_vocabulary()), []
+    pieces = e._pieces
+    e._pieces = lambda new: asked.extend(new) or pieces(new)
+    for i in range(40):
+        e.encode([f"x the of {' '.join(f'w{i}v{j}' for j in range(5))}"], 0)
+    assert asked.count("the") == asked.count("of") == 1 and len(asked) == 202
+
+
 def _ids(library, rows):
     return [(d, [*library.encode(t or "", add_special_tokens=False).ids, 0]) for d, t in rows]
 
