@@ -33,8 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paritas.llm.common import python_path, written
-from paritas.llm.tokens import encoder, in_slices
+from paritas.llm.common import python_path, tidy, written
+from paritas.llm.tokens import encoder, gathered, in_slices
 
 Runs = tuple[tuple[int, int], ...]  # (length, copies) in the order they stand in a sequence
 
@@ -152,19 +152,22 @@ def plan(counts: dict[int, int], cap: int) -> list[tuple[int, int, int, int, int
 def _pieces(path: str, end_id: int, cap: int):
     def run(batches):
         enc = encoder(path)
-        for b in in_slices(batches):
-            out: list[list] = [[], [], [], [], []]
-            for doc, blob in zip(b.column("doc_id").to_pylist(), enc.encode([t or "" for t in b.column("text").to_pylist()], end_id)):
-                n = len(blob) // 4
-                cuts = [0, *range(n - (n - 1) // cap * cap, n + 1, cap)]
-                for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
-                    for col, v in zip(out, (doc, k, i, j - i, blob[4 * i: 4 * j])):
-                        col.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
-                ["doc_id", "piece", "start", "length", "ids"])
-
-    return run
+        for b in gathered(batches):
+            ids = enc.encode_array(b.column("text"), end_id)
+            n = np.diff(ids.offsets.to_numpy().astype(np.int64))
+            count = (n + cap - 1) // cap
+            row = np.repeat(np.arange(len(n)), count)
+            piece = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+            first = (n - (count - 1) * cap)[row]
+            length = np.where(piece == 0, first, cap)
+            start = np.where(piece == 0, 0, first + (piece - 1) * cap)
+            places = np.append(0, 4 * np.cumsum(length)).astype(np.int32)
+            blobs = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(places), pa.py_buffer(ids.flatten().to_numpy().astype("<u4"))])
+            yield from in_slices([pa.RecordBatch.from_arrays(
+                [b.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), blobs],
+                ["doc_id", "piece", "start", "length", "ids"])])
+
+    return tidy(run)
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:

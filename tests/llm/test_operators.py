@@ -100,6 +100,38 @@ def test_encoder_keeps_the_pieces_that_are_asked_for(monkeypatch):
     assert asked.count("the") == asked.count("of") == 1 and len(asked) == 202
 
 
+def test_encoder_asks_once_for_a_word_beside_marks_and_line_ends():
+    e, asked = tokens.Encoder(tokens.default_vocabulary()), []
+    pieces = e._pieces
+    e._pieces = lambda new: asked.extend(new) or pieces(new)
+    e.encode(["x word, word. word! word\nword; é-word été, été.\nété"], 0)
+    assert sorted(asked) == ["word", "é", "été"]
+
+
+def test_encoder_cuts_only_where_the_library_begins_a_piece(library):
+    r = random.Random(8)
+    white = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["\u180e", "\u200b", "\x00", "\x7f"]
+    others = ["a", "An", "é", "×", "÷", "ɏ", "ж", "҂", "ª", "º", "²", "½", "ʼ", "·", "\u0301", "—", "字", "か", "한", "😀", "'", "'s", "’", ".", "!?", "7", "_"]
+    texts = ["".join(r.choice(white if r.random() < 0.2 else [" ", "\n", "\t"] if r.random() < 0.3 else others) for _ in range(r.randint(0, 12))) for _ in range(20000)]
+    got = tokens.Encoder(tokens.default_vocabulary()).encode(texts, 0)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [[*x.ids, 0] for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_encoder_takes_slices_and_nulls(library):
+    texts = ["skipped, ", "one two.\nThree", None, "", "two."]
+    e = tokens.Encoder(tokens.default_vocabulary())
+    for _ in range(2):
+        got = e.encode_array(pa.array(texts).slice(1), 0)
+        assert got.to_pylist() == [[*library.encode(t or "", add_special_tokens=False).ids, 0] for t in texts[1:]]
+    assert e.encode_array(pa.array([], pa.string()), 0).to_pylist() == []
+
+
+def test_batches_are_put_together_in_order_up_to_a_size():
+    batches = [pa.RecordBatch.from_pydict({"k": [i], "text": ["x" * 60]}) for i in range(10)]
+    got = [b.column("k").to_pylist() for b in tokens.gathered(iter(batches), size=200)]
+    assert sum(got, []) == list(range(10)) and 1 < len(got) < 10
+
+
 def _ids(library, rows):
     return [(d, [*library.encode(t or "", add_special_tokens=False).ids, 0]) for d, t in rows]
 
