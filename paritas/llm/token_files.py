@@ -29,8 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paritas.llm.common import python_path
-from paritas.llm.tokens import encoder, in_slices
+from paritas.llm.common import python_path, tidy
+from paritas.llm.tokens import encoder, gathered, in_slices
 
 FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens int, ids array<int>"
 
@@ -38,19 +38,16 @@ FILE_SCHEMA = "doc_id long, part int, local_start long, n_tokens int, ids array<
 def _encode(path: str, end_id: int):
     def run(batches):
         enc, part, at = encoder(path), TaskContext.get().partitionId(), 0
-        for b in in_slices(batches):
-            blobs = enc.encode([t or "" for t in b.column("text").to_pylist()], end_id)
-            n = np.array([len(x) // 4 for x in blobs], np.int64)
-            ends = np.cumsum(n)
-            values = pa.array(np.frombuffer(b"".join(blobs), "<i4"))
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(at + ends - n),
-                 pa.array(n.astype(np.int32)), pa.ListArray.from_arrays(offsets, values)],
-                ["doc_id", "part", "local_start", "n_tokens", "ids"])
+        for b in gathered(batches):
+            ids = enc.encode_array(b.column("text"), end_id)
+            ends = ids.offsets.to_numpy().astype(np.int64)[1:]
+            n = np.diff(ends, prepend=0)
+            yield from in_slices([pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(np.full(len(n), part, np.int32)), pa.array(at + ends - n), pa.array(n.astype(np.int32)), ids],
+                ["doc_id", "part", "local_start", "n_tokens", "ids"])])
             at += int(n.sum())
 
-    return run
+    return tidy(run)
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, encoding: str = "dictionary",
