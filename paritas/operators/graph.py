@@ -23,7 +23,9 @@ Joins carry the ``merge`` hint: their sides grow with the graph, and a side belo
 threshold would pass through the driver again in each of some hundred rounds.
 
 Every loop round cuts lineage with a reliable ``checkpoint()`` (directory from the
-session's ``spark.checkpoint.dir``), so executor loss recomputes at most one round.
+session's ``spark.checkpoint.dir``), so executor loss recomputes at most one round. A checkpoint keeps the
+optimizer's estimate of its size, for a join the product of both sides: where a state is joined with itself the digits
+of that number double each round, in the driver. Doubling rounds are therefore written as tables, whose size is that of their files.
 """
 
 from __future__ import annotations
@@ -64,12 +66,12 @@ def _between(e: DataFrame, nodes: DataFrame) -> DataFrame:
 def _jump_ends(pointers: DataFrame) -> DataFrame:
     """(node, end) for ``pointers`` (node, jump), one row per node: where a node's walk stops,
     which is the first node without a pointer. Walks that run in a circle have no row."""
-    state = _cut(pointers.select("node", "jump", F.lit(True).alias("moving")))
+    state = _table(pointers.select("node", "jump", F.lit(True).alias("moving")))
     n, span = state.count(), 1
     while span <= n:
         ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"))
-        state = _cut(state.join(ahead.hint("merge"), "jump", "left")
-                     .select("node", F.coalesce("next", "jump").alias("jump"), F.col("next").isNotNull().alias("moving")))
+        state = _table(state.join(ahead.hint("merge"), "jump", "left")
+                       .select("node", F.coalesce("next", "jump").alias("jump"), F.col("next").isNotNull().alias("moving")))
         if state.filter("moving").isEmpty():
             break
         span *= 2
@@ -171,7 +173,7 @@ def _ring_edges(e: DataFrame) -> DataFrame:
     state, n, span = e.select(F.col("src").alias("node"), F.col("dst").alias("jump")), e.count(), 1
     while span < n:
         ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"))
-        state = _cut(state.join(ahead.hint("merge"), "jump").select("node", F.col("next").alias("jump")))
+        state = _table(state.join(ahead.hint("merge"), "jump").select("node", F.col("next").alias("jump")))
         span *= 2
     on = state.select(F.col("jump").alias("node")).distinct()
     return _cut(e.join(on.hint("merge"), F.col("src") == F.col("node"), "left_semi"))
@@ -180,22 +182,19 @@ def _ring_edges(e: DataFrame) -> DataFrame:
 def _rings(ring: DataFrame) -> DataFrame:
     """(node, component, position) for disjoint simple cycles: each ring's least node, and the steps
     from it. Both by pointer doubling: the least id among the 2^k nodes ahead, then the steps
-    to the root, which keeps its walk."""
-    state = _cut(ring.select(F.col("src").alias("node"), F.col("dst").alias("jump"), F.least("src", "dst").alias("best")))
-    n, span = state.count(), 1
-    while span < n:
+    to the root, which keeps its walk. When a round changes no node's least id, the stretches that follow each
+    other around a ring have the same one, which is the ring's: rounds grow with the logarithm of the longest ring."""
+    state = _table(ring.select(F.col("src").alias("node"), F.col("dst").alias("jump"), F.least("src", "dst").alias("best"), F.lit(True).alias("moved")))
+    while not state.filter("moved").isEmpty():
         ahead = state.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("best").alias("b2"))
-        state = _cut(state.join(ahead.hint("merge"), "jump").select("node", F.col("next").alias("jump"), F.least("best", "b2").alias("best")))
-        span *= 2
+        state = _table(state.join(ahead.hint("merge"), "jump").select("node", F.col("next").alias("jump"), F.least("best", "b2").alias("best"), (F.col("b2") < F.col("best")).alias("moved")))
     member = state.select("node", F.col("best").alias("component"))
     root = F.col("node") == F.col("component")
     walk = _table(ring.join(member.hint("merge"), F.col("src") == F.col("node")).select(
         "node", "component", F.when(root, F.col("node")).otherwise(F.col("dst")).alias("jump"), F.when(root, 0).otherwise(1).cast("bigint").alias("steps")))
-    span = 1
-    while span < n:
+    while not walk.filter("jump <> component").isEmpty():
         ahead = walk.select(F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("steps").alias("more"))
         walk = _table(walk.join(ahead.hint("merge"), "jump").select("node", "component", F.col("next").alias("jump"), (F.col("steps") + F.col("more")).alias("steps")))
-        span *= 2
     size = walk.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     return walk.join(size.hint("merge"), "component").select("node", "component", F.when(F.col("steps") == 0, 0).otherwise(F.col("size") - F.col("steps")).cast("bigint").alias("position"))
 
@@ -239,12 +238,12 @@ def _searched(inner: DataFrame) -> DataFrame:
     if closed is None:
         return inner.select("component", F.col("src").alias("node"), F.lit(0).cast("bigint").alias("position")).limit(0)
     marked = closed.select("component", "node")
-    jumps = _cut(tree.filter(F.col("parent").isNotNull()).select("component", "node", F.col("parent").alias("jump")))
+    jumps = _table(tree.filter(F.col("parent").isNotNull()).select("component", "node", F.col("parent").alias("jump")))
     span = 1
     while span <= level:  # after k rounds the 2^k nodes nearest to the closing one are marked
         marked = _cut(marked.unionByName(marked.join(jumps.hint("merge"), ["component", "node"]).select("component", F.col("jump").alias("node"))).distinct())
         ahead = jumps.select("component", F.col("node").alias("jump"), F.col("jump").alias("next"))
-        jumps = _cut(jumps.join(ahead.hint("merge"), ["component", "jump"]).select("component", "node", F.col("next").alias("jump")))
+        jumps = _table(jumps.join(ahead.hint("merge"), ["component", "jump"]).select("component", "node", F.col("next").alias("jump")))
         span *= 2
     return marked.join(tree.hint("merge"), ["component", "node"]).select("component", "node", F.col("depth").alias("position"))
 

@@ -280,3 +280,50 @@ def test_cycle_search_broadcasts_no_side_of_its_joins(spark, monkeypatch):
     assert {(r["component"], r["n_nodes"], r["cycle_len"]) for r in found.collect()} == {(1, 3, 2), (4, 3, 2), (7, 3, 3), (10, 1, 1)}
     assert any("SortMergeJoin" in p for p in plans)
     assert not [p for p in plans if "BroadcastHashJoin" in p or "BroadcastNestedLoopJoin" in p]
+
+
+def _ring(nodes):
+    return list(zip(nodes, [*nodes[1:], nodes[0]]))
+
+
+def _positions(edges):
+    """(node, component, position) of each node of rings without a common node."""
+    ahead, found = dict(edges), set()
+    for least in sorted(ahead):
+        node, position = least, 0
+        while node not in {n for n, _, _ in found}:
+            found.add((node, least, position))
+            node, position = ahead[node], position + 1
+    return found
+
+
+def test_rounds_of_rings_follow_the_longest_ring(spark, monkeypatch):
+    rings = [_ring([10 * k + x for x in (3, 1, 4, 0, 2)[: 2 + k % 4]]) for k in range(200)]
+    edges, rounds = [e for r in rings for e in r], []
+    for name in ("_cut", "_table"):
+        monkeypatch.setattr(GR, name, lambda df, real=getattr(GR, name): rounds.append(1) or real(df))
+    found = GR._rings(spark.createDataFrame(edges, "src long, dst long"))
+    assert {tuple(r) for r in found.collect()} == _positions(edges) and len(rounds) <= 9
+
+
+def test_estimates_of_doubling_rounds_do_not_double(spark, monkeypatch):
+    """The driver holds the optimizer's estimate of a state's size, whose digits must not double with each round."""
+    bits = []
+
+    def kept(cut):
+        def run(df):
+            out = cut(df)
+            bits.append(out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length())
+            return out
+        return run
+
+    monkeypatch.setattr(GR, "_cut", kept(GR._cut))
+    monkeypatch.setattr(GR, "_table", kept(GR._table))
+    edges = _ring([(k * 37) % 101 for k in range(101)])
+    ring = spark.createDataFrame(edges, "src long, dst long")
+    assert {tuple(r) for r in GR._rings(ring).collect()} == _positions(edges)
+    assert GR._ring_edges(ring.unionByName(spark.createDataFrame([(200, 3), (201, 200)], "src long, dst long"))).count() == 101
+    assert {r["end"] for r in GR._jump_ends(spark.createDataFrame([(k, k + 1) for k in range(60)], "node long, jump long")).collect()} == {60}
+    chords = spark.createDataFrame([(k, (k + 1) % 9, 0) for k in range(9)] + [(3, 1, 0)], "src long, dst long, component long")
+    assert GR._searched(chords).count() == 9
+    assert max(bits) < 1000, bits
