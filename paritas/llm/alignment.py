@@ -12,7 +12,8 @@ columns of token ids; all steps work on whole columns:
 
 How it runs: a block (``BLOCK_CHARS`` characters of whole documents, so one longer document is a block
 by itself) becomes one written row: what concerns its documents, its different pairs with
-counts, and its links as positions in that list of pairs. The partial counts, one row per
+counts, and its links as positions in that list of pairs, packed: the links are most of a row, and rows
+that are large for the JVM's heap cost it far more than their bytes. The partial counts, one row per
 block and pair, are summed per pair; a pair that stands everywhere costs one row a block.
 The counts go back to the blocks by joining on the pair and grouping by block, so neither
 vocabulary nor pairs are broadcast; a block's links meet their counts in one task.
@@ -44,16 +45,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import python_path, written
+from paritas.llm.common import python_path, tidy, trim, written
 
 #: Characters of a block, words a worker remembers, and bits of a B id inside a pair.
 BLOCK_CHARS, WORDS, B_BITS = 500_000, 150_000, 24
+#: Blocks of a written file (Spark decodes up to 4,096 rows of a file at once), and the codec of packed links.
+FILE_BLOCKS, CODEC = 64, "zstd"
 #: Fixed value: the split pattern of byte-level BPE. The two libraries' tables of letters may differ in
 #: age, so only words of characters below PLAIN (settled long ago) go to the faster one.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN = "\u0250"
 BLOCKS = ("block long, doc_ids array<long>, n_a array<int>, n_b array<int>, n_groups array<int>, n_links array<int>, groups array<string>, "
-          "pairs array<long>, counts array<long>, links array<int>")
+          "pairs array<long>, counts array<long>, links binary")
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 _SPLIT = re.compile(r"(?<=\S) (?=\S)")
@@ -211,6 +214,20 @@ def align(a: pa.ListArray, b: pa.ListArray, a_size: np.ndarray, b_size: np.ndarr
 _TOKENS: dict[tuple[str, str], Tokens] = {}
 
 
+def _places(pairs: int) -> np.dtype:
+    """The narrowest type for a position among so many pairs."""
+    return np.min_scalar_type(max(pairs - 1, 0))
+
+
+def _pack(links: np.ndarray, pairs: int) -> bytes:
+    return pa.compress(links.astype(_places(pairs)).tobytes(), CODEC, asbytes=True)
+
+
+def _unpack(packed: bytes, links: int, pairs: int) -> np.ndarray:
+    kind = _places(pairs)
+    return np.frombuffer(pa.decompress(packed, links * kind.itemsize, CODEC), kind)
+
+
 def _of_block(column) -> pa.ListArray:
     """One row that holds the whole column."""
     values = column if isinstance(column, pa.Array) else pa.array(column)
@@ -235,9 +252,10 @@ def _blocks(path_a: str, path_b: str):
             found = align(a, b, tokens.a_size, tokens.b_size, tokens.a_text, tokens.b_text)
             small = {k: np.asarray(found[k]).astype(np.int32) for k in ("n_a", "n_b", "n_groups", "n_links")}
             columns = {"doc_ids": pa.array(ids, pa.int64()), **small, "groups": pa.array([_sha(x.as_py()) for x in found["groups"]], pa.string()),
-                       "pairs": found["pairs"], "counts": found["counts"], "links": found["links"]}
-            made = [pa.array([(part << 32) | number], pa.int64()), *map(_of_block, columns.values())]
-            return pa.RecordBatch.from_arrays(made, ["block", *columns])
+                       "pairs": found["pairs"], "counts": found["counts"]}
+            links = pa.array([_pack(found["links"], len(found["pairs"]))], pa.binary())
+            made = [pa.array([(part << 32) | number], pa.int64()), *map(_of_block, columns.values()), links]
+            return pa.RecordBatch.from_arrays(made, ["block", *columns, "links"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -267,12 +285,16 @@ _NAMES = [x.split(" ")[0] for x in ALIGNED.split(", ")]
 
 def _finish(left: pa.Table, right: pa.Table) -> pa.Table:
     """A block's documents with what its pairs count in the corpus."""
-    row = {c: left.column(c).combine_chunks().flatten() for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups", "links")}
+    if _TOKENS:  # the worker that encoded: its vocabularies have done their work
+        _TOKENS.clear()
+        trim()
+    row = {c: left.column(c).combine_chunks().flatten() for c in ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups")}
     place = right.column("place").to_numpy()
     total, best = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
     total[place] = right.column("total").to_numpy()
     best[place] = right.column("best").cast(pa.int64()).to_numpy()
-    links, ends = row["links"].to_numpy(), np.cumsum(row["n_links"].to_numpy().astype(np.int64))
+    ends = np.cumsum(row["n_links"].to_numpy().astype(np.int64))
+    links = _unpack(left.column("links")[0].as_py(), int(ends[-1]), len(place))
     per_document = lambda of: pa.array(np.diff(np.concatenate([[0], np.cumsum(of[links])])[np.concatenate([[0], ends])]))
     longs = [row[c].cast(pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")]
     return pa.Table.from_arrays([row["doc_ids"], *longs, per_document(best), per_document(total), row["groups"]], _NAMES)
@@ -281,7 +303,8 @@ def _finish(left: pa.Table, right: pa.Table) -> pa.Table:
 def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``ALIGNED`` of every row of ``docs(doc_id, text)`` by the byte-level vocabulary ``path_a`` and the piece vocabulary ``path_b``."""
     python_path(docs.sparkSession)
-    blocks = written(docs.selectExpr("cast(doc_id as long) AS doc_id", "cast(text as string) AS text").mapInArrow(_blocks(path_a, path_b), BLOCKS), compression="zstd")
+    blocks = written(docs.selectExpr("cast(doc_id as long) AS doc_id", "cast(text as string) AS text").mapInArrow(tidy(_blocks(path_a, path_b)), BLOCKS),
+                     compression="zstd", maxRecordsPerFile=str(FILE_BLOCKS))
     counts = pair_counts(blocks)
     places = blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
     looked_up = places.join(counts, "pair").select(F.col("block").alias("of_block"), "place", "total", "best")

@@ -64,6 +64,14 @@ def free_name(name: str, columns) -> str:
     return name
 
 
+def trim() -> None:
+    """Give memory that this process freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    if libc and hasattr(c := ctypes.CDLL(libc), "malloc_trim"):
+        c.malloc_trim(0)
+
+
 def tidy(work: Callable) -> Callable:
     """``work`` for ``mapInArrow``, giving the memory it freed back to the system when its task ends: workers
     live on for later stages, and what they keep would add up beside the JVM."""
@@ -71,9 +79,6 @@ def tidy(work: Callable) -> Callable:
         try:
             yield from work(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            libc = ctypes.util.find_library("c")
-            if libc and hasattr(trim := ctypes.CDLL(libc), "malloc_trim"):
-                trim.malloc_trim(0)
+            trim()
 
     return run

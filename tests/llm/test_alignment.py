@@ -103,3 +103,39 @@ def test_partial_counts_sum_to_the_links():
     tokens = alignment.Tokens(A, B)
     found = alignment.align(*tokens.encode(texts(random.Random(3), 40)), tokens.a_size, tokens.b_size, tokens.a_text, tokens.b_text)
     assert sum(found["counts"]) == sum(found["n_links"]) == len(found["links"]) == sum(found["n_a"]) + sum(found["n_b"]) - sum(found["n_groups"])
+
+
+def test_positions_are_packed_and_read_back():
+    rng = alignment.np.random.default_rng(2)
+    for pairs in (0, 1, 2, 256, 257, 65_536, 65_537):
+        links = rng.integers(0, max(pairs, 1), 1000 if pairs else 0).astype(alignment.np.int32)
+        assert (alignment._unpack(alignment._pack(links, pairs), len(links), pairs) == links).all()
+
+
+def test_rows_of_blocks_stay_small(spark, monkeypatch):
+    """A block's links, most of its row, take less than two bytes each, and a file holds few blocks."""
+    made = []
+    monkeypatch.setattr(alignment, "written", lambda df, real=alignment.written, **options: made.append(real(df, **options)) or made[-1])
+    monkeypatch.setattr(alignment, "FILE_BLOCKS", 2, raising=False)
+    rng = random.Random(4)
+    words = ["tokenization", "the", "Überraschung", "3.14159", "don't", "end.", "naïve", "overlapping"]
+    docs = [(k, " ".join(rng.choice(words) for _ in range(45_000))) for k in range(5)]
+    rows = run(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
+    blocks = made[0].selectExpr("octet_length(links) AS bytes" if dict(made[0].dtypes)["links"] == "binary" else "4 * size(links) AS bytes",
+                                "aggregate(n_links, 0, (a, x) -> a + x) AS n", "input_file_name() AS file").collect()
+    assert len(rows) == 5 and sum(b["n"] for b in blocks) == sum(r[4] for r in rows)
+    assert len(blocks) == 5 and all(b["bytes"] < 2 * b["n"] for b in blocks)
+    assert max(sum(b["file"] == c["file"] for b in blocks) for c in blocks) <= 2
+
+
+def test_finishing_worker_lets_its_vocabularies_go(monkeypatch):
+    tokens = alignment.Tokens(A, B)
+    monkeypatch.setattr(alignment, "_TOKENS", {(A, B): tokens})
+    monkeypatch.setattr(alignment, "TaskContext", type("Task", (), {"get": classmethod(lambda cls: cls), "partitionId": staticmethod(lambda: 0)}))
+    pa = alignment.pa
+    made = pa.Table.from_batches(alignment._blocks(A, B)([pa.record_batch({"doc_id": pa.array([7]), "text": pa.array(["the end. the end."])})]))
+    places = pa.array(range(len(made.column("pairs")[0])), pa.int32())
+    counts = pa.table({"of_block": pa.array([0] * len(places), pa.int64()), "place": places, "total": pa.array([1] * len(places), pa.int64()), "best": pa.array([True] * len(places))})
+    found = alignment._finish(made, counts).to_pylist()[0]
+    assert found["doc_id"] == 7 and found["n_links"] == found["n_best"] == found["count_sum"] > 0
+    assert alignment._TOKENS == {}
